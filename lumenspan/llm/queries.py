@@ -5,9 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lumenspan.llm import exact_dedup, mixing, quality_rules
-from lumenspan.llm._common import table
+from lumenspan.llm import exact_dedup, langid, mixing, piece_codec, quality_fm, quality_rules
+from lumenspan.llm._common import fold, table
+
+
+def tokenizer(name: str) -> bytes:
+    """A public tokenizer's file, read on the driver and sent to the tasks."""
+    import public_tokenizers
+
+    return piece_codec.model_bytes(public_tokenizers.path(name))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    return langid.predict(docs, langid.learn(docs.filter(~held_out)), held_out)
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +36,14 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    machine = quality_fm.learn(docs.filter(~held_out), table(spark, sf_dir, "labels"))
+    scored = quality_fm.score(docs, machine, [docs["doc_id"], held_out.alias("held_out")])
+    return scored.select("row.*", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -25,8 +51,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_language_id,
+        op3_sentencepiece,
         op6_exact_dedup,
         op8_source_mixing,
+        op9_quality_classifier,
         op10_quality_rules,
     )
 }
