@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenspan.llm import exact_dedup, langid, mixing, piece_codec, quality_fm, quality_rules
+from lumenspan.llm import exact_dedup, langid, mixing, piece_codec, quality_fm, quality_rules, toxicity
 from lumenspan.llm._common import fold, table
 
 
@@ -28,6 +28,14 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    voters = toxicity.learn(docs.filter(~held_out), table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, voters, [docs["doc_id"], held_out.alias("held_out")])
+    return scored.select("row.*", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
@@ -53,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_language_id,
         op3_sentencepiece,
+        op5_toxicity,
         op6_exact_dedup,
         op8_source_mixing,
         op9_quality_classifier,
