@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenspan.llm._common import SPACE, WORD, join_small, whole, written
@@ -111,11 +111,9 @@ def cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA, lif
         F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(j).alias("strictness"), F.lit(c).alias("cutoff"), F.col(f"{name}_{j}_good").alias("k"), F.col(f"{name}_{j}_bad").alias("hits")) for name, _, _, grid in RULES for j, c in enumerate(grid)])
     )
     rate = alpha / len(RULES)
-    strata = labelled.agg(F.count_distinct("stratum").alias("n_strata"))
     tested = (
-        counts.select("stratum", "n_good", "n_bad", tests.alias("t"))
-        .select("stratum", "n_good", "n_bad", "t.*")
-        .join(F.broadcast(strata))
+        counts.select("stratum", "n_good", "n_bad", F.count("*").over(Window.partitionBy()).alias("n_strata"), tests.alias("t"))
+        .select("stratum", "n_good", "n_bad", "n_strata", "t.*")
         .filter(F.col("hits") * F.col("n_good") > lift * F.col("k") * F.col("n_bad"))
         .filter(binomial_tail(F.col("n_good"), F.col("k"), rate) <= F.lit(delta / len(RULES)) / F.col("n_strata"))
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenspan.llm import exact_dedup, langid, mixing, piece_codec, quality_fm, quality_rules, toxicity
+from lumenspan.llm import exact_dedup, langid, lm, mixing, piece_codec, quality_fm, quality_rules, toxicity
 from lumenspan.llm._common import fold, table
 
 
@@ -28,6 +28,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 5) == 0
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_language_id,
         op3_sentencepiece,
+        op4_lm_scoring,
         op5_toxicity,
         op6_exact_dedup,
         op8_source_mixing,
