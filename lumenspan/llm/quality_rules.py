@@ -112,7 +112,8 @@ def cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA, lif
     )
     rate = alpha / len(RULES)
     tested = (
-        counts.select("stratum", "n_good", "n_bad", F.count("*").over(Window.partitionBy()).alias("n_strata"), tests.alias("t"))
+        counts.withColumn("n_strata", F.count("*").over(Window.partitionBy()))
+        .select("stratum", "n_good", "n_bad", "n_strata", tests.alias("t"))
         .select("stratum", "n_good", "n_bad", "n_strata", "t.*")
         .filter(F.col("hits") * F.col("n_good") > lift * F.col("k") * F.col("n_bad"))
         .filter(binomial_tail(F.col("n_good"), F.col("k"), rate) <= F.lit(delta / len(RULES)) / F.col("n_strata"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenspan.llm import exact_dedup, langid, lm, mixing, piece_codec, quality_fm, quality_rules, toxicity
+from lumenspan.llm import exact_dedup, langid, lm, minhash, mixing, piece_codec, quality_fm, quality_rules, toxicity
 from lumenspan.llm._common import fold, table
 
 
@@ -18,6 +18,10 @@ def tokenizer(name: str) -> bytes:
     return piece_codec.model_bytes(public_tokenizers.path(name))
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 4) == 2
@@ -63,6 +67,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_minhash,
         op2_language_id,
         op3_sentencepiece,
         op4_lm_scoring,
