@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenspan.llm import exact_dedup, langid, lm, minhash, mixing, piece_codec, quality_fm, quality_rules, toxicity
+from lumenspan.llm import exact_dedup, langid, licenses, lm, minhash, mixing, piece_codec, quality_fm, quality_rules, toxicity
 from lumenspan.llm._common import fold, table
 
 
+#: Score from which a document counts as good.
+KEEP_AT = 0.3
+
+
 def tokenizer(name: str) -> bytes:
     """A public tokenizer's file, read on the driver and sent to the tasks."""
     import public_tokenizers
@@ -48,6 +52,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -57,7 +65,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold("doc_id", 5) == 0
     machine = quality_fm.learn(docs.filter(~held_out), table(spark, sf_dir, "labels"))
     scored = quality_fm.score(docs, machine, [docs["doc_id"], held_out.alias("held_out")])
-    return scored.select("row.*", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("row.*", "score", (F.col("score") >= KEEP_AT).cast("int").alias("predicted"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_lm_scoring,
         op5_toxicity,
         op6_exact_dedup,
+        op7_license_scan,
         op8_source_mixing,
         op9_quality_classifier,
         op10_quality_rules,
@@ -81,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.CLASSES_SQL,
+    "op7_license_scan": licenses.scan_sql(),
     "op8_source_mixing": mixing.REPORT_SQL,
     "op10_quality_rules": quality_rules.RULES_SQL,
 }
