@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from lumenspan.llm._common import whole, written
 from lumenspan.llm.mixing import coin
 
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 7_000_000
 RANGE_BYTES = 12_000_000  # of text a range of keys, about two million keys
 TUNING = 1 / 16
 BUCKETS = 48
