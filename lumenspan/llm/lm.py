@@ -255,7 +255,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     sums = back.filter("block = -1").select(*[F.sum(F.get("totals", F.lit(i))).alias(f"t{i}") for i in range(4)]).first()
     base_n, base_v, seen_n, seen_v = (x or 0 for x in sums)
 
-    tuned = packed.filter(F.col("block") % 3 == TUNE).groupBy("block").cogroup(back.filter((F.col("block") >= 0) & (F.col("block") % 3 == TUNE)).groupBy("block"))
+    tuning = _pack(docs.filter(kind == TUNE), id_col, text_col, place * 3 + kind)
+    tuned = tuning.groupBy("block").cogroup(back.filter((F.col("block") >= 0) & (F.col("block") % 3 == TUNE)).groupBy("block"))
     cells = (
         tuned.applyInArrow(_tuning(base_n), "bucket long, q2 long, q1 long, n long, s2 double, s1 double")
         .groupBy("bucket", "q2", "q1")
