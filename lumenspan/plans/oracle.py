@@ -228,6 +228,13 @@ SELECT sum({_sum(lambda n: f'{n} IS NULL', MANDATORY)})::BIGINT AS null_violatio
        sum({_sum(violated, NAMES)})::BIGINT AS rule_violations, greatest({', '.join(f'sum(({violated(n)})::INT)' for n in MANDATORY)})::BIGINT AS blocking_rule_violations,
        sum({_sum(violated, [n for n in NAMES if n not in MANDATORY])})::BIGINT AS advisory_rule_violations, (SELECT sum(n - 1) FROM k)::BIGINT AS duplicate_keys,
        (SELECT count(*) FROM b WHERE {' OR '.join(f'{c} > 1' for c in _INVARIANTS)})::BIGINT AS trace_breaks, false AS valid FROM f""",
+    "span_criteria": f"""{WITH}, b AS ({_broken()}), k AS (SELECT count(*) AS n FROM f GROUP BY trace_id, span_id), t AS (SELECT trace_id, bool_or(rejected) AS bad FROM f GROUP BY trace_id),
+v AS (SELECT greatest({', '.join(f'sum(({violated(n)})::INT)' for n in MANDATORY)})::BIGINT AS k2, sum({_sum(violated, [n for n in NAMES if n not in MANDATORY])}) AS soft,
+  (SELECT count(*) FROM b WHERE {' OR '.join(f'{c} > 1' for c in _INVARIANTS)})::BIGINT AS k3, (SELECT sum(n - 1) FROM k)::BIGINT AS k4, (SELECT sum(bad::INT) FROM t)::BIGINT AS k5, (SELECT count(*) FROM t) AS traces,
+  sum({_sum(lambda n: f'{n} IS NULL', MANDATORY)})::BIGINT AS k6 FROM f)
+SELECT 'K2' AS code, k2 AS count, CASE WHEN k2 > 0 THEN 'bad' WHEN soft > 0 THEN 'warn' ELSE 'good' END AS tone FROM v
+UNION ALL SELECT 'K3', k3, CASE WHEN k3 > 0 THEN 'bad' ELSE 'good' END FROM v UNION ALL SELECT 'K4', k4, CASE WHEN k4 > 0 THEN 'bad' ELSE 'good' END FROM v
+UNION ALL SELECT 'K5', k5, CASE WHEN k5 / traces > 0.6 THEN 'bad' ELSE 'good' END FROM v UNION ALL SELECT 'K6', k6, CASE WHEN k2 + k3 + k4 + k6 > 0 THEN 'bad' ELSE 'good' END FROM v""",
     "span_consistency": f"{WITH} {_broken()}",
     "span_trace_consistency": f"{WITH}, b AS ({_broken()}) SELECT {', '.join(f'sum(({c} > 1)::INT)::BIGINT AS {c}' for c in _INVARIANTS)} FROM b",
     "span_tagged": f"{WITH} SELECT trace_id, span_id, rejected, count(*) AS n FROM f GROUP BY ALL",

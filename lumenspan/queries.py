@@ -12,6 +12,7 @@ from lumenspan.functions.scores import Policy
 from lumenspan.functions.stats import total
 from lumenspan.operators import landscape, quality, readiness
 from lumenspan.operators.recast import recast
+from lumenspan.plans.engine import criteria_frame
 from lumenspan.sources.spans import event_spans
 
 
@@ -72,6 +73,7 @@ def _query(operator: Callable[[DataFrame], DataFrame], places: int) -> Callable[
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "span_criteria": lambda spark, sf_dir: criteria_frame(_spans(spark, sf_dir)),
     "span_recast": _spans,
     "span_cast_only": lambda spark, sf_dir: recast(event_spans(spark, sf_dir), strict=False),
 } | {name: _query(*spec) for name, spec in _OVER_SPANS.items()}
