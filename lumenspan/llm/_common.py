@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word is a run of characters outside ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,6 +53,16 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def packed_row(df: DataFrame, names: list[str]) -> Column:
+    """The named columns of ``df`` as one struct, so that none can clash with a working column."""
+    return F.struct(*[df[f"`{c}`"].alias(c) for c in names]).alias("row")
+
+
+def row_schema(rows: DataFrame, *names: str, more: str) -> T.StructType:
+    """The schema of the named columns of ``rows``, followed by the columns of a DDL string."""
+    return T.StructType([*(rows.schema[n] for n in names), *T.StructType.fromDDL(more).fields])
+
+
 def fold(doc_id: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as the text ``null``."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))) % mod

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenspan.llm._common import SPACE, whole, written
+from lumenspan.llm._common import SPACE, packed_row, whole, written
 
 #: Names of the working columns; none can clash with a column of the input, which is nested under ``row``.
 KEYS = ["digest", "hash2", "n_bytes"]
@@ -23,9 +23,8 @@ KEYS = ["digest", "hash2", "n_bytes"]
 
 def _fingerprints(docs: DataFrame, id_col: str, text_col: str, payload: list[str]) -> DataFrame:
     text = whole(docs[text_col])
-    kept = F.struct(*[docs[c] for c in payload]).alias("row")
     return (
-        docs.select(kept, docs[id_col].alias("id"), F.char_length(text).alias("n_points"), F.regexp_replace(text, SPACE, "").alias("norm"))
+        docs.select(packed_row(docs, payload), docs[id_col].alias("id"), F.char_length(text).alias("n_points"), F.regexp_replace(text, SPACE, "").alias("norm"))
         .select(
             "row",
             "id",

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenspan.llm._common import WORD, join_small, whole, written
+from lumenspan.llm._common import WORD, join_small, packed_row, whole, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -62,7 +62,7 @@ def coin(id_col: Column, seed: str = SEED) -> Column:
 
 def with_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``row`` (the input's columns), size, source_size, target and copies of each document."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[source_col].alias("of"), docs[id_col].alias("id"), n_tokens(text_col).alias("size"))
+    rows = docs.select(packed_row(docs, docs.columns), docs[source_col].alias("of"), docs[id_col].alias("id"), n_tokens(text_col).alias("size"))
     targets = written(source_targets(rows.select(F.col("of").alias("source"), "size")), "mix-targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     copies = F.floor("rate") + (coin(F.col("id")) < F.col("rate") - F.floor("rate")).cast("long")

@@ -9,7 +9,7 @@ such a model crosses from a word into the next space mark, so the ids of a text
 a model's vocabulary says otherwise, the whole text is encoded at once.
 
 Defined results: null counts as empty; an empty text has the end id alone and an empty span for it; an empty table gives
-an empty result; extra columns pass through under their own names.
+an empty result; extra columns pass through, but for those named like an output, which the output replaces.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenspan.llm._common import whole
+from lumenspan.llm._common import packed_row, row_schema, whole
 
 MARK = "▁"
 CACHE = 200_000
@@ -193,8 +193,8 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 def encode(docs: DataFrame, model: bytes, text_col: str = "text", keep: list[str] | None = None, spans: bool = True) -> DataFrame:
     """``keep`` (all columns unless given) with ids, and begins and ends: original byte spans of the pieces."""
-    keep = docs.columns if keep is None else keep
     fields = [("ids", "array<int>")] + [("begins", "array<int>"), ("ends", "array<int>")] * spans
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in dict(fields)]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model)
@@ -205,14 +205,13 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", keep: list[str
                 row = batch.column(0).slice(part.start, part.stop - part.start)
                 yield pa.RecordBatch.from_arrays([row, *(_lists([x[k] for x in got]) for k in range(len(fields)))], ["row", *(name for name, _ in fields)])
 
-    rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), whole(docs[text_col]).alias("text"))
-    schema = ", ".join([f"row {rows.schema['row'].dataType.simpleString()}", *(f"{name} {kind}" for name, kind in fields)])
-    return rows.mapInArrow(encoded, schema).select("row.*", *(name for name, _ in fields))
+    rows = docs.select(packed_row(docs, keep), whole(docs[text_col]).alias("text"))
+    return rows.mapInArrow(encoded, row_schema(rows, "row", more=", ".join(f"{name} {kind}" for name, kind in fields))).select("row.*", *(name for name, _ in fields))
 
 
 def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids", into: str = "decoded", keep: list[str] | None = None) -> DataFrame:
     """``keep`` (all columns unless given) with the text that the library's decode gives for the ids; null ids give null."""
-    keep = encoded.columns if keep is None else keep
+    keep = [c for c in (encoded.columns if keep is None else keep) if c != into]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
@@ -225,8 +224,8 @@ def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids", into: str = "
                 texts = [None if x is None else sp.decode(x) for x in some]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.start, len(some)), pa.array(texts, pa.string())], ["row", into])
 
-    rows = encoded.select(F.struct(*[encoded[c] for c in keep]).alias("row"), ids_col)
-    return rows.mapInArrow(decoded, f"row {rows.schema['row'].dataType.simpleString()}, {into} string").select("row.*", into)
+    rows = encoded.select(packed_row(encoded, keep), ids_col)
+    return rows.mapInArrow(decoded, row_schema(rows, "row", more=f"{into} string")).select("row.*", into)
 
 
 def digests(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

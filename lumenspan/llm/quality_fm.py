@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenspan.llm._common import join_small, whole, written
+from lumenspan.llm._common import join_small, row_schema, whole, written
 from lumenspan.llm.mixing import coin
 
 TRAIN_DOCS = 12_000
@@ -201,4 +201,4 @@ def score(docs: DataFrame, machine: Machine, keep: list[Column], text_col: str =
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(machine.scores(part.column("_text"), part.column("_chars").to_numpy()))], ["row", "score"])
 
     rows = docs.select(F.struct(*keep).alias("row"), *_inputs(docs, text_col, chars_col))
-    return rows.mapInArrow(scored, f"row {rows.schema['row'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(scored, row_schema(rows, "row", more="score double"))

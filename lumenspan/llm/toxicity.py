@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenspan.llm._common import join_small, whole, written
+from lumenspan.llm._common import join_small, row_schema, whole, written
 from lumenspan.llm.mixing import coin
 
 EXAMPLES = 16_000
@@ -180,4 +180,4 @@ def score(docs: DataFrame, voters: Voters, keep: list[Column], text_col: str = "
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], ["row", "score", "evidence"])
 
     rows = docs.select(F.struct(*keep).alias("row"), whole(docs[text_col]).alias("_text"))
-    return rows.mapInArrow(voted, f"row {rows.schema['row'].dataType.simpleString()}, score double, evidence array<long>")
+    return rows.mapInArrow(voted, row_schema(rows, "row", more="score double, evidence array<bigint>"))
