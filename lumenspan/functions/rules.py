@@ -5,9 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 _ITEM = r'"[^"\\]*+(?:\\[^\n][^"\\]*+)*+"'
 
 #: Whole-string patterns for Java's engine: ``\z`` is the very end, ``(?U)`` gives Unicode digits and spaces, and
@@ -24,49 +21,66 @@ PATTERNS = {
 
 @dataclass(frozen=True)
 class Rule:
-    holds: Callable[[Column], Column]
+    """``holds`` takes the name of a column and gives the condition in Spark's SQL."""
+
+    holds: Callable[[str], str]
     text: str
 
 
-ANYTHING = Rule(lambda c: F.lit(True), "any value")
-NOT_EMPTY = Rule(lambda c: F.char_length(c) > 0, "not empty")
+def literal(value: object) -> str:
+    """A value in Spark's SQL."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, float):
+        return f"{value!r}D"
+    return str(value) if isinstance(value, int) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+ANYTHING = Rule(lambda c: "true", "any value")
+NOT_EMPTY = Rule(lambda c: f"char_length({c}) > 0", "not empty")
 
 
 def matches(name: str) -> Rule:
-    return Rule(lambda c: c.rlike(PATTERNS[name]), f"has the form {name}")
+    return Rule(lambda c: f"{c} RLIKE r'{PATTERNS[name]}'", f"has the form {name}")
 
 
 def equals(value: object) -> Rule:
-    return Rule(lambda c: c == F.lit(value), f"equals {value!r}")
+    return Rule(lambda c: f"{c} = {literal(value)}", f"equals {value!r}")
 
 
 def at_least(value: float) -> Rule:
-    return Rule(lambda c: c >= F.lit(value), f"at least {value}")
+    return Rule(lambda c: f"{c} >= {literal(value)}", f"at least {value}")
 
 
 def between(low: float, high: float) -> Rule:
-    return Rule(lambda c: c.between(F.lit(low), F.lit(high)), f"between {low} and {high}")
+    return Rule(lambda c: f"{c} BETWEEN {literal(low)} AND {literal(high)}", f"between {low} and {high}")
+
+
+def is_in(column: str, values: tuple[str, ...]) -> str:
+    return f"{column} IN ({', '.join(map(literal, values))})"
 
 
 def one_of(values: tuple[str, ...]) -> Rule:
-    return Rule(lambda c: c.isin(*values), "one of " + ", ".join(values))
+    return Rule(lambda c: is_in(c, values), "one of " + ", ".join(values))
 
 
 def at_least_column(name: str) -> Rule:
-    return Rule(lambda c: c >= F.col(name), f"at least {name}")
+    return Rule(lambda c: f"{c} >= {name}", f"at least {name}")
 
 
 def not_both(first: str, second: str) -> Rule:
-    return Rule(lambda c: ~(F.col(first) & F.col(second)), f"not both {first} and {second}")
+    return Rule(lambda c: f"NOT ({first} AND {second})", f"not both {first} and {second}")
 
 
 def either(one: Rule, two: Rule) -> Rule:
-    return Rule(lambda c: one.holds(c) | two.holds(c), f"{one.text} or {two.text}")
+    return Rule(lambda c: f"({one.holds(c)} OR {two.holds(c)})", f"{one.text} or {two.text}")
 
 
 def where(column: str, values: tuple[str, ...], then: Rule, otherwise: Rule) -> Rule:
     """``then`` where ``column`` has one of ``values``, else ``otherwise``."""
     return Rule(
-        lambda c: F.when(F.col(column).isin(*values), then.holds(c)).otherwise(otherwise.holds(c)),
+        lambda c: f"CASE WHEN {is_in(column, values)} THEN {then.holds(c)} ELSE {otherwise.holds(c)} END",
         f"if {column} is {' or '.join(values)}: {then.text}; else {otherwise.text}",
     )

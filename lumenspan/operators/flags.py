@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
-from operator import add, or_
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lumenspan.functions.rules import literal
 from lumenspan.plans.spec import MANDATORY, Attr
 
 
@@ -32,39 +32,34 @@ def is_dialog() -> Column:
     return F.col("aef_kind") == "input_request"
 
 
-def valid(attr: Attr) -> Column:
-    c = F.col(attr.name)
-    return c.isNotNull() & attr.rule.holds(c)
+@dataclass(frozen=True)
+class Flag:
+    """A condition on one cell: ``sql`` is its text in Spark's SQL, calling it gives the column."""
 
+    sql: Callable[[Attr], str]
 
-def violation(attr: Attr) -> Column:
-    """Not valid; where the rule itself is null, that counts as a violation."""
-    return F.coalesce(~valid(attr), F.lit(True))
+    def __call__(self, attr: Attr) -> Column:
+        return F.expr(self.sql(attr))
 
 
-def missing(attr: Attr) -> Column:
-    c = F.col(attr.name)
-    return c.isNull() if attr.empty is None else c.isNull() | (c == F.lit(attr.empty))
+valid = Flag(lambda a: f"({a.name} IS NOT NULL AND ({a.rule.holds(a.name)}))")
+#: Not valid; where the rule itself is null, that counts as a violation.
+violation = Flag(lambda a: f"coalesce(NOT {valid.sql(a)}, true)")
+missing = Flag(lambda a: f"{a.name} IS NULL" if a.empty is None else f"({a.name} IS NULL OR {a.name} = {literal(a.empty)})")
+#: Whether the cell could not be cast; null for a null cell, and false for booleans, which have no trash value.
+trash = Flag(lambda a: "false" if a.trash is None else f"{a.name} = {literal(a.trash)}")
+null = Flag(lambda a: f"{a.name} IS NULL")
 
 
-def trash(attr: Attr) -> Column:
-    """Whether the cell could not be cast; null for a null cell, and false for booleans, which have no trash value."""
-    return F.lit(False) if attr.trash is None else F.col(attr.name) == F.lit(attr.trash)
-
-
-def null(attr: Attr) -> Column:
-    return F.col(attr.name).isNull()
-
-
-def across(flag: Callable[[Attr], Column], attrs: Iterable[Attr]) -> Column:
+def across(flag: Flag, attrs: Iterable[Attr]) -> Column:
     """Number of flagged cells in the row; null if a flag is null."""
-    return reduce(add, [flag(a).cast("long") for a in attrs])
+    return F.expr(" + ".join(f"cast({flag.sql(a)} AS bigint)" for a in attrs))
 
 
-def share(flag: Callable[[Attr], Column], attrs: tuple[Attr, ...]) -> Column:
+def share(flag: Flag, attrs: tuple[Attr, ...]) -> Column:
     return across(flag, attrs) / F.lit(len(attrs))
 
 
 def blocking() -> Column:
     """Whether any mandatory attribute is violated."""
-    return reduce(or_, [violation(a) for a in MANDATORY])
+    return F.expr(" OR ".join(violation.sql(a) for a in MANDATORY))

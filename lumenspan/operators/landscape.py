@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lumenspan.functions import dims as by
 from lumenspan.functions.stats import distinct, quantiles, rate, total
 from lumenspan.operators import flags
+from lumenspan.operators.quality import rollup
 from lumenspan.plans.spec import KINDS
 
 TOP = 8
@@ -43,11 +44,11 @@ def bounds(spans: DataFrame) -> DataFrame:
 def trace_shape(spans: DataFrame, exact: bool = True) -> DataFrame:
     """One row on traces: number, single spans, dialogs, spans and durations. The 95th percentile is the value at the
     nearest place, so the traces are counted first; ``exact=False`` keeps bounded sketches instead."""
-    per = spans.groupBy("trace_id").agg(
-        F.count(F.lit(1)).alias("spans"),
-        ((F.max("end_time_ns") - F.min("start_time_ns")) / F.lit(1_000_000)).alias("dur_ms"),
-        F.coalesce(F.max(flags.is_dialog()), F.lit(False)).alias("dialog"),
-    )
+    return shape_of(rollup(spans), exact)
+
+
+def shape_of(traces: DataFrame, exact: bool = True) -> DataFrame:
+    per = traces.select("spans", "dialog", ((F.col("end_ns") - F.col("start_ns")) / F.lit(1_000_000)).alias("dur_ms"))
     level = 0.95
     if exact:
         n = per.filter("dur_ms is not null").count()

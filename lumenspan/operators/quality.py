@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from lumenspan.plans.spec import INVARIANTS, MANDATORY, NUMERIC, OPTIONAL, SPEC,
 LEVELS = (0.25, 0.50, 0.75, 0.90, 0.95)
 
 
-def profile(spans: DataFrame, flag: Callable[[Attr], Column], agg: Callable[[Column], Column], *dims: Dim, grain: str | None = None) -> DataFrame:
+def profile(spans: DataFrame, flag: flags.Flag, agg: Callable[[Column], Column], *dims: Dim, grain: str | None = None) -> DataFrame:
     """``n`` and one figure per attribute, by keys; an attribute that is itself a key is left out."""
     keys = dims + ((by.time(grain),) if grain else ())
     names = {d.name for d in keys}
@@ -60,16 +60,59 @@ def consistency(spans: DataFrame, *columns: str) -> DataFrame:
     return spans.groupBy("trace_id").agg(F.count(F.lit(1)).alias("spans"), *[distinct(F.col(c)).alias(c) for c in columns or INVARIANTS])
 
 
-def trace_consistency(spans: DataFrame, *columns: str) -> DataFrame:
+def rollup(spans: DataFrame) -> DataFrame:
+    """One row per trace, null being one, with all that is asked of whole traces. Unused columns are pruned."""
+    return spans.groupBy("trace_id").agg(
+        F.count(F.lit(1)).alias("spans"),
+        F.min("start_time_ns").alias("start_ns"),
+        F.max("end_time_ns").alias("end_ns"),
+        F.coalesce(F.max(flags.is_dialog()), F.lit(False)).alias("dialog"),
+        F.max(flags.blocking()).alias("rejected"),
+        *[varies(F.col(c)).alias(f"varies__{c}") for c in INVARIANTS],
+    )
+
+
+def broken() -> Column:
+    """Over ``rollup``: whether any invariant changes."""
+    return reduce(or_, [F.col(f"varies__{c}") for c in INVARIANTS])
+
+
+def trace_consistency(spans: DataFrame) -> DataFrame:
     """For every invariant the number of traces in which it changes."""
-    names = columns or INVARIANTS
-    per = spans.groupBy("trace_id").agg(*[varies(F.col(c)).alias(c) for c in names])
-    return per.agg(*[total(F.col(c)).alias(c) for c in names])
+    return consistency_of(rollup(spans))
+
+
+def consistency_of(traces: DataFrame) -> DataFrame:
+    return traces.agg(*[total(F.col(f"varies__{c}")).alias(c) for c in INVARIANTS])
 
 
 def breaks(spans: DataFrame) -> DataFrame:
     """Per trace whether any invariant changes."""
-    return spans.groupBy("trace_id").agg(reduce(or_, [varies(F.col(c)) for c in INVARIANTS]).alias("broken"))
+    return rollup(spans).select("trace_id", broken().alias("broken"))
+
+
+def facts(spans: DataFrame) -> DataFrame:
+    """One row from one pass: spans ``n``, ``trash_cells``, and the missing, violated, trash and null cells of every attribute."""
+    kinds = {"missing": flags.missing, "violation": flags.violation, "trash": flags.trash, "null": flags.null}
+    return spans.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(flags.across(flags.trash, SPEC)), F.lit(0)).alias("trash_cells"),
+        *[F.expr(f"coalesce(sum(cast({flag.sql(a)} AS bigint)), 0L) AS {kind}__{a.name}") for kind, flag in kinds.items() for a in SPEC],
+    )
+
+
+def rates_of(found: DataFrame, kind: str) -> DataFrame:
+    """``completeness`` (missing), ``correctness`` (violation) or ``contamination`` (trash) from ``facts``."""
+
+    def share(a: Attr) -> str:
+        of = f"n - null__{a.name}" if kind == "trash" and a.trash is not None else "n"
+        return f"try_divide({kind}__{a.name}, {of}) AS {a.name}"
+
+    return found.selectExpr("n", *[share(a) for a in SPEC])
+
+
+def sums_of(found: DataFrame, kind: str) -> DataFrame:
+    return found.selectExpr("n", *[f"{kind}__{a.name} AS {a.name}" for a in SPEC])
 
 
 def verdict(spans: DataFrame, max_nulls: int = 0, max_rules: int = 0, max_dups: int = 0, max_breaks: int = 0) -> DataFrame:
@@ -78,20 +121,26 @@ def verdict(spans: DataFrame, max_nulls: int = 0, max_rules: int = 0, max_dups:
     Blocking violations are those of the worst mandatory attribute. One pass gives the cell counts, one rollup by trace
     the breaks, one by key the duplicates.
     """
-    cells = spans.agg(
-        F.coalesce(F.sum(flags.across(flags.null, MANDATORY)), F.lit(0)).alias("null_violations"),
-        F.coalesce(F.sum(flags.across(flags.missing, SPEC)), F.lit(0)).alias("missing"),
-        F.coalesce(F.sum(flags.across(flags.trash, SPEC)), F.lit(0)).alias("trash_cells"),
-        F.coalesce(F.sum(flags.across(flags.violation, SPEC)), F.lit(0)).alias("rule_violations"),
-        F.greatest(*[total(flags.violation(a)) for a in MANDATORY]).alias("blocking_rule_violations"),
-        F.coalesce(F.sum(flags.across(flags.violation, OPTIONAL)), F.lit(0)).alias("advisory_rule_violations"),
+    limits = {"null_violations": max_nulls, "blocking_rule_violations": max_rules, "duplicate_keys": max_dups, "trace_breaks": max_breaks}
+    return verdict_of(facts(spans), rollup(spans), spans, limits)
+
+
+def verdict_of(found: DataFrame, traces: DataFrame, spans: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
+    limits = limits or dict.fromkeys(("null_violations", "blocking_rule_violations", "duplicate_keys", "trace_breaks"), 0)
+    summed = lambda kind, attrs: F.expr(" + ".join(f"{kind}__{a.name}" for a in attrs))
+    cells = found.select(
+        summed("null", MANDATORY).alias("null_violations"),
+        summed("missing", SPEC).alias("missing"),
+        "trash_cells",
+        summed("violation", SPEC).alias("rule_violations"),
+        F.greatest(*[F.col(f"violation__{a.name}") for a in MANDATORY]).alias("blocking_rule_violations"),
+        summed("violation", OPTIONAL).alias("advisory_rule_violations"),
     )
     keys = spans.groupBy("trace_id", "span_id").agg((F.count(F.lit(1)) - 1).alias("again")).agg(F.coalesce(F.sum("again"), F.lit(0)).alias("duplicate_keys"))
-    broken = breaks(spans).agg(total(F.col("broken")).alias("trace_breaks"))
-    limits = {"null_violations": max_nulls, "blocking_rule_violations": max_rules, "duplicate_keys": max_dups, "trace_breaks": max_breaks}
+    changed = traces.agg(total(broken()).alias("trace_breaks"))
     # three frames of one row each
-    one = cells.crossJoin(keys).crossJoin(broken)
-    return one.withColumn("valid", reduce(lambda a, b: a & b, [F.col(c) <= n for c, n in limits.items()]))
+    one = cells.crossJoin(keys).crossJoin(changed)
+    return one.withColumn("valid", reduce(and_, [F.col(c) <= n for c, n in limits.items()]))
 
 
 def is_valid(spans: DataFrame, **limits: int) -> bool:
@@ -109,11 +158,16 @@ def rejection(spans: DataFrame, *dims: Dim, grain: str | None = None, over: str
     The flag comes from a rollup by trace and is joined to the few keys of each trace, not to its spans.
     """
     keys = dims + ((by.time(grain),) if grain else ())
+    if not keys and over == "trace_id":
+        return rejection_of(rollup(spans))
     cells = spans.groupBy(F.col(over).alias("_over"), *[d.key for d in keys]).agg(F.max(flags.blocking()).alias("bad"))
     traces = cells.withColumn("rejected", F.max("bad").over(Window.partitionBy("_over")))
+    return rejection_of(traces, *[d.name for d in keys])
+
+
+def rejection_of(traces: DataFrame, *names: str) -> DataFrame:
     rejected = F.col("rejected")
-    body = [F.count(F.lit(1)).alias("n"), rate(rejected).alias("dropped_rate"), total(rejected).alias("dropped"), total(~rejected).alias("kept")]
-    return traces.groupBy(*[d.name for d in keys]).agg(*body) if keys else traces.agg(*body)
+    return traces.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), rate(rejected).alias("dropped_rate"), total(rejected).alias("dropped"), total(~rejected).alias("kept"))
 
 
 def trace_status(spans: DataFrame) -> DataFrame:

@@ -92,9 +92,11 @@ def assess(spans: DataFrame, policy: Policy, *dims: Dim, grain: str = "1d") -> D
 
 def blame(spans: DataFrame, *dims: Dim) -> DataFrame:
     """Attributes by their violation rate over the whole data, worst first."""
-    names = [d.name for d in dims]
-    attrs = [a.name for a in SPEC if a.name not in names]
-    long = correctness(spans, *dims).unpivot(names, attrs, "attr", "violation_rate")
+    return blame_of(correctness(spans, *dims), *[d.name for d in dims])
+
+
+def blame_of(rates: DataFrame, *names: str) -> DataFrame:
+    long = rates.unpivot(list(names), [a.name for a in SPEC if a.name not in names], "attr", "violation_rate")
     return long.filter("violation_rate > 0").orderBy(F.desc("violation_rate"), "attr")
 
 

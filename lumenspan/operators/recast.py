@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from lumenspan.functions.rules import is_in, literal
 from lumenspan.plans.spec import SPEC, TYPES, Attr
 
 _TRUE, _FALSE = ("true", "t", "1", "yes", "y"), ("false", "f", "0", "no", "n")
@@ -16,47 +16,44 @@ def scalar(kind: T.DataType) -> bool:
     return not isinstance(kind, _NESTED)
 
 
-def _boolean(c: Column) -> Column:
-    token = F.lower(F.trim(c.cast("string")))
-    return F.when(token.isin(*_TRUE), True).when(token.isin(*_FALSE), False)
+def _boolean(c: str) -> str:
+    token = f"lower(trim(cast({c} AS string)))"
+    return f"CASE WHEN {is_in(token, _TRUE)} THEN true WHEN {is_in(token, _FALSE)} THEN false END"
 
 
-def cast(c: Column, source: T.DataType, attr: Attr) -> Column:
-    """Cast that gives null where the value has no place in the attribute's type or categories."""
+def cast(c: str, source: T.DataType, attr: Attr) -> str:
+    """Cast that gives null where the value has no place in the attribute's type or categories; in Spark's SQL."""
     target = TYPES[attr.type]
     if attr.domain:
-        text = c.cast("string")
-        return F.when(text.isin(*attr.domain), text)
+        text = f"cast({c} AS string)"
+        return f"CASE WHEN {is_in(text, attr.domain)} THEN {text} END"
     if source == target:
         return c
     if attr.type == "boolean":
         return _boolean(c)
     if attr.type == "long" and isinstance(source, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")) * 1000
+        return f"unix_micros(cast({c} AS timestamp)) * 1000"
     if attr.type in ("long", "float") and isinstance(source, T.BooleanType):
-        return c.cast("int").cast(target)
-    return c.try_cast(target)
+        return f"cast(cast({c} AS int) AS {target.simpleString()})"
+    return f"try_cast({c} AS {target.simpleString()})"
 
 
-def _empty(attr: Attr) -> Column:
-    return F.lit(attr.empty).cast(TYPES[attr.type])
-
-
-def _column(df: DataFrame, attr: Attr, strict: bool) -> Column:
+def _column(df: DataFrame, attr: Attr, strict: bool) -> str:
+    kind = TYPES[attr.type].simpleString()
+    empty = f"cast({literal(attr.empty)} AS {kind})"
     if attr.name not in df.columns or not scalar(df.schema[attr.name].dataType):
-        return _empty(attr).alias(attr.name)
-    raw = df[attr.name]
-    value = cast(raw, df.schema[attr.name].dataType, attr)
+        return f"{empty} AS {attr.name}"
+    value = cast(attr.name, df.schema[attr.name].dataType, attr)
     if strict:
-        bad = _empty(attr) if attr.trash is None else F.lit(attr.trash).cast(TYPES[attr.type])
-        value = F.when(raw.isNotNull() & value.isNull(), bad).otherwise(F.coalesce(value, _empty(attr)))
-    return value.alias(attr.name)
+        bad = empty if attr.trash is None else f"cast({literal(attr.trash)} AS {kind})"
+        value = f"coalesce({value}, CASE WHEN {attr.name} IS NOT NULL THEN {bad} ELSE {empty} END)"
+    return f"{value} AS {attr.name}"
 
 
 def recast(df: DataFrame, strict: bool = True) -> DataFrame:
     """The 46 columns in order: absent or nested columns become the empty value and, if ``strict``, so do nulls, while what
     cannot be cast becomes trash. Otherwise values are only cast."""
-    return df.select(*[_column(df, a, strict) for a in SPEC])
+    return df.selectExpr(*[_column(df, a, strict) for a in SPEC])
 
 
 def schema_diff(df: DataFrame, ceiling_penalty: float = 0.12) -> dict:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lumenspan.functions import dims as by
 from lumenspan.functions.scores import LEVELS, Policy
-from lumenspan.functions.stats import DAY_NS, pick_grain, total
+from lumenspan.functions.stats import DAY_NS, pick_grain
 from lumenspan.operators import landscape, quality, readiness
 from lumenspan.operators.recast import recast, schema_diff
 from lumenspan.plans import gates as tolerances
@@ -25,26 +25,32 @@ SCOPES = ("full", "quality")
 
 
 def measure(spans: DataFrame, policy: Policy, grain: str, limits: dict[str, int] | None = None) -> dict[str, DataFrame]:
-    """Every table that the decision needs; all are small, whatever the spans. Nothing runs yet, but for the trace count."""
-    flow = quality.flow(spans, grain)
+    """Every table that the decision needs; all are small, whatever the spans.
+
+    One pass gives the counts of all attributes and one rollup all that concerns traces; both are kept for the tables that
+    share them.
+    """
+    facts, traces = quality.facts(spans).persist(), quality.rollup(spans).persist()
+    correctness = quality.rates_of(facts, "violation")
+    flow = quality.flow(spans, grain).persist()
     return {
-        "verdict": quality.verdict(spans, **(limits or {})),
-        "rejection": quality.rejection(spans),
+        "verdict": quality.verdict_of(facts, traces, spans, limits),
+        "rejection": quality.rejection_of(traces),
         "assess": readiness.assess(spans, policy, by.agent()),
-        "blame": readiness.blame(spans),
+        "blame": readiness.blame_of(correctness),
         "overview": landscape.overview(spans),
-        "trace_shape": landscape.trace_shape(spans),
+        "trace_shape": landscape.shape_of(traces),
         "composition": landscape.composition(spans),
         "degeneracy": landscape.degeneracy(spans),
         "repeats": landscape.repeats(spans),
         "coverage": landscape.coverage(spans),
-        "completeness": quality.completeness(spans),
-        "correctness": quality.correctness(spans),
-        "violations": quality.correctness(spans, agg=total),
-        "contamination": quality.contamination(spans),
-        "nulls": quality.nulls(spans),
+        "completeness": quality.rates_of(facts, "missing"),
+        "correctness": correctness,
+        "violations": quality.sums_of(facts, "violation"),
+        "contamination": quality.rates_of(facts, "trash"),
+        "nulls": quality.sums_of(facts, "null"),
         "distribution": quality.distribution(spans),
-        "trace_consistency": quality.trace_consistency(spans),
+        "trace_consistency": quality.consistency_of(traces),
         "flow": flow,
         "traffic": landscape.traffic(spans, grain),
         "inflow": readiness.inflow_trend(flow),
