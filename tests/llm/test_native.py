@@ -153,7 +153,7 @@ def test_rules_verdict_equals_sql_where_cutoffs_bind(spark):
     import pandas as pd
 
     rng = random.Random(1)
-    rows = [(i, prose(rng, 60) + (" ### $$$ |||" * 40 if i % 10 == 0 else ""), "en") for i in range(3000)]
+    rows = [(i, prose(rng, 60) + (" " + " ".join(f"##{k}$$" for k in range(40)) if i % 10 == 0 else ""), "en") for i in range(3000)]
     labels = [(i, int(i % 10 > 0), 0) for i in range(3000)]
     got = quality_rules.apply_rules(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert got.filter("not kept and not base_failed").count() == 300
