@@ -7,10 +7,10 @@ coordinate, and the earliest dart of a coordinate is its value. Two sets agree i
 
 Texts with equal sets are one node. Bands of ``ROWS`` coordinates deal nodes into buckets; links are only taken from
 pairs whose exact similarity is at least ``SIMILARITY``. A bucket's members are first compared with one leader. Components
-of the links found so far tell which buckets still hold several. There small buckets compare all members of different
-components, so that no link is lost; in large ones every member outside the main component meets ``LEADERS`` members of it,
-and one of the others outside, in each of ``ROUNDS`` rounds. A member lies in up to ``BANDS`` buckets, so that a text with a
-link into a large class meets hundreds of its members. No bucket is expanded into all pairs and none is cut.
+of the links found so far tell which buckets still hold several. There all members of different components are compared, so that
+no link within a bucket is lost: in small buckets pair by pair, in large ones part against part, where products of
+matrices count what the sets have in common. A pair of large buckets is compared in the first that holds both, and members of one component are not
+compared, so that a large class costs its strays times its size. No bucket is cut.
 
 Defined results: null and empty texts are equal and form one class; ids may repeat; the row with the least id (null last)
 stands for its class; an empty table gives an empty result; extra columns pass through ``near_dedup`` untouched.
@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenspan.llm._common import packed_row, row_schema, written
@@ -37,8 +37,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 6
 SMALL = 16  # members of a bucket up to which all of different components are compared
-LEADERS = 16  # members of a large bucket's main component that each member outside it meets in a round
-ROUNDS = 2
+PART, PART_BYTES = 1024, 2 << 20  # nodes and bytes of packed text of a part of a larger bucket
 
 _FIRST = -2  # the first cell of time is [0, 2**_FIRST), each next one ends at twice the time
 
@@ -198,6 +197,86 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(compared, "a long, b long")
 
 
+def _common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of ``one`` has in common with each of ``two``."""
+    known = np.intersect1d(np.unique(np.concatenate(one)), np.unique(np.concatenate(two)))
+    found = np.zeros((len(one), len(two)), np.int64)
+    if not len(known):
+        return found
+
+    def entries(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+        same = known[at] == flat
+        order = np.argsort(at[same], kind="stable")
+        return at[same][order], owner[same][order], np.bincount(at[same], minlength=len(known))
+
+    (at_x, x, n_x), (at_y, y, n_y) = entries(one), entries(two)
+    often = 50 * n_x * n_y > found.size  # such elements by products of dense slices, the others entry by entry
+    column = np.cumsum(often) - 1
+    for start in range(0, int(often.sum()), 4096):
+        side = []
+        for at, owner, rows in ((at_x, x, len(one)), (at_y, y, len(two))):
+            some = often[at] & (column[at] >= start) & (column[at] < start + 4096)
+            dense = np.zeros((rows, 4096), np.float32)
+            dense[owner[some], column[at[some]] - start] = 1
+            side.append(dense)
+        found += (side[0] @ side[1].T).astype(np.int64)
+    x, at_x = x[~often[at_x]], at_x[~often[at_x]]
+    first, meets = (np.cumsum(n_y) - n_y)[at_x], n_y[at_x]
+    group = np.cumsum(meets) // 4_000_000
+    for g in np.unique(group):
+        own = group == g
+        size = meets[own]
+        other = y[np.repeat(first[own] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        found += np.bincount(np.repeat(x[own], size) * len(two) + other, minlength=found.size).reshape(found.shape)
+    return found
+
+
+def _cell(cell: pa.Table) -> pa.Table:
+    """The links of a cell: rows with ``left`` against the others, or among themselves in a cell of the diagonal."""
+    reader = zstandard.ZstdDecompressor()
+    one = cell.filter(cell["left"])
+    two = one if cell["r"][0] == cell["c"][0] else cell.filter(pc.invert(cell["left"]))
+    x, y = one["node"].to_numpy(), two["node"].to_numpy()
+    open_ = one["label"].to_numpy()[:, None] != two["label"].to_numpy()
+    if two is one:
+        open_ &= x[:, None] < y
+    key = cell["key"][0].as_py()
+    before = [[np.array([k for k in keys if k < key], np.int64) for keys in side["keys"].to_pylist()] for side in (one, two)]
+    open_ &= _common(*before) == 0  # a pair is compared in the first bucket that holds both
+    left, right = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+    if not len(left):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    sets = [shingle_sets(pa.array([reader.decompress(t).decode() for t in side["packed"].take(pa.array(at)).to_pylist()], pa.string())) for side, at in ((one, left), (two, right))]
+    common = _common(*sets)
+    total = np.array([len(s) for s in sets[0]])[:, None] + np.array([len(s) for s in sets[1]]) - common
+    i, j = np.nonzero(open_[np.ix_(left, right)] & (common >= SIMILARITY * total))
+    a, b = x[left[i]], y[right[j]]
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def crossed(rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links (a, b) among all nodes of a bucket that are of different components; ``rest``: key, node, label, main.
+
+    Strays (outside the main component) and main members are dealt into parts of about ``PART`` nodes or ``PART_BYTES`` of packed text.
+    Each part of strays meets itself, the later ones and every main part in a cell of its own: a task holds two parts, whatever the bucket's size.
+    """
+    stray = F.col("label") != F.col("main")
+    nodes = texts.join(rest.groupBy("node").agg(F.collect_set("key").alias("keys")), "node")
+    full = written(rest.select("key", "node", "label", stray.alias("stray")).join(nodes, "node"), "minhash-crossed")
+    parts = F.ceil(F.greatest(F.count("*") / PART, F.sum(F.octet_length("packed")) / PART_BYTES)).cast("int")
+    dealt = full.groupBy("key", "stray").agg(parts.alias("parts")).groupBy("key").agg(F.max(F.when(F.col("stray"), F.col("parts"))).alias("s"), F.max(F.when(~F.col("stray"), F.col("parts"))).alias("m"))
+    place = F.pmod(F.xxhash64("node"), F.when(F.col("stray"), F.col("s")).otherwise(F.col("m"))).cast("int")
+    cells = F.expr(
+        """if(stray,
+        concat(transform(sequence(place, s + m - 1), i -> struct(place as r, i as c, true as left)), transform(filter(sequence(0, place), i -> i < place), i -> struct(i as r, place as c, false as left))),
+        transform(sequence(0, s - 1), i -> struct(i as r, s + place as c, false as left)))"""
+    )
+    placed = full.join(dealt, "key").withColumn("place", place).select("key", "node", "label", "packed", "keys", F.inline(cells))
+    return placed.groupBy("key", "r", "c").applyInArrow(_cell, "a long, b long")
+
+
 def _labels(signed: DataFrame) -> DataFrame:
     """(node, label) of all nodes that have a link to another."""
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"))
@@ -213,26 +292,14 @@ def _labels(signed: DataFrame) -> DataFrame:
     tested = written(ordered(members.select(F.col("leader").alias("x"), F.col("node").alias("y"))), "minhash-pairs")
     links = written(verified(tested, texts), "minhash-links")
     labels = components(links)
-    for turn in range(ROUNDS):
-        known = members.select("key", "n", "node").join(labels, "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("label"))
-        sizes = known.groupBy("key", "label").agg(F.count("*").alias("of")).groupBy("key").agg(F.count("*").alias("parts"), F.max_by("label", F.struct("of", "label")).alias("main"))
-        rest = written(known.join(sizes.filter("parts > 1").drop("parts"), "key"), "minhash-rest")
-        one, two = rest.filter(f"n <= {SMALL}").alias("one"), rest.filter(f"n <= {SMALL}").alias("two")
-        small = one.join(two, F.expr("one.key = two.key and one.node < two.node and one.label <> two.label")).select(F.col("one.node").alias("x"), F.col("two.node").alias("y"))
-        strays = rest.filter(f"n > {SMALL} and label <> main").select("key", "node", "label")
-        order = F.xxhash64("node", F.lit(turn))
-        place = F.row_number().over(Window.partitionBy("key").orderBy(order))
-        leaders = rest.filter(f"n > {SMALL} and label = main").select("key", F.col("node").alias("x"), place.alias("place")).filter(F.col("place") <= LEADERS)
-        large = strays.join(leaders, "key").select("x", F.col("node").alias("y"))
-        first = strays.groupBy("key").agg(F.min_by(F.struct("node", "label"), order).alias("first"))
-        apart = strays.join(first, "key").filter("label <> first.label").select(F.col("first.node").alias("x"), F.col("node").alias("y"))
-        pairs = written(ordered(small.union(large).union(apart)).join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        new = written(verified(pairs, texts), "minhash-links")
-        if new.isEmpty():
-            break
-        tested, links = tested.union(pairs), links.union(new)
-        labels = components(links)
-    return labels
+    known = members.select("key", "n", "node").join(labels, "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("label"))
+    sizes = known.groupBy("key", "label").agg(F.count("*").alias("of")).groupBy("key").agg(F.count("*").alias("parts"), F.max_by("label", F.struct("of", "label")).alias("main"))
+    rest = written(known.join(sizes.filter("parts > 1").drop("parts"), "key"), "minhash-rest")
+    one, two = rest.filter(f"n <= {SMALL}").alias("one"), rest.filter(f"n <= {SMALL}").alias("two")
+    small = one.join(two, F.expr("one.key = two.key and one.node < two.node and one.label <> two.label")).select(F.col("one.node").alias("x"), F.col("two.node").alias("y"))
+    pairs = written(ordered(small).join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
+    new = written(verified(pairs, texts).union(crossed(rest.filter(f"n > {SMALL}"), texts)), "minhash-links")
+    return labels if new.isEmpty() else components(links.union(new))
 
 
 def _classed(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> tuple[DataFrame, DataFrame]:

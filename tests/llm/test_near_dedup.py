@@ -82,6 +82,15 @@ def test_shingle_sets_equal_brute_force():
     assert sizes == [2, 1, 1, 0, 0, 1]
 
 
+@pytest.mark.parametrize("words", [5, 60, 4000])
+def test_common_elements_equal_brute_force(words):
+    rng = np.random.default_rng(words)
+    one, two = ([np.unique(np.r_[rng.integers(0, words, rng.integers(0, 40)), rng.integers(0, 8, 6)]) for _ in range(n)] for n in (90, 130))
+    one[3] = np.empty(0, np.int64)
+    assert minhash._common(one, two).tolist() == [[len(np.intersect1d(x, y)) for y in two] for x in one]
+    assert not minhash._common([one[3]], two).any()
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(0, 60)]
     star = [(100, i) for i in range(101, 140)]
@@ -110,6 +119,24 @@ def test_a_large_class_of_mutual_near_copies_is_whole(spark):
     assert sorted((r.doc_id, r.class_id, r.class_size) for r in got) == sorted((r[0], f[1], n) for r, (f, n) in zip(rows, want))
 
 
+def test_links_among_strays_of_large_buckets_are_found(spark):
+    rng = random.Random(13)
+    base = prose(rng, 300).split()
+    rows = []
+    for at in range(0, 272, 4):  # two texts each lack the same words of the boilerplate: 0.81; others at most 0.79
+        rows += [(2 * at + i, " ".join([*base[:at], *(f"new{rng.randint(0, 10**6)}" for _ in range(27)), *base[at + 27 :]])) for i in range(2)]
+    want = [(r[0], f[1], n) for r, (f, n) in zip(rows, brute_classes(rows))]
+    assert sum(n == 2 for *_, n in want) > 120
+    got = minhash.near_classes(docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r.class_id, r.class_size) for r in got) == want
+
+
+def test_parts_of_a_large_bucket_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PART", 10)
+    test_links_among_strays_of_large_buckets_are_found(spark)
+    test_a_large_class_of_mutual_near_copies_is_whole(spark)
+
+
 def test_near_dedup_keeps_columns(spark):
     frame = docs(spark, odd_rows())
     got = minhash.near_dedup(frame)
