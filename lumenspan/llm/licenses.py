@@ -4,18 +4,24 @@ Text is normalised to lower-case letters, digits and dots. A template of n bigra
 lines of between ``n d / (2 - d)`` and ``n (2 - d) / d`` bigrams, so a line meets only the templates whose size
 bounds hold its own size; the set of templates is fixed and small, so they lie in the plan as an array and nothing is joined.
 
+Licence texts, headers, titles and identifiers (``PASSAGES``) and the notices themselves are also looked for inside lines and
+across them, in windows of words about as long as the template.
+
 Defined results: null and empty texts have no match; a line with less than two words has one bigram, the line itself;
 of equally good templates the first by name counts; repeated lines count each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenspan.llm._common import whole
 
 DICE = 0.7
+WINDOWS = "array<struct<far: double, name: string, start: int, size: int>>"
 
 #: Short licence notices in their usual wording, by SPDX identifier.
 TEMPLATES = {
@@ -34,11 +40,55 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+_WARRANTY_BSD = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_CLAUSES_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form
+must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. """
+_THIRD_BSD = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software
+without specific prior written permission. """
+_GPL = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free
+Software Foundation; either version {0} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but
+WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+
+#: Licence texts, file headers, titles and identifiers that may lie inside a line or run over several; (SPDX identifier, wording).
+PASSAGES = [
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy
+     of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is
+     distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
+     permissions and limitations under the License."""),
+    ("BSD-2-Clause", _CLAUSES_BSD + _WARRANTY_BSD),
+    ("BSD-3-Clause", _CLAUSES_BSD + _THIRD_BSD + _WARRANTY_BSD),
+    ("GPL-2.0", _GPL.format(2)),
+    ("GPL-3.0", _GPL.format(3)),
+    ("LGPL-3.0", _GPL.format(3).replace("General Public", "Lesser General Public")),
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+     in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
+     Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice
+     shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING
+     BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE
+     FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+     OTHER DEALINGS IN THE SOFTWARE."""),
+    ("MIT", "The MIT License (MIT)"),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can
+     obtain one at https://mozilla.org/MPL/2.0/."""),
+    ("Unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this
+     software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."""),
+    *((name, f"SPDX-License-Identifier: {name}") for name in TEMPLATES),
+]
+
+
+def words_of(text: str) -> list[str]:
+    words = "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789." else " " for c in text.lower()).split()
+    return [w for w in (x.strip(".") for x in words) if w]
+
 
 def bigrams(text: str) -> list[str]:
     """The distinct word bigrams of a template; the same as of a line."""
-    words = "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789." else " " for c in text.lower()).split()
-    words = [w for w in (x.strip(".") for x in words) if w]
+    words = words_of(text)
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])} or ({words[0]} if words else set()))
 
 
@@ -79,8 +129,54 @@ FROM documents LEFT JOIN a USING (doc_id)
 """
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value as a lambda variable, so that it is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def passages(words: Column, dice: float, templates: dict[str, str]) -> Column:
+    """Windows of words, across lines, that reach ``dice``: far, name, start and size; ``words`` is a lambda variable.
+
+    A window starts at a bigram of the template and has its number of words, three quarters or five quarters of it. A template
+    of n bigrams is only tried where the text has the ``n d / (2 - d)`` of them at least that a match needs.
+    """
+    wordings = [(name, words_of(text), bigrams(text)) for name, text in [*sorted(templates.items()), *PASSAGES]]
+    none = F.array().cast(WINDOWS)
+    every = sorted({g for *_, part in wordings for g in part})
+
+    def tried(pairs: Column, name: str, own: list[str], part: list[str]) -> Column:
+        grams = F.array(*map(F.lit, part))
+
+        def reached(starts: Column, size: int) -> Column:
+            def window(start: Column) -> Column:
+                def rated(inside: Column) -> Column:
+                    far = -(2.0 * F.size(F.array_intersect(inside, grams))) / (F.size(inside) + len(part))
+                    return F.struct(far.alias("far"), F.lit(name).alias("name"), start.alias("start"), F.least(F.lit(size), F.size(pairs) + 1 - start).alias("size"))
+
+                return bound(F.array_distinct(F.slice(pairs, start + 1, size - 1)), rated)
+
+            return F.filter(F.transform(starts, window), lambda x: x["far"] <= -dice)
+
+        starts = F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), lambda i: F.array_contains(grams, F.get(pairs, i)))
+        sizes = sorted({max(2, round(len(own) * x)) for x in (0.75, 1, 1.25)})
+        return bound(starts, lambda at: F.concat(*[reached(at, size) for size in sizes]))
+
+    def windows(pairs: Column, hits: Column) -> Column:
+        found = []
+        for name, own, part in wordings:
+            enough = F.size(F.array_intersect(hits, F.array(*map(F.lit, part)))) >= size_bounds(len(part), dice)[0]
+            found.append(F.when(enough, tried(pairs, name, own, part)).otherwise(none))
+        return F.array_sort(F.concat(*found))
+
+    pairs = F.when(F.size(words) > 1, F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i))))
+    return F.coalesce(bound(pairs, lambda p: bound(F.array_intersect(p, F.array(*map(F.lit, every))), lambda h: F.when(F.size(h) > 1, windows(p, h)))), none)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dice: float = DICE, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """One row per document: id, licenses (distinct names found, sorted), n_matches (lines), best_license and best_dice."""
+    """One row per document: id, licenses (distinct names found, sorted), n_matches (lines and passages), best_license and best_dice.
+
+    Passages are taken from the best down; one that lies by half or more in a matched line or in a better passage is the same place.
+    """
     parts = {name: bigrams(text) for name, text in sorted(templates.items())}
 
     def nearest(grams: Column) -> Column:
@@ -92,8 +188,29 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dice:
             found.append(F.struct((-near).alias("far"), F.lit(name).alias("name")))
         return F.array_min(F.filter(F.array(*found), lambda x: x["far"] <= -dice))
 
-    lines = F.transform(F.transform(F.split(whole(docs[text_col]), "\n"), line_words), word_bigrams)
-    matches = F.filter(F.transform(lines, nearest), lambda m: m.isNotNull())
+    def added(lines: Column, matched: Column, windows: Column) -> Column:
+        """The windows that are places of their own."""
+        line_of = F.flatten(F.transform(lines, lambda ws, i: F.array_repeat(i, F.size(ws))))
+
+        def own(kept: Column, x: Column, at: Column) -> Column:
+            in_line = F.size(F.filter(F.slice(at, x["start"] + 1, x["size"]), lambda i: F.array_contains(matched, i)))
+            inside = F.exists(kept, lambda k: 2 * (F.least(k["start"] + k["size"], x["start"] + x["size"]) - F.greatest(k["start"], x["start"])) >= x["size"])
+            return F.when((2 * in_line >= x["size"]) | inside, kept).otherwise(F.concat(kept, F.array(x)))
+
+        return bound(line_of, lambda at: F.aggregate(windows, F.array().cast(WINDOWS), lambda kept, x: own(kept, x, at)))
+
+    def found(lines: Column) -> Column:
+        near = F.transform(F.transform(lines, word_bigrams), lambda g, i: F.struct(nearest(g).alias("match"), i.alias("line")))
+        hits = F.filter(near, lambda m: m["match"].isNotNull())
+        windows = bound(F.flatten(lines), lambda words: passages(words, dice, templates))
+
+        def joined(hits: Column, windows: Column) -> Column:
+            extra = F.when(F.size(windows) > 0, added(lines, F.transform(hits, lambda m: m["line"]), windows)).otherwise(windows)
+            return F.concat(F.transform(hits, lambda m: m["match"]), F.transform(extra, lambda x: F.struct(x["far"].alias("far"), x["name"].alias("name"))))
+
+        return bound(hits, lambda h: bound(windows, lambda w: joined(h, w)))
+
+    matches = bound(F.transform(F.split(whole(docs[text_col]), "\n"), line_words), found)
     rows = docs.select(docs[id_col].alias("_id"), matches.alias("_matches"))
     return rows.select(
         F.col("_id").alias(id_col),

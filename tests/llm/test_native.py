@@ -173,6 +173,20 @@ def test_licences_are_found_and_near_misses_are_not(spark):
     assert licenses.scan(docs(spark, [])).isEmpty()
 
 
+def test_licences_inside_and_across_lines_are_found(spark):
+    texts = [text for name, text in licenses.PASSAGES if name in ("MIT", "BSD-3-Clause", "GPL-3.0")]
+    bodies = [("BSD-3-Clause", texts[0]), ("GPL-3.0", texts[1]), ("MIT", texts[2])]
+    notices = [
+        ("MIT", "The MIT License (MIT)"), ("MIT", "# SPDX-License-Identifier: MIT"), ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0"),
+        ("MIT", "Copyright 2021 Foo Inc. Released under the MIT License. All rights reserved worldwide."), ("MIT", "We have released this under\nthe MIT License. Enjoy what you find."),
+    ]
+    want = dict(enumerate([n for n, _ in bodies + notices]))
+    wrapped = lambda t: re.sub(r"((?:\S+\s+){9}\S+)\s+", r"\1\n", t)
+    rows = [(i, f"Copyright (c) 2020 A. Person\n\n{wrapped(t) if i < 3 else t}\n\nSome prose follows here.") for i, (_, t) in enumerate(bodies + notices)]
+    got = {r.doc_id: (r.licenses, r.n_matches) for r in licenses.scan(docs(spark, rows)).collect()}
+    assert got == {i: (n, 1) for i, n in want.items()}
+
+
 def test_size_bounds_lose_no_match():
     for n in range(1, 30):
         low, high = licenses.size_bounds(n)
