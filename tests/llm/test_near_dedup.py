@@ -1,5 +1,6 @@
 """Near-dedup and the pipeline against brute force."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -170,6 +171,16 @@ def test_pipeline_equals_brute_force(spark, sf):
     assert got == sorted(want)
 
 
+def test_tokens_are_decoded(spark, sf):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_proto=tokenizer("piece_bpe_32k.model"))
+    got = corpus_pipeline.tokens(spark, docs(spark, [(1, "Some  plain words"), (2, None), (3, "déjà vu 漢字")]), sf).collect()
+    assert len(got) == 3
+    for r in got:
+        assert r.n_tokens == len(r.ids) and r.decoded_sha256 == hashlib.sha256(library.decode(r.ids).encode()).hexdigest()
+
+
 def test_pipeline_stages_keep_clean_documents(spark, sf):
     start = table(spark, sf, "documents")
     labels = table(spark, sf, "labels")
