@@ -1,24 +1,30 @@
 """Exact dedup: a tree merge of sorted digest runs.
 
-Every input partition reduces its rows to a run: one entry per digest with the row that would stay and the
-number of rows. Runs then meet in binomial rounds: each round merges ``2**bits`` neighbouring runs by a sorted
-aggregation on the digest, until one run remains. At every level an entry is only merged with one whose digest,
-second hash and length all agree, so that two texts are taken as equal on independent evidence.
-
-Defined results: null text counts as empty; all empty texts are one group; of equal texts the row with the most
-code points stays, then the smallest id (null ids last); of repeated rows exactly one stays; an empty table gives an
-empty result; extra columns pass through ``exact_dedup`` untouched, whatever their names.
+Every input partition reduces its rows to a run: one entry per text, by its keys, with the row that would stay and
+the number of rows. Runs then meet in binomial rounds. In each, ``2**BITS`` neighbouring runs become one, and each run is cut by
+the leading bits of its keys into ``2**BITS`` times as many parts as before: a partition receives one part of its
+neighbours' runs, sorts it and merges equal entries in order. So the number of parts stays that of the runs at the start and no
+part grows, until one run remains. At every level an entry is only merged with one whose digest, second hash and
+length all agree, so that two texts are taken as equal on independent evidence, and the least row is kept. A text with
+very many copies has one entry a run from the first level on.
+
+Defined results: null text counts as empty; all empty texts are one group; texts of any length are read whole and only
+their digests travel; of equal texts the row with the most code points stays, then the smallest id (null ids last); of repeated rows
+exactly one stays; an empty table gives an empty result; extra columns pass through ``exact_dedup`` untouched, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenspan.llm._common import SPACE, packed_row, whole, written
 
-#: Names of the working columns; none can clash with a column of the input, which is nested under ``row``.
-KEYS = ["digest", "hash2", "n_bytes"]
+#: Names of the working columns, in the order of a run; none can clash with a column of the input, which is nested under ``row``.
+KEYS = ["hash2", "digest", "n_bytes"]
+BITS = 4
 
 
 def _fingerprints(docs: DataFrame, id_col: str, text_col: str, payload: list[str]) -> DataFrame:
@@ -37,16 +43,22 @@ def _fingerprints(docs: DataFrame, id_col: str, text_col: str, payload: list[str
     )
 
 
-def merge_runs(fingerprints: DataFrame, bits: int = 4, rounds: int = 2) -> DataFrame:
+def merge_runs(fingerprints: DataFrame, bits: int = BITS) -> DataFrame:
     """One entry per distinct text: keys, ``best`` (the row that stays) and ``n`` (rows).
 
-    ``2**(bits * rounds)`` runs start, by the partition that holds a row; each round merges ``2**bits`` of them.
+    There is a run for each partition of ``fingerprints`` and a round for each ``bits`` bits of their number.
     """
-    best = F.struct((-F.col("n_points")).alias("shorter"), F.col("id").isNull().alias("no_id"), "id", "uid")
+    partitions = (fingerprints.select(F.spark_partition_id().alias("run")).agg(F.max("run")).first()[0] or 0) + 1
+    rounds = max(1, math.ceil(math.log2(partitions) / bits))
+    best = F.struct((-F.col("n_points")).alias("shorter"), F.col("id").isNull().alias("no_id"), "id", "uid").alias("best")
+    least, rows = F.min("best").alias("best"), F.sum("n").alias("n")
     run = F.spark_partition_id() % (1 << bits * rounds)
-    runs = fingerprints.select(*KEYS, run.alias("run"), best.alias("best")).groupBy("run", *KEYS).agg(F.min("best").alias("best"), F.count("*").alias("n"))
-    for _ in range(rounds):
-        runs = runs.withColumn("run", F.shiftright("run", bits)).groupBy("run", *KEYS).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
+    runs = fingerprints.select(*KEYS, run.alias("run"), best).groupBy("run", *KEYS).agg(least, F.count("*").alias("n"))
+    for level in range(1, rounds + 1):
+        part = F.shiftrightunsigned("hash2", 64 - bits * level)
+        met = runs.select(*KEYS, F.shiftright("run", bits).alias("run"), part.alias("part"), "best", "n")
+        merged = met.repartition("run", "part").sortWithinPartitions("run", "part", *KEYS)
+        runs = merged.groupBy("run", "part", *KEYS).agg(least, rows).drop("part")
     return runs.drop("run")
 
 

@@ -61,6 +61,16 @@ def test_exact_merge_does_not_depend_on_partitions(spark):
     assert few == many and len({r[1] for r in few}) == 37
 
 
+def test_runs_meet_in_rounds_and_parts_merge_where_they_arrive(spark):
+    rows = exact_dedup._fingerprints(docs(spark, [(i, f"text {i % 37}") for i in range(400)]).repartition(40), "doc_id", "text", ["doc_id"])
+    merged = exact_dedup.merge_runs(rows, bits=2)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    got = merged.collect()
+    assert sorted(r.best.id for r in got) == list(range(37)) and sum(r.n for r in got) == 400
+    # three rounds for 40 runs; each merges in the partition that a part was dealt to, without another exchange
+    assert plan.count("REPARTITION_BY_COL") == 3 and plan.count("Exchange") == 3 + 1 + 1  # the runs' own and that of the test's rows
+
+
 def test_unequal_hashes_are_kept_apart(spark):
     rows = exact_dedup._fingerprints(docs(spark, [(1, "a"), (2, "b")]), "doc_id", "text", ["doc_id"]).withColumn("digest", F.lit(b"same"))
     assert exact_dedup.merge_runs(rows).count() == 2
