@@ -1,19 +1,21 @@
 """MinHash near-dedup with DartMinHash signatures.
 
-A text is the set of its distinct 5-word shingles (of lower-case words; a shorter text is one shingle). Darts are thrown
-by hash into the region of each element, whose width is its weight and whose other axis is time; each dart carries a
-coordinate, and the earliest dart of a coordinate is its value. Two sets agree in a coordinate with the probability of their
-(weighted) Jaccard similarity. All coordinates fill after about ``K ln K + 2 K`` darts, whatever the size of the set.
-
-Texts with equal sets are one node. Bands of ``ROWS`` coordinates deal nodes into buckets; links are only taken from
-pairs whose exact similarity is at least ``SIMILARITY``. A bucket's members are first compared with one leader. Components
-of the links found so far tell which buckets still hold several. There all members of different components are compared, so that
-no link within a bucket is lost: in small buckets pair by pair, in large ones part against part, where products of
-matrices count what the sets have in common. A pair of large buckets is compared in the first that holds both, and members of one component are not
-compared, so that a large class costs its strays times its size. No bucket is cut.
-
-Defined results: null and empty texts are equal and form one class; ids may repeat; the row with the least id (null last)
-stands for its class; an empty table gives an empty result; extra columns pass through ``near_dedup`` untouched.
+A text is the bag of its 5-word shingles (of lower-case words; a shorter text is one shingle), each weighing as much as it
+occurs. Darts are thrown by hash into the region of each element, whose width is its weight and whose other axis is time; each dart
+carries a coordinate, and the earliest dart of a coordinate is its value. Two bags agree in a coordinate with the probability
+of their weighted Jaccard similarity, the sum of least weights over that of greatest ones. All coordinates fill after about
+``K ln K + 2 K`` darts, whatever the size of the bag.
+
+Texts with equal bags, by a digest of 128 bits, are one node. Bands of ``ROWS`` coordinates deal nodes into buckets; links are
+only taken from pairs whose exact similarity is at least ``SIMILARITY``. A bucket's members are first compared with one leader.
+Components of the links found so far tell which buckets still hold several. There all members of different components are
+compared, so that no link within a bucket is lost: in small buckets pair by pair, in large ones part against part, where
+products of matrices count what the bags have in common. A pair of large buckets is compared in the first that holds both, and
+members of one component are not compared, so that a large class costs its strays times its size. No bucket is cut.
+
+Defined results: null and empty texts are equal and form one class; very long texts are read whole; ids may repeat, and so may
+rows; the row with the least id (null last, of equal ids the first read) stands for its class; an empty table gives an empty
+result; extra columns pass through ``near_dedup`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -70,6 +72,20 @@ def _poisson(mean: float) -> np.ndarray:
     return _CUMULATIVE.setdefault(mean, np.cumsum(np.exp(n * math.log(mean) - mean - np.array([math.lgamma(k + 1) for k in n]))))
 
 
+def _nth(units: np.ndarray) -> np.ndarray:
+    """0, 1, 2 and so on for the units of every element."""
+    return np.arange(units.sum()) - np.repeat(np.cumsum(units) - units, units)
+
+
+def occurrences(elements: np.ndarray, units: np.ndarray) -> np.ndarray:
+    """An element for each unit of weight: the first is the element itself. Their sets are as similar as the weighted bags."""
+    if (units == 1).all():
+        return elements
+    nth = _nth(units)
+    each = np.repeat(elements, units)
+    return np.where(nth == 0, each, _mix(_add(each, nth)))
+
+
 def dart_signature(elements: np.ndarray, weights: np.ndarray | None = None, k: int = BANDS * ROWS) -> np.ndarray:
     """The identity of the earliest dart in each of ``k`` coordinates; elements are distinct 64-bit hashes.
 
@@ -78,12 +94,12 @@ def dart_signature(elements: np.ndarray, weights: np.ndarray | None = None, k: i
     """
     if not len(elements):
         return np.zeros(k, np.uint64)
-    if weights is None:
-        unit, room = elements, None
-    else:
+    unit, room = elements, None
+    if weights is not None:
         units = np.maximum(np.ceil(weights), 1).astype(np.int64)
-        nth = np.arange(units.sum()) - np.repeat(np.cumsum(units) - units, units)
-        unit, room = _mix(_add(np.repeat(elements, units), nth + 1)), np.repeat(weights, units) - nth
+        unit = occurrences(elements, units)
+        if (units != weights).any():
+            room = np.repeat(weights, units) - _nth(units)
     best, value = np.full(k, np.inf), np.zeros(k, np.uint64)
     cell = 0
     while np.isinf(best).any():
@@ -107,8 +123,8 @@ def dart_signature(elements: np.ndarray, weights: np.ndarray | None = None, k: i
     return value
 
 
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text; none for a text without words."""
+def shingle_bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The distinct shingle hashes of each text, sorted, and how often each occurs; none for a text without words."""
     words = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
     flat, owner = pc.list_flatten(words), pc.list_parent_indices(words).to_numpy(zero_copy_only=False)
     real = pc.not_equal(flat, "")
@@ -123,40 +139,45 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     out = []
     for end, n in zip(ends, size):
         if n >= SHINGLE:
-            out.append(np.unique(grams[end - n : end - SHINGLE + 1]))
+            out.append(np.unique(grams[end - n : end - SHINGLE + 1], return_counts=True))
         else:
             short = np.uint64(0)
             for h in hashes[end - n : end]:
                 short = _mix(_add(np.array([short], np.uint64), 2) ^ h)[0]
-            out.append(np.array([short], np.uint64) if n else np.empty(0, np.uint64))
+            out.append((np.array([short] * int(n > 0), np.uint64), np.ones(int(n > 0), np.int64)))
     return out
 
 
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+    """The occurrences of shingles of each text, sorted and distinct."""
+    return [np.sort(occurrences(*bag)) for bag in shingle_bags(texts)]
+
+
 def _signed(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """row (the columns ``keep``), packed text, node (digest of the set) and bands of every document, with a row number."""
+    """row (the columns ``keep``), packed text, node (digest of the bag) and bands of every document, with a row number."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for start in range(0, len(batch), 1000):
                 part = batch.slice(start, 1000)
-                sets = shingle_sets(part.column("text"))
-                nodes = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).astype(np.int64)
-                bands = np.concatenate([_bands(s) for s in sets]) if sets else np.empty(0, np.int64)
-                counts = np.where([len(s) > 0 for s in sets], BANDS, 0)
+                bags = shingle_bags(part.column("text"))
+                nodes = pa.array([xxhash.xxh3_128_digest(e.tobytes() + n.tobytes()) for e, n in bags], pa.binary())
+                bands = np.concatenate([_bands(*bag) for bag in bags]) if bags else np.empty(0, np.int64)
+                counts = np.where([len(e) > 0 for e, _ in bags], BANDS, 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(bands))
                 packed = [None if t is None else packer.compress(t.encode()) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(packed, pa.binary()), pa.array(nodes), lists], ["row", "packed", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(packed, pa.binary()), nodes, lists], ["row", "packed", "node", "bands"])
 
     rows = docs.select(packed_row(docs, keep), docs[text_col].alias("text"))
-    out = rows.mapInArrow(signed, row_schema(rows, "row", more="packed binary, node long, bands array<bigint>"))
+    out = rows.mapInArrow(signed, row_schema(rows, "row", more="packed binary, node binary, bands array<bigint>"))
     return out.withColumn("uid", F.monotonically_increasing_id())
 
 
-def _bands(elements: np.ndarray) -> np.ndarray:
+def _bands(elements: np.ndarray, weights: np.ndarray) -> np.ndarray:
     if not len(elements):
         return np.empty(0, np.int64)
-    rows = dart_signature(elements).reshape(BANDS, ROWS)
+    rows = dart_signature(elements, weights).reshape(BANDS, ROWS)
     keys = np.arange(1, BANDS + 1).astype(np.uint64)
     for i in range(ROWS):
         keys = _mix(_add(keys, 1) ^ rows[:, i])
@@ -176,7 +197,7 @@ def unpack(packed: DataFrame, text_col: str) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Of the pairs (a, b) of nodes those whose shingle sets are at least as similar; ``texts``: node, packed."""
+    """Of the pairs (a, b) of nodes those whose shingle bags are at least as similar; ``texts``: node, packed."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = zstandard.ZstdDecompressor()
@@ -194,7 +215,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 
     left = texts.select(F.col("node").alias("a"), F.col("packed").alias("ta"))
     right = texts.select(F.col("node").alias("b"), F.col("packed").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(compared, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(compared, "a binary, b binary")
 
 
 def _common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
@@ -238,8 +259,11 @@ def _cell(cell: pa.Table) -> pa.Table:
     reader = zstandard.ZstdDecompressor()
     one = cell.filter(cell["left"])
     two = one if cell["r"][0] == cell["c"][0] else cell.filter(pc.invert(cell["left"]))
-    x, y = one["node"].to_numpy(), two["node"].to_numpy()
-    open_ = one["label"].to_numpy()[:, None] != two["label"].to_numpy()
+    # nodes and labels by their place in order
+    both = pc.unique(pa.chunked_array([*one["node"].chunks, *two["node"].chunks, *one["label"].chunks, *two["label"].chunks]))
+    nodes = both.take(pc.sort_indices(both))
+    x, y, label_x, label_y = (pc.index_in(column, nodes).to_numpy() for column in (one["node"], two["node"], one["label"], two["label"]))
+    open_ = label_x[:, None] != label_y
     if two is one:
         open_ &= x[:, None] < y
     key = cell["key"][0].as_py()
@@ -247,13 +271,13 @@ def _cell(cell: pa.Table) -> pa.Table:
     open_ &= _common(*before) == 0  # a pair is compared in the first bucket that holds both
     left, right = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
     if not len(left):
-        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
     sets = [shingle_sets(pa.array([reader.decompress(t).decode() for t in side["packed"].take(pa.array(at)).to_pylist()], pa.string())) for side, at in ((one, left), (two, right))]
     common = _common(*sets)
     total = np.array([len(s) for s in sets[0]])[:, None] + np.array([len(s) for s in sets[1]]) - common
     i, j = np.nonzero(open_[np.ix_(left, right)] & (common >= SIMILARITY * total))
     a, b = x[left[i]], y[right[j]]
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    return pa.table({"a": nodes.take(pa.array(np.minimum(a, b))), "b": nodes.take(pa.array(np.maximum(a, b)))})
 
 
 def crossed(rest: DataFrame, texts: DataFrame) -> DataFrame:
@@ -274,7 +298,7 @@ def crossed(rest: DataFrame, texts: DataFrame) -> DataFrame:
         transform(sequence(0, s - 1), i -> struct(i as r, s + place as c, false as left)))"""
     )
     placed = full.join(dealt, "key").withColumn("place", place).select("key", "node", "label", "packed", "keys", F.inline(cells))
-    return placed.groupBy("key", "r", "c").applyInArrow(_cell, "a long, b long")
+    return placed.groupBy("key", "r", "c").applyInArrow(_cell, "a binary, b binary")
 
 
 def _labels(signed: DataFrame) -> DataFrame:

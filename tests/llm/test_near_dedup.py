@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,12 @@ def _find(parent, x):
 
 
 def brute_classes(rows):
-    """Class id by (position), from all pairs of shingle sets."""
+    """Class id by (position), from all pairs of shingle bags: the nth occurrence of a shingle is an element of its own."""
     sets = []
     for r in rows:
         w = [x for x in __import__("re").split(r"[\x20\x09-\x0D]+", (r[1] or "").lower()) if x]
-        sets.append(frozenset(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))) if w else frozenset())
+        seen = Counter(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))) if w else Counter()
+        sets.append(frozenset((g, k) for g, n in seen.items() for k in range(n)))
     parent = list(range(len(rows)))
     by = {}
     for i, s in enumerate(sets):
@@ -80,7 +82,22 @@ def test_signature_does_not_depend_on_order_and_fills_every_coordinate():
 def test_shingle_sets_equal_brute_force():
     texts = ["a b c d e f", "A  b\tC d E", "a b", "", None, "x x x x x x x"]
     sizes = [len(s) for s in minhash.shingle_sets(pa.array(texts, pa.string()))]
-    assert sizes == [2, 1, 1, 0, 0, 1]
+    assert sizes == [2, 1, 1, 0, 0, 3]
+
+
+def test_whole_weights_are_occurrences():
+    pool = np.random.default_rng(3).integers(0, 2**63, 50, dtype=np.uint64)
+    weights = np.random.default_rng(4).integers(1, 9, 50)
+    each = minhash.occurrences(pool, weights)
+    assert len(np.unique(each)) == weights.sum() and (minhash.dart_signature(pool, weights) == minhash.dart_signature(each)).all()
+
+
+def test_repeated_lines_weigh_as_often_as_they_occur(spark):
+    rng = random.Random(14)
+    line, own = prose(rng, 40), prose(rng, 60)
+    rows = [(1, own + " " + line), (2, own + f" {line}" * 9), (3, own + f" {line}" * 10)]
+    got = {r.doc_id: r.class_id for r in minhash.near_classes(docs(spark, rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 2} == {r[0]: f[1] for r, (f, _) in zip(rows, brute_classes(rows))}
 
 
 @pytest.mark.parametrize("words", [5, 60, 4000])
@@ -138,6 +155,16 @@ def test_parts_of_a_large_bucket_meet_once(spark, monkeypatch):
     test_a_large_class_of_mutual_near_copies_is_whole(spark)
 
 
+def test_pairs_that_share_most_of_a_page_are_all_found(spark):
+    rng = random.Random(15)
+    page, rows = prose(rng, 400), []
+    for i in range(150):  # every pair differs from the page in 5 words, and its two texts in 3 more each
+        one = edited(rng, page, 5 / 400)
+        rows += [(2 * i, edited(rng, one, 3 / 400)), (2 * i + 1, edited(rng, one, 3 / 400))]
+    got = minhash.near_classes(docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r.class_id, r.class_size) for r in got) == [(r[0], f[1], n) for r, (f, n) in zip(rows, brute_classes(rows))]
+
+
 def test_near_dedup_keeps_columns(spark):
     frame = docs(spark, odd_rows())
     got = minhash.near_dedup(frame)
