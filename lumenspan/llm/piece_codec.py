@@ -4,12 +4,14 @@ Text is normalised the way the model says: at each place the longest prefix that
 replaced, white space becomes the model's space mark, and every normalised byte remembers the original byte that it came
 from. Pieces then project to spans of original bytes. Ids are those of the sentencepiece library, byte for byte.
 
-The library segments each distinct run "space marks + word" once and a bounded cache keeps the result: no piece of
-such a model crosses from a word into the next space mark, so the ids of a text are those of its runs in order. Where
-a model's vocabulary says otherwise, the whole text is encoded at once.
-
-Defined results: null counts as empty; an empty text has the end id alone and an empty span for it; an empty table gives
-an empty result; extra columns pass through, but for those named like an output, which the output replaces.
+The library segments each distinct run "space marks + word" once and a cache keeps the result: no piece of such a model
+crosses from a word into the next space mark, so the ids of a text are those of its runs in order. The cache holds
+``CACHE`` ids at most between two calls, and no run of more than ``LONGEST`` characters, as texts without spaces have. Where a
+model's vocabulary says otherwise, the whole text is encoded at once.
+
+Defined results: null counts as empty; an empty text has the end id alone and an empty span for it; very long texts are
+encoded whole, texts of about ``CHUNK`` characters at a time leave a task; repeated rows and ids are encoded each; an empty
+table gives an empty result; extra columns pass through, but for those named like an output, which the output replaces.
 """
 
 from __future__ import annotations
@@ -19,15 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenspan.llm._common import packed_row, row_schema, whole
 
 MARK = "▁"
-CACHE = 200_000
-#: Bytes of text whose ids and spans leave a task at once.
-CHUNK = 2_000_000
+CACHE = 1_500_000
+LONGEST = 64
+ENTRY = 8  # ids that an entry counts for besides its own
+#: Characters of text whose ids and spans leave a task at once.
+CHUNK = 1_000_000
 
 
 class CharMap:
@@ -79,6 +84,7 @@ class Codec:
         plain = not self.map.units and self.spec.add_dummy_prefix and not self.spec.remove_extra_whitespaces and self.spec.escape_whitespaces
         self.by_runs = plain and not inner and self.byte_fallback and proto.trainer_spec.model_type == proto.trainer_spec.BPE
         self.cache: dict[str, list[int]] = {}
+        self.held = 0
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text and, for each of its bytes and its end, the original byte."""
@@ -134,8 +140,9 @@ class Codec:
             return self.sp.encode(texts, num_threads=1)
         runs = [re.findall(f"{MARK}+[^{MARK}]*", x) for x in normal]
         cache = self.cache
-        if len(cache) > CACHE:
+        if self.held > CACHE:
             cache.clear()
+            self.held = 0
         new = list({r for x in runs for r in x if r not in cache})
         cache.update(zip(new, self.sp.encode([r[1:] for r in new], num_threads=1) if new else []))
         # a lone mark is an empty text to the library, which gives it no dummy prefix
@@ -146,6 +153,11 @@ class Codec:
             for r in x:
                 got += cache[r]
             out.append(got)
+        for r in new:
+            if len(r) > LONGEST:
+                del cache[r]
+            else:
+                self.held += ENTRY + len(cache[r])
         return out
 
     def spans(self, text: str, ids: np.ndarray, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,8 +170,11 @@ class Codec:
         ends = np.cumsum(sizes)
         return origin[ends - sizes], origin[ends]
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(ids, begins, ends) of each text, with the end id last."""
+    def encode(self, texts: list[str], spans: bool = True) -> list[tuple[np.ndarray, ...]]:
+        """(ids, begins, ends) of each text, with the end id last; (ids,) without spans."""
+        if not spans and self.by_runs:
+            plain = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
+            return [(np.array([*got, self.end], np.int64),) for got in self.ids(texts, plain)]
         normal = [self.normalise(t) for t in texts]
         out = []
         for text, (_, origin), got in zip(texts, normal, self.ids(texts, [n for n, _ in normal])):
@@ -191,22 +206,28 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays).astype(np.int32)))
 
 
-def encode(docs: DataFrame, model: bytes, text_col: str = "text", keep: list[str] | None = None, spans: bool = True) -> DataFrame:
-    """``keep`` (all columns unless given) with ids, and begins and ends: original byte spans of the pieces."""
+def encode(docs: DataFrame, model: bytes, text_col: str = "text", keep: list[str] | None = None, spans: bool = True, decoded: str | None = None) -> DataFrame:
+    """``keep`` (all columns unless given) with ids, and begins and ends: original byte spans of the pieces.
+
+    ``decoded`` names a column for the text that the ids decode to, if that is wanted from the same pass.
+    """
     fields = [("ids", "array<int>")] + [("begins", "array<int>"), ("ends", "array<int>")] * spans
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in dict(fields)]
+    outputs = dict(fields) | ({decoded: "string"} if decoded else {})
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in outputs]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for part in _chunks(list(map(len, texts))):
-                got = codec.encode(texts[part])
-                row = batch.column(0).slice(part.start, part.stop - part.start)
-                yield pa.RecordBatch.from_arrays([row, *(_lists([x[k] for x in got]) for k in range(len(fields)))], ["row", *(name for name, _ in fields)])
+            for part in _chunks(pc.utf8_length(batch.column(1)).to_pylist()):
+                some = batch.slice(part.start, part.stop - part.start)
+                got = codec.encode(some.column(1).to_pylist(), spans)
+                columns = [some.column(0), *(_lists([x[k] for x in got]) for k in range(len(fields)))]
+                if decoded:
+                    columns.append(pa.array([codec.sp.decode(x[0].tolist()) for x in got], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["row", *outputs])
 
     rows = docs.select(packed_row(docs, keep), whole(docs[text_col]).alias("text"))
-    return rows.mapInArrow(encoded, row_schema(rows, "row", more=", ".join(f"{name} {kind}" for name, kind in fields))).select("row.*", *(name for name, _ in fields))
+    return rows.mapInArrow(encoded, row_schema(rows, "row", more=", ".join(f"`{name}` {kind}" for name, kind in outputs.items()))).select("row.*", *(f"`{name}`" for name in outputs))
 
 
 def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids", into: str = "decoded", keep: list[str] | None = None) -> DataFrame:
@@ -229,13 +250,14 @@ def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids", into: str = "
 
 
 def digests(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, and n_bytes, where the last piece's span ends."""
-    rows = encode(docs, model, text_col, [id_col]).select(
+    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, n_bytes (where the last piece's span ends) and
+    spans_hash, the xxhash64 of the begins and ends of all pieces."""
+    rows = encode(docs, model, text_col, [id_col], decoded="decoded")
+    return rows.select(
         id_col,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
         F.element_at("ends", -1).cast("long").alias("n_bytes"),
-        "ids",
+        F.xxhash64("begins", "ends").alias("spans_hash"),
     )
-    both = decode(rows, model, keep=[id_col, "n_tokens", "ids_sha256", "n_bytes"])
-    return both.select(id_col, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "n_bytes")

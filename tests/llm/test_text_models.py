@@ -71,6 +71,7 @@ def test_ids_are_those_of_the_library(library):
     codec = piece_codec.Codec(tokenizer("piece_bpe_32k.model"))
     rng = random.Random(4)
     texts = STRANGE + ["".join(rng.choice("ab é▁ \n漢1") for _ in range(rng.randint(0, 60))) for _ in range(500)]
+    assert [x.tolist() for (x,) in codec.encode(texts, spans=False)] == [library.encode(t, add_eos=True) for t in texts]
     for text, (ids, begins, ends) in zip(texts, codec.encode(texts)):
         assert ids.tolist() == library.encode(text, add_eos=True)
         raw = text.encode()
@@ -122,6 +123,8 @@ def test_tokens_of_odd_rows_round_trip(spark, library):
     model = tokenizer("piece_bpe_32k.model")
     frame = docs(spark, rows).withColumn("ids", F.lit("clash"))
     got = piece_codec.decode(piece_codec.encode(frame, model), model)
+    same = piece_codec.encode(frame, model, decoded="decoded")
+    assert sorted(r.decoded for r in got.collect()) == sorted(r.decoded for r in same.collect()) and same.columns == got.columns
     assert set(got.columns) == {*frame.columns, "begins", "ends", "decoded"}
     text = sorted((t or "") for _, t, *_ in rows)
     assert sorted(r.decoded for r in got.collect()) == sorted(library.decode(library.encode(t)) for t in text)
@@ -130,6 +133,41 @@ def test_tokens_of_odd_rows_round_trip(spark, library):
     assert piece_codec.digests(docs(spark, []), model).isEmpty()
 
 
+def test_cache_holds_few_ids_whatever_the_texts(library, monkeypatch):
+    codec = piece_codec.Codec(tokenizer("piece_bpe_32k.model"))
+    rng = random.Random(9)
+    texts = ["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(20_000)) for _ in range(12)]
+    assert [x.tolist() for x, _, _ in codec.encode(texts)] == [library.encode(t, add_eos=True) for t in texts]
+    assert codec.held == 0 and sum(map(len, codec.cache.values())) <= 1
+    monkeypatch.setattr(piece_codec, "CACHE", 500)
+    for i in range(20):
+        codec.encode([" ".join(f"word{rng.random()}" for _ in range(50))])
+        assert sum(map(len, codec.cache.values())) <= codec.held <= 500 + 50 * 40
+
+
+def test_query_with_a_compiled_map_equals_the_library(spark):
+    import hashlib
+
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto.FromString(tokenizer("piece_bpe_32k.model"))
+    normalizer = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc")
+    proto.normalizer_spec.CopyFrom(sentencepiece_model_pb2.ModelProto.FromString(normalizer.serialized_model_proto()).normalizer_spec)
+    model = proto.SerializeToString()
+    own = sentencepiece.SentencePieceProcessor(model_proto=model)
+    frame = docs(spark, [(1, "ｆｕｌｌ  ＷＩＤＴＨ ﬁne"), (2, None), (3, " 한글 ㍿ "), (3, " 한글 ㍿ ")])
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = []
+    for i, t, *_ in [(r.doc_id, r.text) for r in frame.collect()]:
+        ids = own.encode(t or "", add_eos=True)
+        want.append((i, len(ids), sha(" ".join(map(str, ids))), sha(own.decode(ids))))
+    got = piece_codec.digests(frame, model)
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got.collect()) == sorted(want)
+    spans = piece_codec.encode(frame, model).select("doc_id", F.xxhash64("begins", "ends").alias("spans_hash"))
+    assert got.select("doc_id", "spans_hash").exceptAll(spans).isEmpty()
+
+
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
