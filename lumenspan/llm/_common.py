@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
 
@@ -37,15 +36,27 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it again.
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder, with a folder for each value of ``by``, and read it again.
 
     Cuts the lineage: what follows survives the loss of any executor and never repeats the work.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    schema = T.StructType([f for f in df.schema if f.name != by] + [f for f in df.schema if f.name == by])
+    table = spark.read.schema(schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def whole(text: str | Column) -> Column:
@@ -77,9 +88,3 @@ def join_small(big: DataFrame, small: DataFrame, on: Column, how: str = "left")
     if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         small = F.broadcast(small)
     return big.join(small, on, how)
-
-
-def blocks_for(docs: DataFrame, text_col: str, block_bytes: int) -> int:
-    """Blocks of about ``block_bytes`` of text that ``docs`` fill, at least one."""
-    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    return max(1, math.ceil(total / block_bytes))

@@ -1,43 +1,56 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are letter words and word beginnings of five letters. A vector keeps the ``TERMS`` terms at most that lean most towards the
-label among the examples (log-likelihood ratio of ``LEAN`` or more), so an everyday text may have none. The examples' vectors form an
-inverted index in blocks: for every term and block it stores the largest weight, which bounds the cosine of all of the
-block's examples. A search visits blocks from the highest bound down and stops once no bound can reach the ``NEAREST``th best
-cosine, so its result equals a full scan.
+Terms are letter words and word beginnings of five letters; all of them count. A term's weight in a text is
+``(1 + ln tf) * idf * lean``: the more surely a term leans to either label among the examples, the more it weighs. ``lean`` is
+1 plus what the term's log-likelihood ratio exceeds ``CHANCE`` by, so that rare words that two texts share by
+chance do not outweigh the words that tell the labels apart, and no term is dropped.
 
-Score: the neighbours' labels, weighted by cosine and shrunk to the examples' base rate; a text without any term gets the
-rate of examples without any. The neighbours' ids are the evidence.
+The examples' vectors form an inverted index. For every term it stores the largest weight and, for frequent terms, that of
+each block of examples. A search adds up the query's rarer terms from the highest bound down until what is left cannot lift an
+example that was not met yet among the ``NEAREST`` best; then only examples whose sum and block bound still reach the
+last of these are scored to the end. Its result equals a full scan.
+
+Score: the neighbours' labels, weighted by cosine and shrunk to the examples' base rate, then calibrated: isotonic
+regression on the votes that the examples get from one another. The neighbours' ids are the evidence. An example is never evidence
+for a text equal to its own, so that no text is scored by its own label.
 
 Examples are a sample of at most ``EXAMPLES`` labelled rows (in expectation, by a hash of the id), each distinct text once;
-idf comes from them. The index holds at most ``EXAMPLES * TERMS`` weights. Every document, whole, is scored.
+idf and lean come from them, and the driver builds the index, whose size depends on ``EXAMPLES`` and on the length of their
+texts alone. Every document, whole, is scored; a very long text takes time in proportion to its length.
 
-Defined results: null counts as empty; ties of cosine go to the smaller id; documents labelled both ways and labels other
-than 0 and 1 are left out; without examples every score is 0; an empty table gives an empty result.
+Defined results: null counts as empty; a text without a term has no neighbours and gets the base rate, calibrated; ties of
+cosine go to the smaller id (null last); repeated rows score alike; documents labelled both ways, labels on a null id and
+labels other than 0 and 1 are left out; without examples every score is 0; an empty table gives an empty result; the
+columns to keep are packed into ``row`` and may have any names.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenspan.llm._common import join_small, row_schema, whole, written
+from lumenspan.llm._common import discard, join_small, row_schema, whole, written
 from lumenspan.llm.mixing import coin
 
-EXAMPLES = 16_000
-TERMS = 512
-LEAN = 50.0
+EXAMPLES = 6_000
 NEAREST = 15
 BLOCK = 64
+OFTEN = 64  # examples, and at least an eighth of them, from which a term has a bound for each block
+CHANCE = 11.0  # a log-likelihood ratio that one term in a thousand reaches by chance
 SHRINK = 0.5
 STEM = 5
+STEP = 20_000  # postings that a search adds up before it looks at its bounds for the first time
+SEEK = 1_500  # postings that take as long to add up as to look up one term
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -45,139 +58,224 @@ _WORDS = re.compile(r"[^\W\d_]+")
 def term_counts(text: str) -> Counter[str]:
     """Words, and beginnings of the longer ones marked by ``^``, with their counts."""
     words = Counter(_WORDS.findall(text.lower()))
-    stems: Counter[str] = Counter()
-    for word, n in words.items():
-        if len(word) > STEM:
-            stems["^" + word[:STEM]] += n
-    return words + stems
+    words.update("^" + word[:STEM] for word in list(words.elements()) if len(word) > STEM)
+    return words
+
+
+def hashed_terms(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The sorted 64-bit keys of each text's terms, and their counts."""
+    counts = [term_counts(t) for t in texts]
+    names = [t for c in counts for t in c]
+    keys = pd.util.hash_array(np.array(names, dtype=object), categorize=False) if names else np.empty(0, np.uint64)
+    tf = np.array([n for c in counts for n in c.values()], np.int64)
+    out, start = [], 0
+    for c in counts:
+        own = slice(start, start := start + len(c))
+        order = np.argsort(keys[own])
+        out.append((keys[own][order], tf[own][order]))
+    return out
+
+
+def digest(text: str) -> bytes:
+    return hashlib.sha256(text.encode()).digest()
+
+
+def lean(n: np.ndarray, hits: np.ndarray, total: int, positive: int) -> np.ndarray:
+    """1 plus the excess over ``CHANCE`` of the log-likelihood ratio of a term in ``n`` examples, ``hits`` of them positive."""
+    share, ratio = positive / total, np.zeros(len(n))
+    for seen, expected in ((hits, n * share), (n - hits, n * (1 - share)), (positive - hits, (total - n) * share), (total - n - positive + hits, (total - n) * (1 - share))):
+        some = seen > 0
+        ratio[some] += 2 * seen[some] * np.log(seen[some] / np.broadcast_to(expected, seen.shape)[some])
+    return 1 + np.maximum(ratio - CHANCE, 0)
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
 
 
 class BlockMaxIndex:
-    """Postings by term, in blocks of examples with the largest weight of each."""
-
-    def __init__(self, ids: list[int], labels: list[int], vectors: list[dict[int, float]], n_terms: int):
-        order = sorted(range(len(ids)), key=lambda i: (max(vectors[i], key=lambda t: (vectors[i][t], -t)), ids[i]))
-        self.ids = np.array([ids[i] for i in order], np.int64)
-        self.labels = np.array([labels[i] for i in order], np.float64)
-        rows = sorted((t, at, w) for at, i in enumerate(order) for t, w in vectors[i].items())
-        term = np.array([t for t, _, _ in rows], np.int64)
-        self.example = np.array([at for _, at, _ in rows], np.int32)
-        self.weight = np.array([w for _, _, w in rows], np.float64)
-        self.n_blocks = -(-len(ids) // BLOCK)
-        pair = term * max(self.n_blocks, 1) + self.example // BLOCK
-        starts = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if len(pair) else np.empty(0, np.int64)
-        self.start = np.r_[starts, len(pair)]
-        self.block = (pair[starts] % max(self.n_blocks, 1)).astype(np.int32)
-        self.most = np.maximum.reduceat(self.weight, starts) if len(starts) else np.empty(0)
-        self.of_term = np.searchsorted(term[starts], np.arange(n_terms + 1))
-
-    @staticmethod
-    def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        size = end - begin
-        return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples with a term in common."""
-        begin, end = self.of_term[terms], self.of_term[terms + 1]
-        entry = self._ranges(begin, end)
-        q = np.repeat(weights, end - begin)
-        bound = np.bincount(self.block[entry], q * self.most[entry], self.n_blocks)
-        queue = np.flatnonzero(bound)
-        queue = queue[np.argsort(-bound[queue], kind="stable")]
-        found, cosine = np.empty(0, np.int64), np.empty(0)
-        at, step = 0, 4
-        while at < len(queue) and (len(found) < k or bound[queue[at]] >= cosine[-1] - 1e-12):
-            chosen = np.zeros(self.n_blocks, bool)
-            chosen[queue[at : at + step]] = True
-            some = chosen[self.block[entry]]
-            begin, end = self.start[entry[some]], self.start[entry[some] + 1]
-            post = self._ranges(begin, end)
-            score = np.bincount(self.example[post], np.repeat(q[some], end - begin) * self.weight[post], len(self.ids))
-            new = np.flatnonzero(score)
-            found, cosine = np.r_[found, new], np.r_[cosine, score[new]]
-            best = np.lexsort((self.ids[found], -np.round(cosine, 12)))[:k]
-            found, cosine = found[best], cosine[best]
-            at, step = at + step, step * 4
-        return found, cosine
+    """Postings by term over examples in blocks, with the largest weight of every term and, for frequent ones, of every block."""
+
+    def __init__(self, labels: np.ndarray, group: np.ndarray, size: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int):
+        """``size`` terms of each example follow one another in ``term`` and ``weight``; examples of a group, and those of like
+        size, share blocks."""
+        n = len(labels)
+        self.ids = np.lexsort((size, group))
+        self.labels = labels[self.ids].astype(np.float64)
+        self.place = np.empty(n, np.int64)
+        self.place[self.ids] = np.arange(n)
+        example = self.place[np.repeat(np.arange(n), size)]
+        order = np.lexsort((example, term))
+        self.example, self.weight = example[order].astype(np.int32), weight[order]
+        self.start = np.searchsorted(term[order], np.arange(n_terms + 1))
+        self.most = np.maximum.reduceat(self.weight, self.start[:-1]) if n_terms else np.zeros(0)
+        often = np.flatnonzero(np.diff(self.start) >= max(OFTEN, n / 8))
+        self.often, self.row = often, np.full(n_terms, -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.block_most = np.zeros((len(often), -(-n // BLOCK)))
+        for i, t in enumerate(often):
+            own = slice(self.start[t], self.start[t + 1])
+            np.maximum.at(self.block_most[i], self.example[own] // BLOCK, self.weight[own])
+        self.dense: np.ndarray | None = None
+
+    def _frequent(self) -> np.ndarray:
+        """The weights of frequent terms as a matrix, made once in a task."""
+        if self.dense is None:
+            self.dense = np.zeros((len(self.often), len(self.ids)))
+            for i, t in enumerate(self.often):
+                own = slice(self.start[t], self.start[t + 1])
+                self.dense[i, self.example[own]] = self.weight[own]
+        return self.dense
+
+    def _add(self, terms: np.ndarray, q: np.ndarray) -> np.ndarray:
+        size = self.start[terms + 1] - self.start[terms]
+        post = _ranges(self.start[terms], size)
+        return np.bincount(self.example[post], np.repeat(q, size) * self.weight[post], len(self.ids))
+
+    def search(self, terms: np.ndarray, q: np.ndarray, k: int = NEAREST, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the k nearest examples with a term in common, other than the one at ``but``."""
+        row = self.row[terms]
+        often, q_often, bound_often = row[row >= 0], q[row >= 0], (q * self.most[terms])[row >= 0].sum()
+        terms, q = terms[row < 0], q[row < 0]
+        bound = q * self.most[terms]
+        order = np.argsort(-bound, kind="stable")
+        terms, q, bound = terms[order], q[order], bound[order]
+        rest = np.append(np.cumsum(bound[::-1])[::-1], 0.0) + bound_often
+        postings = np.append(0, np.cumsum(self.start[terms + 1] - self.start[terms]))
+        found, at, least, step = np.zeros(len(self.ids)), 0, 0.0, STEP
+        while at < len(terms):
+            to = max(at + 1, int(np.searchsorted(postings, postings[at] + step)) - 1)
+            found += self._add(terms[at:to], q[at:to])
+            at, step = min(to, len(terms)), step * 2
+            if but >= 0:
+                found[but] = 0.0
+            if len(found) >= k and (least := np.partition(found, len(found) - k)[len(found) - k]) > rest[at] + 1e-9:
+                break
+        # an example that no term has met yet stays below the k best, unless the frequent terms alone can lift it there
+        more = q_often @ self.block_most[often] + bound[at:].sum()
+        some = found + np.repeat(more, BLOCK)[: len(found)] >= max(least - 1e-9, 1e-300)
+        if but >= 0:
+            some[but] = False
+        near = np.flatnonzero(some)
+        frequent = self._frequent()
+        # whole rows are read faster than a tenth of their places
+        cosine = found[near] + (q_often @ frequent[np.ix_(often, near)] if 16 * len(near) < len(found) else (q_often @ frequent[often])[near])
+        if SEEK * (len(terms) - at) > postings[-1] - postings[at]:
+            cosine += self._add(terms[at:], q[at:])[near]
+        elif len(near):
+            for t, x in zip(terms[at:], q[at:]):
+                own = self.example[self.start[t] : self.start[t + 1]]
+                here = np.minimum(np.searchsorted(own, near), len(own) - 1)
+                cosine += np.where(own[here] == near, x * self.weight[self.start[t] + here], 0.0)
+        least = max(np.partition(cosine, len(near) - k)[len(near) - k] - 1e-9, 0.0) if len(near) > k else 0.0
+        near, cosine = near[cosine > least], cosine[cosine > least]
+        best = np.lexsort((self.ids[near], -np.round(cosine, 12)))[:k]
+        return near[best], cosine[best]
 
 
 class Voters:
-    """The index, the terms with their idf, and the base rates."""
-
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int, int, dict[str, int]]]):
-        self.place = {t: i for i, t in enumerate(sorted(idf))}
-        self.idf = idf
-        rows = [(i, y, self.vector(tf)) for i, y, tf in sorted(examples, key=lambda x: x[0])]
-        some, none = [r for r in rows if r[2]], [r for r in rows if not r[2]]
-        rate = lambda of: sum(y for _, y, _ in of) / len(of) if of else 0.0
-        self.rate_some, self.rate_none = rate(some), rate(none)
-        self.index = BlockMaxIndex([i for i, _, _ in some], [y for _, y, _ in some], [v for _, _, v in some], len(idf))
-
-    def vector(self, tf: dict[str, int]) -> dict[int, float]:
-        v = {self.place[t]: (1 + math.log(n)) * self.idf[t] for t, n in tf.items() if t in self.place}
-        norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
-        return {t: x / norm for t, x in v.items()}
-
-    def vote(self, text: str) -> tuple[float, list[int]]:
-        v = self.vector(term_counts(text))
-        if not v:
-            return self.rate_none, []
-        found, cosine = self.index.search(np.fromiter(v, np.int64, len(v)), np.fromiter(v.values(), np.float64, len(v)))
-        total = cosine.sum()
-        return float(((cosine * self.index.labels[found]).sum() + SHRINK * self.rate_some) / (total + SHRINK)), self.index.ids[found].tolist()
+    """The vocabulary with its weights, the index, and the calibration of votes."""
+
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, digests: list[bytes], size: np.ndarray, keys: np.ndarray, tf: np.ndarray):
+        """Examples in order of their ids, null last; ``size`` terms of each follow one another in ``keys`` and ``tf``."""
+        n = len(ids)
+        self.keys, term, often = np.unique(keys, return_inverse=True, return_counts=True)
+        positive = int(labels.sum())
+        self.rate = positive / n if n else 0.0
+        owner = np.repeat(np.arange(n), size)
+        gain = lean(often, np.bincount(term, labels[owner], len(self.keys)), n, positive) if 0 < positive < n else np.ones(len(self.keys))
+        self.gain = np.log((n + 1) / (often + 0.5)) * gain
+        self.other = math.log((n + 1) / 0.5)  # the weight of a term that no example has
+        weight = (1 + np.log(tf)) * self.gain[term]
+        weight /= np.sqrt(np.bincount(owner, weight**2, n))[owner]
+        self.ids = ids
+        # the term that weighs most in an example, if it leans to a label
+        order = np.lexsort((weight, owner))[np.cumsum(size)[size > 0] - 1]
+        group = np.full(n, -1)
+        group[size > 0] = np.where(gain[term[order]] > 1, term[order], -1)
+        self.index = BlockMaxIndex(labels, group, size, term, weight, len(self.keys))
+        self.known = {d: int(self.index.place[i]) for i, d in enumerate(digests)}
+        self.curve: tuple[np.ndarray, np.ndarray] | None = None
+
+    def vote(self, text: str, keys: np.ndarray, tf: np.ndarray) -> tuple[float, list]:
+        """The uncalibrated score and the ids of the neighbours."""
+        if not len(self.keys) or not len(keys):
+            return self.rate, []
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        held = self.keys[at] == keys
+        weight = (1 + np.log(tf)) * np.where(held, self.gain[at], self.other)
+        weight /= math.sqrt((weight**2).sum())
+        found, cosine = self.index.search(at[held], weight[held], but=self.known.get(digest(text), -1))
+        score = ((cosine * self.index.labels[found]).sum() + SHRINK * self.rate) / (cosine.sum() + SHRINK)
+        return float(score), [self.ids[i] for i in self.index.ids[found]]
+
+    def scores(self, texts: list[str]) -> tuple[list[float], list[list]]:
+        """Scores, calibrated once a curve is known, and evidence."""
+        votes = [self.vote(text, *terms) for text, terms in zip(texts, hashed_terms(texts))]
+        raw = [s for s, _ in votes]
+        return (raw if self.curve is None else np.interp(raw, *self.curve).tolist()), [e for _, e in votes]
+
+
+def isotonic(score: np.ndarray, label: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and the rates of positives there, rising: neighbouring groups out of order are pooled. Every rate has one
+    pseudo-count at ``rate``."""
+    at, inverse = np.unique(np.round(score, 6), return_inverse=True)
+    groups: list[list[float]] = []
+    for x, n, hits in zip(at, np.bincount(inverse), np.bincount(inverse, label)):
+        groups.append([x * n, n, hits])
+        while len(groups) > 1 and groups[-2][2] * groups[-1][1] >= groups[-1][2] * groups[-2][1]:
+            one = groups.pop()
+            groups[-1] = [a + b for a, b in zip(groups[-1], one)]
+    sums = np.array(groups).T
+    return sums[0] / sums[1], np.maximum.accumulate((sums[2] + rate) / (sums[1] + 1))
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Voters:
-    """Terms and index from a bounded sample of the labelled rows of ``docs``."""
-    known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col("doc_id").alias("_of")).agg(F.min(label_col).alias("label"), F.max(label_col).alias("_other")).filter("label = _other").drop("_other")
+    """Index and calibration from a bounded sample of the labelled rows of ``docs``."""
+    known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col("doc_id").alias("_of")).agg(F.min(label_col).alias("label"), F.max(label_col).alias("_other")).filter("label = _other AND _of IS NOT NULL").drop("_other")
     total = known.count()
     chosen = written(known.filter(coin(F.col("_of"), "toxicity") * total < EXAMPLES), "toxic-chosen")
     rows = join_small(docs.select(docs[id_col].alias("id"), whole(docs[text_col]).alias("text")), chosen, F.col("id") == F.col("_of"), "inner")
-    once = rows.groupBy(F.sha2("text", 256), "label").agg(F.min("id").alias("id"), F.first("text").alias("text"))
-    sample = written(once.select("id", F.col("label").cast("int").alias("label"), "text"), "toxic-examples")
-    n, positive = sample.agg(F.count("*"), F.sum("label")).first()
-    if not positive or positive == n:
-        return Voters({}, [(r.id, r.label, {}) for r in sample.select("id", "label").collect()])
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, hits = Counter(), Counter()
+    once = rows.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("id").alias("id"), F.min("label").alias("label"), F.max("label").alias("_other"), F.first("text").alias("text"))
+    sample = written(once.filter("label = _other").select("id", F.col("label").cast("int").alias("label"), "text"), "toxic-examples")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
-                terms = term_counts(text)
-                rows.update(terms.keys())
-                if label:
-                    hits.update(terms.keys())
-        terms = list(rows)
-        yield pa.RecordBatch.from_pydict({"term": pa.array(terms, pa.string()), "n": pa.array(rows.values(), pa.int64()), "hits": pa.array([hits[t] for t in terms], pa.int64())})
-
-    counts = sample.mapInArrow(counted, "term string, n long, hits long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
-
-    def part(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
-
-    hits, rest = F.col("hits"), F.col("n") - F.col("hits")
-    share = positive / n
-    lean = part(hits, F.col("n") * share) + part(rest, F.col("n") * (1 - share)) + part(positive - hits, (n - F.col("n")) * share) + part(n - positive - rest, (n - F.col("n")) * (1 - share))
-    top = counts.filter((hits >= 3) & (hits > F.col("n") * share)).select("term", "n", lean.alias("lean")).filter(F.col("lean") >= LEAN).orderBy(F.desc("lean"), "term").limit(TERMS).collect()
-    idf = {r.term: math.log((n + 1) / (r.n + 0.5)) for r in top}
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            texts = batch.column("text").to_pylist()
+            terms = hashed_terms(texts)
+            offsets = pa.array(np.cumsum([0, *(len(k) for k, _ in terms)]).astype(np.int32))
+            flat = [np.concatenate([x[i] for x in terms]) if terms else np.empty(0) for i in range(2)]
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(flat[0].astype(np.uint64).view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(flat[1].astype(np.int32)))]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array([digest(t) for t in texts], pa.binary()), *lists], ["id", "label", "digest", "keys", "tf"])
+
+    kind = sample.schema["id"].dataType.simpleString()
+    got = sample.mapInArrow(read, f"id {kind}, label int, digest binary, keys array<bigint>, tf array<int>").toArrow().sort_by([("id", "ascending"), ("digest", "ascending")])
+    ids = np.array(got["id"].to_pylist(), dtype=object)
+    size = pc.list_value_length(got["keys"]).to_numpy().astype(np.int64)
+    keys, tf = (pc.list_flatten(got[c]).to_numpy() for c in ("keys", "tf"))
+    voters = Voters(ids, got["label"].to_numpy().astype(np.float64), got["digest"].to_pylist(), size, keys.astype(np.int64).view(np.uint64), tf.astype(np.float64))
+
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tf = [{t: c for t, c in term_counts(x).items() if t in idf} for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("label"), pa.array([list(x.items()) for x in tf], pa.map_(pa.string(), pa.int32()))], ["id", "label", "tf"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(voters.scores(batch.column("text").to_pylist())[0], pa.float64()), batch.column("label")], ["score", "label"])
 
-    return Voters(idf, [(r.id, r.label, r.tf) for r in sample.mapInArrow(kept, f"id {sample.schema['id'].dataType.simpleString()}, label int, tf map<string,int>").collect()])
+    votes = sample.select("text", "label").mapInArrow(voted, "score double, label int").toArrow()
+    discard(chosen, sample)
+    if len(votes):
+        voters.curve = isotonic(votes["score"].to_numpy(), votes["label"].to_numpy(), voters.rate)
+    return voters
 
 
 def score(docs: DataFrame, voters: Voters, keep: list[Column], text_col: str = "text") -> DataFrame:
     """``row`` (the columns ``keep``), the score and the ids of the examples behind it."""
+    kind = pa.int64() if not len(voters.ids) else pa.array(voters.ids.tolist()).type
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [voters.vote(t) for t in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], ["row", "score", "evidence"])
+            for start in range(0, len(batch), 500):
+                part = batch.slice(start, 500)
+                scores, evidence = voters.scores(part.column("_text").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(kind))], ["row", "score", "evidence"])
 
     rows = docs.select(F.struct(*keep).alias("row"), whole(docs[text_col]).alias("_text"))
-    return rows.mapInArrow(voted, row_schema(rows, "row", more="score double, evidence array<bigint>"))
+    return rows.mapInArrow(voted, row_schema(rows, "row", more=f"score double, evidence array<{'string' if pa.types.is_string(kind) else 'bigint'}>"))

@@ -274,20 +274,94 @@ def test_quality_on_odd_rows(spark):
     assert quality_fm.score(frame, quality_fm.Machine(), [frame["doc_id"]]).filter("score is null").isEmpty()
 
 
-def test_block_max_search_equals_a_full_scan():
+@pytest.mark.parametrize("step", [50, 20_000])
+def test_block_max_search_equals_a_full_scan(monkeypatch, step):
+    monkeypatch.setattr(toxicity, "STEP", step)
     rng = random.Random(6)
     vectors = []
-    for _ in range(700):
-        v = {t: rng.random() for t in rng.sample(range(60), rng.randint(1, 6))}
+    for _ in range(700):  # terms from 0 on are frequent, those up to 400 rare
+        v = {int(400 * rng.random() ** 3): rng.random() for _ in range(rng.randint(1, 40))}
         norm = math.sqrt(sum(x * x for x in v.values()))
-        vectors.append({t: x / norm for t, x in v.items()})
-    ids = rng.sample(range(10_000), 700)
-    index = toxicity.BlockMaxIndex(ids, [i % 2 for i in ids], vectors, 60)
-    for q in vectors[:60] + [{0: 1.0}, {59: 0.6, 3: 0.8}]:
-        got, cosine = index.search(np.array(list(q)), np.array(list(q.values())))
-        full = sorted(((-round(sum(w * v.get(t, 0) for t, w in q.items()), 12), i) for i, v in zip(ids, vectors)))
-        full = [(s, i) for s, i in full if s < 0][: toxicity.NEAREST]
-        assert index.ids[got].tolist() == [i for _, i in full] and np.allclose(cosine, [-s for s, _ in full])
+        vectors.append({t: x / norm for t, x in sorted(v.items())})
+    used = {t: i for i, t in enumerate(sorted({t for v in vectors for t in v}))}
+    vectors = [{used[t]: x for t, x in v.items()} for v in vectors]
+    flat = np.array([(t, x) for v in vectors for t, x in v.items()])
+    index = toxicity.BlockMaxIndex(np.arange(700) % 2, np.arange(700) % 5, np.array([len(v) for v in vectors]), flat[:, 0].astype(np.int64), flat[:, 1], len(used))
+    assert 0 < len(index.often) < len(used)
+    for number, q in enumerate([*vectors[:60], {0: 1.0}, {len(used) - 1: 0.6, 3: 0.8}]):
+        for but in (-1, int(index.place[number])):
+            got, cosine = index.search(np.array(list(q)), np.array(list(q.values())), but=but)
+            full = sorted(((-round(sum(w * v.get(t, 0) for t, w in q.items()), 12), i) for i, v in enumerate(vectors) if index.place[i] != but))
+            full = [(s, i) for s, i in full if s < 0][: toxicity.NEAREST]
+            assert index.ids[got].tolist() == [i for _, i in full] and np.allclose(cosine, [-s for s, _ in full])
+
+
+def _toxic_rows(spark, sf):
+    labels = {r.doc_id: r.toxic for r in table(spark, sf, "labels").collect()}
+    return [(r.doc_id, r.text or "", labels.get(r.doc_id)) for r in table(spark, sf, "documents").collect()]
+
+
+def test_toxicity_query_equals_brute_force(spark, sf):
+    rows = _toxic_rows(spark, sf)
+    unseen = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    by_text = {}
+    for i, text, y in rows:
+        if y is not None and not unseen(i):
+            by_text.setdefault(text, []).append((i, y))
+    examples = sorted((min(v)[0], v[0][1], toxicity.term_counts(t), t) for t, v in by_text.items() if len({y for _, y in v}) == 1)
+    n, positive = len(examples), sum(y for _, y, *_ in examples)
+    df, hits = Counter(), Counter()
+    for _, y, c, _ in examples:
+        df.update(c.keys())
+        hits.update(c.keys() if y else ())
+
+    def gain(t):
+        cells = [(hits[t], df[t] * positive / n), (df[t] - hits[t], df[t] * (n - positive) / n), (positive - hits[t], (n - df[t]) * positive / n), (n - positive - df[t] + hits[t], (n - df[t]) * (n - positive) / n)]
+        ratio = sum(2 * o * math.log(o / e) for o, e in cells if o)
+        return math.log((n + 1) / (df[t] + 0.5)) * (1 + max(ratio - toxicity.CHANCE, 0))
+
+    def vector(c):
+        v = {t: (1 + math.log(k)) * gain(t) for t, k in c.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()}
+
+    known = [(i, y, vector(c), t) for i, y, c, t in examples]
+
+    def vote(text):
+        q = vector(toxicity.term_counts(text))
+        near = sorted((-round(sum(x * v.get(t, 0) for t, x in q.items()), 12), i, y) for i, y, v, t in known if t != text)
+        near = [x for x in near if x[0] < 0][: toxicity.NEAREST]
+        top, total = sum(-s * y for s, _, y in near) + toxicity.SHRINK * positive / n, sum(-s for s, *_ in near) + toxicity.SHRINK
+        return top / total, [i for _, i, _ in near]
+
+    curve = toxicity.isotonic(np.array([vote(t)[0] for *_, t in examples]), np.array([y for _, y, *_ in examples]), positive / n)
+    got = {r.doc_id: r for r in QUERIES["op5_toxicity"](spark, sf).collect()}
+    for i, text, _ in rows:
+        score, ids = vote(text)
+        assert got[i].evidence == ids and math.isclose(got[i].score, np.interp(score, *curve), abs_tol=1e-9)
+        assert got[i].held_out == unseen(i) and got[i].predicted == int(got[i].score >= 0.5)
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = table(spark, sf, "labels")
+    frame = table(spark, sf, "documents").join(labels.select("doc_id", "toxic"), "doc_id")
+    voters = toxicity.learn(frame.filter(fold("doc_id", 5) != 0), labels)
+    unseen = frame.filter(fold("doc_id", 5) == 0)
+    got = toxicity.score(unseen, voters, [F.col("doc_id"), F.col("toxic")]).select("row.*", "score", F.lit(True).alias("held_out")).collect()
+    assert _auc(got, {r.doc_id: r.toxic for r in got}) > 0.95
+    parts = [[r for r in got if int(min(r.score, 0.999) * 10) == k] for k in range(10)]
+    error = sum(abs(sum(r.score - r.toxic for r in part)) for part in parts) / len(got)
+    assert error < 0.03
+
+
+def test_isotonic_curve_rises_and_keeps_the_mean():
+    rng = np.random.default_rng(1)
+    score = rng.random(4000)
+    label = (rng.random(4000) < score**2).astype(float)
+    x, y = toxicity.isotonic(score, label, label.mean())
+    assert (np.diff(x) > 0).all() and (np.diff(y) >= 0).all() and abs(np.interp(score, x, y).mean() - label.mean()) < 0.01
+    assert abs(np.interp(0.7, x, y) - 0.49) < 0.06
 
 
 def test_toxicity_learns_words_and_beginnings(spark):
