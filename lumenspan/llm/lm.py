@@ -2,24 +2,29 @@
 
 ``p(w | v) = l2[b] c(v w) / c(v) + l1[b] c(w) / N + l0[b] / (V + 1)``, where ``b`` buckets the context by its frequency. The
 weights of each bucket come from expectation-maximisation on a part of the training texts that is left out of the counts;
-then all training texts are counted. Counts cover the whole corpus and are exact.
+then all training texts are counted. Counts cover the whole corpus and are exact 64-bit integers. For the
+weights alone, held-out tokens whose two estimates lie in the same quarter octave are summed up and share their mean
+estimates, so that the driver gets a table bounded by the number of such cells.
 
-Texts are dealt into blocks by a hash of the id, those of base, tuning and unseen texts apart. A block reduces its texts to
-sorted 64-bit keys of its words and bigrams with their counts and sends each range of keys to one place, where all
-blocks' runs of that range are merged. Only the merged counts, in the order of the block's own keys, come back, so neither
-words nor a table of all n-grams move. Blocks and ranges have bounded size whatever the corpus holds.
+Every input partition packs its texts into blocks of about ``BLOCK_BYTES``, in order of the rows and those of base, tuning and
+unseen texts apart, whatever their ids are; the blocks are written once. A block reduces its texts to sorted keys of its words and
+bigrams with their counts and sends each range of keys to one place, where all blocks' runs of that range are merged. Only the
+merged counts, in the order of the block's own keys, come back, so neither words nor a table of all n-grams move. A block
+sends a record for each range that it has keys of, so that there are never more records than distinct keys of blocks. A key has 96 bits in two
+independent hashes; equal first hashes with different second ones are told apart.
 
 Tokens are maximal runs outside ASCII white space with A-Z in lower case, then one end.
 
 Defined results: null counts as empty, which scores its end alone; contexts or words never seen fall to the lower
-orders; without training texts the model is uniform; rows with the same id are scored one by one; an empty table gives an
-empty result.
+orders; without training texts the model is uniform; rows with the same id, or without one, are scored one by one; a very
+long text is a block of its own; other columns are not read, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -27,6 +32,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lumenspan.llm._common import whole, written
 from lumenspan.llm.mixing import coin
@@ -41,8 +48,31 @@ BASE, TUNE, UNSEEN = 0, 1, 2
 START, END = "\t", "\n"  # no token holds either
 
 
-def _hash(words: list[str]) -> np.ndarray:
-    return pd.util.hash_array(np.array(words, dtype=object), categorize=False)
+def _hash(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits of two hashes of every word."""
+    names = np.array(words, dtype=object)
+    return pd.util.hash_array(names, categorize=False), (pd.util.hash_array(names, hash_key="second-hash-key.", categorize=False) >> np.uint64(32)).astype(np.uint32)
+
+
+def _pair(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (one * np.uint64(0x9E3779B97F4A7C15)) ^ (two + (two >> np.uint64(31)))
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def distinct(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (key, check), in order of the keys, and the place of every given one among them."""
+    found, at = np.unique(keys, return_inverse=True)
+    own = np.zeros(len(found), np.uint32)
+    own[at] = checks
+    if (own[at] == checks).all():
+        return found, own, at
+    order = np.lexsort((checks, keys))
+    new = np.r_[True, (np.diff(keys[order]) != 0) | (np.diff(checks[order]) != 0)]
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return keys[order][new], checks[order][new], at
 
 
 class Block:
@@ -53,7 +83,7 @@ class Block:
         flat, owner = pc.list_flatten(words), pc.list_parent_indices(words).to_numpy(zero_copy_only=False)
         real = pc.not_equal(flat, "")
         owner, coded = owner[real.to_numpy(zero_copy_only=False)], flat.filter(real).dictionary_encode()
-        n, hashes = len(texts), np.r_[_hash(coded.dictionary.to_pylist() + [START, END])]
+        n, (hashes, seconds) = len(texts), _hash(coded.dictionary.to_pylist() + [START, END])
         codes = coded.indices.to_numpy(zero_copy_only=False)
         size = np.bincount(owner, minlength=n)
         # start, words and end of each text, one text after the other
@@ -61,15 +91,13 @@ class Block:
         first = np.cumsum(size + 2) - size - 2
         line[first] = len(hashes) - 2
         line[np.arange(len(codes)) + 2 * owner + 1] = codes
-        keys = hashes[line]
         ends = np.ones(len(line), bool)
         ends[first] = False
-        with np.errstate(over="ignore"):
-            pairs = (keys[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (keys[1:] + (keys[1:] >> np.uint64(31)))
-            pairs = (pairs ^ (pairs >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        pairs = (pairs ^ (pairs >> np.uint64(32))) & ~np.uint64(1)
-        both = np.concatenate([keys | np.uint64(1), pairs[ends[1:]]])
-        self.keys, at, self.counts = np.unique(both, return_inverse=True, return_counts=True)
+        keys, checks = hashes[line], seconds[line]
+        pairs = _pair(keys[:-1], keys[1:])[ends[1:]] & ~np.uint64(1)
+        pair_checks = (_pair(checks[:-1].astype(np.uint64), checks[1:].astype(np.uint64))[ends[1:]] >> np.uint64(32)).astype(np.uint32)
+        self.keys, self.checks, at = distinct(np.concatenate([keys | np.uint64(1), pairs]), np.concatenate([checks, pair_checks]))
+        self.counts = np.bincount(at, minlength=len(self.keys))
         place = at[: len(line)]
         self.word, self.context, self.pair = place[ends], place[:-1][ends[1:]], at[len(line) :]
         self.size = size + 1
@@ -77,7 +105,7 @@ class Block:
 
     @staticmethod
     def start_key() -> np.uint64:
-        return _hash([START])[0] | np.uint64(1)
+        return _hash([START])[0][0] | np.uint64(1)
 
     def bounds(self, ranges: int) -> np.ndarray:
         """Where each range of keys begins."""
@@ -94,68 +122,91 @@ def _unplanes(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
 
 
-def _pack(docs: DataFrame, id_col: str, text_col: str, block: Column) -> DataFrame:
-    """Rows (block, rows): the ids and texts of one block from one batch, compressed."""
+def _pack(docs: DataFrame, id_col: str, text_col: str, kind: Column) -> DataFrame:
+    """Blocks of texts: block (a number), kind, size (bytes of text) and rows (ids and texts, compressed)."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: list[list[pa.RecordBatch]] = [[], [], []]
+        held = [0, 0, 0]
+
+        def block(kind: int) -> pa.RecordBatch:
+            parts, size = pa.Table.from_batches(open_[kind]), held[kind]
+            open_[kind], held[kind] = [], 0
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, parts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                w.write_table(parts.combine_chunks())
+            return pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["kind", "size", "rows"])
+
         for batch in batches:
-            blocks = batch.column("block").to_numpy()
-            order = np.argsort(blocks, kind="stable")
-            rows = batch.select(["id", "text"]).take(pa.array(order))
-            starts = np.flatnonzero(np.r_[True, np.diff(blocks[order]) != 0]) if len(order) else []
-            out = []
-            for start, stop in zip(starts, [*starts[1:], len(order)]):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                    w.write_batch(pa.RecordBatch.from_struct_array(pa.concat_arrays([rows.slice(start, stop - start).to_struct_array()])))
-                out.append((int(blocks[order[start]]), sink.getvalue().to_pybytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([r for _, r in out], pa.binary())], ["block", "rows"])
+            kinds = batch.column("kind").to_numpy()
+            sizes = pc.binary_length(batch.column("text")).to_numpy().astype(np.int64)
+            for kind in range(3):
+                own = np.flatnonzero(kinds == kind)
+                begin = 0
+                while begin < len(own):
+                    filled = held[kind] + np.cumsum(sizes[own[begin:]])
+                    n = min(int(np.searchsorted(filled, BLOCK_BYTES)) + 1, len(own) - begin)
+                    # take copies, so that nothing keeps the whole batch
+                    open_[kind].append(batch.select(["id", "text"]).take(pa.array(own[begin : begin + n])))
+                    held[kind], begin = int(filled[n - 1]), begin + n
+                    if held[kind] >= BLOCK_BYTES:
+                        yield block(kind)
+        yield from (block(kind) for kind in range(3) if open_[kind])
 
-    rows = docs.select(docs[id_col].alias("id"), whole(docs[text_col]).alias("text"), block.cast("int").alias("block"))
-    return rows.mapInArrow(packed, "block int, rows binary")
+    rows = docs.select(docs[id_col].alias("id"), whole(docs[text_col]).alias("text"), kind.cast("int").alias("kind"))
+    return rows.mapInArrow(packed, "kind int, size long, rows binary").withColumn("block", F.monotonically_increasing_id())
 
 
-def _unpack(part: pa.Table) -> pa.Table:
-    return pa.concat_tables([pa.ipc.open_stream(r.as_py()).read_all() for r in part["rows"]]).combine_chunks()
+def _unpack(rows: bytes) -> pa.Table:
+    return pa.ipc.open_stream(rows).read_all()
 
 
 def _texts(rows: pa.Table) -> pa.Array:
     return rows["text"].combine_chunks() if rows["text"].num_chunks != 1 else rows["text"].chunk(0)
 
 
-def _count(ranges: int) -> Callable[[pa.Table], pa.Table]:
-    def counted(part: pa.Table) -> pa.Table:
-        block = Block(_texts(_unpack(part)))
-        bounds = block.bounds(ranges)
-        some = np.flatnonzero(np.diff(bounds))
-        keys = [_planes(np.diff(block.keys[bounds[r] : bounds[r + 1]], prepend=np.uint64(0))) for r in some]
-        counts = [_planes(block.counts[bounds[r] : bounds[r + 1]].astype(np.uint32)) for r in some]
-        n = len(some)
-        return pa.table({"range": pa.array(some, pa.int32()), "block": pa.array([part["block"][0].as_py()] * n, pa.int32()), "keys": pa.array(keys, pa.binary()), "counts": pa.array(counts, pa.binary())})
+def _count(ranges: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, kind, rows in zip(*(batch.column(c) for c in ("block", "kind", "rows"))):
+                block = Block(_texts(_unpack(rows.as_py())))
+                bounds = block.bounds(ranges)
+                some = np.flatnonzero(np.diff(bounds))
+                runs = [slice(bounds[r], bounds[r + 1]) for r in some]
+                planes = [
+                    [_planes(np.diff(block.keys[r], prepend=np.uint64(0))) for r in runs],
+                    [_planes(block.checks[r]) for r in runs],
+                    [_planes(block.counts[r].astype(np.uint32)) for r in runs],  # no block has 2**32 tokens
+                ]
+                n = len(some)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int32()), pa.array([number.as_py()] * n, pa.int64()), pa.array([kind.as_py()] * n, pa.int32()), *(pa.array(x, pa.binary()) for x in planes)],
+                    ["range", "block", "kind", "keys", "checks", "counts"],
+                )
 
     return counted
 
 
 def _merge(part: pa.Table) -> pa.Table:
     """A range's runs from all blocks into counts of base texts and of all training texts, for each block in its own order."""
-    blocks = part["block"].to_pylist()
+    blocks, kind = part["block"].to_pylist(), part["kind"].to_numpy()
     keys = [np.cumsum(_unplanes(x.as_py(), np.uint64), dtype=np.uint64) for x in part["keys"]]
-    counts = [_unplanes(x.as_py(), np.uint32).astype(np.int64) for x in part["counts"]]
-    kinds = np.repeat([b % 3 for b in blocks], [len(k) for k in keys])
-    found, at = np.unique(np.concatenate(keys), return_inverse=True)
-    flat = np.concatenate(counts)
-    base = np.bincount(at, flat * (kinds == BASE), len(found)).astype(np.uint64)
-    seen = np.bincount(at, flat * (kinds != UNSEEN), len(found)).astype(np.uint64)
+    kinds = np.repeat(kind, [len(k) for k in keys])
+    found, _, at = distinct(np.concatenate(keys), np.concatenate([_unplanes(x.as_py(), np.uint32) for x in part["checks"]]))
+    flat = np.concatenate([_unplanes(x.as_py(), np.uint32) for x in part["counts"]]).astype(np.int64)
+    # sums of whole numbers, exact up to 2**53
+    base, seen = (np.bincount(at, flat * some, len(found)).astype(np.int64) for some in (kinds == BASE, kinds != UNSEEN))
     cut = np.cumsum([len(k) for k in keys])[:-1]
     words = ((found & np.uint64(1)) == 1) & (found != Block.start_key())
     totals = [int(x) for x in (base[words].sum(), (base[words] > 0).sum(), seen[words].sum(), (seen[words] > 0).sum())]
     n, own = len(blocks) + 1, np.split(at, cut)
     return pa.table(
         {
-            "block": pa.array([*blocks, -1], pa.int32()),
+            "kind": pa.array([*kind, -1], pa.int32()),
+            "block": pa.array([*blocks, -1], pa.int64()),
             "range": pa.array([part["range"][0].as_py()] * n, pa.int32()),
-            "base": pa.array([*(_planes(base[x].astype(np.uint32)) if b % 3 == TUNE else b"" for b, x in zip(blocks, own)), b""], pa.binary()),
-            "seen": pa.array([*(_planes(seen[x].astype(np.uint32)) for x in own), b""], pa.binary()),
+            "base": pa.array([*(_planes(base[x]) if k == TUNE else b"" for k, x in zip(kind, own)), b""], pa.binary()),
+            "seen": pa.array([*(_planes(seen[x]) for x in own), b""], pa.binary()),
             "totals": pa.array([None] * (n - 1) + [totals], pa.list_(pa.int64())),
         }
     )
@@ -163,7 +214,7 @@ def _merge(part: pa.Table) -> pa.Table:
 
 def _returned(part: pa.Table, name: str) -> np.ndarray:
     part = part.sort_by("range")
-    return np.concatenate([_unplanes(x.as_py(), np.uint32) for x in part[name]]).astype(np.float64)
+    return np.concatenate([_unplanes(x.as_py(), np.int64) for x in part[name]]).astype(np.float64)
 
 
 def bucket(count: np.ndarray) -> np.ndarray:
@@ -179,7 +230,7 @@ def _estimates(block: Block, count: np.ndarray, total: float) -> tuple[np.ndarra
 
 def _tuning(total: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def cells(docs: pa.Table, back: pa.Table) -> pa.Table:
-        block = Block(_texts(_unpack(docs)))
+        block = Block(_texts(_unpack(docs["rows"][0].as_py())))
         b, two, one = _estimates(block, _returned(back, "base"), total)
         grid = [np.where(x > 0, np.round(4 * np.log2(np.where(x > 0, x, 1))), 1).astype(np.int64) for x in (two, one)]
         cell, at, n = np.unique(np.stack([b, *grid], axis=1), axis=0, return_inverse=True, return_counts=True)
@@ -217,7 +268,7 @@ def mixture(bucket: np.ndarray, n: np.ndarray, two: np.ndarray, one: np.ndarray,
 
 def _score(kind: pa.DataType, weights: np.ndarray, total: int, vocabulary: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def scored(docs: pa.Table, back: pa.Table) -> pa.Table:
-        rows = _unpack(docs)
+        rows = _unpack(docs["rows"][0].as_py())
         block, n = Block(_texts(rows)), len(rows)
         count = _returned(back, "seen")
         b, two, one = _estimates(block, count, total)
@@ -227,7 +278,7 @@ def _score(kind: pa.DataType, weights: np.ndarray, total: int, vocabulary: int)
         return pa.table(
             {
                 "id": rows["id"].cast(kind),
-                "held_out": pa.array([docs["block"][0].as_py() % 3 == UNSEEN] * n, pa.bool_()),
+                "held_out": pa.array([docs["kind"][0].as_py() == UNSEEN] * n, pa.bool_()),
                 "n_tokens": pa.array(block.size, pa.int64()),
                 "n_known": pa.array(np.bincount(block.owner, c > 0, n).astype(np.int64)),
                 "train_tokens": pa.array([total] * n, pa.int64()),
@@ -239,24 +290,29 @@ def _score(kind: pa.DataType, weights: np.ndarray, total: int, vocabulary: int)
     return scored
 
 
-def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score and score."""
-    id_ = docs[id_col]
-    kind = F.when(held_out, UNSEEN).when(coin(id_, "lm") < TUNING, TUNE).otherwise(BASE)
-    sizes = {r.kind: r.size or 0 for r in docs.groupBy(kind.alias("kind")).agg(F.sum(F.octet_length(text_col)).alias("size")).collect()}
-    total_bytes = max(sum(sizes.values()), 1)
-    blocks = [max(1, math.ceil(sizes.get(k, 0) / BLOCK_BYTES), round(40 * sizes.get(k, 0) / total_bytes)) for k in (BASE, TUNE, UNSEEN)]
-    ranges = max(64, math.ceil(total_bytes / RANGE_BYTES))
-    place = F.pmod(F.xxhash64(id_), F.element_at(F.array(*map(F.lit, blocks)), kind + 1))
-    packed = _pack(docs, id_col, text_col, place * 3 + kind)
-
-    runs = packed.groupBy("block").applyInArrow(_count(ranges), "range int, block int, keys binary, counts binary")
-    back = written(runs.groupBy("range").applyInArrow(_merge, "block int, range int, base binary, seen binary, totals array<bigint>"), "lm-counts")
-    sums = back.filter("block = -1").select(*[F.sum(F.get("totals", F.lit(i))).alias(f"t{i}") for i in range(4)]).first()
+class Model(NamedTuple):
+    """Weights (BUCKETS x 3), tokens and distinct words of all training texts, and the tables that a scoring reads."""
+
+    weights: np.ndarray
+    tokens: int
+    vocabulary: int
+    packed: DataFrame
+    counts: DataFrame
+
+
+def learn(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Counts of the texts that are not held out, and weights from a sixteenth of them."""
+    kind = F.when(held_out, UNSEEN).when(coin(docs[id_col], "lm") < TUNING, TUNE).otherwise(BASE)
+    packed = written(_pack(docs, id_col, text_col, kind), "lm-packed", by="kind")
+    ranges = max(64, math.ceil((packed.agg(F.sum("size")).first()[0] or 0) / RANGE_BYTES))
+
+    runs = packed.select("block", "kind", "rows").mapInArrow(_count(ranges), "range int, block long, kind int, keys binary, checks binary, counts binary")
+    merged = runs.groupBy("range").applyInArrow(_merge, "kind int, block long, range int, base binary, seen binary, totals array<bigint>")
+    counts = written(merged, "lm-counts", by="kind")
+    sums = counts.filter("kind = -1").select(*[F.sum(F.get("totals", F.lit(i))).alias(f"t{i}") for i in range(4)]).first()
     base_n, base_v, seen_n, seen_v = (x or 0 for x in sums)
 
-    tuning = _pack(docs.filter(kind == TUNE), id_col, text_col, place * 3 + kind)
-    tuned = tuning.groupBy("block").cogroup(back.filter((F.col("block") >= 0) & (F.col("block") % 3 == TUNE)).groupBy("block"))
+    tuned = packed.filter(F.col("kind") == TUNE).groupBy("block").cogroup(counts.filter(F.col("kind") == TUNE).groupBy("block"))
     cells = (
         tuned.applyInArrow(_tuning(base_n), "bucket long, q2 long, q1 long, n long, s2 double, s1 double")
         .groupBy("bucket", "q2", "q1")
@@ -266,10 +322,16 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     )
     n = cells["n"].to_numpy(np.float64)
     weights = mixture(cells["bucket"].to_numpy(np.int64), n, cells["s2"].to_numpy(np.float64) / n, cells["s1"].to_numpy(np.float64) / n, 1 / (base_v + 1))
+    return Model(weights, seen_n, seen_v, packed, counts)
 
-    id_type = docs.schema[id_col].dataType
-    out = packed.groupBy("block").cogroup(back.filter("block >= 0").groupBy("block"))
-    schema = f"id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    from pyspark.sql.pandas.types import to_arrow_type
 
-    return out.applyInArrow(_score(to_arrow_type(id_type), weights, seen_n, seen_v), schema).withColumnRenamed("id", id_col)
+def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score and score."""
+    return scored(learn(docs, held_out, id_col, text_col), docs.schema[id_col].dataType, id_col)
+
+
+def scored(model: Model, id_type: T.DataType, id_col: str = "doc_id") -> DataFrame:
+    """The rows that a model has packed, with their scores."""
+    both = model.packed.groupBy("block").cogroup(model.counts.filter("kind >= 0").select("block", "range", "seen").groupBy("block"))
+    schema = f"id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return both.applyInArrow(_score(to_arrow_type(id_type), model.weights, model.tokens, model.vocabulary), schema).withColumnRenamed("id", id_col)

@@ -191,6 +191,54 @@ def test_lm_counts_and_base_equal_brute_force(spark):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen) and all(r.score < 0 for r in got)
 
 
+def test_lm_scores_equal_brute_force_interpolation(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 900)
+    rng = random.Random(18)
+    vocabulary = [f"w{int(40 * rng.random() ** 2)}" for _ in range(400)]
+    rows = [*odd_rows(), *[(100 + i, prose(rng, rng.randint(0, 60), vocabulary)) for i in range(400)], *[(None, prose(rng, 30, vocabulary)) for _ in range(60)]]
+    frame = docs(spark, rows)
+    held_out = fold("doc_id", 7) == 2
+    model = lm.learn(frame, held_out)
+    assert model.packed.count() > 20
+    held = lambda i: zlib.crc32(str("null" if i is None else i).encode()) % 7 == 2
+    tokens = [(i, held(i), _lm_tokens(x)) for i, x, *_ in rows]
+    one, two, context = (Counter(x for _, unseen, t in tokens if not unseen for x in of(t)) for of in (lambda t: t, lambda t: zip(["\t", *t], t), lambda t: ["\t", *t[:-1]]))
+    n, v = sum(one.values()), len(one)
+    assert (model.tokens, model.vocabulary) == (n, v)
+    want = []
+    for i, unseen, t in tokens:
+        total = 0.0
+        for c, w in zip(["\t", *t], t):
+            l2, l1, l0 = model.weights[0 if not context[c] else min(int(math.log2(context[c])) + 1, lm.BUCKETS - 1)]
+            total += math.log10(l2 * two[c, w] / max(context[c], 1) + l1 * one[w] / n + l0 / (v + 1))
+        want.append((i is None, i or 0, unseen, round(total, 6)))
+    got = lm.scored(model, frame.schema["doc_id"].dataType).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.held_out, round(r.score, 6)) for r in got) == sorted(want)
+
+
+def test_lm_blocks_are_bounded_when_no_row_has_an_id(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 2_000)
+    rng = random.Random(19)
+    rows = [(None, prose(rng, 20)) for _ in range(2000)] + [(None, prose(rng, 4000))]
+    model = lm.learn(docs(spark, rows), F.lit(False))
+    sizes = [r["size"] for r in model.packed.collect()]
+    assert sum(s > 2_200 for s in sizes) == 1 and sum(sizes) == sum(len(x) for _, x in rows)
+    got = lm.scored(model, docs(spark, rows).schema["doc_id"].dataType)
+    assert got.count() == 2001 and got.filter("doc_id is not null").isEmpty()
+
+
+def test_lm_counts_pass_32_bits_and_keys_that_share_a_hash():
+    big = np.array([5_000_000_000, 1], np.int64)
+    assert lm._returned(pa.table({"range": [0], "seen": pa.array([lm._planes(big)], pa.binary())}), "seen").tolist() == [5e9, 1]
+    keys, checks = np.array([9, 3, 9, 9, 3], np.uint64), np.array([1, 5, 2, 1, 5], np.uint32)
+    found, own, at = lm.distinct(keys, checks)
+    assert found.tolist() == [3, 9, 9] and own.tolist() == [5, 1, 2] and at.tolist() == [1, 0, 2, 1, 0]
+    run = lambda block, kind, n: {"range": 0, "block": block, "kind": kind, "keys": lm._planes(np.array([8, 1], np.uint64)), "checks": lm._planes(np.array([1, 2], np.uint32)), "counts": lm._planes(np.array([n, n], np.uint32))}
+    part = pa.Table.from_pylist([run(0, lm.BASE, 4_000_000_000), run(1, lm.TUNE, 4_000_000_000), run(2, lm.UNSEEN, 7)])
+    merged = lm._merge(part).to_pylist()
+    assert [lm._unplanes(r["seen"], np.int64).tolist() for r in merged[:3]] == [[8_000_000_000] * 2] * 3 and merged[3]["totals"] == [4_000_000_000, 1, 8_000_000_000, 1]
+
+
 def test_lm_probabilities_sum_to_one():
     rng = random.Random(1)
     texts = [prose(rng, 30, ["a", "b", "c", "d"]) for _ in range(40)]
