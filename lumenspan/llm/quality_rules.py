@@ -1,25 +1,31 @@
 """Quality rules with risk-controlled thresholds.
 
-Each rule compares one figure of a text with a cutoff. A cutoff is allowed for a stratum (a language) only if the exact
-binomial bound on labelled holdouts says that it rejects at most ``ALPHA / rules`` of good texts, at a confidence that
+Each rule compares one figure of a text with a cutoff. A cutoff is allowed for a stratum only if the exact binomial
+bound on labelled holdouts says that it rejects at most ``ALPHA / rules`` of good texts, at a confidence that
 Bonferroni's correction shares among all rules and strata. Along one rule's grid stricter cutoffs reject more, so their
 p-values only grow: testing stops at the first failure and needs no further correction. Of the allowed cutoffs the
 strictest counts that also rejects bad texts at ``LIFT`` times the rate of good ones, or none. A union over the rules
 then rejects at most ``ALPHA`` of a stratum's good texts, with confidence ``1 - DELTA``.
 
+A stratum is a language with enough good labels to allow a cutoff that rejects none of them; all other labelled languages
+are pooled into one more stratum, which the correction counts, and share its cutoffs. Which languages are pooled depends on their
+number of good labels alone, not on what the rules say of them.
+
 All of it is DataFrame work: the figures come from higher-order functions within a row, the binomial tail from an
-aggregate over at most ``alpha * n`` terms, and only sums by stratum are joined back.
+aggregate over at most ``alpha * n`` terms, and only sums by language are joined back.
 
-Defined results: null or empty text has no words and fails the base rule; a null language is a stratum of its own; a
-stratum with too few labels gets no cutoff, so the base rule alone decides; documents labelled more than once count as
-good only if all their labels say so; an empty table gives an empty result.
+Defined results: null or empty text has no words and fails the base rule; very long texts are read whole; a null language is a
+language of its own, apart from an empty one; a language without labels gets no cutoff, so the base rule alone decides;
+documents labelled more than once count as good only if all their labels say so; labels on a null id are left out; repeated rows
+are judged alike, and each counts where its id is labelled; other columns are not read, whatever their names; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenspan.llm._common import SPACE, WORD, join_small, whole, written
@@ -96,40 +102,48 @@ def binomial_tail(n: Column, k: Column, rate: float) -> Column:
     return F.when(k >= n * F.lit(rate), F.lit(1.0)).otherwise(total)
 
 
+def _grid() -> list[tuple[str, int, float, str, int]]:
+    """(rule, strictness, cutoff, figure, sign) of every test."""
+    return [(name, j, c, figure, sign) for name, figure, sign, grid in RULES for j, c in enumerate(grid)]
+
+
 def cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA, lift: float = LIFT) -> DataFrame:
-    """One row per stratum with the cutoff of each rule, null where none is allowed.
+    """One row per labelled language with the cutoff of each rule, null where none is allowed.
 
-    ``labelled``: stratum, good (boolean) and the figures of labelled holdouts that pass the base rule.
+    ``labelled``: language, good (boolean) and the figures of labelled holdouts that pass the base rule.
     """
-    good = F.col("good")
-    counts = labelled.groupBy("stratum").agg(
-        F.count_if(good).alias("n_good"),
-        F.count_if(~good).alias("n_bad"),
-        *[F.count_if(side & rejects(F.expr(figure), sign, c)).alias(f"{name}_{j}_{what}") for name, figure, sign, grid in RULES for j, c in enumerate(grid) for side, what in ((good, "good"), (~good, "bad"))],
-    )
-    tests = F.explode(
-        F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(j).alias("strictness"), F.lit(c).alias("cutoff"), F.col(f"{name}_{j}_good").alias("k"), F.col(f"{name}_{j}_bad").alias("hits")) for name, _, _, grid in RULES for j, c in enumerate(grid)])
-    )
-    rate = alpha / len(RULES)
-    tested = (
-        counts.withColumn("n_strata", F.count("*").over(Window.partitionBy()))
-        .select("stratum", "n_good", "n_bad", "n_strata", tests.alias("t"))
-        .select("stratum", "n_good", "n_bad", "n_strata", "t.*")
+    good, rate = F.col("good"), alpha / len(RULES)
+    tallies = {"n_good": F.count_if(good), "n_bad": F.count_if(~good)}
+    for name, j, c, figure, sign in _grid():
+        for side, what in ((good, "good"), (~good, "bad")):
+            tallies[f"{name}_{j}_{what}"] = F.count_if(side & rejects(F.expr(figure), sign, c))
+    counts = written(labelled.groupBy("language").agg(*[c.alias(name) for name, c in tallies.items()]), "rule-counts")
+    level = delta / len(RULES) / (counts.count() + 1)
+    pooled = F.col("n_good") * F.log1p(F.lit(-rate)) > F.lit(math.log(level))
+    strata = counts.withColumn("pooled", pooled).withColumn("stratum", F.when(~F.col("pooled"), F.col("language")))
+    tests = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(j).alias("strictness"), F.lit(c).alias("cutoff"), F.col(f"{name}_{j}_good").alias("k"), F.col(f"{name}_{j}_bad").alias("hits")) for name, j, c, *_ in _grid()]))
+    allowed = (
+        strata.groupBy("pooled", "stratum")
+        .agg(*[F.sum(name).alias(name) for name in tallies])
+        .select("pooled", "stratum", "n_good", "n_bad", tests.alias("t"))
+        .select("pooled", "stratum", "n_good", "n_bad", "t.*")
         .filter(F.col("hits") * F.col("n_good") > lift * F.col("k") * F.col("n_bad"))
-        .filter(binomial_tail(F.col("n_good"), F.col("k"), rate) <= F.lit(delta / len(RULES)) / F.col("n_strata"))
+        .filter(binomial_tail(F.col("n_good"), F.col("k"), rate) <= F.lit(level))
     )
-    return tested.groupBy("stratum").agg(*[F.max_by("cutoff", F.when(F.col("rule") == name, F.col("strictness"))).alias(f"cut_{name}") for name, *_ in RULES])
+    cuts = allowed.groupBy("pooled", "stratum").agg(*[F.max_by("cutoff", F.when(F.col("rule") == name, F.col("strictness"))).alias(f"cut_{name}") for name, *_ in RULES])
+    own = strata.select("language", F.col("pooled").alias("_pooled"), F.col("stratum").alias("_stratum"))
+    return own.join(cuts, own["_pooled"].eqNullSafe(cuts["pooled"]) & own["_stratum"].eqNullSafe(cuts["stratum"])).select("language", *[f"cut_{name}" for name, *_ in RULES])
 
 
-def apply_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+def apply_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", language_col: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """One row per document: id, the figures, base_failed, kept and the names of the rules that reject it."""
-    stratum = F.coalesce(docs[stratum_col], F.lit("")).alias("stratum")
-    rows = written(figures(docs.withColumns({"_id": docs[id_col], "_stratum": stratum}), text_col, ["_id", "_stratum"]), "rule-figures")
+    named = docs.select(docs[id_col].alias("_id"), docs[language_col].alias("_language"), docs[text_col].alias("text"))
+    rows = written(figures(named, "text", ["_id", "_language"]), "rule-figures")
     good = labels.groupBy(F.col("doc_id").alias("_id")).agg((F.min("quality") > 0).alias("good"))
-    labelled = rows.filter(~base_failed()).join(good, "_id").filter("good is not null").withColumnRenamed("_stratum", "stratum")
-    cuts = written(cutoffs(labelled), "rule-cutoffs")
+    labelled = rows.filter(~base_failed()).join(good, "_id").filter("good is not null").withColumnRenamed("_language", "language")
+    cuts = written(cutoffs(labelled, alpha, delta), "rule-cutoffs")
     hits = F.array_compact(F.array(*[F.when(~base_failed() & rejects(F.expr(figure), sign, F.col(f"cut_{name}")), F.lit(name)) for name, figure, sign, _ in RULES]))
-    judged = join_small(rows, cuts, rows["_stratum"] == cuts["stratum"])
+    judged = join_small(rows, cuts, rows["_language"].eqNullSafe(cuts["language"]))
     return judged.select(
         F.col("_id").alias(id_col),
         *[c for c in FIGURES if c != "n_lines"],
@@ -140,21 +154,22 @@ def apply_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     )
 
 
-def _sql() -> str:
+def rules_sql(alpha: float = ALPHA, delta: float = DELTA) -> str:
+    """``apply_rules`` over documents and labels in DuckDB's SQL."""
     figure = {name: text.replace("100D", "100::DOUBLE").replace("1D", "1::DOUBLE") for name, text, *_ in RULES}
     tests = " UNION ALL ".join(
-        f"SELECT stratum, '{name}' AS rule, {j} AS strictness, {c}::DOUBLE AS cutoff, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS m,"
-        f" count(*) FILTER (good AND {figure[name]} {'>' if sign > 0 else '<'} {c}) AS k, count(*) FILTER (NOT good AND {figure[name]} {'>' if sign > 0 else '<'} {c}) AS hits FROM l GROUP BY stratum"
+        f"SELECT lang, '{name}' AS rule, {j} AS strictness, {c}::DOUBLE AS cutoff, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS m,"
+        f" count(*) FILTER (good AND {figure[name]} {'>' if sign > 0 else '<'} {c}) AS k, count(*) FILTER (NOT good AND {figure[name]} {'>' if sign > 0 else '<'} {c}) AS hits FROM l GROUP BY lang"
         for name, _, sign, grid in RULES
         for j, c in enumerate(grid)
     )
-    rate = ALPHA / len(RULES)
+    rate, level = alpha / len(RULES), f"{delta / len(RULES)!r} / ((SELECT count(*) FROM s) + 1)"
     names = [name for name, *_ in RULES]
     cuts = ", ".join(f"max_by(cutoff, strictness) FILTER (rule = '{n}') AS cut_{n}" for n in names)
     bad = {name: f"coalesce(NOT base_failed AND {figure[name]} {'>' if sign > 0 else '<'} cut_{name}, false)" for name, _, sign, _ in RULES}
     return rf"""
 WITH t AS (
-  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+  SELECT doc_id, lang, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
@@ -164,7 +179,7 @@ g AS (
 a AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM g) WHERE n > 1),
 p AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM a, (VALUES (0), (1), (2)) o(j) GROUP BY doc_id),
 f AS (
-  SELECT t.doc_id, stratum, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+  SELECT t.doc_id, lang, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
          coalesce(p.n, 0)::BIGINT AS n_repeat_words
@@ -173,19 +188,23 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 l AS (
   SELECT b.*, good FROM b JOIN (SELECT doc_id, min(quality) > 0 AS good FROM labels GROUP BY doc_id) USING (doc_id)
   WHERE NOT base_failed AND good IS NOT NULL),
+s AS (SELECT lang, count(*) FILTER (good) AS n FROM l GROUP BY lang),
+z AS (SELECT lang, n * ln(1 - {rate!r}) > ln({level}) AS pooled FROM s),
 e AS ({tests}),
+o AS (
+  SELECT pooled, CASE WHEN NOT pooled THEN e.lang END AS stratum, rule, strictness, cutoff, sum(n)::BIGINT AS n, sum(m)::BIGINT AS m, sum(k)::BIGINT AS k, sum(hits)::BIGINT AS hits
+  FROM e JOIN z ON e.lang IS NOT DISTINCT FROM z.lang GROUP BY ALL),
 q AS (
   SELECT *, CASE WHEN k >= n * {rate!r} THEN 1.0 ELSE
     list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate!r}) + (n - i) * ln(1 - {rate!r})))) END AS p
-  FROM e),
-c AS (
-  SELECT stratum, {cuts} FROM q
-  WHERE hits * n > {LIFT} * k * m AND p <= {DELTA / len(RULES)!r} / (SELECT count(DISTINCT stratum) FROM l) GROUP BY stratum)
+  FROM o),
+d AS (SELECT pooled, stratum, {cuts} FROM q WHERE hits * n > {LIFT} * k * m AND p <= {level} GROUP BY pooled, stratum),
+c AS (SELECT z.lang AS of, d.* FROM z JOIN d ON z.pooled = d.pooled AND CASE WHEN NOT z.pooled THEN z.lang END IS NOT DISTINCT FROM d.stratum)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT ({" OR ".join(bad.values())}) AS kept, n_lines,
        array_to_string(list_filter([{", ".join(f"CASE WHEN {v} THEN '{k}' END" for k, v in bad.items())}], lambda x: x IS NOT NULL), ',') AS rejected_by
-FROM b LEFT JOIN c USING (stratum)
+FROM b LEFT JOIN c ON b.lang IS NOT DISTINCT FROM c.of
 """
 
 
-RULES_SQL = _sql()
+RULES_SQL = rules_sql()

@@ -13,6 +13,8 @@ from lumenspan.llm._common import fold, table
 
 #: Score from which a document counts as good.
 KEEP_AT = 0.3
+#: Share of good texts that the lenient rules may reject.
+LENIENT = 0.25
 
 
 def tokenizer(name: str) -> bytes:
@@ -72,6 +74,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def quality_rules_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10 at a risk that small tables have labels enough for."""
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), alpha=LENIENT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_quality_classifier,
         op10_quality_rules,
+        quality_rules_lenient,
     )
 }
 
@@ -93,4 +101,5 @@ ORACLES: dict[str, str] = {
     "op7_license_scan": licenses.scan_sql(),
     "op8_source_mixing": mixing.REPORT_SQL,
     "op10_quality_rules": quality_rules.RULES_SQL,
+    "quality_rules_lenient": quality_rules.rules_sql(alpha=LENIENT),
 }

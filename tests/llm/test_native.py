@@ -153,20 +153,32 @@ def test_cutoffs_control_false_rejection(spark):
     good = [("en", True, 200, 900, 1, 0, 10, 0)] * 3000 + [("en", True, 200, 900, 120, 0, 10, 0)] * 60
     bad = [("en", False, 200, 900, 500, 0, 10, 0)] * 300
     few = [("fr", True, 200, 900, 1, 0, 10, 0)] * 30 + [("fr", False, 200, 900, 500, 0, 10, 0)] * 30
-    frame = spark.createDataFrame(good + bad + few, "stratum string, good boolean, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long")
-    cuts = {r.stratum: r.cut_symbols for r in quality_rules.cutoffs(frame).collect()}
+    frame = spark.createDataFrame(good + bad + few, "language string, good boolean, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long")
+    cuts = {r.language: r.cut_symbols for r in quality_rules.cutoffs(frame).collect()}
     # 2 % of good texts have 60 symbols a hundred words: no cutoff under that is allowed, and French has too few labels
     assert cuts == {"en": 75.0}
 
 
+def test_small_languages_are_pooled_and_null_is_a_language(spark):
+    schema = "language string, good boolean, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long"
+    few = [(lang, True, 200, 900, 1, 0, 10, 0) for lang in ("fr", None, "") for _ in range(800)] + [(lang, False, 200, 900, 500, 0, 10, 0) for lang in ("fr", None, "") for _ in range(60)]
+    cuts = {r.language: r.cut_symbols for r in quality_rules.cutoffs(spark.createDataFrame(few, schema)).collect()}
+    assert cuts == {"fr": 10.0, None: 10.0, "": 10.0}
+    assert quality_rules.cutoffs(spark.createDataFrame(few[:800] + few[-10:], schema)).isEmpty()
+
+
+def test_rules_bind_on_supplied_tables(spark):
+    assert not QUERIES["quality_rules_lenient"](spark, "/root/testdata/sf0.01").filter("not base_failed and not kept").isEmpty()
+
+
 def test_rules_verdict_equals_sql_where_cutoffs_bind(spark):
     import pandas as pd
 
     rng = random.Random(1)
-    rows = [(i, prose(rng, 60) + (" " + " ".join(f"##{k}$$" for k in range(40)) if i % 10 == 0 else ""), "en") for i in range(3000)]
-    labels = [(i, int(i % 10 > 0), 0) for i in range(3000)]
+    rows = [(i, prose(rng, 60) + (" " + " ".join(f"##{k}$$" for k in range(40)) if i % 10 == 0 else ""), ["fr", None, "", "de"][i % 7] if i % 7 < 4 else "en") for i in range(6000)]
+    labels = [(i, int(i % 10 > 0), 0) for i in range(6000) if i % 7 != 3]  # none for de
     got = quality_rules.apply_rules(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-    assert got.filter("not kept and not base_failed").count() == 300
+    assert got.filter("not kept and not base_failed").count() == sum(i % 10 == 0 and i % 7 != 3 for i in range(6000))
     same(got, quality_rules.RULES_SQL, None, documents=_frames(rows), labels=pd.DataFrame(labels, columns=["doc_id", "quality", "toxic"]))
 
 
