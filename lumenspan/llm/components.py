@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenspan.llm._common import written
+from lumenspan.llm._common import discard, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,6 +22,10 @@ def components(links: DataFrame) -> DataFrame:
         ahead = labels.select(F.col("node").alias("at"), F.col("label").alias("jump"))
         jumped = step.join(ahead, step["new"] == ahead["at"]).select("node", F.least("new", "jump").alias("label"), (F.least("new", "jump") != F.col("label")).alias("moved"))
         after = written(jumped, "labels")
-        labels = after.select("node", "label")
+        discard(labels)
+        labels = after
         if after.filter("moved").isEmpty():
+            discard(both)
+            labels = after.select("node", "label")
+            labels.written_to = after.written_to
             return labels

@@ -7,10 +7,11 @@ of their weighted Jaccard similarity, the sum of least weights over that of grea
 ``K ln K + 2 K`` darts, whatever the size of the bag.
 
 Texts with equal bags, by a digest of 128 bits, are one node. Bands of ``ROWS`` coordinates deal nodes into buckets; links are
-only taken from pairs whose exact similarity is at least ``SIMILARITY``. A bucket's members are first compared with one leader.
-Components of the links found so far tell which buckets still hold several. There all members of different components are
-compared, so that no link within a bucket is lost: in small buckets pair by pair, in large ones part against part, where
-products of matrices count what the bags have in common. A pair of large buckets is compared in the first that holds both, and
+only taken from pairs whose exact similarity is at least ``SIMILARITY``. A node is first compared with one leader, the least of
+its buckets. Components of the links found so far tell which buckets still hold several; there members outside the largest component
+are compared with one of it, and components are formed again. In buckets that hold several even then all members of different
+components are compared, so that no link within a bucket is lost: in small buckets pair by pair, in large ones part against part,
+where products of matrices count what the bags have in common. A pair of large buckets is compared in the first that holds both, and
 members of one component are not compared, so that a large class costs its strays times its size. No bucket is cut.
 
 Defined results: null and empty texts are equal and form one class; very long texts are read whole; ids may repeat, and so may
@@ -32,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenspan.llm._common import packed_row, row_schema, written
+from lumenspan.llm._common import discard, packed_row, row_schema, written
 from lumenspan.llm.components import components
 
 SHINGLE = 5
@@ -280,15 +281,18 @@ def _cell(cell: pa.Table) -> pa.Table:
     return pa.table({"a": nodes.take(pa.array(np.minimum(a, b))), "b": nodes.take(pa.array(np.maximum(a, b)))})
 
 
-def crossed(rest: DataFrame, texts: DataFrame) -> DataFrame:
-    """The links (a, b) among all nodes of a bucket that are of different components; ``rest``: key, node, label, main.
+def with_texts(rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """A written table for ``crossed`` from the members of open buckets."""
+    nodes = texts.join(rest.groupBy("node").agg(F.collect_set("key").alias("keys")), "node")
+    return written(rest.select("key", "node", "label", (F.col("label") != F.col("main")).alias("stray")).join(nodes, "node"), "minhash-crossed")
+
+
+def crossed(full: DataFrame) -> DataFrame:
+    """The links (a, b) among all nodes of a bucket that are of different components; ``full``: key, node, label, stray, packed, keys.
 
     Strays (outside the main component) and main members are dealt into parts of about ``PART`` nodes or ``PART_BYTES`` of packed text.
     Each part of strays meets itself, the later ones and every main part in a cell of its own: a task holds two parts, whatever the bucket's size.
     """
-    stray = F.col("label") != F.col("main")
-    nodes = texts.join(rest.groupBy("node").agg(F.collect_set("key").alias("keys")), "node")
-    full = written(rest.select("key", "node", "label", stray.alias("stray")).join(nodes, "node"), "minhash-crossed")
     parts = F.ceil(F.greatest(F.count("*") / PART, F.sum(F.octet_length("packed")) / PART_BYTES)).cast("int")
     dealt = full.groupBy("key", "stray").agg(parts.alias("parts")).groupBy("key").agg(F.max(F.when(F.col("stray"), F.col("parts"))).alias("s"), F.max(F.when(~F.col("stray"), F.col("parts"))).alias("m"))
     place = F.pmod(F.xxhash64("node"), F.when(F.col("stray"), F.col("s")).otherwise(F.col("m"))).cast("int")
@@ -301,6 +305,16 @@ def crossed(rest: DataFrame, texts: DataFrame) -> DataFrame:
     return placed.groupBy("key", "r", "c").applyInArrow(_cell, "a binary, b binary")
 
 
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components: key, n, node, label, main (the component of most members) and
+    main_node (its least member)."""
+    known = members.select("key", "n", "node").join(labels, "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("label"))
+    sizes = known.groupBy("key", "label").agg(F.count("*").alias("of"), F.min("node").alias("least"))
+    parts = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("of", "label", "least")).alias("most"))
+    several = parts.filter("parts > 1").select("key", F.col("most.label").alias("main"), F.col("most.least").alias("main_node"))
+    return written(known.join(several, "key"), "minhash-open")
+
+
 def _labels(signed: DataFrame) -> DataFrame:
     """(node, label) of all nodes that have a link to another."""
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"))
@@ -313,17 +327,29 @@ def _labels(signed: DataFrame) -> DataFrame:
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a <> b").distinct()
 
-    tested = written(ordered(members.select(F.col("leader").alias("x"), F.col("node").alias("y"))), "minhash-pairs")
-    links = written(verified(tested, texts), "minhash-links")
-    labels = components(links)
-    known = members.select("key", "n", "node").join(labels, "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("label"))
-    sizes = known.groupBy("key", "label").agg(F.count("*").alias("of")).groupBy("key").agg(F.count("*").alias("parts"), F.max_by("label", F.struct("of", "label")).alias("main"))
-    rest = written(known.join(sizes.filter("parts > 1").drop("parts"), "key"), "minhash-rest")
-    one, two = rest.filter(f"n <= {SMALL}").alias("one"), rest.filter(f"n <= {SMALL}").alias("two")
+    # the least leader of a node's buckets leads most of its class, so that one pair a node links most of what will be linked
+    led = members.groupBy("node").agg(F.min("leader").alias("leader"))
+    led_pairs = written(ordered(led.select(F.col("leader").alias("x"), F.col("node").alias("y"))), "minhash-pairs")
+    led_links = written(verified(led_pairs, texts), "minhash-links")
+    first = components(led_links)
+    rest = _open(members, first)
+    strays = ordered(rest.filter("label <> main").select(F.col("main_node").alias("x"), F.col("node").alias("y")))
+    stray_pairs = written(strays.join(led_pairs, ["a", "b"], "left_anti"), "minhash-pairs")
+    stray_links = written(verified(stray_pairs, texts), "minhash-links")
+    links = led_links.union(stray_links)
+    second = components(links)
+    last = _open(members, second)
+
+    one, two = last.filter(f"n <= {SMALL}").alias("one"), last.filter(f"n <= {SMALL}").alias("two")
     small = one.join(two, F.expr("one.key = two.key and one.node < two.node and one.label <> two.label")).select(F.col("one.node").alias("x"), F.col("two.node").alias("y"))
-    pairs = written(ordered(small).join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-    new = written(verified(pairs, texts).union(crossed(rest.filter(f"n > {SMALL}"), texts)), "minhash-links")
-    return labels if new.isEmpty() else components(links.union(new))
+    pairs = written(ordered(small).join(led_pairs.union(stray_pairs), ["a", "b"], "left_anti"), "minhash-pairs")
+    full = with_texts(last.filter(f"n > {SMALL}"), texts)
+    found = written(verified(pairs, texts).union(crossed(full)), "minhash-links")
+    labels = second if found.isEmpty() else components(links.union(found))
+    discard(dealt, members, texts, led_pairs, led_links, first, rest, stray_pairs, stray_links, last, pairs, full, found)
+    if labels is not second:
+        discard(second)
+    return labels
 
 
 def _classed(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> tuple[DataFrame, DataFrame]:
