@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY_NS = 86_400_000_000_000
@@ -50,7 +54,83 @@ def correlation(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def quantiles(c: Column, levels: tuple[float, ...], exact: bool = True) -> Column:
-    """Linear quantiles as an array. The inexact form keeps a bounded sketch, for columns with too many distinct values."""
+def digest(*columns: Column) -> Column:
+    """128 bits that stand for the values, null being one, so that long texts need not travel as keys."""
+    return F.unhex(F.md5(F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)]))))
+
+
+#: Rank error of a sketch, as a share of its values, and values up to which all are ranked.
+SKETCH, FEW = 100_000, 1_000_000
+
+
+def _column(signal: str, level: float) -> str:
+    return f"{signal}__q{round(level * 100):02d}"
+
+
+def sketched(df: DataFrame, keys: list[Column], signals: dict[str, Column], levels: Sequence[float]) -> DataFrame:
+    """Approximate quantiles by keys from bounded sketches, as ``quantiles``."""
     at = F.array(*map(F.lit, levels))
-    return F.percentile(c, at) if exact else F.percentile_approx(c.cast("double"), at, F.lit(100_000))
+    body = [F.percentile_approx(c.cast("double"), at, F.lit(SKETCH)).alias(name) for name, c in signals.items()]
+    found = df.groupBy(*keys).agg(*body) if keys else df.agg(*body)
+    names = [c for c in found.columns if c not in signals]
+    return found.select(*names, *[F.get(name, F.lit(i)).alias(_column(name, q)) for name in signals for i, q in enumerate(levels)])
+
+
+def quantiles(df: DataFrame, keys: list[Column], signals: dict[str, Column], levels: Sequence[float], nearest: bool = False) -> DataFrame:
+    """Exact quantiles by keys: columns ``signal__qNN``, linear between neighbours or the value at the nearest place.
+
+    Sketches first bracket the places that are asked for, or all values where they are ``FEW``. A second pass counts what lies
+    under each bracket and keeps only the values inside, counted by value; their running count leads to the places. So no task holds
+    all values: a bracket of many has a ten-thousandth of them.
+    """
+    names = [f"_{i}" for i in range(len(signals))]
+    wide = df.select(*keys, *[c.cast("double").alias(n) for n, c in zip(names, signals.values())])
+    by = [c for c in wide.columns if c not in names]
+    margin = 5 / SKETCH
+    around = F.array(*[F.lit(min(1.0, max(0.0, q + side * margin))) for q in levels for side in (-1, 1)])
+    sketch = [F.struct(F.count(n).alias("n"), F.min(n).alias("least"), F.max(n).alias("most"), F.percentile_approx(n, around, F.lit(SKETCH)).alias("at")).alias(f"{n}s") for n in names]
+    sketches = wide.groupBy(*by).agg(*sketch) if by else wide.agg(*sketch)
+
+    def brackets(n: str) -> Column:
+        s = F.col(f"{n}s")
+        many = F.array(*[F.struct(F.get(s["at"], F.lit(2 * i)).alias("low"), F.get(s["at"], F.lit(2 * i + 1)).alias("high")) for i in range(len(levels))])
+        return F.when(s["n"] < FEW, F.array(F.struct(s["least"].alias("low"), s["most"].alias("high")))).otherwise(many)
+
+    def held(k: int, n: str) -> Column:
+        """The brackets that a value of the signal lies in."""
+        inside = lambda b, i: F.when(F.col(n).between(b["low"], b["high"]), F.struct(F.lit(k).alias("signal"), i.alias("bracket"), F.col(n).alias("value")))
+        return F.array_compact(F.transform(F.col(f"{n}b"), inside))
+
+    sides = sketches.select(*by, *[F.col(f"{n}s.n").alias(f"{n}n") for n in names], *[brackets(n).alias(f"{n}b") for n in names])
+    placed = same(wide, sides.select(*by, *[f"{n}b" for n in names]), by)
+    below = [F.count_if(F.col(n) < F.get(f"{n}b", F.lit(i))["low"]).alias(f"{n}u{i}") for n in names for i in range(len(levels))]
+    under = placed.groupBy(*by).agg(*below) if by else placed.agg(*below)
+    kept = placed.select(*by, F.inline(F.flatten(F.array(*[held(k, n) for k, n in enumerate(names)]))))
+    counted = kept.groupBy(*by, "signal", "bracket", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranked = counted.withColumn("to", F.sum("n").over(Window.partitionBy(*by, "signal", "bracket").orderBy("value")))
+
+    def asked(k: int, n: str, i: int, q: float) -> Column:
+        few = F.col(f"{n}n") < FEW
+        place = F.lit(float(q)) * (F.col(f"{n}n") - 1)
+        place = F.round(place) if nearest else place
+        return F.struct(F.lit(k).alias("signal"), F.lit(i).alias("level"), F.when(few, 0).otherwise(i).alias("bracket"), place.alias("place"), F.when(few, F.lit(0)).otherwise(F.col(f"{n}u{i}")).alias("under"))
+
+    places = same(sides.drop(*[f"{n}b" for n in names]), under, by).select(*by, F.inline(F.array(*[asked(k, n, i, q) for k, n in enumerate(names) for i, q in enumerate(levels)])))
+    low, high = (f("place").cast("long") - F.col("under") for f in (F.floor, F.ceil))
+    met = same(places, ranked, by, "signal", "bracket", where=lambda: ((low < F.col("to")) & (low >= F.col("to") - F.col("n"))) | ((high < F.col("to")) & (high >= F.col("to") - F.col("n"))))
+    found = met.groupBy(*by, "signal", "level", "place").agg(F.min("value").alias("lower"), F.max("value").alias("upper"))
+    between = (F.ceil("place") - F.col("place")) * F.col("lower") + (F.col("place") - F.floor("place")) * F.col("upper")
+    values = found.withColumn("value", F.when(F.col("lower") == F.col("upper"), F.col("lower")).otherwise(between))
+    cells = [F.max(F.when((F.col("signal") == k) & (F.col("level") == i), F.col("value"))).alias(_column(name, q)) for k, name in enumerate(signals) for i, q in enumerate(levels)]
+    return values.groupBy(*by).agg(*cells) if by else values.agg(*cells)
+
+
+def same(left: DataFrame, right: DataFrame, keys: list[str], *more: str, where: Callable[[], Column] | None = None) -> DataFrame:
+    """``left`` with the columns of ``right`` where ``keys``, null being a value, the columns ``more`` and a condition agree; without
+    any of them one row of ``right`` meets all."""
+    names = [*keys, *more]
+    other = right.select(*[F.col(c).alias(f"{c}_of") for c in names], *[c for c in right.columns if c not in names])
+    conditions = [left[c].eqNullSafe(other[f"{c}_of"]) for c in keys] + [left[c] == other[f"{c}_of"] for c in more] + ([where()] if where else [])
+    if not conditions:
+        return left.crossJoin(F.broadcast(other))
+    return left.join(other, reduce(and_, conditions), "left").drop(*[f"{c}_of" for c in names])

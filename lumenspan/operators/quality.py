@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lumenspan.functions import dims as by
 from lumenspan.functions.dims import Dim, aggregate
-from lumenspan.functions.stats import distinct, quantiles, rate, total, varies
+from lumenspan.functions.stats import distinct, quantiles, rate, same, sketched, total, varies
 from lumenspan.operators import flags
 from lumenspan.plans.spec import INVARIANTS, MANDATORY, NUMERIC, OPTIONAL, SPEC, Attr
 
@@ -47,12 +47,12 @@ def nulls(spans: DataFrame, *dims: Dim, grain: str | None = None, agg: Callable[
 
 def distribution(spans: DataFrame, *dims: Dim, grain: str | None = None, levels: tuple[float, ...] = LEVELS, exact: bool = True) -> DataFrame:
     """Quantiles of the numeric attributes, without empty values, and of the duration: columns ``name__qNN``."""
-    keys = dims + ((by.time(grain),) if grain else ())
+    keys = [d.key for d in dims + ((by.time(grain),) if grain else ())]
     signals = {a.name: F.col(a.name) if a.empty is None else F.when(F.col(a.name) != F.lit(a.empty), F.col(a.name)) for a in NUMERIC}
     signals["duration_ns"] = F.col("end_time_ns") - F.col("start_time_ns")
-    found = aggregate(spans, keys, F.count(F.lit(1)).alias("n"), *[quantiles(c, levels, exact).alias(f"_{name}") for name, c in signals.items()])
-    split = [F.get(f"_{name}", F.lit(i)).alias(f"{name}__q{int(q * 100):02d}") for name in signals for i, q in enumerate(levels)]
-    return found.select(*[d.name for d in keys], "n", *split)
+    values = (quantiles if exact else sketched)(spans, keys, signals, levels)
+    counts = aggregate(spans, dims + ((by.time(grain),) if grain else ()), F.count(F.lit(1)).alias("n"))
+    return same(counts, values, [c for c in counts.columns if c != "n"])
 
 
 def consistency(spans: DataFrame, *columns: str) -> DataFrame:
@@ -91,13 +91,14 @@ def breaks(spans: DataFrame) -> DataFrame:
     return rollup(spans).select("trace_id", broken().alias("broken"))
 
 
-def facts(spans: DataFrame) -> DataFrame:
-    """One row from one pass: spans ``n``, ``trash_cells``, and the missing, violated, trash and null cells of every attribute."""
+def facts(spans: DataFrame, *more: Column) -> DataFrame:
+    """One row from one pass: spans ``n``, ``trash_cells``, the missing, violated, trash and null cells of every attribute, and ``more``."""
     kinds = {"missing": flags.missing, "violation": flags.violation, "trash": flags.trash, "null": flags.null}
     return spans.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(flags.across(flags.trash, SPEC)), F.lit(0)).alias("trash_cells"),
         *[F.expr(f"coalesce(sum(cast({flag.sql(a)} AS bigint)), 0L) AS {kind}__{a.name}") for kind, flag in kinds.items() for a in SPEC],
+        *more,
     )
 
 
@@ -147,27 +148,35 @@ def is_valid(spans: DataFrame, **limits: int) -> bool:
     return verdict(spans, **limits).first()["valid"]
 
 
-def tagged(spans: DataFrame, over: str = "trace_id") -> DataFrame:
-    """The spans with ``rejected``: whether their trace has a span that violates a mandatory rule; null is one trace."""
-    return spans.withColumn("rejected", F.max(flags.blocking()).over(Window.partitionBy(over)))
+def tagged(spans: DataFrame, over: Dim | None = None) -> DataFrame:
+    """The spans with ``rejected``: whether their trace has a span that violates a mandatory rule; null is one trace.
+
+    The flag comes from a rollup by trace and is joined, so that adaptive execution can split the spans of a long trace.
+    """
+    over = over or by.trace()
+    flag = spans.groupBy(over.key.alias("_over")).agg(F.max(flags.blocking()).alias("rejected"))
+    if "rejected" in spans.columns:
+        spans = spans.drop("rejected")
+    return spans.withColumn("_over", over.key).transform(lambda s: same(s, flag, ["_over"])).drop("_over")
 
 
-def rejection(spans: DataFrame, *dims: Dim, grain: str | None = None, over: str = "trace_id") -> DataFrame:
-    """Traces by keys, and how many of them are dropped and kept; a trace under two keys counts in each.
+def rejection(spans: DataFrame, *dims: Dim, grain: str | None = None, over: Dim | None = None, agg: Callable[[Column], Column] = rate) -> DataFrame:
+    """Traces by keys, how many of them are dropped and kept, and ``agg`` of the flag; a trace under two keys counts in each.
 
-    The flag comes from a rollup by trace and is joined to the few keys of each trace, not to its spans.
+    ``over`` is the key that spans are rejected together by. The flag comes from a rollup by it and is joined to the few keys of
+    each trace, not to its spans.
     """
-    keys = dims + ((by.time(grain),) if grain else ())
-    if not keys and over == "trace_id":
-        return rejection_of(rollup(spans))
-    cells = spans.groupBy(F.col(over).alias("_over"), *[d.key for d in keys]).agg(F.max(flags.blocking()).alias("bad"))
+    keys, over = dims + ((by.time(grain),) if grain else ()), over or by.trace()
+    if not keys and over == by.trace():
+        return rejection_of(rollup(spans), agg=agg)
+    cells = spans.groupBy(over.key.alias("_over"), *[d.key for d in keys]).agg(F.max(flags.blocking()).alias("bad"))
     traces = cells.withColumn("rejected", F.max("bad").over(Window.partitionBy("_over")))
-    return rejection_of(traces, *[d.name for d in keys])
+    return rejection_of(traces, *[d.name for d in keys], agg=agg)
 
 
-def rejection_of(traces: DataFrame, *names: str) -> DataFrame:
+def rejection_of(traces: DataFrame, *names: str, agg: Callable[[Column], Column] = rate) -> DataFrame:
     rejected = F.col("rejected")
-    return traces.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), rate(rejected).alias("dropped_rate"), total(rejected).alias("dropped"), total(~rejected).alias("kept"))
+    return traces.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), agg(rejected).alias("dropped_rate"), total(rejected).alias("dropped"), total(~rejected).alias("kept"))
 
 
 def trace_status(spans: DataFrame) -> DataFrame:

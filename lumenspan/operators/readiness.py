@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenspan.functions import dims as by
 from lumenspan.functions.dims import Dim, aggregate
-from lumenspan.functions.scores import Policy
+from lumenspan.functions import dims as by
+from lumenspan.functions import scores
+from lumenspan.functions.scores import Params
 from lumenspan.functions.stats import DAY_NS, correlation, distinct, rate
 from lumenspan.operators import flags
 from lumenspan.operators.quality import correctness, tagged
@@ -40,7 +41,7 @@ def components(window: DataFrame, *dims: Dim) -> DataFrame:
     )
 
 
-def acceleration(window: DataFrame, policy: Policy, *dims: Dim, grain: str = "1d") -> DataFrame:
+def acceleration(window: DataFrame, policy: Params, *dims: Dim, grain: str = "1d") -> DataFrame:
     """By keys: mean traces a bucket, their trend in time, the stability of validity, and the score of the three."""
     per = window.groupBy(*[d.key for d in dims], by.time(grain).key).agg(distinct(F.col("trace_id")).alias("b_traces"), (1 - F.avg(flags.share(flags.violation, MANDATORY))).alias("b_validity"))
     body = (
@@ -49,16 +50,16 @@ def acceleration(window: DataFrame, policy: Policy, *dims: Dim, grain: str = "1d
         F.stddev_samp("b_validity").alias("_spread"),
     )
     slices = per.groupBy(*[d.name for d in dims]).agg(*body) if dims else per.agg(*body)
-    steady = F.coalesce(1 - F.nanvl("_spread", F.lit(None)) / policy.stability_tol, F.lit(1.0))
+    steady = F.coalesce(1 - F.nanvl("_spread", F.lit(None)) / policy["stability_tol"], F.lit(1.0))
     return (
         slices.withColumn("stability", F.greatest(F.least(steady, F.lit(1.0)), F.lit(0.0)))
         .withColumn("trend", F.coalesce(F.nanvl("trend", F.lit(None)), F.lit(0.0)))
-        .withColumn("accel_score", policy.acceleration(F.col("trend"), F.col("stability"), F.col("rate")))
+        .withColumn("accel_score", scores.accel_score(policy, F.col("trend"), F.col("stability"), F.col("rate")))
         .drop("_spread")
     )
 
 
-def scored(parts: DataFrame, policy: Policy) -> DataFrame:
+def scored(parts: DataFrame, policy: Params) -> DataFrame:
     """Components with loss, the worst rule, volume and quality. Of rules alike the last in the specification's order counts."""
     rates = [F.coalesce(f"_viol__{a.name}", F.lit(0.0)) for a in MANDATORY]
     worst = F.greatest(*rates)
@@ -70,23 +71,21 @@ def scored(parts: DataFrame, policy: Policy) -> DataFrame:
             "loss_rate": 1 - F.try_divide(F.col("eff_traces"), F.col("traces")),
             "worst_rule_rate": worst,
             "worst_rule_attr": name,
-            "volume_score": policy.volume(F.col("eff_traces")),
-            "quality_score": policy.quality(F.col("validity"), F.col("presence"), F.col("retention")),
+            "volume_score": scores.volume_score(policy, F.col("eff_traces")),
+            "quality_score": scores.weighted(policy, validity=F.col("validity"), presence=F.col("presence"), retention=F.col("retention")),
         }
     ).drop(*[c for c in parts.columns if c.startswith("_viol__")])
 
 
-def assess(spans: DataFrame, policy: Policy, *dims: Dim, grain: str = "1d") -> DataFrame:
+def assess(spans: DataFrame, policy: Params, *dims: Dim, grain: str = "1d") -> DataFrame:
     """The 17 figures of readiness by keys, most ready first; a null score, as of a null key, comes before all."""
-    window = windowed(spans, policy.window_days)
+    window = windowed(spans, policy["window_days"])
     left, right = scored(components(window, *dims), policy), acceleration(window, policy, *dims, grain=grain)
     names = [d.name for d in dims]
     # without keys both sides have one row
     both = left.join(right, names, "left") if names else left.crossJoin(right)
-    loss, quality = F.col("loss_rate"), F.col("quality_score")
-    out = both.withColumn("readiness", policy.readiness(F.col("volume_score"), quality, F.col("accel_score")))
-    out = out.withColumn("verdict", policy.verdict(F.col("eff_traces"), loss, quality, F.col("readiness")))
-    out = out.withColumn("reason", policy.reason(F.col("eff_traces"), loss, quality, F.col("readiness"), F.col("worst_rule_attr"), F.col("trend")))
+    out = both.withColumn("readiness", scores.weighted(policy, volume=F.col("volume_score"), quality=F.col("quality_score"), accel=F.col("accel_score")))
+    out = out.withColumn("verdict", scores.verdict(policy)).withColumn("reason", scores.reason(policy))
     return out.select(*names, *ASSESSED).orderBy(F.col("readiness").desc_nulls_first())
 
 

@@ -60,7 +60,7 @@ def schema_diff(df: DataFrame, ceiling_penalty: float = 0.12) -> dict:
     """How the columns of ``df`` stand to the specification; reads metadata only.
 
     States: ok, converted, absent and incompatible. A mandatory attribute that is absent or incompatible is critical; an
-    optional one, or any conversion, degrades and lowers the ceiling.
+    optional one degrades and lowers the ceiling.
     """
     rows = []
     for attr in SPEC:
@@ -73,10 +73,21 @@ def schema_diff(df: DataFrame, ceiling_penalty: float = 0.12) -> dict:
         rows.append({"attr": attr.name, "mandatory": attr.mandatory, "expected": attr.type, "found": found, "state": state})
     broken = [r for r in rows if r["state"] in ("absent", "incompatible")]
     soft = [r for r in broken if not r["mandatory"]]
+    extra = sorted(set(df.columns) - {a.name for a in SPEC})
+    ceiling = min(1.0, max(0.0, 1 - ceiling_penalty * len(soft)))
     return {
         "rows": rows,
-        "extra": sorted(set(df.columns) - {a.name for a in SPEC}),
-        "critical_ok": not any(r["mandatory"] for r in broken),
-        "degraded": bool(soft),
-        "ceiling": min(1.0, max(0.0, 1 - ceiling_penalty * len(soft))),
+        "extra": extra,
+        "critical_ok": len(broken) == len(soft),
+        "degraded": bool(broken),
+        "ceiling": ceiling,
+        "counts": {
+            "expected": len(rows),
+            "present": sum(r["state"] != "absent" for r in rows),
+            "mandatory": sum(r["mandatory"] for r in rows),
+            "mandatory_defects": len(broken) - len(soft),
+            "optional_defects": len(soft),
+            "extra": len(extra),
+            "ceiling_percent": round(100 * ceiling),
+        },
     }

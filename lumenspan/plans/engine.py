@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenspan.functions import dims as by
-from lumenspan.functions.scores import LEVELS, Policy
-from lumenspan.functions.stats import DAY_NS, pick_grain
+from lumenspan.functions.scores import LEVELS, Params, parameters
+from lumenspan.functions.stats import DAY_NS, distinct, pick_grain
 from lumenspan.operators import landscape, quality, readiness
 from lumenspan.operators.recast import recast, schema_diff
 from lumenspan.plans import gates as tolerances
 from lumenspan.plans import report, triage
-from lumenspan.plans.spec import KINDS, SPEC
+from lumenspan.plans.spec import SPEC
 from lumenspan.sources.spans import open_spans
 
 log = logging.getLogger(__name__)
@@ -24,26 +25,26 @@ log = logging.getLogger(__name__)
 SCOPES = ("full", "quality")
 
 
-def measure(spans: DataFrame, policy: Policy, grain: str, limits: dict[str, int] | None = None) -> dict[str, DataFrame]:
-    """Every table that the decision needs; all are small, whatever the spans.
+def measure(spans: DataFrame, policy: Params, grain: str, limits: dict[str, int] | None = None) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Every table that the decision needs, all small whatever the spans; and what is kept while they are collected.
 
-    One pass gives the counts of all attributes and one rollup all that concerns traces; both are kept for the tables that
-    share them.
+    One pass gives the counts of all attributes and all sums, and one rollup all that concerns traces; both are kept for the
+    tables that share them.
     """
-    facts, traces = quality.facts(spans).persist(), quality.rollup(spans).persist()
+    facts, traces = quality.facts(spans, *landscape.sums()).persist(), quality.rollup(spans).persist()
     correctness = quality.rates_of(facts, "violation")
     flow = quality.flow(spans, grain).persist()
-    return {
+    tables = {
         "verdict": quality.verdict_of(facts, traces, spans, limits),
         "rejection": quality.rejection_of(traces),
         "assess": readiness.assess(spans, policy, by.agent()),
         "blame": readiness.blame_of(correctness),
-        "overview": landscape.overview(spans),
+        "overview": landscape.overview_of(facts, spans),
         "trace_shape": landscape.shape_of(traces),
         "composition": landscape.composition(spans),
         "degeneracy": landscape.degeneracy(spans),
         "repeats": landscape.repeats(spans),
-        "coverage": landscape.coverage(spans),
+        "coverage": landscape.coverage_of(facts),
         "completeness": quality.rates_of(facts, "missing"),
         "correctness": correctness,
         "violations": quality.sums_of(facts, "violation"),
@@ -55,6 +56,7 @@ def measure(spans: DataFrame, policy: Policy, grain: str, limits: dict[str, int]
         "traffic": landscape.traffic(spans, grain),
         "inflow": readiness.inflow_trend(flow),
     }
+    return tables, [facts, traces, flow]
 
 
 def collect(frames: dict[str, DataFrame]) -> dict[str, list[dict]]:
@@ -66,87 +68,155 @@ def collect(frames: dict[str, DataFrame]) -> dict[str, list[dict]]:
     return out
 
 
-def finalize(level: str, scope: str, policy: Policy, gates: dict[str, tolerances.Tolerance], diff: dict, tables: dict[str, list[dict]], grain: str) -> dict[str, Any]:
+def gathered(spans: DataFrame, policy: Params, grain: str) -> dict[str, list[dict]]:
+    """The rows of all tables; nothing stays in memory on the executors."""
+    tables, kept = measure(spans, policy, grain)
+    try:
+        return collect(tables)
+    finally:
+        for frame in kept:
+            frame.unpersist()
+
+
+def evidence(policy: Params, limits: dict[str, int], diff: dict, tables: dict[str, list[dict]]) -> triage.Evidence:
+    one = {name: rows[0] for name, rows in tables.items() if len(rows) == 1}
+    return triage.Evidence(
+        verdict=one["verdict"] | {"valid": triage.within(one["verdict"], limits)},
+        shape=one["trace_shape"],
+        content=one["degeneracy"],
+        coverage=one["coverage"],
+        overview=one["overview"],
+        rejection=one["rejection"],
+        inflow=one["inflow"],
+        kinds={r["aef_kind"]: r["n"] for r in tables["composition"]},
+        blame=tables["blame"],
+        diff=diff,
+        policy=policy,
+        limits=limits,
+    )
+
+
+def finalize(level: str, scope: str, policy: Params, gates: dict[str, tolerances.Tolerance], diff: dict, tables: dict[str, list[dict]], grain: str) -> dict[str, Any]:
     """The result from the small tables alone, so that tables rolled up elsewhere can be decided on as well."""
     one = {name: rows[0] for name, rows in tables.items() if len(rows) == 1}
-    verdict, shape, overview = one["verdict"], one["trace_shape"], one["overview"]
-    limits = tolerances.resolve(gates, overview["spans"], overview["traces"])
-    verdict = verdict | {"valid": triage.within(verdict, limits)}
-    dropped, kept = one["rejection"]["dropped"], one["rejection"]["kept"]
+    limits = tolerances.resolve(gates, one["overview"]["spans"], one["trace_shape"]["traces"])
+    e = evidence(policy, limits, diff, tables)
     ready = [r["verdict"] for r in tables["assess"]]
-    problems = triage.ordered(
-        triage.structural(shape, one["degeneracy"])
-        + triage.kinds(tables["composition"], shape)
-        + triage.extraction(one["coverage"])
-        + triage.integrity(verdict, dropped, dropped + kept, tables["blame"], policy, limits)
-        + triage.schema(diff)
-        + triage.inflow(one["inflow"]["trend"], one["inflow"]["buckets"])
-    )
-    counts = {r["aef_kind"]: r["n"] for r in tables["composition"]}
-    spans = overview["spans"] or 1
+    problems = triage.problems(e)
+    spans, dialogs = e.overview["spans"], e.shape["dialog_traces"] or 0
+    states = {r["attr"]: r["state"] for r in diff["rows"]}
     found = {
         "schema": diff,
-        "quality": verdict,
-        "criteria": triage.criteria(verdict, dropped, dropped + kept, ready, diff, problems, policy, limits),
+        "quality": e.verdict,
+        "criteria": triage.criteria(e, ready, problems),
         "readiness": tables["assess"],
         "metrics": {
-            "overview": overview,
-            "trace_structure": shape,
-            "content_repetition": one["degeneracy"],
-            "coverage": one["coverage"],
-            "rejection": one["rejection"],
+            "overview": e.overview,
+            "trace_structure": e.shape,
+            "content_repetition": e.content,
+            "coverage": e.coverage,
+            "rejection": e.rejection,
             "trace_consistency": one["trace_consistency"],
-            "policy": {"level": level, "scope": scope, "grain": grain} | vars(policy),
+            "policy": {"level": level, "scope": scope, "grain": grain} | dict(policy),
             "gates": limits,
             "gates_spec": {k: str(v) for k, v in gates.items()},
+            "diagnostic_thresholds": triage.THRESHOLDS,
         },
-        "span_distribution": [{"aef_kind": k, "n": counts.get(k, 0), "share": counts.get(k, 0) / spans} for k in KINDS],
+        "span_distribution": [
+            {"aef_kind": k, "priority": severity, "n": (n := e.kinds.get(k, 0)), "share": triage.ratio(n, spans), "present": n > 0, "state": triage.kind_state(k, n, dialogs), "impact": triage.KIND_LOSS.get(k, "")}
+            for k, severity in triage.KIND_PRIORITY.items()
+        ],
         "attribute_quality": [
-            {"attr": a.name, "mandatory": a.mandatory, "missing": one["completeness"][a.name], "violated": one["correctness"][a.name], "trash": one["contamination"][a.name], "nulls": one["nulls"][a.name]}
+            {
+                "attr": a.name, "mandatory": a.mandatory, "schema": states[a.name], "missing": one["completeness"][a.name], "violated": one["correctness"][a.name],
+                "violations": one["violations"][a.name], "trash": one["contamination"][a.name], "nulls": one["nulls"][a.name], "null_rate": triage.ratio(one["nulls"][a.name], spans),
+            }
             for a in SPEC
             if a.name not in ("service_name", "service_version")
         ],
         "problems": triage.as_dicts(problems),
-    }
-    status = triage.light(scope, verdict, diff, ready, problems, limits)
+    }
+    value = triage.light(scope, e, ready, problems)
+    status = {"value": value, "title": triage.title(scope, value, e.verdict["valid"])}
     return {"status": status, "verdict": found, "report_html": report.document(status, found, tables)}
 
 
-def _stopped(title: str, detail: str, **more: Any) -> dict[str, Any]:
-    found = {"problems": [{"severity": "critical", "title": title, "detail": detail, "criterion": "K1"}]} | more
-    return {"status": "red", "verdict": found, "report_html": report.stopped(title, detail, more.get("schema"))}
+def _stopped(title: str, detail: str) -> dict[str, Any]:
+    return {"status": {"value": "red", "title": title}, "verdict": {"error": detail}, "report_html": report.stopped(title, detail)}
+
+
+def _broken_schema(raw: DataFrame, diff: dict) -> dict[str, Any]:
+    """The result where mandatory columns are absent or of a type that cannot be cast: K1 alone is decided."""
+    agent = F.col("agent_id").cast("string") if "agent_id" in raw.columns else F.lit(None).cast("string")
+    meta = raw.agg(F.count(F.lit(1)).alias("rows"), F.min(agent).alias("agent"), distinct(agent).alias("agents")).first().asDict()
+    title = "schema check failed"
+    detail = ", ".join(r["attr"] for r in diff["rows"] if r["mandatory"] and r["state"] in ("absent", "incompatible"))
+    found = {"schema": diff, "quality": None, "criteria": triage.only_schema(), "readiness": [], "meta": meta}
+    return {"status": {"value": "red", "title": title}, "verdict": found, "report_html": report.stopped(title, f"mandatory attributes: {detail}", found)}
 
 
-def run(spark: SparkSession, spans: Any = None, source_path: str | None = None, significance: str = "C", verdict_scope: str = "full", recast_values: bool = True, **parameters: Any) -> dict[str, Any]:
-    """Check a table of spans and decide on it: ``{status, verdict, report_html}``.
+def run(spark: SparkSession, spans: Any = None, source_path: str | None = None, significance: str = "C", verdict_scope: str = "full", recast_values: bool | str = True, **given: Any) -> dict[str, Any]:
+    """Check a table of spans and decide on it: ``{status: {value, title}, verdict, report_html}``.
 
     Bad parameters, a missing source, a broken schema and an empty table give a red result that says so; nothing is raised
     for them.
     """
     try:
-        if significance not in LEVELS:
+        level, scope = str(significance).strip().upper(), str(verdict_scope or "full").strip().lower()
+        if level not in LEVELS:
             raise ValueError(f"unknown significance level {significance!r}")
-        if verdict_scope not in SCOPES:
+        if scope not in SCOPES:
             raise ValueError(f"unknown verdict scope {verdict_scope!r}")
-        policy = Policy.of(significance, **tolerances.overrides(parameters))
-        gates = tolerances.parse_gates(parameters)
+        policy = parameters(level, **tolerances.overrides(given))
+        gates = tolerances.parse_gates(given)
         raw = open_spans(spark, spans, source_path)
     except Exception as e:  # noqa: BLE001  the caller gets the reason as a result
-        return _stopped("The check could not start", str(e))
-    diff = schema_diff(raw, policy.ceiling_penalty)
+        return _stopped("the check could not start", str(e))
+    diff = schema_diff(raw, policy["ceiling_penalty"])
     if not diff["critical_ok"]:
-        return _stopped("The schema does not follow the specification", ", ".join(r["attr"] for r in diff["rows"] if r["mandatory"] and r["state"] in ("absent", "incompatible")), schema=diff, rows=raw.count())
-    conformed = recast(raw, strict=recast_values)
-    began = landscape.bounds(conformed).first()
+        return _broken_schema(raw, diff)
+    conformed = recast(raw, strict=str(recast_values).strip().lower() in ("true", "1", "yes", "on"))
     if conformed.isEmpty():
-        return _stopped("There are no spans", "the table is empty", schema=diff)
+        return _stopped("there are no spans", "the table is empty")
+    began = landscape.bounds(conformed).first()
     grain = pick_grain(((began["t1_ns"] or 0) - (began["t0_ns"] or 0)) / DAY_NS)
-    return finalize(significance, verdict_scope, policy, gates, diff, collect(measure(conformed, policy, grain)), grain)
+    return finalize(level, scope, policy, gates, diff, gathered(conformed, policy, grain), grain)
+
+
+def judged(raw: DataFrame, level: str) -> Callable[[dict[str, object]], tuple[triage.Evidence, list[str]]]:
+    """Measures raw spans once; gives the evidence and the verdicts of readiness under any tolerances."""
+    policy, diff, conformed = parameters(level), schema_diff(raw), recast(raw)
+    began = landscape.bounds(conformed).first()
+    tables = gathered(conformed, policy, pick_grain(((began["t1_ns"] or 0) - (began["t0_ns"] or 0)) / DAY_NS))
+
+    def under(gates: dict[str, object]) -> tuple[triage.Evidence, list[str]]:
+        limits = tolerances.resolve(tolerances.parse_gates(gates), tables["overview"][0]["spans"], tables["trace_shape"][0]["traces"])
+        return evidence(policy, limits, diff, tables), [r["verdict"] for r in tables["assess"]]
+
+    return under
+
+
+def problems_frame(spark: SparkSession, raw: DataFrame, level: str, **gates: object) -> DataFrame:
+    """The problems of raw spans: name, severity, criteria and whether they affect the verdict."""
+    found = triage.problems(judged(raw, level)(gates)[0])
+    return spark.createDataFrame([(p.name, p.severity, ",".join(p.criteria), p.affects_verdict) for p in found], "name string, severity string, criteria string, affects_verdict boolean")
+
+
+def status_frame(spark: SparkSession, raw: DataFrame, level: str, shares: tuple[str, ...] = ("0%", "100%")) -> DataFrame:
+    """The light of raw spans in every scope, under each tolerance for all gates."""
+    under, rows = judged(raw, level), []
+    for share in shares:
+        e, ready = under(dict.fromkeys(tolerances.GATES, share))
+        found = triage.problems(e)
+        for scope in SCOPES:
+            value = triage.light(scope, e, ready, found)
+            rows.append((share, scope, value, triage.title(scope, value, e.verdict["valid"])))
+    return spark.createDataFrame(rows, "tolerance string, scope string, value string, title string")
 
 
 def criteria_frame(spans: DataFrame, level: str = "E") -> DataFrame:
     """K2 to K6 as rows (code, count, tone) without tolerances, from one plan."""
-    policy = Policy.of(level)
+    policy = parameters(level)
     facts = quality.verdict(spans).crossJoin(quality.rejection(spans).select("dropped", "n"))
     tone = lambda bad, warn: F.when(bad, "bad").when(warn, "warn").otherwise("good")
     none = F.lit(False)
@@ -154,10 +224,10 @@ def criteria_frame(spans: DataFrame, level: str = "E") -> DataFrame:
         ("K2", F.col("blocking_rule_violations"), tone(F.col("blocking_rule_violations") > 0, F.col("advisory_rule_violations") > 0)),
         ("K3", F.col("trace_breaks"), tone(F.col("trace_breaks") > 0, none)),
         ("K4", F.col("duplicate_keys"), tone(F.col("duplicate_keys") > 0, none)),
-        ("K5", F.col("dropped"), tone(F.col("dropped") / F.col("n") > policy.max_loss, none)),
+        ("K5", F.col("dropped"), tone(F.col("dropped") / F.col("n") > policy["max_loss"], none)),
         ("K6", F.col("null_violations"), tone(~F.col("valid"), none)),
     ]
     return facts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("code"), n.cast("long").alias("count"), t.alias("tone")) for c, n, t in lines])).alias("x")).select("x.*")
 
 
-__all__ = ["collect", "criteria_frame", "finalize", "measure", "run"]
+__all__ = ["collect", "criteria_frame", "finalize", "gathered", "measure", "problems_frame", "run", "status_frame"]

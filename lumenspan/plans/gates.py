@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 from decimal import ROUND_CEILING, Decimal
 
-from lumenspan.functions.scores import Policy
+from lumenspan.functions.scores import COMMON, LEVEL_FIELDS
 
 GATES = ("max_nulls", "max_rules", "max_dups", "max_breaks")
 _COUNT, _SHARE = re.compile(r"\d+"), re.compile(r"(\d+(?:\.\d+)?)\s*%")
@@ -51,5 +51,5 @@ def resolve(gates: dict[str, Tolerance], spans: int, traces: int) -> dict[str, i
 
 def overrides(given: dict[str, object]) -> dict[str, float]:
     """The policy parameters among ``given``, as numbers; blank ones are absent."""
-    kinds = {f.name: int if f.name == "window_days" else float for f in fields(Policy)}
+    kinds = {name: int if name == "window_days" else float for name in (*COMMON, *LEVEL_FIELDS) if name != "ceiling_penalty"}
     return {k: kinds[k](v) for k, v in given.items() if k in kinds and v is not None and str(v).strip() != ""}

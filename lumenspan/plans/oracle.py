@@ -272,3 +272,50 @@ SELECT max(span_seq) AS span_seq, count(*) AS n, trace_id, {', '.join(f'sum({n}_
     "span_inflow_trend": f"""{WITH}, t AS (SELECT day, {DISTINCT.format('trace_id')} AS traces FROM f GROUP BY day), i AS (SELECT row_number() OVER (ORDER BY day) AS i, traces FROM t)
 SELECT round(corr(i, traces), 9) AS trend, count(*) AS buckets FROM i""",
 }
+
+
+_KIND_SEVERITY = {k: "critical" for k in ("output_request", "start_agent")} | {"llm": "important"} | {k: "moderate" for k in ("chain", "tool", "retriever", "kafka_produce", "kafka_consume", "other", "guard")}
+_SMALL = {"shape": "span_trace_shape", "content": "span_degeneracy", "cov": "span_coverage", "comp": "span_composition", "v": "span_verdict", "r": "span_rejection", "blame": "span_blame", "trend": "span_inflow_trend"}
+_TABLES = ", ".join(f"{name} AS ({ORACLES[query]})" for name, query in _SMALL.items())
+
+
+def _problems(spans: str, traces: str) -> str:
+    """The problems at level E over the small tables, under tolerances for spans and traces."""
+    mandatory = ", ".join(f"'{n}'" for n in MANDATORY)
+    rules = [
+        ("single_spans", "critical", "K8", "FROM shape WHERE single_share >= 0.9"),
+        ("few_dialogs", "critical", "K8", "FROM shape WHERE dialog_share < 0.05"),
+        ("dominant_pair", "critical", "K8", "FROM content WHERE dominant_share >= 0.5"),
+        *((f"no_{kind}", severity, "K8", f"WHERE NOT EXISTS (FROM comp WHERE aef_kind = '{kind}')") for kind, severity in _KIND_SEVERITY.items()),
+        ("few_llm", "important", "K8", "FROM comp, shape WHERE aef_kind = 'llm' AND n < dialog_traces"),
+        ("http_gap", "moderate", "K2", "FROM cov WHERE http_spans > 0 AND http_gap / http_spans >= 0.5"),
+        ("llm_gap", "moderate", "K2", "FROM cov WHERE llm_spans > 0 AND llm_no_model / llm_spans >= 0.5"),
+        ("rejection", "critical", "K5", "FROM r WHERE dropped / (dropped + kept) > 0.6"),
+        ("worst_attributes", "important", "K2", f"WHERE EXISTS (FROM blame WHERE attr IN ({mandatory}) AND violation_rate >= 0.5)"),
+        ("blocking", "important", "K2", f"FROM v WHERE blocking_rule_violations > {spans}"),
+        ("duplicates", "important", "K4", "FROM v WHERE duplicate_keys > 0"),
+        ("breaks", "important", "K3", "FROM v WHERE trace_breaks > 0"),
+        ("nulls", "important", "K6", f"FROM v WHERE null_violations > {spans}"),
+        ("schema", "moderate", "K1", ""),  # kafka_cluster and meta_tags are left out of the view of events
+        ("inflow", "moderate", "K7", "FROM trend WHERE buckets >= 5 AND trend < -0.3"),
+    ]
+    return " UNION ALL ".join(f"SELECT '{name}' AS name, '{severity}' AS severity, '{code}' AS criteria, {code != 'K8'} AS affects_verdict {rest}" for name, severity, code, rest in rules)
+
+
+def _status() -> str:
+    cases = []
+    for share, spans, traces in (("0%", "0", "0"), ("100%", "(SELECT count(*) FROM events)", "(SELECT traces FROM shape)")):
+        valid = f"(SELECT null_violations <= {spans} AND blocking_rule_violations <= {spans} AND duplicate_keys <= {spans} AND trace_breaks <= {traces} FROM v)"
+        pilot, ready = "EXISTS (FROM assess WHERE verdict IN ('ready', 'pilot'))", "NOT EXISTS (FROM assess WHERE verdict <> 'ready')"
+        for scope in ("full", "quality"):
+            deciding = f"(FROM ({_problems(spans, traces)}) WHERE affects_verdict{'' if scope == 'full' else " AND criteria <> 'K7'"}"
+            red = f"NOT {valid} OR EXISTS {deciding} AND severity = 'critical')" + (f" OR NOT {pilot}" if scope == "full" else "")
+            amber = f"EXISTS {deciding})" + (f" OR NOT {ready}" if scope == "full" else "")  # an advisory violation is always there, and the schema is degraded
+            cases.append(f"SELECT '{share}' AS tolerance, '{scope}' AS scope, CASE WHEN {red} THEN 'red' WHEN {amber} THEN 'amber' ELSE 'green' END AS value, {valid} AS valid")
+    return f"""WITH {_TABLES}, assess AS ({ORACLES['span_assess_by_agent']}), s AS ({' UNION ALL '.join(cases)})
+SELECT tolerance, scope, value, CASE WHEN scope = 'quality' THEN CASE value WHEN 'green' THEN 'quality is confirmed' WHEN 'amber' THEN 'quality with remarks' ELSE 'quality checks failed' END
+  ELSE CASE value WHEN 'green' THEN 'ready for monitoring' WHEN 'amber' THEN 'ready with remarks' ELSE CASE WHEN valid THEN 'not ready for monitoring' ELSE 'quality checks failed' END END END AS title FROM s"""
+
+
+ORACLES["span_problems"] = f"WITH {_TABLES} {_problems('0', '0')}"
+ORACLES["span_status"] = _status()

@@ -9,7 +9,8 @@ from typing import Any
 
 from lumenspan.plans.spec import BY_NAME
 
-TITLES = {"green": "Data can be monitored", "amber": "Data can be used with remarks", "red": "Data cannot be used"}
+#: Blocking attributes that the report lists; the whole table of attributes follows.
+TOP_BLOCKING = 12
 _COLORS = {"green": "#2e7d32", "amber": "#b26a00", "red": "#b3261e", "good": "#2e7d32", "warn": "#b26a00", "bad": "#b3261e", "muted": "#666"}
 _STYLE = "body{font:15px/1.45 sans-serif;max-width:70em;margin:2em auto;padding:0 1em;color:#222}table{border-collapse:collapse;margin:.5em 0 1.5em}th,td{border:1px solid #ccc;padding:.25em .6em;text-align:left;vertical-align:top}th{background:#f3f3f3}.chip{color:#fff;border-radius:.6em;padding:.1em .7em}.bar{background:#4a78b5;height:.8em}svg{background:#fafafa;border:1px solid #ddd}"
 _GLOSSARY = {
@@ -87,39 +88,72 @@ def _page(title: str, body: str) -> str:
     return f'<!doctype html><html lang="en"><head><meta charset="utf-8"><title>{escape(title)}</title><style>{_STYLE}</style></head><body><h1>{escape(title)}</h1>{body}</body></html>'
 
 
-def stopped(title: str, detail: str, diff: dict | None) -> str:
-    return _page(title, f"<p>{_chip('red', 'red')} {escape(detail)}</p>" + (_section("Schema", _schema(diff)) if diff else ""))
+def _criteria(criteria: dict[str, dict]) -> str:
+    return _table(
+        ("criterion", "title", "checks", "result"),
+        ((_Markup(f'<span id="{v["anchor"]}">{code}</span>'), v["title"], v["checks"], _chip(v["result"], v["tone"])) for code, v in criteria.items()),
+    )
+
+
+def _problems(found: list[dict]) -> str:
+    if not found:
+        return "<p>None.</p>"
+    links = lambda p: _Markup(", ".join(f'<a href="#criterion-{c.lower()}">{c}</a>' for c in p["criteria"]) + "".join(f', <a href="#rule-{escape(a)}">{escape(a)}</a>' for a in p["attributes"]))
+    tone = {"critical": "bad", "important": "warn", "moderate": "muted"}
+    return _table(("severity", "problem", "extent", "impact", "action", "criteria"), ((_chip(p["severity"], tone[p["severity"]]), p["title"], p["detail"], p["impact"], p["action"], links(p)) for p in found))
+
+
+def _blocking(attributes: list[dict]) -> str:
+    """The mandatory attributes that are violated, the worst first."""
+    bad = sorted((a for a in attributes if a["mandatory"] and a["violations"]), key=lambda a: (-a["violated"], a["attr"]))
+    if not bad:
+        return "<p>No mandatory attribute is violated.</p>"
+    shown = _table(("attribute", "violations", "share", "", "rule"), ((a["attr"], a["violations"], a["violated"], _bar(a["violated"]), BY_NAME[a["attr"]].rule.text) for a in bad[:TOP_BLOCKING]))
+    return shown + (f"<p>{TOP_BLOCKING} of {len(bad)} attributes.</p>" if len(bad) > TOP_BLOCKING else "")
+
 
+def _dialog_share(traffic: list[dict]) -> list[dict]:
+    return [{"ts": r["ts"], "share": r["dialog_spans"] / max(1, r["dialog_spans"] + r["tech_spans"])} for r in traffic]
 
-def document(status: str, found: dict, tables: dict[str, list[dict]]) -> str:
+
+def stopped(title: str, detail: str, found: dict | None = None) -> str:
+    more = "" if not found else _section("Criteria", _criteria(found["criteria"])) + _section("Data", _pairs(found["meta"])) + _section("Schema", _schema(found["schema"]))
+    return _page(title, f"<p>{_chip('red', 'red')} {escape(detail)}</p>{more}")
+
+
+def document(status: dict, found: dict, tables: dict[str, list[dict]]) -> str:
     metrics, one = found["metrics"], {k: v[0] for k, v in tables.items() if v}
-    overview = metrics["overview"]
-    deciding = [p for p in found["problems"] if p["criterion"] != "K8"]
-    diagnosis = [p for p in found["problems"] if p["criterion"] == "K8"]
-    listed = lambda ps: _table(("severity", "problem", "detail", "criterion"), ((p["severity"], p["title"], p["detail"], p["criterion"]) for p in ps)) if ps else "<p>None.</p>"
-    ready = found["readiness"]
+    overview, ready = metrics["overview"], found["readiness"]
+    seen = {"spans": overview["spans"], "traces": overview["traces"], "sessions": overview["sessions"], "agents": overview["agents"], "from": _when(overview["t0_ns"]), "to": _when(overview["t1_ns"]), "error rate": overview["error_rate"]}
     parts = [
-        f"<p>{_chip(status, status)} significance {escape(metrics['policy']['level'])}, scope {escape(metrics['policy']['scope'])}</p>",
-        _section("Data", _pairs({"spans": overview["spans"], "traces": overview["traces"], "sessions": overview["sessions"], "agents": overview["agents"], "from": _when(overview["t0_ns"]), "to": _when(overview["t1_ns"]), "error rate": overview["error_rate"]})),
-        _section("Criteria", _table(("criterion", "title", "result"), ((c, v["title"], _chip(v["result"], v["tone"])) for c, v in found["criteria"].items()))),
-        _section("Problems", listed(deciding)),
-        _section("Diagnosis", listed(diagnosis)),
+        f"<p>{_chip(status['value'], status['value'])} significance {escape(metrics['policy']['level'])}, scope {escape(metrics['policy']['scope'])}</p>",
+        _section("Data", _pairs(seen)),
+        _section("Criteria", _criteria(found["criteria"])),
+        _section("Problems", _problems([p for p in found["problems"] if p["affects_verdict"]])),
+        _section("Diagnosis", _problems([p for p in found["problems"] if not p["affects_verdict"]])),
         _section("Schema", _schema(found["schema"])),
         _section("Integrity", _pairs(found["quality"]) + _pairs(metrics["rejection"]) + _pairs(metrics["trace_consistency"])),
+        _section("Blocking violations", _blocking(found["attribute_quality"])),
         _section("Readiness", _table(ready[0].keys(), (r.values() for r in ready)) if ready else "<p>None.</p>"),
         _section(
             "Attributes",
             _table(
                 ("attribute", "mandatory", "missing", "violated", "", "trash", "nulls", "rule"),
-                ((a["attr"], a["mandatory"], a["missing"], a["violated"], _bar(a["violated"]), a["trash"], a["nulls"], BY_NAME[a["attr"]].rule.text) for a in found["attribute_quality"]),
+                ((_Markup(f'<span id="rule-{a["attr"]}">{a["attr"]}</span>'), a["mandatory"], a["missing"], a["violated"], _bar(a["violated"]), a["trash"], a["nulls"], BY_NAME[a["attr"]].rule.text) for a in found["attribute_quality"]),
             ),
         ),
-        _section("Kinds", _table(("kind", "spans", "share", ""), ((k["aef_kind"], k["n"], k["share"], _bar(k["share"])) for k in found["span_distribution"]))),
+        _section("Kinds", _table(("kind", "spans", "share", "", "priority", "state", "lost without it"), ((k["aef_kind"], k["n"], k["share"], _bar(k["share"]), k["priority"], k["state"], k["impact"]) for k in found["span_distribution"]))),
         _section("Traces", _pairs(metrics["trace_structure"]) + _pairs(metrics["content_repetition"]) + _pairs(metrics["coverage"])),
         _section("Repeats", _table(("kind", "name", "spans", "inputs", "outputs"), ((r["aef_kind"], r["span_name"], r["n"], r["uniq_in"], r["uniq_out"]) for r in tables["repeats"]))),
         _section("Values", _quantiles(one["distribution"])),
-        _section("Dynamics", _chart("Traces", tables["flow"], {"traces": "#4a78b5"}) + _chart("Validity and defects", tables["flow"], {"validity": "#2e7d32", "defect": "#b3261e"}) + _chart("Dialog and other spans", tables["traffic"], {"dialog_spans": "#4a78b5", "tech_spans": "#999"})),
-        _section("Policy", _pairs(metrics["policy"]) + _pairs(metrics["gates"])),
+        _section(
+            "Dynamics",
+            _chart("Traces", tables["flow"], {"traces": "#4a78b5"})
+            + _chart("Validity and defects", tables["flow"], {"validity": "#2e7d32", "defect": "#b3261e"})
+            + _chart("Dialog and other spans", tables["traffic"], {"dialog_spans": "#4a78b5", "tech_spans": "#999"})
+            + _chart("Share of dialog spans", _dialog_share(tables["traffic"]), {"share": "#4a78b5"}),
+        ),
+        _section("Policy", _pairs(metrics["policy"]) + _pairs(metrics["gates"]) + _pairs(metrics["diagnostic_thresholds"])),
         _section("Terms", _pairs(_GLOSSARY)),
     ]
-    return _page(TITLES[status], "".join(parts))
+    return _page(status["title"].capitalize(), "".join(parts))

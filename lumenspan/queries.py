@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenspan.functions import dims as by
-from lumenspan.functions.scores import Policy
+from lumenspan.functions.scores import parameters
 from lumenspan.functions.stats import total
 from lumenspan.operators import landscape, quality, readiness
 from lumenspan.operators.recast import recast
-from lumenspan.plans.engine import criteria_frame
+from lumenspan.plans.engine import criteria_frame, problems_frame, status_frame
 from lumenspan.sources.spans import event_spans
 
 
@@ -31,7 +31,7 @@ def _dynamics(spans: DataFrame) -> DataFrame:
     return found.groupBy("trace_id").agg(F.max("span_seq").alias("span_seq"), F.count(F.lit(1)).alias("n"), *per)
 
 
-_E = Policy.of("E")
+_E = parameters("E")
 
 #: name: (operator over conformed spans, places to which its fractions are rounded)
 _OVER_SPANS: dict[str, tuple[Callable[[DataFrame], DataFrame], int]] = {
@@ -74,6 +74,8 @@ def _query(operator: Callable[[DataFrame], DataFrame], places: int) -> Callable[
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "span_criteria": lambda spark, sf_dir: criteria_frame(_spans(spark, sf_dir)),
+    "span_problems": lambda spark, sf_dir: problems_frame(spark, event_spans(spark, sf_dir), "E"),
+    "span_status": lambda spark, sf_dir: status_frame(spark, event_spans(spark, sf_dir), "E"),
     "span_recast": _spans,
     "span_cast_only": lambda spark, sf_dir: recast(event_spans(spark, sf_dir), strict=False),
 } | {name: _query(*spec) for name, spec in _OVER_SPANS.items()}

@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 
 from lumenspan.functions import dims as by
 from lumenspan.functions.rules import PATTERNS
-from lumenspan.functions.scores import Policy
-from lumenspan.functions.stats import GRAINS, bucket, correlation, pick_grain, varies
+from lumenspan.functions import scores, stats
+from lumenspan.functions.scores import parameters
+from lumenspan.functions.stats import GRAINS, bucket, correlation, pick_grain, total, varies
 from lumenspan.operators import landscape, quality, readiness
 from lumenspan.operators.recast import recast, schema_diff
 from lumenspan.plans import engine, triage
@@ -97,7 +98,9 @@ def test_schema_states(spark):
     states = {r["attr"]: r["state"] for r in diff["rows"]}
     assert (states["trace_id"], states["start_time_ns"], states["llm_model"], states["span_id"]) == ("ok", "converted", "incompatible", "absent")
     assert diff["extra"] == ["other"] and not diff["critical_ok"] and diff["ceiling"] == 0.0
-    assert schema_diff(spark.createDataFrame([], SCHEMA)) | {"rows": 0} == {"rows": 0, "extra": [], "critical_ok": True, "degraded": False, "ceiling": 1.0}
+    clean = schema_diff(spark.createDataFrame([], SCHEMA))
+    assert clean["counts"] == {"expected": 46, "present": 46, "mandatory": 13, "mandatory_defects": 0, "optional_defects": 0, "extra": 0, "ceiling_percent": 100}
+    assert clean["critical_ok"] and not clean["degraded"] and clean["extra"] == []
 
 
 def test_null_trace_is_one_trace_and_counts_add_up(spark):
@@ -154,17 +157,17 @@ def test_correlation_of_a_constant_is_null(spark):
 
 
 def test_assess_with_one_bucket_has_neutral_dynamics(spark):
-    got = readiness.assess(frame(spark, {}, {"trace_id": "T2"}), Policy.of("E")).first()
+    got = readiness.assess(frame(spark, {}, {"trace_id": "T2"}), parameters("E")).first()
     assert (got.trend, got.stability, got.worst_rule_attr, got.verdict, got.reason) == (0.0, 1.0, "—", "not_ready", "too few traces")
 
 
 def test_last_of_equally_bad_rules_is_named(spark):
-    got = readiness.assess(frame(spark, {"trace_id": "bad!", "agent_id": "x"}), Policy.of("E")).first()
+    got = readiness.assess(frame(spark, {"trace_id": "bad!", "agent_id": "x"}), parameters("E")).first()
     assert (got.worst_rule_attr, got.worst_rule_rate) == ("agent_id", 1.0)
 
 
 def test_null_agent_comes_first(spark):
-    got = readiness.assess(frame(spark, {}, {"trace_id": "T2", "agent_id": None}), Policy.of("E"), by.agent()).collect()
+    got = readiness.assess(frame(spark, {}, {"trace_id": "T2", "agent_id": None}), parameters("E"), by.agent()).collect()
     assert [r.agent_id for r in got] == [None, "CI1"] and got[0].readiness is None
 
 
@@ -199,7 +202,6 @@ def test_operators_on_no_spans(spark):
     none = frame(spark)
     assert quality.verdict(none).first()["valid"] and landscape.overview(none).first().spans == 0
     assert landscape.trace_shape(none).first().traces == 0 and quality.flow(none, "1d").isEmpty() and readiness.blame(none).isEmpty()
-    assert landscape.dialog_share(landscape.traffic(none, "1d")).isEmpty()
 
 
 @pytest.mark.parametrize(("given", "rows", "count"), [(None, 9, 0), ("5", 9, 5), ("0.1%", 1001, 2), ("0.1 %", 1000, 1), ("100%", 7, 7), (3, 9, 3)])
@@ -214,17 +216,17 @@ def test_bad_tolerances(given):
 
 
 def test_policy_levels_and_overrides():
-    assert Policy.of("A").min_eff_traces == 1e6 and Policy.of("E", **overrides({"max_loss": "0.1", "ready_at": ""})).max_loss == 0.1
+    assert parameters("A")["min_eff_traces"] == 1e6 and parameters("E", **overrides({"max_loss": "0.1", "ready_at": ""}))["max_loss"] == 0.1
     with pytest.raises(ValueError):
-        Policy.of("Z")
+        parameters("Z")
     with pytest.raises(ValueError):
-        Policy.of("A", nothing=1)
+        parameters("A", nothing=1)
 
 
 def test_scores_stay_in_their_range(spark):
-    policy = Policy.of("C")
+    policy = parameters("C")
     df = spark.createDataFrame([(0.0, 0.0, -1.0), (1e12, 1.0, 1.0)], "n double, q double, t double")
-    low, high = df.select(policy.volume(F.col("n")), policy.acceleration(F.col("t"), F.col("q"), F.col("n")), policy.quality_product(F.col("q"), F.col("q"), F.col("q"))).collect()
+    low, high = df.select(scores.volume_score(policy, F.col("n")), scores.accel_score(policy, F.col("t"), F.col("q"), F.col("n")), scores.quality_product(policy, validity=F.col("q"), presence=F.col("q"), retention=F.col("q"))).collect()
     assert all(0 <= x <= 1 for r in (low, high) for x in r) and high[0] > 0.99 and low[0] < 0.01
 
 
@@ -232,21 +234,164 @@ def test_engine_results(spark, tmp_path):
     spans = frame(spark, *[{"trace_id": f"T{i}", "start_time_ns": i * DAY // 4, "end_time_ns": i * DAY // 4 + 1} for i in range(8)])
     path = str(tmp_path / "spans")
     spans.write.parquet(path)
-    got = engine.run(spark, source_path=path, significance="E", verdict_scope="quality")
+    got = engine.run(spark, source_path=path, significance=" e ", verdict_scope="Quality")
     assert got["verdict"]["quality"]["valid"] and set(got["verdict"]["criteria"]) == set(triage.CRITERIA)
     assert len(got["verdict"]["attribute_quality"]) == 44 and len(got["verdict"]["span_distribution"]) == 11
-    assert got["status"] == "green" and "<svg" in got["report_html"]
+    assert got["status"] == {"value": "green", "title": "quality is confirmed"} and "<svg" in got["report_html"]
+    assert {p["name"] for p in got["verdict"]["problems"]} >= {"single_spans", "dominant_pair", "no_llm", "no_guard"} and not any(p["affects_verdict"] for p in got["verdict"]["problems"])
+    for text in ("Share of dialog spans", "No mandatory attribute is violated", 'id="criterion-k8"', 'href="#criterion-k8"', "The calls of the model cannot be seen."):
+        assert text in got["report_html"]
     assert scan(spark, path).count() == 8
     strict = engine.run(spark, spans.withColumn("agent_id", F.lit("x")), significance="E", max_rules="100%")
-    assert strict["verdict"]["criteria"]["K2"]["tone"] == "warn" and strict["status"] == "red"
+    assert strict["verdict"]["criteria"]["K2"]["tone"] == "warn" and strict["status"] == {"value": "red", "title": "not ready for monitoring"}
+    assert "agent_id: 8 of 8 spans (100.0%)" in strict["report_html"] and 'href="#rule-agent_id"' in strict["report_html"]
 
 
 def test_engine_never_raises_for_bad_input(spark):
-    assert engine.run(spark)["status"] == "red"
-    assert engine.run(spark, frame(spark))["verdict"]["problems"][0]["title"] == "There are no spans"
-    assert engine.run(spark, frame(spark, {}).drop("trace_id"))["verdict"]["rows"] == 1
-    assert engine.run(spark, frame(spark, {}), max_nulls="0.5")["status"] == "red"
-    assert engine.run(spark, frame(spark, {}), verdict_scope="none")["status"] == "red"
+    assert engine.run(spark)["status"] == {"value": "red", "title": "the check could not start"}
+    empty = engine.run(spark, frame(spark))
+    assert empty["status"]["title"] == "there are no spans" and empty["verdict"] == {"error": "the table is empty"}
+    broken = engine.run(spark, frame(spark, {}, {"agent_id": None}).drop("trace_id"))
+    assert broken["verdict"]["meta"] == {"rows": 2, "agent": "CI1", "agents": 2} and broken["verdict"]["quality"] is None
+    assert [v["result"] for v in broken["verdict"]["criteria"].values()] == ["violated"] + ["not computed"] * 7
+    assert engine.run(spark, frame(spark, {}).drop("agent_id"))["verdict"]["meta"]["agents"] == 1
+    assert engine.run(spark, frame(spark, {}), max_nulls="0.5")["status"]["value"] == "red"
+    assert engine.run(spark, frame(spark, {}), verdict_scope="none")["status"]["value"] == "red"
+
+
+def evidence(**changes):
+    """Evidence without any problem, with some of its rows changed."""
+    rows = {
+        "verdict": {"null_violations": 0, "blocking_rule_violations": 0, "duplicate_keys": 0, "trace_breaks": 0, "advisory_rule_violations": 0, "valid": True},
+        "shape": {"traces": 100, "singles": 0, "single_share": 0.0, "dialog_share": 1.0, "dialog_traces": 100},
+        "content": {"dominant_n": 1, "dominant_share": 0.001},
+        "coverage": {"http_spans": 100, "http_gap": 0, "llm_spans": 100, "llm_no_model": 0, "llm_no_tokens": 0},
+        "overview": {"spans": 1000, "unique_records": 1000},
+        "rejection": {"dropped": 0, "kept": 100},
+        "inflow": {"buckets": 10, "trend": 0.0},
+        "kinds": dict.fromkeys(KINDS, 100),
+        "diff": {"critical_ok": True, "degraded": False, "counts": {"optional_defects": 0, "extra": 0}},
+    }
+    policy, limits, blame = parameters("E"), dict.fromkeys(("max_nulls", "max_rules", "max_dups", "max_breaks"), 0) | changes.pop("limits", {}), changes.pop("blame", [])
+    return triage.Evidence(**{k: v | changes.get(k, {}) for k, v in rows.items()}, blame=blame, policy=policy, limits=limits)
+
+
+BLAMED = [{"attr": "span_id", "violation_rate": 0.5}, {"attr": "trace_id", "violation_rate": 0.5}, {"attr": "llm_model", "violation_rate": 0.9}, {"attr": "agent_id", "violation_rate": 0.1}]
+
+
+@pytest.mark.parametrize(
+    ("changes", "name", "severity", "criteria"),
+    [
+        ({"shape": {"single_share": 0.9, "singles": 90}}, "single_spans", "critical", "K8"),
+        ({"shape": {"dialog_share": 0.049, "dialog_traces": 4}}, "few_dialogs", "critical", "K8"),
+        ({"content": {"dominant_share": 0.5, "dominant_n": 500}}, "dominant_pair", "critical", "K8"),
+        *(({"kinds": {k: 0}}, f"no_{k}", triage.KIND_PRIORITY[k], "K8") for k in KINDS if k != "input_request"),
+        ({"kinds": {"llm": 99}}, "few_llm", "important", "K8"),
+        ({"coverage": {"http_gap": 50}}, "http_gap", "moderate", "K2"),
+        ({"coverage": {"llm_no_model": 50}}, "llm_gap", "moderate", "K2"),
+        ({"rejection": {"dropped": 61, "kept": 39}}, "rejection", "critical", "K5"),
+        ({"blame": BLAMED}, "worst_attributes", "important", "K2"),
+        ({"blame": BLAMED[2:], "verdict": {"blocking_rule_violations": 100}}, "blocking", "important", "K2"),
+        ({"verdict": {"duplicate_keys": 1}, "limits": {"max_dups": 9}}, "duplicates", "important", "K4"),
+        ({"verdict": {"trace_breaks": 1}, "limits": {"max_breaks": 9}}, "breaks", "important", "K3"),
+        ({"verdict": {"null_violations": 1}}, "nulls", "important", "K6"),
+        ({"diff": {"degraded": True, "counts": {"optional_defects": 2, "extra": 1}}}, "schema", "moderate", "K1"),
+        ({"inflow": {"trend": -0.31}}, "inflow", "moderate", "K7"),
+    ],
+)
+def test_each_rule_finds_its_problem_alone(changes, name, severity, criteria):
+    (found,) = triage.problems(evidence(**changes))
+    assert (found.name, found.severity, found.criteria, found.affects_verdict) == (name, severity, (criteria,), criteria != "K8")
+    assert found.detail and found.impact and found.action
+
+
+@pytest.mark.parametrize(
+    "changes",
+    [
+        {}, {"kinds": {"input_request": 0}}, {"shape": {"single_share": 0.89}}, {"coverage": {"http_gap": 49, "llm_no_model": 49, "llm_no_tokens": 100}}, {"rejection": {"dropped": 60, "kept": 40}},
+        {"verdict": {"null_violations": 5, "blocking_rule_violations": 5, "advisory_rule_violations": 70}, "blame": BLAMED[2:], "limits": {"max_nulls": 5, "max_rules": 5}},
+        {"inflow": {"trend": None}}, {"inflow": {"trend": -0.9, "buckets": 4}}, {"kinds": {"llm": 100, "TRASH": 4}},
+    ],
+)
+def test_no_rule_finds_what_is_in_order(changes):
+    assert triage.problems(evidence(**changes)) == []
+
+
+def test_worst_attributes_are_one_problem_in_order():
+    (found,) = triage.problems(evidence(blame=BLAMED))
+    assert found.attributes == ("span_id", "trace_id") and found.detail == "span_id: 500 of 1,000 spans (50.0%); trace_id: 500 of 1,000 spans (50.0%)"
+    assert [p.name for p in triage.problems(evidence(blame=BLAMED, kinds={"llm": 0, "guard": 0}, rejection={"dropped": 90, "kept": 10}))] == ["rejection", "no_llm", "worst_attributes", "no_guard"]
+
+
+@pytest.mark.parametrize(
+    ("changes", "readiness", "full", "quality"),
+    [
+        ({}, ["ready"], "green", "green"),
+        ({}, ["ready", "pilot"], "amber", "green"),
+        ({}, ["not_ready"], "red", "green"),
+        ({}, [], "red", "green"),
+        ({"kinds": {"llm": 0, "start_agent": 0}}, ["ready"], "green", "green"),
+        ({"coverage": {"http_gap": 50}}, ["ready"], "amber", "amber"),
+        ({"inflow": {"trend": -0.5}}, ["ready"], "amber", "green"),
+        ({"diff": {"degraded": True}}, ["ready"], "amber", "amber"),
+        ({"verdict": {"advisory_rule_violations": 1}}, ["ready"], "amber", "amber"),
+        ({"verdict": {"blocking_rule_violations": 60}, "limits": {"max_rules": 100}, "blame": [{"attr": "agent_id", "violation_rate": 0.6}]}, ["ready"], "amber", "amber"),
+        ({"verdict": {"blocking_rule_violations": 101}, "limits": {"max_rules": 100}}, ["ready"], "red", "red"),
+        ({"verdict": {"trace_breaks": 1}}, ["ready"], "red", "red"),
+        ({"rejection": {"dropped": 70, "kept": 30}}, ["ready"], "red", "red"),
+    ],
+)
+def test_light(changes, readiness, full, quality):
+    e = evidence(**changes)
+    assert [triage.light(scope, e, readiness, triage.problems(e)) for scope in ("full", "quality")] == [full, quality]
+
+
+def test_titles_and_tones():
+    assert [triage.title("full", v, valid) for v, valid in (("green", True), ("amber", True), ("red", True), ("red", False))] == ["ready for monitoring", "ready with remarks", "not ready for monitoring", "quality checks failed"]
+    e = evidence(verdict={"blocking_rule_violations": 3, "duplicate_keys": 1}, limits={"max_rules": 5}, kinds={"guard": 0})
+    tones = {k: v["tone"] for k, v in triage.criteria(e, ["pilot"], triage.problems(e)).items()}
+    assert tones == {"K1": "good", "K2": "warn", "K3": "good", "K4": "bad", "K5": "good", "K6": "bad", "K7": "warn", "K8": "muted"}
+
+
+def test_rejection_over_a_computed_key_and_with_another_aggregate(spark):
+    spans = frame(spark, {"trace_id": "T1", "session_id": "a1"}, {"trace_id": "T2", "session_id": "a2", "agent_id": "x"}, {"trace_id": "T3", "session_id": "b1"})
+    family = by.Dim("family", F.substring("session_id", 1, 1))
+    got = quality.rejection(spans, over=family, agg=total).first()
+    assert (got.n, got.dropped_rate, got.dropped, got.kept) == (2, 1, 1, 1)
+    assert sorted((r.trace_id, r.rejected) for r in quality.tagged(spans, family).collect()) == [("T1", True), ("T2", True), ("T3", False)]
+
+
+@pytest.mark.parametrize(("few", "sketch"), [(1_000_000, 100_000), (1_000, 500)])
+def test_quantiles_equal_the_exact_aggregate(spark, monkeypatch, few, sketch):
+    monkeypatch.setattr(stats, "FEW", few)
+    monkeypatch.setattr(stats, "SKETCH", sketch)
+    df = spark.range(20_000).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 7 > 0, F.pow(F.rand(1) * 10, F.lit(3)).cast("long")).alias("a"), (F.rand(2) * 1e15).cast("long").alias("b"), F.lit(None).cast("long").alias("none"))
+    df = df.withColumn("k", F.nullif("k", F.lit(2))).cache()
+    levels, signals = (0.0, 0.25, 0.5, 0.95, 1.0), {c: F.col(c) for c in ("a", "b", "none")}
+    for keys in ([], [F.col("k")]):
+        got = sorted((r.asDict() for r in stats.quantiles(df, keys, signals, levels).collect()), key=lambda r: (r.get("k") is None, r.get("k")))
+        want = df.groupBy(*keys).agg(*[F.percentile(c, F.array(*map(F.lit, levels))).alias(c) for c in signals]).collect()
+        for g, w in zip(got, sorted(want, key=lambda r: (r.asDict().get("k") is None, r.asDict().get("k")))):
+            assert [g[f"{c}__q{round(q * 100):02d}"] for c in ("a", "b") for q in levels] == pytest.approx([*w.a, *w.b], rel=1e-12) and g["none__q50"] is None
+    assert stats.quantiles(df.limit(0), [], signals, levels).first().a__q50 is None
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_hold_no_map_of_values_and_ship_no_texts(spark, sf):
+    spans = recast(event_spans(spark, sf))
+    assert "percentile(" not in _plan(quality.distribution(spans)) + _plan(landscape.trace_shape(spans))
+    assert "Window" not in _plan(quality.tagged(spans))
+    for found in (landscape.overview(spans), landscape.degeneracy(spans), landscape.repeats(spans)):
+        moved = [line for line in _plan(found).splitlines() if "Exchange" in line]
+        assert moved and not any("input_text" in line and "distinct" not in line for line in moved if "hashpartitioning(aef_kind" not in line)
+
+
+def test_digests_tell_nulls_and_boundaries_apart(spark):
+    rows = [("a", None), (None, "a"), ("a", ""), ("", "a"), ("ab", "c"), ("a", "bc"), (None, None), ("a", None)]
+    assert spark.createDataFrame(rows, "x string, y string").select(stats.digest(F.col("x"), F.col("y"))).distinct().count() == 7
 
 
 def test_handed_over_spans_win_over_a_path(spark):
