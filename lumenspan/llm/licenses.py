@@ -1,27 +1,37 @@
-"""Licence scans: lines compared to licence notices by the Dice coefficient over word bigrams.
+"""Licence scans: lines and passages compared to licence wordings by the Dice coefficient over word bigrams.
 
-Text is normalised to lower-case letters, digits and dots. A template of n bigrams can only reach a coefficient of d with
-lines of between ``n d / (2 - d)`` and ``n (2 - d) / d`` bigrams, so a line meets only the templates whose size
-bounds hold its own size; the set of templates is fixed and small, so they lie in the plan as an array and nothing is joined.
+Text is normalised to lower-case letters, digits and dots. A wording of n distinct bigrams can only reach a coefficient of d with
+``n d / (2 - d)`` to ``n (2 - d) / d`` bigrams, so a line meets only the notices whose size bounds hold its own size.
 
-Licence texts, headers, titles and identifiers (``PASSAGES``) and the notices themselves are also looked for inside lines and
-across them, in windows of words about as long as the template.
+All wordings (notices, titles, identifiers, headers and the whole licence texts of ``licence_texts``) are also looked for inside
+lines and across them: a wording is tried where the text has the least number of its bigrams that a match needs, over
+all windows of words that begin and end with one of them and have at most ``(2 - d) / d`` times its words. From each place the
+best window counts. The wording that the text has most bigrams of goes first, and of one wording the best window; a passage that lies by
+half or more in matched lines and passages taken before is the same place.
 
-Defined results: null and empty texts have no match; a line with less than two words has one bigram, the line itself;
-of equally good templates the first by name counts; repeated lines count each; an empty table gives an empty result.
+The wordings are few and fixed; they travel with the tasks as numbers, and no row meets another one. Work is a pass over a text's
+words; windows are only formed where a wording has enough of its bigrams.
+
+Defined results: null and empty texts have no match; a line with less than two words matches nothing; of equally good
+wordings the first by name counts; repeated lines and passages count each, and repeated rows alike; very long texts are read
+whole; other columns are not read, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Iterator
+from functools import cache
+from importlib.resources import files
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenspan.llm._common import whole
 
 DICE = 0.7
-WINDOWS = "array<struct<far: double, name: string, start: int, size: int>>"
 
 #: Short licence notices in their usual wording, by SPDX identifier.
 TEMPLATES = {
@@ -81,28 +91,26 @@ PASSAGES = [
 ]
 
 
+_WORDS = re.compile(r"[a-z0-9.]+")
+
+
 def words_of(text: str) -> list[str]:
-    words = "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789." else " " for c in text.lower()).split()
-    return [w for w in (x.strip(".") for x in words) if w]
+    return [w for w in (x.strip(".") for x in _WORDS.findall(text.lower())) if w]
 
 
 def bigrams(text: str) -> list[str]:
-    """The distinct word bigrams of a template; the same as of a line."""
+    """The distinct word bigrams of a wording; the same as of a line."""
     words = words_of(text)
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])} or ({words[0]} if words else set()))
 
 
-def line_words(line: Column) -> Column:
-    return F.filter(F.transform(F.split(F.regexp_replace(F.lower(line), "[^a-z0-9.]+", " "), " "), lambda w: F.regexp_replace(w, r"^\.+|\.+$", "")), lambda w: w != "")
-
-
-def word_bigrams(words: Column) -> Column:
-    """``words`` is a lambda variable, so that it is not computed again for every pair."""
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
-    return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(words)
+@cache
+def licence_texts() -> list[tuple[str, str]]:
+    """(SPDX identifier, whole text) of the licences that lie beside this module; read on the driver alone."""
+    return sorted((f.name.removesuffix(".txt"), f.read_text(encoding="utf-8")) for f in files("lumenspan.llm").joinpath("licence_texts").iterdir() if f.name.endswith(".txt"))
 
 
-def size_bounds(n: int, dice: float = DICE) -> tuple[float, float]:
+def size_bounds(n: int | np.ndarray, dice: float = DICE) -> tuple[float, float] | tuple[np.ndarray, np.ndarray]:
     return n * dice / (2 - dice), n * (2 - dice) / dice
 
 
@@ -129,93 +137,131 @@ FROM documents LEFT JOIN a USING (doc_id)
 """
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value as a lambda variable, so that it is computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def passages(words: Column, dice: float, templates: dict[str, str]) -> Column:
-    """Windows of words, across lines, that reach ``dice``: far, name, start and size; ``words`` is a lambda variable.
-
-    A window starts at a bigram of the template and has its number of words, three quarters or five quarters of it. A template
-    of n bigrams is only tried where the text has the ``n d / (2 - d)`` of them at least that a match needs.
-    """
-    wordings = [(name, words_of(text), bigrams(text)) for name, text in [*sorted(templates.items()), *PASSAGES]]
-    none = F.array().cast(WINDOWS)
-    every = sorted({g for *_, part in wordings for g in part})
-
-    def tried(pairs: Column, name: str, own: list[str], part: list[str]) -> Column:
-        grams = F.array(*map(F.lit, part))
-
-        def reached(starts: Column, size: int) -> Column:
-            def window(start: Column) -> Column:
-                def rated(inside: Column) -> Column:
-                    far = -(2.0 * F.size(F.array_intersect(inside, grams))) / (F.size(inside) + len(part))
-                    return F.struct(far.alias("far"), F.lit(name).alias("name"), start.alias("start"), F.least(F.lit(size), F.size(pairs) + 1 - start).alias("size"))
-
-                return bound(F.array_distinct(F.slice(pairs, start + 1, size - 1)), rated)
-
-            return F.filter(F.transform(starts, window), lambda x: x["far"] <= -dice)
-
-        starts = F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), lambda i: F.array_contains(grams, F.get(pairs, i)))
-        sizes = sorted({max(2, round(len(own) * x)) for x in (0.75, 1, 1.25)})
-        return bound(starts, lambda at: F.concat(*[reached(at, size) for size in sizes]))
-
-    def windows(pairs: Column, hits: Column) -> Column:
+class Wordings:
+    """Notices for lines, and all wordings for passages, as numbers of words and bigrams."""
+
+    def __init__(self, notices: dict[str, str], passages: list[tuple[str, str]], dice: float = DICE):
+        self.dice = dice
+        self.names: list[str] = []
+        self.words: dict[str, int] = {}
+        parts: list[set[tuple[int, int]]] = []
+        self.lengths: list[int] = []
+        for name, text in [*sorted(notices.items()), *passages]:
+            words = [self.words.setdefault(w, len(self.words)) for w in words_of(text)]
+            self.names.append(name)
+            self.lengths.append(len(words))
+            parts.append(set(zip(words, words[1:])))
+        self.n_notices = len(notices)
+        self.sizes = np.array([len(p) for p in parts])
+        self.low, self.high = size_bounds(self.sizes, dice)
+        rows = sorted((a * len(self.words) + b, t) for t, part in enumerate(parts) for a, b in part)
+        codes, self.holder = (np.array(x, np.int64) for x in zip(*rows))
+        self.codes, start = np.unique(codes, return_index=True)
+        self.start = np.append(start, len(codes))
+
+    def _hits(self, ids: np.ndarray) -> np.ndarray:
+        """The number among the wordings' bigrams of each bigram, or -1."""
+        code = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * len(self.words) + ids[1:], -1)
+        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return np.where(self.codes[at] == code, at, -1)
+
+    def _common(self, hits: np.ndarray) -> np.ndarray:
+        """How many of the distinct bigrams each wording has."""
+        own = np.unique(hits)
+        holders = [self.holder[self.start[g] : self.start[g + 1]] for g in own]
+        return np.bincount(np.concatenate(holders), minlength=len(self.sizes))
+
+    def matches(self, text: str) -> list[tuple[float, str]]:
+        """(coefficient, name) of all lines and passages."""
+        lines = [words_of(line) for line in text.split("\n")]
+        ends = np.cumsum([len(x) for x in lines])
+        words = [w for x in lines for w in x]
+        if len(words) < 2:
+            return []
+        get = self.words.get
+        hits = self._hits(np.array([get(w, -1) for w in words], np.int64))
+        places = np.flatnonzero(hits >= 0)
+        if not len(places):
+            return []
+        taken, found = np.zeros(len(words), bool), []
+        line = np.searchsorted(ends, places, "right")
+        inside = places + 1 < ends[line]  # the bigram does not cross the line's end
+        for i in np.unique(line[inside]) if self.n_notices else ():
+            own = lines[i]
+            common, size = self._common(hits[places[inside & (line == i)]])[: self.n_notices], len(set(zip(own, own[1:])))
+            fits = (self.low[: self.n_notices] <= size) & (size <= self.high[: self.n_notices])
+            score = np.where(fits, (2.0 * common) / (size + self.sizes[: self.n_notices]), 0.0)
+            best = int(score.argmax())  # the first by name of equal ones
+            if score[best] >= self.dice:
+                found.append((float(score[best]), self.names[best]))
+                taken[ends[i] - len(own) : ends[i]] = True
+        return found + self._passages(words, hits, places, taken)
+
+    def _passages(self, words: list[str], hits: np.ndarray, places: np.ndarray, taken: np.ndarray) -> list[tuple[float, str]]:
+        enough = np.flatnonzero(self._common(hits[places]) >= self.low)
+        if not len(enough):
+            return []
+        numbers: dict[tuple[str, str], int] = {}
+        pair = np.array([numbers.setdefault(p, len(numbers)) for p in zip(words, words[1:])])
+        order = np.argsort(pair, kind="stable")
+        before = np.full(len(pair), -1)  # where the bigram occurred last
+        again = pair[order][1:] == pair[order][:-1]
+        before[order[1:][again]] = order[:-1][again]
+        # the wording of which the text has most goes first, of one wording the best window
+        by_wording = [sorted(self._windows(int(t), hits, places, before), key=lambda w: (-w[1], w[3])) for t in enough]
+        by_wording = sorted((ws for ws in by_wording if ws), key=lambda ws: (-max(w[0] for w in ws), -ws[0][1], ws[0][2]))
+        windows = [w for ws in by_wording for w in ws]
         found = []
-        for name, own, part in wordings:
-            enough = F.size(F.array_intersect(hits, F.array(*map(F.lit, part)))) >= size_bounds(len(part), dice)[0]
-            found.append(F.when(enough, tried(pairs, name, own, part)).otherwise(none))
-        return F.array_sort(F.concat(*found))
-
-    pairs = F.when(F.size(words) > 1, F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i))))
-    return F.coalesce(bound(pairs, lambda p: bound(F.array_intersect(p, F.array(*map(F.lit, every))), lambda h: F.when(F.size(h) > 1, windows(p, h)))), none)
+        starts, stops = (np.array([w[3] + (w[4] if end else 0) for w in windows], np.int64) for end in (False, True))
+        open_ = np.ones(len(windows), bool)
+        while True:
+            lies = np.append(0, np.cumsum(taken))
+            open_ &= 2 * (lies[stops] - lies[starts]) < stops - starts
+            if not open_.any():
+                return found
+            first = int(open_.argmax())
+            found.append((windows[first][1], windows[first][2]))
+            taken[starts[first] : stops[first]] = True
+
+    def _windows(self, t: int, hits: np.ndarray, places: np.ndarray, before: np.ndarray) -> Iterator[tuple[int, float, str, int, int]]:
+        """(common bigrams, coefficient, name, first word, words) of the best window from each place of a wording's bigrams."""
+        held = np.zeros(len(self.codes), bool)
+        held[np.repeat(np.arange(len(self.codes)), np.diff(self.start))[self.holder == t]] = True
+        own = places[held[hits[places]]]
+        mine = np.zeros(len(hits), bool)
+        mine[own] = True
+        most = int(self.lengths[t] * (2 - self.dice) / self.dice)
+        # a match needs low bigrams within most words, so that most places need no closer look
+        reach = np.searchsorted(own, own + most) - np.arange(len(own))
+        for start in own[reach >= self.low[t]]:
+            part = slice(start, start + most - 1)
+            new = before[part] < start
+            common, size = np.cumsum(new & mine[part]), np.cumsum(new)
+            score = np.where(mine[part], (2.0 * common) / (size + self.sizes[t]), 0.0)
+            best = int(score.argmax())
+            if score[best] >= self.dice:
+                yield int(common[best]), float(score[best]), self.names[t], int(start), best + 2
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dice: float = DICE, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """One row per document: id, licenses (distinct names found, sorted), n_matches (lines and passages), best_license and best_dice.
-
-    Passages are taken from the best down; one that lies by half or more in a matched line or in a better passage is the same place.
-    """
-    parts = {name: bigrams(text) for name, text in sorted(templates.items())}
-
-    def nearest(grams: Column) -> Column:
-        found = []
-        for name, part in parts.items():
-            low, high = size_bounds(len(part), dice)
-            common = F.size(F.array_intersect(grams, F.array(*map(F.lit, part))))
-            near = F.when(F.size(grams).between(low, high), (2.0 * common) / (F.size(grams) + len(part)))
-            found.append(F.struct((-near).alias("far"), F.lit(name).alias("name")))
-        return F.array_min(F.filter(F.array(*found), lambda x: x["far"] <= -dice))
-
-    def added(lines: Column, matched: Column, windows: Column) -> Column:
-        """The windows that are places of their own."""
-        line_of = F.flatten(F.transform(lines, lambda ws, i: F.array_repeat(i, F.size(ws))))
-
-        def own(kept: Column, x: Column, at: Column) -> Column:
-            in_line = F.size(F.filter(F.slice(at, x["start"] + 1, x["size"]), lambda i: F.array_contains(matched, i)))
-            inside = F.exists(kept, lambda k: 2 * (F.least(k["start"] + k["size"], x["start"] + x["size"]) - F.greatest(k["start"], x["start"])) >= x["size"])
-            return F.when((2 * in_line >= x["size"]) | inside, kept).otherwise(F.concat(kept, F.array(x)))
-
-        return bound(line_of, lambda at: F.aggregate(windows, F.array().cast(WINDOWS), lambda kept, x: own(kept, x, at)))
-
-    def found(lines: Column) -> Column:
-        near = F.transform(F.transform(lines, word_bigrams), lambda g, i: F.struct(nearest(g).alias("match"), i.alias("line")))
-        hits = F.filter(near, lambda m: m["match"].isNotNull())
-        windows = bound(F.flatten(lines), lambda words: passages(words, dice, templates))
-
-        def joined(hits: Column, windows: Column) -> Column:
-            extra = F.when(F.size(windows) > 0, added(lines, F.transform(hits, lambda m: m["line"]), windows)).otherwise(windows)
-            return F.concat(F.transform(hits, lambda m: m["match"]), F.transform(extra, lambda x: F.struct(x["far"].alias("far"), x["name"].alias("name"))))
-
-        return bound(hits, lambda h: bound(windows, lambda w: joined(h, w)))
-
-    matches = bound(F.transform(F.split(whole(docs[text_col]), "\n"), line_words), found)
-    rows = docs.select(docs[id_col].alias("_id"), matches.alias("_matches"))
-    return rows.select(
-        F.col("_id").alias(id_col),
-        F.array_join(F.array_sort(F.array_distinct(F.col("_matches.name"))), ",").alias("licenses"),
-        F.size("_matches").cast("long").alias("n_matches"),
-        F.array_min("_matches")["name"].alias("best_license"),
-        (-F.array_min("_matches")["far"]).alias("best_dice"),
-    )
+    """One row per document: id, licenses (distinct names found, sorted), n_matches (lines and passages), best_license and best_dice."""
+    wordings = Wordings(templates, [*sorted(templates.items()), *PASSAGES, *licence_texts()], dice)
+
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [wordings.matches(t) for t in batch.column("text").to_pylist()]
+            best = [min(((-d, n) for d, n in x), default=(None, None)) for x in found]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    pa.array([",".join(sorted({n for _, n in x})) for x in found], pa.string()),
+                    pa.array([len(x) for x in found], pa.int64()),
+                    pa.array([n for _, n in best], pa.string()),
+                    pa.array([None if d is None else -d for d, _ in best], pa.float64()),
+                ],
+                ["id", "licenses", "n_matches", "best_license", "best_dice"],
+            )
+
+    rows = docs.select(docs[id_col].alias("id"), whole(docs[text_col]).alias("text"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    return rows.mapInArrow(scanned, f"id {kind}, licenses string, n_matches long, best_license string, best_dice double").withColumnRenamed("id", id_col)
