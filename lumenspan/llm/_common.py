@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 
-#: Rows up to which a table of one row per source, language or licence is broadcast.
-BROADCAST_ROWS = 20_000
+#: Rows and bytes up to which a table of one row per source, language or label is broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 20_000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,11 +80,13 @@ def fold(doc_id: str, mod: int) -> Column:
 
 
 def join_small(big: DataFrame, small: DataFrame, on: Column, how: str = "left") -> DataFrame:
-    """Join with a small table: broadcast once its counted rows are under the bound.
+    """Join with a small table: broadcast once its counted rows and bytes are under the bounds.
 
-    Beyond the bound Spark's own join runs, where adaptive execution splits skewed keys of ``big``.
+    Beyond the bounds Spark's own join runs, where adaptive execution splits skewed keys of ``big``.
     ``small`` should be a written table, so that counting costs next to nothing.
     """
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    size = F.sum(F.octet_length(F.to_json(F.struct(*small.columns))))
+    rows, held = small.limit(BROADCAST_ROWS + 1).agg(F.count("*"), size).first()
+    if rows <= BROADCAST_ROWS and (held or 0) <= BROADCAST_BYTES:
         small = F.broadcast(small)
     return big.join(small, on, how)

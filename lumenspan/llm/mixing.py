@@ -4,9 +4,13 @@ Tokens are summed by source, water-filling turns weights and caps into targets,
 floor(rate) times plus once more if its own hash-seeded coin, whose chance is the fraction, says so. No document is
 shuffled for that: only the sums by source meet, and the small table of rates comes back to the documents.
 
+Water-filling looks along all sources in order, one row each, in one task: sources may be many thousands, but not as many as
+documents.
+
 Defined results: null text has size 0; null source is a source of its own, last in order; a source without tokens
-has target 0 and its documents are not taken; rows with the same id toss the same coin, so reruns agree; an empty table
-gives an empty result; extra columns pass through ``mix`` untouched.
+has target 0 and its documents are not taken; sources with equal ratios of cap and weight fill in the order of their names; rows with
+the same id toss the same coin, so reruns agree and repeated rows are taken alike; very long texts are read whole; an empty table
+gives an empty result; extra columns pass through ``mix`` untouched, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,8 +9,9 @@ It is fitted on a sample of at most ``TRAIN_DOCS`` labelled rows (in expectation
 results, whose size depends on ``WIDTH`` and ``RANK`` alone. Every document, whole, is scored.
 
 Defined results: null or empty text has the bias and its structure features only; labels other than 0 and 1 or null
-are left out, as are documents labelled both ways; without training rows every score is 0.5; an empty table gives an
-empty result.
+are left out, as are documents labelled both ways or without an id; without training rows every score is 0.5; repeated rows and ties
+score alike, and each repeated labelled row counts in training; very long texts are read whole; the columns to keep are
+packed into ``row`` and may have any names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -19,6 +19,11 @@ from tests.llm.helpers import docs, odd_rows, prose
 SF01 = "/root/testdata/sf0.01"
 
 
+def test_marks_belong_to_words():
+    grams = set(langid.gram_counts("नमस्ते")[0].tolist())
+    assert sum(ord(c) << langid.BITS * (2 - i) for i, c in enumerate("स्त")) in grams
+
+
 def test_language_held_out_accuracy(spark):
     got = QUERIES["op2_language_id"](spark, SF01).join(table(spark, SF01, "documents").select("doc_id", "lang"), "doc_id").filter("held_out and lang is not null")
     right, score = got.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.min("score")).first()
@@ -52,6 +57,9 @@ def test_language_on_odd_rows(spark):
     profiles = langid.learn(train)
     got = {r.doc_id: r.lang_pred for r in langid.predict(docs(spark, [*odd_rows(), (30, "12 !! 3"), (31, "und ist der")]), profiles, F.lit(False)).collect()}
     assert got[1] == got[2] == got[3] == got[30] == "und" and got[31] == "de"
+    twice = langid.predict(docs(spark, [(40, "und ist"), (40, "und ist"), (41, "qq")]), profiles, F.lit(False)).collect()
+    # repeated rows alike; a text that is as far from both languages gets the first by name
+    assert [r.lang_pred for r in twice] == ["de", "de", "de"] and twice[0] == twice[1] and twice[2].score == 0.5
     assert langid.predict(docs(spark, []), profiles, F.lit(True)).isEmpty()
     nothing = langid.learn(docs(spark, []))
     assert langid.predict(train, nothing, F.lit(False)).filter("lang_pred <> 'und' or score <> 0").isEmpty()
