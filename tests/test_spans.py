@@ -166,6 +166,11 @@ def test_last_of_equally_bad_rules_is_named(spark):
     assert (got.worst_rule_attr, got.worst_rule_rate) == ("agent_id", 1.0)
 
 
+def test_worst_rows_are_mandatory_attributes_of_half_the_spans(spark):
+    spans = frame(spark, {"agent_id": "x", "llm_model": "m"}, {"span_id": "S2", "session_id": None, "llm_model": "m"}, {"span_id": "S3", "agent_id": "x", "llm_model": "m"})
+    assert [r.attr for r in readiness.worst_rows(readiness.blame(spans)).collect()] == ["agent_id"]
+
+
 def test_null_agent_comes_first(spark):
     got = readiness.assess(frame(spark, {}, {"trace_id": "T2", "agent_id": None}), parameters("E"), by.agent()).collect()
     assert [r.agent_id for r in got] == [None, "CI1"] and got[0].readiness is None
