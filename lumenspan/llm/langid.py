@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenspan.llm._common import join_small, written
+from lumenspan.llm._common import discard, join_small, written
 from lumenspan.llm.mixing import coin
 
 PROFILE = 400
@@ -95,7 +95,9 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     counts = sample.select("lang", "text").mapInArrow(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")) - 1
     top = counts.withColumn("rank", rank).filter(F.col("rank") < PROFILE)
-    return Profiles([(r.lang, r.gram, r["rank"]) for r in top.collect()])
+    found = Profiles([(r.lang, r.gram, r["rank"]) for r in top.collect()])
+    discard(sizes)
+    return found
 
 
 def predict(docs: DataFrame, profiles: Profiles, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

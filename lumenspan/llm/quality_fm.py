@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenspan.llm._common import join_small, row_schema, whole, written
+from lumenspan.llm._common import discard, join_small, row_schema, whole, written
 from lumenspan.llm.mixing import coin
 
 TRAIN_DOCS = 12_000
@@ -167,7 +167,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not total:
         return Machine()
     chosen = known.filter(coin(F.col("_id"), "fm") * total < TRAIN_DOCS)
-    chosen = written(chosen, "fm-chosen").withColumnRenamed("_id", "_of")
+    chosen = written(chosen.withColumnRenamed("_id", "_of"), "fm-chosen")
     rows = join_small(docs.select(docs[id_col].alias("_id"), *_inputs(docs, text_col, chars_col)), chosen, F.col("_id") == F.col("_of"), "inner").drop("_of")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,10 +185,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         fitted = _shard_fit(machine, turn)
         parts = sorted(sample.groupBy("shard").applyInArrow(fitted, "shard int, n long, w0 double, w binary, v binary").collect(), key=lambda r: r.shard)
         if not parts:
-            return machine
+            break
         share = np.array([r.n for r in parts], np.float64) / sum(r.n for r in parts)
         mean = lambda name, like: sum(s * np.frombuffer(r[name], np.float32).reshape(like.shape) for s, r in zip(share, parts)).astype(np.float32)
         machine = Machine(float(sum(s * r.w0 for s, r in zip(share, parts))), mean("w", machine.w), mean("v", machine.v))
+    discard(chosen, sample)
     return machine
 
 

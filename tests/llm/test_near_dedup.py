@@ -219,6 +219,18 @@ def test_pipeline_stages_keep_clean_documents(spark, sf):
         assert stage(spark, kept.limit(0), sf).isEmpty() and stage(spark, kept, sf).columns == start.columns
 
 
+def test_pipeline_on_odd_rows_and_none(spark, tmp_path):
+    labels = spark.createDataFrame([(4, 1, 0), (6, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    for name, rows in (("odd", odd_rows()), ("none", [])):
+        folder = str(tmp_path / name)
+        docs(spark, rows).write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        got = corpus_pipeline.run(spark, folder).collect()
+        classes = {f for f, _ in brute_classes(rows)} if rows else set()
+        assert {r.doc_id for r in got} <= {r[0] for r in rows} and (not rows or 0 < len({r.doc_id for r in got}) <= len(classes))
+        assert all(r.n_tokens == len(r.ids) for r in got)
+
+
 def test_query_is_one_row_per_document(spark, sf):
     got = QUERIES["op1_minhash"](spark, sf)
     assert got.count() == table(spark, sf, "documents").count() == got.select("doc_id").distinct().count()
