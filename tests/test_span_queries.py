@@ -21,6 +21,7 @@ def test_entry_registers_queries_and_oracles(spark):
 
 
 def test_entry_stands_without_the_training_data_queries(tmp_path):
+    import os
     import shutil
     import subprocess
     import sys
@@ -31,7 +32,7 @@ def test_entry_stands_without_the_training_data_queries(tmp_path):
         copy = shutil.copytree if (root / name).is_dir() else shutil.copy
         copy(root / name, tmp_path / name)
     code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(n.startswith('op') for n in e.queries()))"
-    run = lambda: subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True).stdout.split()
+    run = lambda: subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True).stdout.split()
     assert run() == [str(len(QUERIES)), str(len(ORACLES)), "False"]  # without corpus_pipeline.py
     shutil.rmtree(tmp_path / "lumenspan" / "llm", ignore_errors=True)
     assert run() == [str(len(QUERIES)), str(len(ORACLES)), "False"]
