@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenspan.llm import exact_dedup, langid, licenses, lm, minhash, mixing, piece_codec, quality_fm, quality_rules, toxicity
+from lumenspan.llm import conversations, exact_dedup, langid, licenses, lm, minhash, mixing, piece_codec, quality_fm, quality_rules, toxicity, vector_codes
 from lumenspan.llm._common import fold, table
 
 
@@ -74,6 +74,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes(table(spark, sf_dir, "embeddings"))
+
+
 def quality_rules_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10 at a risk that small tables have labels enough for."""
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), alpha=LENIENT)
@@ -92,6 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_quality_classifier,
         op10_quality_rules,
+        op11_conversation_repair,
+        op13_vector_codes,
         quality_rules_lenient,
     )
 }
