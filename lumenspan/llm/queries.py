@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenspan.llm import conversations, exact_dedup, langid, licenses, lm, minhash, mixing, piece_codec, quality_fm, quality_rules, toxicity, vector_codes
+from lumenspan.llm import conversations, exact_dedup, langid, licenses, lm, minhash, mixing, piece_codec, quality_fm, quality_rules, suffix_dedup, toxicity, vector_codes
 from lumenspan.llm._common import fold, table
 
 
@@ -78,6 +78,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.codes(table(spark, sf_dir, "embeddings"))
 
@@ -101,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_classifier,
         op10_quality_rules,
         op11_conversation_repair,
+        op12_suffix_dedup,
         op13_vector_codes,
         quality_rules_lenient,
     )
