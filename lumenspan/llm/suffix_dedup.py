@@ -43,8 +43,8 @@ from lumenspan.llm.lm import _pack, _planes, _texts, _unpack, _unplanes
 LENGTH, GRAM = 50, 20
 MOST = 32  # windows of a segment
 HOT = 128  # segments of a family, summed over blocks
-RANGE_BYTES = 12_000_000  # of text a range of keys
-BATCH = 1 << 21  # symbols that are sorted at once
+RANGE_BYTES = 4_000_000  # of text a range of keys
+BATCH = 1 << 20  # symbols that are sorted at once
 PART = 1 << 20  # bytes of text that are cut at once
 LAST = (1 << 63) - 1  # stands for a null id
 
