@@ -377,8 +377,12 @@ def _met(part: pa.Table) -> pa.Table:
     several &= size[one] > 0  # members without bytes are equal if their family is
     lows = np.repeat(least, n)
     if several.any():
-        sorted_ = one[several]
-        lows[np.repeat(several, n)] = string_lows(text[places(from_[sorted_], size[sorted_])], size[sorted_], least[several], f[several])
+        # families of like length in one batch, as a batch takes as many steps as its longest needs
+        own = np.flatnonzero(several)
+        _, of = np.unique(f[own], return_inverse=True)
+        own = own[np.lexsort((of, np.bincount(of, size[one[own]])[of]))]
+        sorted_ = one[own]
+        lows[places((np.cumsum(n) - n)[own], n[own])] = string_lows(text[places(from_[sorted_], size[sorted_])], size[sorted_], least[own], f[own])
 
     upto = np.cumsum(n)
     new = np.r_[True, lows[1:] != lows[:-1]]
