@@ -59,8 +59,8 @@ def digest(*columns: Column) -> Column:
     return F.unhex(F.md5(F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)]))))
 
 
-#: Rank error of a sketch, as a share of its values, and values up to which all are ranked.
-SKETCH, FEW = 100_000, 1_000_000
+#: Size of a sketch of quantiles, four times the rank error that such a sketch keeps with 99 %, and the cells that the values in a bracket are dealt into.
+SKETCH, MARGIN, CELLS = 8192, 0.0027, 1024
 
 
 def _column(signal: str, level: float) -> str:
@@ -70,67 +70,97 @@ def _column(signal: str, level: float) -> str:
 def sketched(df: DataFrame, keys: list[Column], signals: dict[str, Column], levels: Sequence[float]) -> DataFrame:
     """Approximate quantiles by keys from bounded sketches, as ``quantiles``."""
     at = F.array(*map(F.lit, levels))
-    body = [F.percentile_approx(c.cast("double"), at, F.lit(SKETCH)).alias(name) for name, c in signals.items()]
+    body = [F.percentile_approx(c.cast("double"), at, F.lit(100_000)).alias(name) for name, c in signals.items()]
     found = df.groupBy(*keys).agg(*body) if keys else df.agg(*body)
     names = [c for c in found.columns if c not in signals]
     return found.select(*names, *[F.get(name, F.lit(i)).alias(_column(name, q)) for name in signals for i, q in enumerate(levels)])
 
 
-def quantiles(df: DataFrame, keys: list[Column], signals: dict[str, Column], levels: Sequence[float], nearest: bool = False) -> DataFrame:
-    """Exact quantiles by keys: columns ``signal__qNN``, linear between neighbours or the value at the nearest place.
+def quantiles(df: DataFrame, keys: list[Column], signals: dict[str, Column], levels: Sequence[float], nearest: Sequence[float] = ()) -> DataFrame:
+    """Exact quantiles by keys: columns ``signal__qNN``, linear between neighbours or, for levels in ``nearest``, the value at the nearest place.
 
-    Sketches first bracket the places that are asked for, or all values where they are ``FEW``. A second pass counts what lies
-    under each bracket and keeps only the values inside, counted by value; their running count leads to the places. So no task holds
-    all values: a bracket of many has a ten-thousandth of them.
+    A first pass sketches every signal; the sketch brackets the places that are asked for. In a second pass each value falls into a bracket or
+    a gap between brackets. Gaps are only counted; values in a bracket are counted by value and dealt into ``CELLS`` cells in order. Running counts of
+    the cells are exact places, so that it shows which cell holds a place, and only such cells are searched: no task holds all values. A place
+    that turns out to lie in a gap was missed by its bracket: its keys go through once more with a bracket around all values.
     """
+    levels = sorted(levels)
     names = [f"_{i}" for i in range(len(signals))]
     wide = df.select(*keys, *[c.cast("double").alias(n) for n, c in zip(names, signals.values())])
     by = [c for c in wide.columns if c not in names]
-    margin = 5 / SKETCH
-    around = F.array(*[F.lit(min(1.0, max(0.0, q + side * margin))) for q in levels for side in (-1, 1)])
-    sketch = [F.struct(F.count(n).alias("n"), F.min(n).alias("least"), F.max(n).alias("most"), F.percentile_approx(n, around, F.lit(SKETCH)).alias("at")).alias(f"{n}s") for n in names]
-    sketches = wide.groupBy(*by).agg(*sketch) if by else wide.agg(*sketch)
-
-    def brackets(n: str) -> Column:
-        s = F.col(f"{n}s")
-        many = F.array(*[F.struct(F.get(s["at"], F.lit(2 * i)).alias("low"), F.get(s["at"], F.lit(2 * i + 1)).alias("high")) for i in range(len(levels))])
-        return F.when(s["n"] < FEW, F.array(F.struct(s["least"].alias("low"), s["most"].alias("high")))).otherwise(many)
-
-    def held(k: int, n: str) -> Column:
-        """The brackets that a value of the signal lies in."""
-        inside = lambda b, i: F.when(F.col(n).between(b["low"], b["high"]), F.struct(F.lit(k).alias("signal"), i.alias("bracket"), F.col(n).alias("value")))
-        return F.array_compact(F.transform(F.col(f"{n}b"), inside))
-
-    sides = sketches.select(*by, *[F.col(f"{n}s.n").alias(f"{n}n") for n in names], *[brackets(n).alias(f"{n}b") for n in names])
-    placed = same(wide, sides.select(*by, *[f"{n}b" for n in names]), by)
-    below = [F.count_if(F.col(n) < F.get(f"{n}b", F.lit(i))["low"]).alias(f"{n}u{i}") for n in names for i in range(len(levels))]
-    under = placed.groupBy(*by).agg(*below) if by else placed.agg(*below)
-    kept = placed.select(*by, F.inline(F.flatten(F.array(*[held(k, n) for k, n in enumerate(names)]))))
-    counted = kept.groupBy(*by, "signal", "bracket", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = counted.withColumn("to", F.sum("n").over(Window.partitionBy(*by, "signal", "bracket").orderBy("value")))
-
-    def asked(k: int, n: str, i: int, q: float) -> Column:
-        few = F.col(f"{n}n") < FEW
-        place = F.lit(float(q)) * (F.col(f"{n}n") - 1)
-        place = F.round(place) if nearest else place
-        return F.struct(F.lit(k).alias("signal"), F.lit(i).alias("level"), F.when(few, 0).otherwise(i).alias("bracket"), place.alias("place"), F.when(few, F.lit(0)).otherwise(F.col(f"{n}u{i}")).alias("under"))
-
-    places = same(sides.drop(*[f"{n}b" for n in names]), under, by).select(*by, F.inline(F.array(*[asked(k, n, i, q) for k, n in enumerate(names) for i, q in enumerate(levels)])))
-    low, high = (f("place").cast("long") - F.col("under") for f in (F.floor, F.ceil))
-    met = same(places, ranked, by, "signal", "bracket", where=lambda: ((low < F.col("to")) & (low >= F.col("to") - F.col("n"))) | ((high < F.col("to")) & (high >= F.col("to") - F.col("n"))))
-    found = met.groupBy(*by, "signal", "level", "place").agg(F.min("value").alias("lower"), F.max("value").alias("upper"))
-    between = (F.ceil("place") - F.col("place")) * F.col("lower") + (F.col("place") - F.floor("place")) * F.col("upper")
-    values = found.withColumn("value", F.when(F.col("lower") == F.col("upper"), F.col("lower")).otherwise(between))
-    cells = [F.max(F.when((F.col("signal") == k) & (F.col("level") == i), F.col("value"))).alias(_column(name, q)) for k, name in enumerate(signals) for i, q in enumerate(levels)]
-    return values.groupBy(*by).agg(*cells) if by else values.agg(*cells)
-
-
-def same(left: DataFrame, right: DataFrame, keys: list[str], *more: str, where: Callable[[], Column] | None = None) -> DataFrame:
-    """``left`` with the columns of ``right`` where ``keys``, null being a value, the columns ``more`` and a condition agree; without
-    any of them one row of ``right`` meets all."""
-    names = [*keys, *more]
-    other = right.select(*[F.col(c).alias(f"{c}_of") for c in names], *[c for c in right.columns if c not in names])
-    conditions = [left[c].eqNullSafe(other[f"{c}_of"]) for c in keys] + [left[c] == other[f"{c}_of"] for c in more] + ([where()] if where else [])
-    if not conditions:
+    found = _selected(wide, by, names, brackets(wide, by, names, levels), len(levels), levels, nearest)
+    missed = " OR ".join(f"({n}n > 0 AND {n}q{i} IS NULL)" for n in names for i in range(len(levels)))
+    again = found.filter(missed).select(*by, F.lit(True).alias("again"))
+    rest = same(wide, again, by, how="inner").drop("again")
+    second = _selected(rest, by, names, whole_range(rest, by, names), 1, levels, nearest)
+    cells = [f"{n}q{i}" for n in names for i in range(len(levels))]
+    both = same(found, second.selectExpr(*[f"`{c}`" for c in by], *[f"{c} AS {c}b" for c in cells]), by)
+    return both.selectExpr(*[f"`{c}`" for c in by], *[f"coalesce({n}q{i}, {n}q{i}b) AS `{_column(s, q)}`" for s, n in zip(signals, names) for i, q in enumerate(levels)])
+
+
+def _grouped(df: DataFrame, by: list[str], body: list[Column]) -> DataFrame:
+    return df.groupBy(*by).agg(*body) if by else df.agg(*body)
+
+
+def brackets(wide: DataFrame, by: list[str], names: list[str], levels: Sequence[float]) -> DataFrame:
+    """By keys for every signal the bracket of each level, from one sketch a signal."""
+    body = [F.struct(F.count(n).alias("n"), F.kll_sketch_agg_double(n, F.lit(SKETCH)).alias("sketch")).alias(n) for n in names]
+
+    def bracket(n: str, q: float) -> str:
+        low, high = (f"kll_sketch_get_quantile_double({n}.sketch, {min(1.0, max(0.0, q + m))!r}D)" for m in (-MARGIN, MARGIN))
+        return f"if({n}.n > 0, named_struct('low', {low}, 'high', {high}), NULL)"
+
+    return _grouped(wide, by, body).selectExpr(*[f"`{c}`" for c in by], *[f"array({', '.join(bracket(n, q) for q in levels)}) AS {n}b" for n in names])
+
+
+def whole_range(wide: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    return _grouped(wide, by, [F.array(F.struct(F.min(n).alias("low"), F.max(n).alias("high"))).alias(f"{n}b") for n in names])
+
+
+def _selected(wide: DataFrame, by: list[str], names: list[str], bounds: DataFrame, most: int, levels: Sequence[float], nearest: Sequence[float]) -> DataFrame:
+    """By keys: for every signal its values ``n`` and the quantile of each level ``q``, null where it lies outside the ``most`` brackets."""
+    placed = same(wide, bounds, by)
+
+    lines = [F.when(F.col(n).isNotNull(), F.struct(F.lit(k).alias("signal"), F.col(n).alias("v"), F.col(f"{n}b").alias("b"))) for k, n in enumerate(names)]
+    each = placed.select(*by, F.inline(F.array_compact(F.array(*lines))))
+    # the place among gaps (even) and brackets (odd), in order
+    brackets_of = [F.get("b", F.lit(i)) for i in range(most)]
+    at = F.lit(2 * most)
+    for i in reversed(range(most)):
+        at = F.when(F.col("v") < brackets_of[i]["low"], 2 * i).when(F.col("v") <= brackets_of[i]["high"], 2 * i + 1).otherwise(at)
+    held = each.withColumn("at", at).withColumn("x", F.get("b", F.floor(F.col("at") / 2).cast("int"))).withColumn("value", F.when(F.col("at") % 2 == 1, F.col("v")))
+    cell = F.when(F.col("value").isNotNull(), F.coalesce(F.width_bucket("v", F.col("x.low"), F.col("x.high"), F.lit(CELLS)), F.lit(0)))
+    long = held.select(*by, "signal", "at", cell.cast("long").alias("cell"), "value")
+    counted = long.groupBy(*by, "signal", "at", "cell", "value").agg(F.count(F.lit(1)).alias("n"))
+    cells = counted.groupBy(*by, "signal", "at", "cell").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("value", "n"))).alias("held"))
+    every = Window.partitionBy(*by, "signal")
+    ranked = cells.select("*", F.sum("n").over(every.orderBy("at", "cell")).alias("to"), F.sum("n").over(every).alias("total"))
+
+    def asked(i: int, q: float) -> Column:
+        place = F.lit(float(q)) * (F.col("total") - 1)
+        return F.struct(F.lit(i).alias("level"), (F.round(place) if q in nearest else place).alias("place"))
+
+    inside = lambda place: (place < F.col("to")) & (place >= F.col("to") - F.col("n"))
+    places = F.filter(F.array(*[asked(i, q) for i, q in enumerate(levels)]), lambda a: inside(F.floor(a["place"])) | inside(F.ceil(a["place"])))
+    met = ranked.select(*by, "signal", "total", (F.col("to") - F.col("n")).alias("under"), "to", "n", "held", F.explode(places).alias("a")).select("*", "a.level", "a.place")
+
+    def value(place: Column) -> Column:
+        """The value at a place of the cell."""
+        state = F.struct(F.col("under").alias("to"), F.lit(None).cast("double").alias("value"))
+        step = lambda s, x: F.struct((s["to"] + x["n"]).alias("to"), F.when((s["to"] <= place) & (place < s["to"] + x["n"]), x["value"]).otherwise(s["value"]).alias("value"))
+        return F.when(inside(place), F.aggregate("held", state, step)["value"])
+
+    found = met.groupBy(*by, "signal", "total", "level", "place").agg(F.max(value(F.floor("place"))).alias("low"), F.max(value(F.ceil("place"))).alias("high"))
+    between = (F.ceil("place") - F.col("place")) * F.col("low") + (F.col("place") - F.floor("place")) * F.col("high")
+    told = found.withColumn("value", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between))
+    body = [F.expr(f"max(if(signal = {k}, total, NULL)) AS {n}n") for k, n in enumerate(names)]
+    body += [F.expr(f"max(if(signal = {k} AND level = {i}, value, NULL)) AS {n}q{i}") for k, n in enumerate(names) for i in range(len(levels))]
+    return _grouped(told, by, body)
+
+
+def same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """``left`` with the columns of ``right`` where ``keys`` agree, null being a value; without keys the one row of ``right``, if any, meets all."""
+    other = right.select(*[F.col(c).alias(f"{c}_of") for c in keys], *[c for c in right.columns if c not in keys])
+    if not keys:
         return left.crossJoin(F.broadcast(other))
-    return left.join(other, reduce(and_, conditions), "left").drop(*[f"{c}_of" for c in names])
+    return left.join(other, reduce(and_, [left[c].eqNullSafe(other[f"{c}_of"]) for c in keys]), how).drop(*[f"{c}_of" for c in keys])

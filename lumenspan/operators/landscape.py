@@ -74,12 +74,9 @@ def shape_of(traces: DataFrame, exact: bool = True) -> DataFrame:
         total(F.col("dialog")).alias("dialog_traces"),
     )
     signals = {"spans": F.col("spans"), "dur": F.col("dur_ms")}
-    if exact:
-        middle, far = quantiles(per, [], signals, (0.5,)), quantiles(per, [], {"dur": F.col("dur_ms")}, (0.95,), nearest=True)
-    else:
-        middle, far = sketched(per, [], signals, (0.5,)), sketched(per, [], {"dur": F.col("dur_ms")}, (0.95,))
+    levels = (0.5, 0.95)
     # one row each
-    one = counts.crossJoin(middle).crossJoin(far)
+    one = counts.crossJoin(quantiles(per, [], signals, levels, nearest=(0.95,)) if exact else sketched(per, [], signals, levels))
     return one.select(
         "traces", "singles", "single_share", F.col("spans__q50").alias("spans_median"), "spans_max", "dialog_share", "dialog_traces", F.col("dur__q50").alias("dur_ms_median"), F.col("dur__q95").alias("dur_ms_p95")
     )

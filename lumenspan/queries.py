@@ -21,7 +21,7 @@ def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rounded(df: DataFrame, places: int = 9) -> DataFrame:
-    return df.select(*[F.round(c, places).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
+    return df.selectExpr(*[f"round(`{c}`, {places}) AS `{c}`" if kind == "double" else f"`{c}`" for c, kind in df.dtypes])
 
 
 def _dynamics(spans: DataFrame) -> DataFrame:
