@@ -198,21 +198,3 @@ def flow(spans: DataFrame, grain: str) -> DataFrame:
         .agg(distinct(F.col("trace_id")).alias("traces"), (1 - F.avg(flags.share(flags.violation, MANDATORY))).alias("validity"), F.avg(flags.share(flags.violation, SPEC)).alias("defect"))
         .orderBy(F.col("ts").asc_nulls_first())
     )
-
-
-def dynamics(spans: DataFrame, window: int = 10) -> DataFrame:
-    """The spans with their place in the trace and, for four signals, the value, running sum, running mean and rolling mean."""
-    order = Window.partitionBy("trace_id").orderBy(F.col("start_time_ns").asc_nulls_first(), F.col("span_id").asc_nulls_first())
-    so_far, recent = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(1 - window, 0)
-    out = spans.withColumns(
-        {
-            "span_seq": F.count("span_id").over(so_far),
-            "missing": flags.across(flags.missing, SPEC),
-            "invalid": flags.across(flags.violation, SPEC),
-            "duration": F.col("end_time_ns") - F.col("start_time_ns"),
-            "error": flags.is_error().cast("long"),
-        }
-    )
-    signals = ("missing", "invalid", "duration", "error")
-    out = out.withColumns({f"{s}__cum": F.when(F.col(s).isNotNull(), F.sum(s).over(so_far)) for s in signals} | {f"{s}__roll{window}": F.avg(s).over(recent) for s in signals})
-    return out.withColumns({f"{s}__mean": F.try_divide(F.col(f"{s}__cum"), F.col("span_seq")) for s in signals})

@@ -274,6 +274,7 @@ SELECT round(corr(i, traces), 9) AS trend, count(*) AS buckets FROM i""",
 }
 
 
+ORACLES["span_dynamics_in_blocks"] = ORACLES["span_dynamics"]
 _KIND_SEVERITY = {k: "critical" for k in ("output_request", "start_agent")} | {"llm": "important"} | {k: "moderate" for k in ("chain", "tool", "retriever", "kafka_produce", "kafka_consume", "other", "guard")}
 _SMALL = {"shape": "span_trace_shape", "content": "span_degeneracy", "cov": "span_coverage", "comp": "span_composition", "v": "span_verdict", "r": "span_rejection", "blame": "span_blame", "trend": "span_inflow_trend"}
 _TABLES = ", ".join(f"{name} AS ({ORACLES[query]})" for name, query in _SMALL.items())

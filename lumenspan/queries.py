@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lumenspan.functions import dims as by
 from lumenspan.functions.scores import parameters
 from lumenspan.functions.stats import total
-from lumenspan.operators import landscape, quality, readiness
+from lumenspan.operators import landscape, quality, readiness, running
 from lumenspan.operators.recast import recast
 from lumenspan.plans.engine import criteria_frame, problems_frame, status_frame
 from lumenspan.sources.spans import event_spans
@@ -24,8 +24,8 @@ def _rounded(df: DataFrame, places: int = 9) -> DataFrame:
     return df.selectExpr(*[f"round(`{c}`, {places}) AS `{c}`" if kind == "double" else f"`{c}`" for c, kind in df.dtypes])
 
 
-def _dynamics(spans: DataFrame) -> DataFrame:
-    found = quality.dynamics(spans)
+def _dynamics(spans: DataFrame, size: int = running.BLOCK) -> DataFrame:
+    found = running.dynamics(spans, size=size)
     signals = ("missing", "invalid", "duration", "error")
     per = [F.sum(f"{s}__cum").alias(f"{s}__cum") for s in signals] + [F.max(f"{s}__{k}").alias(f"{s}__{k}") for s in signals for k in ("mean", "roll10")]
     return found.groupBy("trace_id").agg(F.max("span_seq").alias("span_seq"), F.count(F.lit(1)).alias("n"), *per)
@@ -64,6 +64,8 @@ _OVER_SPANS: dict[str, tuple[Callable[[DataFrame], DataFrame], int]] = {
     "span_coverage": (landscape.coverage, 9),
     "span_traffic": (lambda s: landscape.traffic(s, "4h"), 9),
     "span_dynamics": (_dynamics, 6),
+    # blocks so small that the traces of events are cut
+    "span_dynamics_in_blocks": (lambda s: _dynamics(s, 2), 6),
     "span_inflow_trend": (lambda s: readiness.inflow_trend(quality.flow(s, "1d")), 9),
 }
 

@@ -1,5 +1,7 @@
 """Operators on hand-built spans: nulls, edges, types and the invariants that must hold."""
 
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -12,7 +14,7 @@ from lumenspan.functions.rules import PATTERNS
 from lumenspan.functions import scores, stats
 from lumenspan.functions.scores import parameters
 from lumenspan.functions.stats import GRAINS, bucket, correlation, pick_grain, total, varies
-from lumenspan.operators import landscape, quality, readiness
+from lumenspan.operators import landscape, quality, readiness, running
 from lumenspan.operators.recast import recast, schema_diff
 from lumenspan.plans import engine, triage
 from lumenspan.plans.gates import Tolerance, overrides
@@ -193,11 +195,56 @@ def test_profile_leaves_out_its_key(spark):
 
 def test_dynamics_windows(spark):
     spans = frame(spark, *[{"span_id": f"S{i}", "start_time_ns": i, "end_time_ns": i + i} for i in range(12)])
-    rows = quality.dynamics(spans).orderBy("start_time_ns").collect()
+    rows = running.dynamics(spans).orderBy("start_time_ns").collect()
     assert [r.span_seq for r in rows] == list(range(1, 13))
     assert rows[11].duration__cum == 66 and rows[11].duration__mean == 5.5 and rows[11].duration__roll10 == 6.5
 
 
+def _running(spans, window):
+    """What dynamics gives, span by span in plain Python."""
+    out, traces = [], {}
+    for r in spans.collect():
+        traces.setdefault(r.trace_id, []).append(r)
+    for rows in traces.values():
+        rows.sort(key=lambda r: (r.start_time_ns is not None, r.start_time_ns or 0, r.span_id is not None, r.span_id or ""))
+        values = [None if r.start_time_ns is None or r.end_time_ns is None else r.end_time_ns - r.start_time_ns for r in rows]
+        for i, (r, v) in enumerate(zip(rows, values)):
+            near = [x for x in values[max(0, i + 1 - window) : i + 1] if x is not None]
+            out.append((r.trace_id, r.span_id, sum(x.span_id is not None for x in rows[: i + 1]), None if v is None else sum(x for x in values[: i + 1] if x is not None), round(sum(near) / len(near), 6) if near else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("window", "size"), [(10, 1_000_000), (10, 40), (4, 7), (3, 1)])
+def test_long_traces_are_scanned_in_blocks(spark, window, size):
+    rng = random.Random(size)
+    rows = [{"trace_id": rng.choice(["T", "T", "T", "U", None]), "span_id": f"S{i:03d}", "start_time_ns": rng.choice([i * i, i * i, 5]), "end_time_ns": rng.choice([i * i + rng.randint(0, 9), i * i, None])} for i in range(300)]
+    rows += [{"trace_id": f"V{i // 3}", "span_id": f"S{i}", "start_time_ns": i, "end_time_ns": 2 * i} for i in range(90)]
+    rows += [{"trace_id": "T", "span_id": f"X{i}", "start_time_ns": None} for i in range(3)]
+    spans = frame(spark, *rows).cache()
+    got = running.dynamics(spans, window, size).select("trace_id", "span_id", "span_seq", "duration__cum", F.round(f"duration__roll{window}", 6)).collect()
+    assert sorted(map(tuple, got), key=repr) == _running(spans, window)
+
+
+def test_no_task_of_a_scan_holds_a_long_trace(spark):
+    spans = frame(spark, *[{"trace_id": "T" if i % 3 == 0 else f"V{i % 40}", "span_id": f"S{i}", "start_time_ns": 7 * i, "end_time_ns": 8 * i} for i in range(1200)])
+    placed = running.blocks(spans, running.long_traces(spans, 50), 50)
+    held = {r.trace_id: r for r in placed.groupBy("trace_id", "_block").count().groupBy("trace_id").agg(F.count("*").alias("blocks"), F.max("count").alias("most")).collect()}
+    assert held["T"].blocks >= 8 and held["T"].most <= 50 + 400 / running.SLOTS + 1 and all(r.blocks == 1 and r.most <= 50 for t, r in held.items() if t != "T")
+    plan = _plan(running.dynamics(spans, size=50))
+    windows = [line for line in plan.splitlines() if "Window " in line and "start_time_ns" in line]
+    assert windows and all("_block" in line for line in windows)
+
+
+def test_readiness_meets_cells_and_skips_old_spans(spark, sf, tmp_path):
+    spans = recast(event_spans(spark, sf))
+    path = str(tmp_path / "spans")
+    spans.write.parquet(path)
+    plan = _plan(readiness.assess(spark.read.parquet(path), parameters("E"), by.agent()))
+    assert "Expand" not in plan and "GreaterThanOrEqual(start_time_ns" in plan
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 1 and "_over" in joins[0]
+
+
 def test_unknown_kind_is_last_and_null_first(spark):
     got = landscape.composition(frame(spark, {"aef_kind": "TRASH"}, {"aef_kind": None}, {"aef_kind": "guard"}, {"aef_kind": "llm"})).collect()
     assert [r.aef_kind for r in got] == [None, "llm", "guard", "TRASH"] and sum(r.share for r in got) == 1.0
