@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,10 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+#: Folders of the tables that were written and not discarded.
+_PATHS: list[str] = []
+
+
 def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder, with a folder for each value of ``by``, and read it again.
 
@@ -48,15 +54,33 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     schema = T.StructType([f for f in df.schema if f.name != by] + [f for f in df.schema if f.name == by])
     table = spark.read.schema(schema).parquet(path)
     table.written_to = path
+    _PATHS.append(path)
     return table
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    if path in _PATHS:
+        _PATHS.remove(path)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete written tables that nothing will read again."""
     for table in tables:
-        context = table.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(table.sparkSession, table.written_to)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables that are written meanwhile are deleted in the end, but for those that the body puts into the list."""
+    before, kept = set(_PATHS), []
+    try:
+        yield kept
+    finally:
+        for path in set(_PATHS) - before - {t.written_to for t in kept}:
+            _delete(spark, path)
 
 
 def whole(text: str | Column) -> Column:

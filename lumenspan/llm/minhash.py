@@ -9,10 +9,10 @@ of their weighted Jaccard similarity, the sum of least weights over that of grea
 Texts with equal bags, by a digest of 128 bits, are one node. Bands of ``ROWS`` coordinates deal nodes into buckets; links are
 only taken from pairs whose exact similarity is at least ``SIMILARITY``. A node is first compared with one leader, the least of
 its buckets. Components of the links found so far tell which buckets still hold several; there members outside the largest component
-are compared with one of it, and components are formed again. In buckets that hold several even then all members of different
-components are compared, so that no link within a bucket is lost: in small buckets pair by pair, in large ones part against part,
-where products of matrices count what the bags have in common. A pair of large buckets is compared in the first that holds both, and
-members of one component are not compared, so that a large class costs its strays times its size. No bucket is cut.
+are compared with one of it, and components are formed again. In small buckets that hold several even then all members of different
+components are compared. The members of large ones meet by elements: a pair is compared only if one of the lighter bag's rarest ninth is
+among the heavier bag's rarest fifth, which no pair as similar as asked for can avoid. So no link within a bucket is lost and no bucket is
+cut, and texts that share a template, but too little for a link, do not meet by what they share.
 
 Defined results: null and empty texts are equal and form one class; very long texts are read whole; ids may repeat, and so may
 rows; the row with the least id (null last, of equal ids the first read) stands for its class; an empty table gives an empty
@@ -40,7 +40,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 6
 SMALL = 16  # members of a bucket up to which all of different components are compared
-PART, PART_BYTES = 1024, 2 << 20  # nodes and bytes of packed text of a part of a larger bucket
 
 _FIRST = -2  # the first cell of time is [0, 2**_FIRST), each next one ends at twice the time
 
@@ -219,90 +218,71 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(compared, "a binary, b binary")
 
 
-def _common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
-    """How many elements each set of ``one`` has in common with each of ``two``."""
-    known = np.intersect1d(np.unique(np.concatenate(one)), np.unique(np.concatenate(two)))
-    found = np.zeros((len(one), len(two)), np.int64)
-    if not len(known):
-        return found
-
-    def entries(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-        same = known[at] == flat
-        order = np.argsort(at[same], kind="stable")
-        return at[same][order], owner[same][order], np.bincount(at[same], minlength=len(known))
-
-    (at_x, x, n_x), (at_y, y, n_y) = entries(one), entries(two)
-    often = 50 * n_x * n_y > found.size  # such elements by products of dense slices, the others entry by entry
-    column = np.cumsum(often) - 1
-    for start in range(0, int(often.sum()), 4096):
-        side = []
-        for at, owner, rows in ((at_x, x, len(one)), (at_y, y, len(two))):
-            some = often[at] & (column[at] >= start) & (column[at] < start + 4096)
-            dense = np.zeros((rows, 4096), np.float32)
-            dense[owner[some], column[at[some]] - start] = 1
-            side.append(dense)
-        found += (side[0] @ side[1].T).astype(np.int64)
-    x, at_x = x[~often[at_x]], at_x[~often[at_x]]
-    first, meets = (np.cumsum(n_y) - n_y)[at_x], n_y[at_x]
-    group = np.cumsum(meets) // 4_000_000
-    for g in np.unique(group):
-        own = group == g
-        size = meets[own]
-        other = y[np.repeat(first[own] - np.cumsum(size) + size, size) + np.arange(size.sum())]
-        found += np.bincount(np.repeat(x[own], size) * len(two) + other, minlength=found.size).reshape(found.shape)
-    return found
-
-
-def _cell(cell: pa.Table) -> pa.Table:
-    """The links of a cell: rows with ``left`` against the others, or among themselves in a cell of the diagonal."""
+#: Fixed size of the sketch of how often elements occur.
+SLOTS = 1 << 20
+
+
+def _ranks(nodes: DataFrame) -> np.ndarray:
+    """A sketch of how often elements occur, in eighths of octaves by slot; ``nodes`` have ``packed`` texts.
+
+    Its size is fixed, and any ranks give the same links: they only say which elements are looked at first.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for elements in _unpacked_sets(batch):
+                total += np.bincount((elements % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["slot", "n"])
+
+    found = nodes.select("packed").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    ranks = np.zeros(SLOTS, np.uint8)
+    ranks[found["slot"].to_numpy()] = np.minimum(8 * np.log2(found["n"].to_numpy()), 255)
+    return ranks
+
+
+def _unpacked_sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     reader = zstandard.ZstdDecompressor()
-    one = cell.filter(cell["left"])
-    two = one if cell["r"][0] == cell["c"][0] else cell.filter(pc.invert(cell["left"]))
-    # nodes and labels by their place in order
-    both = pc.unique(pa.chunked_array([*one["node"].chunks, *two["node"].chunks, *one["label"].chunks, *two["label"].chunks]))
-    nodes = both.take(pc.sort_indices(both))
-    x, y, label_x, label_y = (pc.index_in(column, nodes).to_numpy() for column in (one["node"], two["node"], one["label"], two["label"]))
-    open_ = label_x[:, None] != label_y
-    if two is one:
-        open_ &= x[:, None] < y
-    key = cell["key"][0].as_py()
-    before = [[np.array([k for k in keys if k < key], np.int64) for keys in side["keys"].to_pylist()] for side in (one, two)]
-    open_ &= _common(*before) == 0  # a pair is compared in the first bucket that holds both
-    left, right = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
-    if not len(left):
-        return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
-    sets = [shingle_sets(pa.array([reader.decompress(t).decode() for t in side["packed"].take(pa.array(at)).to_pylist()], pa.string())) for side, at in ((one, left), (two, right))]
-    common = _common(*sets)
-    total = np.array([len(s) for s in sets[0]])[:, None] + np.array([len(s) for s in sets[1]]) - common
-    i, j = np.nonzero(open_[np.ix_(left, right)] & (common >= SIMILARITY * total))
-    a, b = x[left[i]], y[right[j]]
-    return pa.table({"a": nodes.take(pa.array(np.minimum(a, b))), "b": nodes.take(pa.array(np.maximum(a, b)))})
-
-
-def with_texts(rest: DataFrame, texts: DataFrame) -> DataFrame:
-    """A written table for ``crossed`` from the members of open buckets."""
-    nodes = texts.join(rest.groupBy("node").agg(F.collect_set("key").alias("keys")), "node")
-    return written(rest.select("key", "node", "label", (F.col("label") != F.col("main")).alias("stray")).join(nodes, "node"), "minhash-crossed")
-
-
-def crossed(full: DataFrame) -> DataFrame:
-    """The links (a, b) among all nodes of a bucket that are of different components; ``full``: key, node, label, stray, packed, keys.
-
-    Strays (outside the main component) and main members are dealt into parts of about ``PART`` nodes or ``PART_BYTES`` of packed text.
-    Each part of strays meets itself, the later ones and every main part in a cell of its own: a task holds two parts, whatever the bucket's size.
+    for start in range(0, len(batch), 200):
+        yield from shingle_sets(pa.array([reader.decompress(t).decode() for t in batch.column("packed").slice(start, 200).to_pylist()], pa.string()))
+
+
+def prefix_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of different labels that may be similar enough; ``nodes``: node, label, packed.
+
+    Of two bags as similar as ``SIMILARITY`` the lighter has at least 8/9 of its occurrences in common with the other, and that one at least
+    4/5 of its own. So in any order of all elements one of the first ninth of the lighter is among the first fifth of the
+    heavier. Rare elements come first, and pairs meet by them; the common ones of a template are looked at by none. A pair whose rest behind a common
+    element is too short for the overlap is left out, which the first common element of a similar pair never is.
     """
-    parts = F.ceil(F.greatest(F.count("*") / PART, F.sum(F.octet_length("packed")) / PART_BYTES)).cast("int")
-    dealt = full.groupBy("key", "stray").agg(parts.alias("parts")).groupBy("key").agg(F.max(F.when(F.col("stray"), F.col("parts"))).alias("s"), F.max(F.when(~F.col("stray"), F.col("parts"))).alias("m"))
-    place = F.pmod(F.xxhash64("node"), F.when(F.col("stray"), F.col("s")).otherwise(F.col("m"))).cast("int")
-    cells = F.expr(
-        """if(stray,
-        concat(transform(sequence(place, s + m - 1), i -> struct(place as r, i as c, true as left)), transform(filter(sequence(0, place), i -> i < place), i -> struct(i as r, place as c, false as left))),
-        transform(sequence(0, s - 1), i -> struct(i as r, s + place as c, false as left)))"""
-    )
-    placed = full.join(dealt, "key").withColumn("place", place).select("key", "node", "label", "packed", "keys", F.inline(cells))
-    return placed.groupBy("key", "r", "c").applyInArrow(_cell, "a binary, b binary")
+    ranks = _ranks(nodes)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns: list[list[np.ndarray]] = [[], [], [], [], []]
+            for i, elements in enumerate(_unpacked_sets(batch)):
+                n = len(elements)
+                order = np.lexsort((elements, ranks[(elements % np.uint64(SLOTS)).astype(np.int64)]))
+                fifth = n - math.ceil(SIMILARITY * n - 1e-9) + 1 if n else 0
+                ninth = n - math.ceil(2 * SIMILARITY / (1 + SIMILARITY) * n - 1e-9) + 1 if n else 0
+                at = np.arange(fifth)
+                for c, v in zip(columns, (elements[order[:fifth]].view(np.int64), np.full(fifth, i), np.full(fifth, n), at, at < ninth)):
+                    c.append(v)
+            element, own, size, at, lead = (np.concatenate(c) if c else np.empty(0, np.int64) for c in columns)
+            own = pa.array(own, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(element, pa.int64()), batch.column("node").take(own), batch.column("label").take(own), pa.array(size, pa.int64()), pa.array(at, pa.int64()), pa.array(lead, pa.bool_())], ["element", "node", "label", "size", "at", "lead"])
+
+    rows = written(nodes.select("node", "label", "packed").mapInArrow(first, "element long, node binary, label binary, size long, at long, lead boolean"), "minhash-prefixes")
+    # elements of one node alone meet nothing
+    shared = rows.groupBy("element").agg(F.min("label").alias("one"), F.max("label").alias("two")).filter("one <> two").select("element")
+    met = written(rows.join(shared, "element"), "minhash-meeting")
+    light, heavy = met.filter("lead").alias("x"), met.alias("y")
+    overlap = f"{SIMILARITY / (1 + SIMILARITY)!r}D * (x.size + y.size) - 1e-6D"
+    condition = f"x.element = y.element AND x.label <> y.label AND (x.size < y.size OR x.size = y.size AND x.node < y.node) AND x.size >= {SIMILARITY!r}D * y.size - 1e-6D AND 1 + least(x.size - x.at - 1, y.size - y.at - 1) >= {overlap}"
+    pairs = written(light.join(heavy, F.expr(condition)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "minhash-pairs")
+    discard(rows, met)
+    return pairs
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -343,10 +323,11 @@ def _labels(signed: DataFrame) -> DataFrame:
     one, two = last.filter(f"n <= {SMALL}").alias("one"), last.filter(f"n <= {SMALL}").alias("two")
     small = one.join(two, F.expr("one.key = two.key and one.node < two.node and one.label <> two.label")).select(F.col("one.node").alias("x"), F.col("two.node").alias("y"))
     pairs = written(ordered(small).join(led_pairs.union(stray_pairs), ["a", "b"], "left_anti"), "minhash-pairs")
-    full = with_texts(last.filter(f"n > {SMALL}"), texts)
-    found = written(verified(pairs, texts).union(crossed(full)), "minhash-links")
+    large = written(last.filter(f"n > {SMALL}").groupBy("node").agg(F.first("label").alias("label")).join(texts, "node"), "minhash-crossed")
+    met = prefix_pairs(large)
+    found = written(verified(pairs.union(met.join(led_pairs.union(stray_pairs).union(pairs), ["a", "b"], "left_anti")), texts), "minhash-links")
     labels = second if found.isEmpty() else components(links.union(found))
-    discard(dealt, members, texts, led_pairs, led_links, first, rest, stray_pairs, stray_links, last, pairs, full, found)
+    discard(dealt, members, texts, led_pairs, led_links, first, rest, stray_pairs, stray_links, last, pairs, large, met, found)
     if labels is not second:
         discard(second)
     return labels

@@ -7,11 +7,12 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lumenspan.llm import components, exact_dedup, minhash, mixing, piece_codec, quality_fm
-from lumenspan.llm._common import table
+from lumenspan.llm._common import shared_dir, table
 from lumenspan.llm.queries import KEEP_AT, QUERIES, tokenizer
 from tests.llm.helpers import docs, odd_rows, prose
 
@@ -100,15 +101,6 @@ def test_repeated_lines_weigh_as_often_as_they_occur(spark):
     assert got == {1: 1, 2: 2, 3: 2} == {r[0]: f[1] for r, (f, _) in zip(rows, brute_classes(rows))}
 
 
-@pytest.mark.parametrize("words", [5, 60, 4000])
-def test_common_elements_equal_brute_force(words):
-    rng = np.random.default_rng(words)
-    one, two = ([np.unique(np.r_[rng.integers(0, words, rng.integers(0, 40)), rng.integers(0, 8, 6)]) for _ in range(n)] for n in (90, 130))
-    one[3] = np.empty(0, np.int64)
-    assert minhash._common(one, two).tolist() == [[len(np.intersect1d(x, y)) for y in two] for x in one]
-    assert not minhash._common([one[3]], two).any()
-
-
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(0, 60)]
     star = [(100, i) for i in range(101, 140)]
@@ -149,10 +141,28 @@ def test_links_among_strays_of_large_buckets_are_found(spark):
     assert sorted((r.doc_id, r.class_id, r.class_size) for r in got) == want
 
 
-def test_parts_of_a_large_bucket_meet_once(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "PART", 10)
-    test_links_among_strays_of_large_buckets_are_found(spark)
-    test_a_large_class_of_mutual_near_copies_is_whole(spark)
+def test_texts_of_a_template_do_not_meet_by_it(spark):
+    rng = random.Random(16)
+    template = prose(rng, 300)
+    rows = [(i, f"{template} {prose(rng, 60, [f'own{i}x{k}' for k in range(90)])}") for i in range(400)]
+    rows += [(1000 + i, edited(rng, rows[i][1], 0.005)) for i in range(40)]
+    packed = [(i.to_bytes(16, "big"), i.to_bytes(16, "big"), zstandard.compress(t.encode())) for i, t in rows]
+    pairs = {tuple(int.from_bytes(x, "big") for x in r) for r in minhash.prefix_pairs(spark.createDataFrame(packed, "node binary, label binary, packed binary")).collect()}
+    assert pairs == {(i, 1000 + i) for i in range(40)}
+    got = minhash.near_classes(docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r.class_id, r.class_size) for r in got) == [(r[0], f[1], n) for r, (f, n) in zip(rows, brute_classes(rows))]
+
+
+@pytest.mark.parametrize("words", [12, 60])
+def test_prefixes_lose_no_link(spark, words):
+    rng = random.Random(words)
+    base = [prose(rng, words, [f"w{i}" for i in range(30)]) for _ in range(6)]
+    texts = sorted({edited(rng, rng.choice(base), rng.choice([0.01, 0.03, 0.06])) + " z" * rng.randint(0, 6) for _ in range(150)})
+    sets = [frozenset(s.tolist()) for s in minhash.shingle_sets(pa.array(texts))]
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    packed = [(i.to_bytes(16, "big"), i.to_bytes(16, "big"), zstandard.compress(t.encode())) for i, t in enumerate(texts)]
+    got = {tuple(int.from_bytes(x, "big") for x in r) for r in minhash.prefix_pairs(spark.createDataFrame(packed, "node binary, label binary, packed binary")).collect()}
+    assert want and want <= got
 
 
 def test_pairs_that_share_most_of_a_page_are_all_found(spark):
@@ -219,6 +229,16 @@ def test_pipeline_stages_keep_clean_documents(spark, sf):
         assert stage(spark, kept.limit(0), sf).isEmpty() and stage(spark, kept, sf).columns == start.columns
 
 
+def test_pipeline_leaves_what_its_result_reads_and_no_more(spark, sf):
+    import os
+
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    got = corpus_pipeline.run(spark, sf)
+    assert {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} == {"pipeline-mixed"}
+    assert got.count() > 0
+
+
 def test_pipeline_on_odd_rows_and_none(spark, tmp_path):
     labels = spark.createDataFrame([(4, 1, 0), (6, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
     for name, rows in (("odd", odd_rows()), ("none", [])):
