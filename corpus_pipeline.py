@@ -1,8 +1,8 @@
 """The corpus pipeline: quality, exact dedup, near dedup, mixing and tokens, one stage after the other.
 
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept, and returns a DataFrame; ``run`` writes
-each result as Parquet in the shared folder and reads it again, so that a lost executor costs a stage at most. All but the
-last return the columns of ``documents``.
+each result as Parquet in the shared folder and reads it again, so that a lost executor costs a stage at most; the tables that a
+stage writes for itself are deleted then. All but the last return the columns of ``documents``.
 
 Defined results: null texts count as empty; empty texts are judged like all others and form one group of copies; of
 repeated rows, and of copies in general, one stays (the first by the rules of its stage), which the mixture may then take
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenspan.llm import exact_dedup, minhash, mixing, piece_codec, quality_fm
-from lumenspan.llm._common import discard, table, written
+from lumenspan.llm._common import discard, scratch, table, written
 from lumenspan.llm.queries import KEEP_AT, tokenizer
 
 
@@ -58,7 +58,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark) as kept:
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            kept.append(docs)
         discard(*before)
         before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
