@@ -63,3 +63,18 @@ def share(flag: Flag, attrs: tuple[Attr, ...]) -> Column:
 def blocking() -> Column:
     """Whether any mandatory attribute is violated."""
     return F.expr(" OR ".join(violation.sql(a) for a in MANDATORY))
+
+
+def json_value(text: Column) -> Column:
+    """The decoded value of a strict JSON text as a variant, null where it is none."""
+    return F.when(is_json(text), F.try_parse_json(text))
+
+
+def is_json(text: Column) -> Column:
+    """Whether the text is strict JSON without repeated keys; null for null. The pattern ``json`` of the rules only looks at the brackets at its ends.
+
+    The parser ignores what stands behind a value, so the text has to be both the only item of an array and the only value of an
+    object, which nothing but one whole value can be.
+    """
+    item, value = (F.try_parse_json(F.concat(F.lit(a), text, F.lit(b))) for a, b in (("[", "]"), ('{"x":', "}")))
+    return F.when(text.isNotNull(), item.isNotNull() & value.isNotNull())

@@ -275,6 +275,13 @@ SELECT round(corr(i, traces), 9) AS trend, count(*) AS buckets FROM i""",
 
 
 ORACLES["span_dynamics_in_blocks"] = ORACLES["span_dynamics"]
+ORACLES["span_differences"] = f"""WITH {_spans()}, l AS ({_conformed(False)}), d AS (
+  SELECT 'left' AS side, * FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM l) UNION ALL SELECT 'right', * FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM s))
+SELECT side, trace_id, span_id, count(*) AS times FROM d GROUP BY ALL"""
+ORACLES["event_json"] = r"""
+WITH t AS (SELECT event_id, CASE event_id % 7 WHEN 1 THEN left(props, length(props) - 1) WHEN 2 THEN props || '}' WHEN 3 THEN '[' || props || ', null]' ELSE props END AS text FROM events)
+SELECT event_id, regexp_matches(text, '^\s*(\{[\s\S]*\}|\[[\s\S]*\])\s*$') AS shaped, json_valid(text) AS strict,
+       CASE WHEN json_valid(text) THEN TRY_CAST(json_extract_string(text, '$.k') AS BIGINT) END AS k FROM t"""
 _KIND_SEVERITY = {k: "critical" for k in ("output_request", "start_agent")} | {"llm": "important"} | {k: "moderate" for k in ("chain", "tool", "retriever", "kafka_produce", "kafka_consume", "other", "guard")}
 _SMALL = {"shape": "span_trace_shape", "content": "span_degeneracy", "cov": "span_coverage", "comp": "span_composition", "v": "span_verdict", "r": "span_rejection", "blame": "span_blame", "trend": "span_inflow_trend"}
 _TABLES = ", ".join(f"{name} AS ({ORACLES[query]})" for name, query in _SMALL.items())

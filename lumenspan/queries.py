@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from lumenspan.functions import dims as by
 from lumenspan.functions.scores import parameters
 from lumenspan.functions.stats import total
-from lumenspan.operators import landscape, quality, readiness, running
+from lumenspan.functions.rules import PATTERNS
+from lumenspan.operators import compare, flags, landscape, quality, readiness, running
 from lumenspan.operators.recast import recast
 from lumenspan.plans.engine import criteria_frame, problems_frame, status_frame
 from lumenspan.sources.spans import event_spans
@@ -31,6 +32,21 @@ def _dynamics(spans: DataFrame, size: int = running.BLOCK) -> DataFrame:
     return found.groupBy("trace_id").agg(F.max("span_seq").alias("span_seq"), F.count(F.lit(1)).alias("n"), *per)
 
 
+def _differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the strict recast of the spans differs from plain casts."""
+    raw = event_spans(spark, sf_dir)
+    found = compare.differences(recast(raw), recast(raw, strict=False))
+    return found.groupBy("side", "trace_id", "span_id").agg(F.sum("times").alias("times"))
+
+
+def _json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shape and strict JSON of the properties of events, of which some are cut, trailed or nested, and their number ``k``."""
+    props = F.when(F.col("event_id") % 7 == 1, F.expr("left(props, char_length(props) - 1)")).when(F.col("event_id") % 7 == 2, F.concat("props", F.lit("}"))).when(F.col("event_id") % 7 == 3, F.concat(F.lit("["), "props", F.lit(", null]"))).otherwise(F.col("props"))
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", props.alias("text"))
+    value = flags.json_value(F.col("text"))
+    return rows.select("event_id", F.col("text").rlike(PATTERNS["json"]).alias("shaped"), flags.is_json(F.col("text")).alias("strict"), F.try_variant_get(value, "$.k", "bigint").alias("k"))
+
+
 _E = parameters("E")
 
 #: name: (operator over conformed spans, places to which its fractions are rounded)
@@ -79,5 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "span_problems": lambda spark, sf_dir: problems_frame(spark, event_spans(spark, sf_dir), "E"),
     "span_status": lambda spark, sf_dir: status_frame(spark, event_spans(spark, sf_dir), "E"),
     "span_recast": _spans,
+    "span_differences": _differences,
+    "event_json": _json,
     "span_cast_only": lambda spark, sf_dir: recast(event_spans(spark, sf_dir), strict=False),
 } | {name: _query(*spec) for name, spec in _OVER_SPANS.items()}

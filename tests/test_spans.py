@@ -14,7 +14,7 @@ from lumenspan.functions.rules import PATTERNS
 from lumenspan.functions import scores, stats
 from lumenspan.functions.scores import parameters
 from lumenspan.functions.stats import GRAINS, bucket, correlation, pick_grain, total, varies
-from lumenspan.operators import landscape, quality, readiness, running
+from lumenspan.operators import compare, flags, landscape, quality, readiness, running
 from lumenspan.operators.recast import recast, schema_diff
 from lumenspan.plans import engine, triage
 from lumenspan.plans.gates import Tolerance, overrides
@@ -467,3 +467,21 @@ def test_counts_add_up(spark, rows):
     assert rejected.n == rejected.dropped + rejected.kept == landscape.overview(spans).first().traces
     assert landscape.composition(spans).agg(F.sum("n")).first()[0] == len(rows) >= got.blocking_rule_violations
     assert got.trace_breaks <= rejected.n
+
+
+def test_tables_are_compared_without_order_and_with_counts(spark):
+    rows = [(1, "a", 0.1), (1, "a", 0.1), (2, None, None), (3, "", float("nan"))]
+    left = spark.createDataFrame(rows, "x int, y string, z double")
+    assert compare.equal(left, left.orderBy(F.desc("x")).withColumn("z", F.col("z") + 1e-9))
+    assert compare.differences(left, left.orderBy("y")).isEmpty()
+    right = spark.createDataFrame([(1, "a", 0.1), (2, "", None), (3, "", float("nan")), (4, "b", 2.0), (4, "b", 2.0)], left.schema)
+    assert not compare.equal(left, right) and not compare.equal(left, right.select("y", "x", "z"))
+    got = {(r.side, r.times, r.x, r.y) for r in compare.differences(left, right).collect()}
+    assert got == {("left", 1, 1, "a"), ("left", 1, 2, None), ("right", 1, 2, ""), ("right", 2, 4, "b")}
+    assert compare.equal(left.limit(0), right.limit(0)) and compare.differences(left.limit(0), right.limit(0)).isEmpty()
+
+
+def test_strict_json(spark):
+    texts = ['{"k": 1}', " [1, null] ", '{"k": }', "{]", "[1,]", "", "null", "1", None, "{}}", "1, 2", "1] , [2", '1}, {"x": 2', '1, "y": 2']
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(flags.is_json(F.col("t"))).collect()
+    assert [r[0] for r in got] == [True, True, False, False, False, False, True, True, None, *[False] * 5]
