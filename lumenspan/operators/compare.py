@@ -15,8 +15,14 @@ def row_key(df: DataFrame, places: int = PLACES) -> Column:
     return F.struct(F.xxhash64(F.lit(1), *row).alias("one"), F.xxhash64(F.lit(2), *row).alias("two"))
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """``df`` with its columns computed once: what uses them several times below does not repeat their expressions."""
+    return df.select(F.explode(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias("row")).select("row.*")
+
+
 def fingerprint(df: DataFrame, places: int = PLACES) -> DataFrame:
     """One row: the number of rows and sums of their hashes, alike for tables of the same rows in any order."""
+    df = _settled(df)
     key = row_key(df, places)
     parts = [F.coalesce(F.sum(F.pmod(key[n], F.lit(1 << 31))), F.lit(0)).alias(n) for n in ("one", "two")]
     return df.agg(F.count(F.lit(1)).alias("n"), *parts, F.coalesce(F.bit_xor(key["one"]), F.lit(0)).alias("mixed"))
@@ -31,8 +37,9 @@ def differences(left: DataFrame, right: DataFrame, places: int = PLACES) -> Data
 
     Buckets of rows whose fingerprints agree are left out before any row is shuffled; the table of buckets has a fixed size.
     """
-    both = [side.select(F.lit(name).alias("side"), row_key(side, places).alias("key"), F.struct(*[F.col(f"`{c}`") for c in side.columns]).alias("row")) for name, side in (("left", left), ("right", right))]
-    each = both[0].unionByName(both[1]).withColumn("bucket", F.pmod(F.col("key.one"), F.lit(BUCKETS)))
+    sides = [("left", _settled(left)), ("right", _settled(right))]
+    both = [side.select(F.lit(name).alias("side"), row_key(side, places).alias("key"), F.struct(*[F.col(f"`{c}`") for c in side.columns]).alias("row")) for name, side in sides]
+    each = _settled(both[0].unionByName(both[1])).withColumn("bucket", F.pmod(F.col("key.one"), F.lit(BUCKETS)))
     sign = F.when(F.col("side") == "left", 1).otherwise(-1)
     sums = [F.sum(sign).alias("n"), *[F.sum(sign * F.pmod(F.col(f"key.{k}"), F.lit(1 << 31))).alias(k) for k in ("one", "two")]]
     apart = each.groupBy("bucket").agg(*sums).filter("n <> 0 OR one <> 0 OR two <> 0").select("bucket")
