@@ -25,6 +25,27 @@ def profile(spans: DataFrame, flag: flags.Flag, agg: Callable[[Column], Column],
     return aggregate(spans, keys, F.count(F.lit(1)).alias("n"), *[agg(flag(a)).alias(a.name) for a in SPEC if a.name not in names])
 
 
+def profiles(spans: DataFrame, flag: flags.Flag, *sets: tuple[Dim, ...]) -> DataFrame:
+    """Rates of a flag under several sets of keys from one scan: ``by`` names the set of a row; keys outside it are null.
+
+    Spans are summed up in cells, one for each combination of all keys; the sets group the cells, whose sums are mergeable.
+    Attributes that are keys are left out; without spans there is no row.
+    """
+    keys = {d.name: d for dims in sets for d in dims}
+    attrs = [a.name for a in SPEC if a.name not in keys]
+    sums = [x for a in SPEC if a.name in attrs for x in (total(flag(a)).alias(f"hits__{a.name}"), F.count(flag(a)).alias(f"known__{a.name}"))]
+    cells = aggregate(spans, tuple(keys.values()), F.count(F.lit(1)).alias("n"), *sums)
+    rates = [F.expr(f"try_divide(sum(hits__{a}), sum(known__{a}))").alias(a) for a in attrs]
+    grouped = cells.groupingSets([[F.col(d.name) for d in dims] for dims in sets], *[F.col(k) for k in keys])
+    name = F.lit(None)
+    for dims in sets:
+        held = {d.name for d in dims}
+        code = sum((k not in held) << i for i, k in enumerate(reversed(keys)))  # a bit is set for a key outside the set
+        name = F.when(F.col("_set") == code, F.lit(",".join(k for k in keys if k in held))).otherwise(name)
+    found = grouped.agg(F.grouping_id().alias("_set"), F.sum("n").alias("n"), *rates)
+    return found.select(name.alias("by"), *keys, "n", *attrs)
+
+
 def completeness(spans: DataFrame, *dims: Dim, grain: str | None = None, agg: Callable[[Column], Column] = rate) -> DataFrame:
     """Rate of missing cells."""
     return profile(spans, flags.missing, agg, *dims, grain=grain)

@@ -274,6 +274,18 @@ SELECT round(corr(i, traces), 9) AS trend, count(*) AS buckets FROM i""",
 }
 
 
+_KEYS = {"trace_id": "trace_id", "agent_id": "agent_id", "ver_minor": r"nullif(regexp_extract(nexus_distrib_ver, '^(\d+\.\d+)', 1), '')", "ts": "day"}
+
+
+def _grouped(*held: str) -> str:
+    keys = ", ".join(f"{e if k in held else 'NULL'} AS {k}" for k, e in _KEYS.items())
+    cells = ", ".join(f"{MEAN.format(violated(n))} AS {n}" for n in NAMES if n not in _KEYS)
+    return f"SELECT '{','.join(held)}' AS by, {keys}, count(*) AS n, {cells} FROM f{' GROUP BY ' + ', '.join(_KEYS[k] for k in held) if held else ''}"
+
+
+ORACLES["span_profiles"] = WITH + " UNION ALL ".join(map(lambda held: _grouped(*held), [("trace_id",), ("agent_id",), ("ver_minor",), ("ts",), ("agent_id", "ts"), ()]))
+ORACLES["span_state"] = f"""{WITH}, b AS ({_broken()}), t AS (SELECT trace_id, min(start_time_ns) AS start_ns, max(end_time_ns) AS end_ns, bool_or(dialog) AS dialog, bool_or(rejected) AS rejected FROM f GROUP BY trace_id)
+SELECT b.trace_id, spans, start_ns, end_ns, dialog, rejected, {', '.join(f'b.{c} > 1 AS varies__{c}' for c in _INVARIANTS)} FROM b JOIN t ON b.trace_id IS NOT DISTINCT FROM t.trace_id"""
 ORACLES["span_dynamics_in_blocks"] = ORACLES["span_dynamics"]
 ORACLES["span_differences"] = f"""WITH {_spans()}, l AS ({_conformed(False)}), d AS (
   SELECT 'left' AS side, * FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM l) UNION ALL SELECT 'right', * FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM s))

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenspan.functions import dims as by
 from lumenspan.functions.scores import parameters
-from lumenspan.functions.stats import total
+from lumenspan.functions.stats import DAY_NS, total
 from lumenspan.functions.rules import PATTERNS
-from lumenspan.operators import compare, flags, landscape, quality, readiness, running
+from lumenspan.operators import compare, flags, landscape, quality, readiness, running, state
 from lumenspan.operators.recast import recast
 from lumenspan.plans.engine import criteria_frame, problems_frame, status_frame
 from lumenspan.sources.spans import event_spans
@@ -39,6 +40,12 @@ def _differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("side", "trace_id", "span_id").agg(F.sum("times").alias("times"))
 
 
+def _states(spans: DataFrame) -> DataFrame:
+    """Traces from the merged states of three parts of the days."""
+    first, *more = [state.trace_state(spans.filter(F.coalesce(F.pmod(F.expr(f"start_time_ns div {DAY_NS}"), F.lit(3)), F.lit(0)) == i)) for i in range(3)]
+    return state.rolled(reduce(state.merged, more, first))
+
+
 def _json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shape and strict JSON of the properties of events, of which some are cut, trailed or nested, and their number ``k``."""
     props = F.when(F.col("event_id") % 7 == 1, F.expr("left(props, char_length(props) - 1)")).when(F.col("event_id") % 7 == 2, F.concat("props", F.lit("}"))).when(F.col("event_id") % 7 == 3, F.concat(F.lit("["), "props", F.lit(", null]"))).otherwise(F.col("props"))
@@ -56,6 +63,8 @@ _OVER_SPANS: dict[str, tuple[Callable[[DataFrame], DataFrame], int]] = {
     "span_correctness": (quality.correctness, 9),
     "span_correctness_by_day": (lambda s: quality.correctness(s, grain="1d"), 9),
     "span_violations_by_version": (lambda s: quality.correctness(s, by.version("minor"), agg=total), 9),
+    "span_profiles": (lambda s: quality.profiles(s, flags.violation, (by.trace(),), (by.agent(),), (by.version("minor"),), (by.time("1d"),), (by.agent(), by.time("1d")), ()), 9),
+    "span_state": (_states, 9),
     "span_contamination": (quality.contamination, 9),
     "span_nulls": (quality.nulls, 9),
     "span_distribution": (quality.distribution, 6),
