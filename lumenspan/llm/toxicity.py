@@ -1,9 +1,9 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine.
 
 Terms are letter words and word beginnings of five letters; all of them count. A term's weight in a text is
-``(1 + ln tf) * idf * lean``: the more surely a term leans to either label among the examples, the more it weighs. ``lean`` is
-1 plus what the term's log-likelihood ratio exceeds ``CHANCE`` by, so that rare words that two texts share by
-chance do not outweigh the words that tell the labels apart, and no term is dropped.
+``(1 + ln tf) * idf * lean``. ``lean`` lies between 1 and 1 + ``LEAN`` however many examples there are: it grows with the
+divergence of the label rate among the examples that have the term from the rate of all, where the log-likelihood ratio exceeds
+``CHANCE``; else it is 1. So rare words that two texts share by chance do not outweigh the words that tell the labels apart.
 
 The examples' vectors form an inverted index. For every term it stores the largest weight and, for frequent terms, that of
 each block of examples. A search adds up the query's rarer terms from the highest bound down until what is left cannot lift an
@@ -11,8 +11,10 @@ example that was not met yet among the ``NEAREST`` best; then only examples whos
 last of these are scored to the end. Its result equals a full scan.
 
 Score: the neighbours' labels, weighted by cosine and shrunk to the examples' base rate, then calibrated: isotonic
-regression on the votes that the examples get from one another. The neighbours' ids are the evidence. An example is never evidence
-for a text equal to its own, so that no text is scored by its own label.
+regression on the votes that the examples get from one another. The examples are cut into ``FOLDS`` folds by their texts, and those of a
+fold are voted on under term weights learned from the labels of the others, so that the curve is fitted on votes that have not
+seen the example's label. The neighbours' ids are the evidence. An example is never evidence for a text equal to its own, so that no text is
+scored by its own label.
 
 Examples are a sample of at most ``EXAMPLES`` labelled rows (in expectation, by a hash of the id), each distinct text once;
 idf and lean come from them, and the driver builds the index, whose size depends on ``EXAMPLES`` and on the length of their
@@ -46,6 +48,8 @@ EXAMPLES = 6_000
 NEAREST = 15
 BLOCK = 64
 OFTEN = 64  # examples, and at least an eighth of them, from which a term has a bound for each block
+LEAN = 10.0  # what a term that only one label has weighs more, at most
+FOLDS = 2
 CHANCE = 11.0  # a log-likelihood ratio that one term in a thousand reaches by chance
 SHRINK = 0.5
 STEM = 5
@@ -80,13 +84,23 @@ def digest(text: str) -> bytes:
     return hashlib.sha256(text.encode()).digest()
 
 
+def fold_of(digest: bytes) -> int:
+    return digest[0] % FOLDS
+
+
 def lean(n: np.ndarray, hits: np.ndarray, total: int, positive: int) -> np.ndarray:
-    """1 plus the excess over ``CHANCE`` of the log-likelihood ratio of a term in ``n`` examples, ``hits`` of them positive."""
+    """Between 1 and 1 + ``LEAN``, for terms in ``n`` examples of ``total``, ``hits`` of them positive.
+
+    Above 1 it is ``LEAN`` times the divergence of the term's label rate (with one pseudo-count at the rate of all) from the rate of all,
+    divided by the greatest that there can be.
+    """
     share, ratio = positive / total, np.zeros(len(n))
     for seen, expected in ((hits, n * share), (n - hits, n * (1 - share)), (positive - hits, (total - n) * share), (total - n - positive + hits, (total - n) * (1 - share))):
         some = seen > 0
         ratio[some] += 2 * seen[some] * np.log(seen[some] / np.broadcast_to(expected, seen.shape)[some])
-    return 1 + np.maximum(ratio - CHANCE, 0)
+    own = (hits + share) / (n + 1)
+    divergence = own * np.log(own / share) + (1 - own) * np.log((1 - own) / (1 - share))
+    return 1 + np.where(ratio > CHANCE, LEAN * divergence / -math.log(min(share, 1 - share)), 0.0)
 
 
 def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -176,14 +190,17 @@ class BlockMaxIndex:
 class Voters:
     """The vocabulary with its weights, the index, and the calibration of votes."""
 
-    def __init__(self, ids: np.ndarray, labels: np.ndarray, digests: list[bytes], size: np.ndarray, keys: np.ndarray, tf: np.ndarray):
-        """Examples in order of their ids, null last; ``size`` terms of each follow one another in ``keys`` and ``tf``."""
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, digests: list[bytes], size: np.ndarray, keys: np.ndarray, tf: np.ndarray, but: int = -1):
+        """Examples in order of their ids, null last; ``size`` terms of each follow one another in ``keys`` and ``tf``. Term weights
+        do not see the labels of fold ``but``."""
         n = len(ids)
         self.keys, term, often = np.unique(keys, return_inverse=True, return_counts=True)
-        positive = int(labels.sum())
-        self.rate = positive / n if n else 0.0
+        self.rate = labels.sum() / n if n else 0.0
         owner = np.repeat(np.arange(n), size)
-        gain = lean(often, np.bincount(term, labels[owner], len(self.keys)), n, positive) if 0 < positive < n else np.ones(len(self.keys))
+        seen = np.array([fold_of(d) != but for d in digests], bool)
+        total, positive, of = int(seen.sum()), int(labels[seen].sum()), seen[owner]
+        some = np.bincount(term[of], minlength=len(self.keys))
+        gain = lean(some, np.bincount(term[of], labels[owner[of]], len(self.keys)), total, positive) if 0 < positive < total else np.ones(len(self.keys))
         self.gain = np.log((n + 1) / (often + 0.5)) * gain
         self.other = math.log((n + 1) / 0.5)  # the weight of a term that no example has
         weight = (1 + np.log(tf)) * self.gain[term]
@@ -237,7 +254,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = written(known.filter(coin(F.col("_of"), "toxicity") * total < EXAMPLES), "toxic-chosen")
     rows = join_small(docs.select(docs[id_col].alias("id"), whole(docs[text_col]).alias("text")), chosen, F.col("id") == F.col("_of"), "inner")
     once = rows.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("id").alias("id"), F.min("label").alias("label"), F.max("label").alias("_other"), F.first("text").alias("text"))
-    sample = written(once.filter("label = _other").select("id", F.col("label").cast("int").alias("label"), "text"), "toxic-examples")
+    sample = written(once.filter("label = _other").select("id", F.col("label").cast("int").alias("label"), "text", (F.conv(F.substring("digest", 1, 2), 16, 10).cast("int") % FOLDS).alias("fold")), "toxic-examples")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,16 +270,22 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ids = np.array(got["id"].to_pylist(), dtype=object)
     size = pc.list_value_length(got["keys"]).to_numpy().astype(np.int64)
     keys, tf = (pc.list_flatten(got[c]).to_numpy() for c in ("keys", "tf"))
-    voters = Voters(ids, got["label"].to_numpy().astype(np.float64), got["digest"].to_pylist(), size, keys.astype(np.int64).view(np.uint64), tf.astype(np.float64))
+    given = (ids, got["label"].to_numpy().astype(np.float64), got["digest"].to_pylist(), size, keys.astype(np.int64).view(np.uint64), tf.astype(np.float64))
 
-    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(voters.scores(batch.column("text").to_pylist())[0], pa.float64()), batch.column("label")], ["score", "label"])
+    def votes(part: int) -> pa.Table:
+        voters = Voters(*given, but=part)
+
+        def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(voters.scores(batch.column("text").to_pylist())[0], pa.float64()), batch.column("label")], ["score", "label"])
+
+        return sample.filter(F.col("fold") == part).select("text", "label").mapInArrow(voted, "score double, label int").toArrow()
 
-    votes = sample.select("text", "label").mapInArrow(voted, "score double, label int").toArrow()
+    found = pa.concat_tables([votes(part) for part in range(FOLDS)])
     discard(chosen, sample)
-    if len(votes):
-        voters.curve = isotonic(votes["score"].to_numpy(), votes["label"].to_numpy(), voters.rate)
+    voters = Voters(*given)
+    if len(found):
+        voters.curve = isotonic(found["score"].to_numpy(), found["label"].to_numpy(), voters.rate)
     return voters
 
 

@@ -1,5 +1,6 @@
 """Language, tokens, language model, toxicity and quality: brute force, round trips and held-out accuracy."""
 
+import hashlib
 import math
 import random
 import re
@@ -366,31 +367,46 @@ def test_toxicity_query_equals_brute_force(spark, sf):
             by_text.setdefault(text, []).append((i, y))
     examples = sorted((min(v)[0], v[0][1], toxicity.term_counts(t), t) for t, v in by_text.items() if len({y for _, y in v}) == 1)
     n, positive = len(examples), sum(y for _, y, *_ in examples)
-    df, hits = Counter(), Counter()
-    for _, y, c, _ in examples:
-        df.update(c.keys())
-        hits.update(c.keys() if y else ())
-
-    def gain(t):
-        cells = [(hits[t], df[t] * positive / n), (df[t] - hits[t], df[t] * (n - positive) / n), (positive - hits[t], (n - df[t]) * positive / n), (n - positive - df[t] + hits[t], (n - df[t]) * (n - positive) / n)]
-        ratio = sum(2 * o * math.log(o / e) for o, e in cells if o)
-        return math.log((n + 1) / (df[t] + 0.5)) * (1 + max(ratio - toxicity.CHANCE, 0))
-
-    def vector(c):
-        v = {t: (1 + math.log(k)) * gain(t) for t, k in c.items()}
-        norm = math.sqrt(sum(x * x for x in v.values()))
-        return {t: x / norm for t, x in v.items()}
-
-    known = [(i, y, vector(c), t) for i, y, c, t in examples]
-
-    def vote(text):
-        q = vector(toxicity.term_counts(text))
-        near = sorted((-round(sum(x * v.get(t, 0) for t, x in q.items()), 12), i, y) for i, y, v, t in known if t != text)
-        near = [x for x in near if x[0] < 0][: toxicity.NEAREST]
-        top, total = sum(-s * y for s, _, y in near) + toxicity.SHRINK * positive / n, sum(-s for s, *_ in near) + toxicity.SHRINK
-        return top / total, [i for _, i, _ in near]
-
-    curve = toxicity.isotonic(np.array([vote(t)[0] for *_, t in examples]), np.array([y for _, y, *_ in examples]), positive / n)
+    df = Counter(t for *_, c, _ in examples for t in c)
+
+    def part(text):
+        return hashlib.sha256(text.encode()).digest()[0] % toxicity.FOLDS
+
+    def vote_by(seen):
+        """Votes under term weights that learn from the labels of ``seen``."""
+        total, bad = len(seen), sum(y for _, y, *_ in seen)
+        among = Counter(t for *_, c, _ in seen for t in c)
+        hits = Counter(t for _, y, c, _ in seen if y for t in c)
+
+        def gain(t):
+            k, h = among[t], hits[t]
+            cells = [(h, k * bad / total), (k - h, k * (total - bad) / total), (bad - h, (total - k) * bad / total), (total - bad - k + h, (total - k) * (total - bad) / total)]
+            more = 0
+            if sum(2 * o * math.log(o / e) for o, e in cells if o) > toxicity.CHANCE:
+                p = bad / total
+                q = (h + p) / (k + 1)
+                more = toxicity.LEAN * (q * math.log(q / p) + (1 - q) * math.log((1 - q) / (1 - p))) / max(-math.log(p), -math.log(1 - p))
+            return math.log((n + 1) / (df[t] + 0.5)) * (1 + more)
+
+        def vector(c):
+            v = {t: (1 + math.log(k)) * gain(t) for t, k in c.items()}
+            norm = math.sqrt(sum(x * x for x in v.values()))
+            return {t: x / norm for t, x in v.items()}
+
+        known = [(i, y, vector(c), t) for i, y, c, t in examples]
+
+        def vote(text):
+            q = vector(toxicity.term_counts(text))
+            near = sorted((-round(sum(x * v.get(t, 0) for t, x in q.items()), 12), i, y) for i, y, v, t in known if t != text)
+            near = [x for x in near if x[0] < 0][: toxicity.NEAREST]
+            top, below = sum(-s * y for s, _, y in near) + toxicity.SHRINK * positive / n, sum(-s for s, *_ in near) + toxicity.SHRINK
+            return top / below, [i for _, i, _ in near]
+
+        return vote
+
+    others = [vote_by([x for x in examples if part(x[3]) != k]) for k in range(toxicity.FOLDS)]
+    curve = toxicity.isotonic(np.array([others[part(t)](t)[0] for *_, t in examples]), np.array([y for _, y, *_ in examples]), positive / n)
+    vote = vote_by(examples)
     got = {r.doc_id: r for r in QUERIES["op5_toxicity"](spark, sf).collect()}
     for i, text, _ in rows:
         score, ids = vote(text)
@@ -411,6 +427,15 @@ def test_toxicity_held_out(spark):
     assert error < 0.03
 
 
+def test_weights_of_terms_are_bounded_whatever_the_sample():
+    for times in (1, 10, 1000):
+        n, hits = np.array([1, 50, 50, 50, 20]) * times, np.array([1, 50, 5, 0, 10]) * times
+        got = toxicity.lean(n, hits, 500 * times, 50 * times)
+        assert (got >= 1).all() and (got <= 1 + toxicity.LEAN).all()
+        assert got[1] > 9 and got[2] == 1 and got[1] > got[4] > 1 and got[3] < 2
+    assert (toxicity.lean(np.array([3]), np.array([0]), 9, 3) == 1).all()
+
+
 def test_isotonic_curve_rises_and_keeps_the_mean():
     rng = np.random.default_rng(1)
     score = rng.random(4000)
