@@ -286,6 +286,8 @@ def _grouped(*held: str) -> str:
 ORACLES["span_profiles"] = WITH + " UNION ALL ".join(map(lambda held: _grouped(*held), [("trace_id",), ("agent_id",), ("ver_minor",), ("ts",), ("agent_id", "ts"), ()]))
 ORACLES["span_state"] = f"""{WITH}, b AS ({_broken()}), t AS (SELECT trace_id, min(start_time_ns) AS start_ns, max(end_time_ns) AS end_ns, bool_or(dialog) AS dialog, bool_or(rejected) AS rejected FROM f GROUP BY trace_id)
 SELECT b.trace_id, spans, start_ns, end_ns, dialog, rejected, {', '.join(f'b.{c} > 1 AS varies__{c}' for c in _INVARIANTS)} FROM b JOIN t ON b.trace_id IS NOT DISTINCT FROM t.trace_id"""
+ORACLES["span_heavy"] = f"""{WITH} SELECT agent_id, aef_kind, status_code, count(*) AS n, round(count(*) / (SELECT count(*) FROM f), 9) AS share FROM f GROUP BY ALL
+ORDER BY n DESC, agent_id NULLS FIRST, aef_kind NULLS FIRST, status_code NULLS FIRST LIMIT 5"""
 ORACLES["span_dynamics_in_blocks"] = ORACLES["span_dynamics"]
 ORACLES["span_differences"] = f"""WITH {_spans()}, l AS ({_conformed(False)}), d AS (
   SELECT 'left' AS side, * FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM l) UNION ALL SELECT 'right', * FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM s))

@@ -12,7 +12,7 @@ from lumenspan.functions import dims as by
 from lumenspan.functions.scores import parameters
 from lumenspan.functions.stats import DAY_NS, total
 from lumenspan.functions.rules import PATTERNS
-from lumenspan.operators import compare, flags, landscape, quality, readiness, running, state
+from lumenspan.operators import compare, flags, heavy, landscape, quality, readiness, running, state
 from lumenspan.operators.recast import recast
 from lumenspan.plans.engine import criteria_frame, problems_frame, status_frame
 from lumenspan.sources.spans import event_spans
@@ -86,6 +86,7 @@ _OVER_SPANS: dict[str, tuple[Callable[[DataFrame], DataFrame], int]] = {
     "span_composition": (landscape.composition, 9),
     "span_degeneracy": (landscape.degeneracy, 9),
     "span_repeats": (landscape.repeats, 9),
+    "span_heavy": (lambda s: heavy.top(s, ["agent_id", "aef_kind", "status_code"], 5), 9),
     "span_coverage": (landscape.coverage, 9),
     "span_traffic": (lambda s: landscape.traffic(s, "4h"), 9),
     "span_dynamics": (_dynamics, 6),
