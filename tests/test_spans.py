@@ -291,7 +291,7 @@ def test_engine_results(spark, tmp_path):
     assert len(got["verdict"]["attribute_quality"]) == 44 and len(got["verdict"]["span_distribution"]) == 11
     assert got["status"] == {"value": "green", "title": "quality is confirmed"} and "<svg" in got["report_html"]
     assert {p["name"] for p in got["verdict"]["problems"]} >= {"single_spans", "dominant_pair", "no_llm", "no_guard"} and not any(p["affects_verdict"] for p in got["verdict"]["problems"])
-    for text in ("Share of dialog spans", "No mandatory attribute is violated", 'id="criterion-k8"', 'href="#criterion-k8"', "The calls of the model cannot be seen."):
+    for text in ("Share of dialog spans", "No mandatory attribute is violated", 'id="criterion-k8"', 'href="#criterion-k8"', triage.KIND_LOSS["llm"]):
         assert text in got["report_html"]
     assert scan(spark, path).count() == 8
     strict = engine.run(spark, spans.withColumn("agent_id", F.lit("x")), significance="E", max_rules="100%")
