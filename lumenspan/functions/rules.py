@@ -1,4 +1,4 @@
-"""Attribute rules: a predicate on a column together with its wording."""
+"""Attribute rules as small trees, from which Spark's SQL, DuckDB's SQL and the wording are rendered."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from dataclasses import dataclass
 
 _ITEM = r'"[^"\\]*+(?:\\[^\n][^"\\]*+)*+"'
 
-#: Whole-string patterns for Java's engine: ``\z`` is the very end, ``(?U)`` gives Unicode digits and spaces, and
-#: possessive quantifiers keep long texts off the stack.
+#: Fixed values. Whole-string patterns for Java's engine: ``\z`` is the very end, ``(?U)`` gives Unicode digits and spaces,
+#: and possessive quantifiers keep long texts off the stack.
 PATTERNS = {
     "base64": r"\A[A-Za-z0-9+/]+={0,2}\z",
     "one_line": r"\A[^\n]+\z",
@@ -19,12 +19,10 @@ PATTERNS = {
 }
 
 
-@dataclass(frozen=True)
-class Rule:
-    """``holds`` takes the name of a column and gives the condition in Spark's SQL."""
-
-    holds: Callable[[str], str]
-    text: str
+def automaton(pattern: str) -> str:
+    """A pattern for an engine that neither goes back nor knows ``(?U)``: classes are spelt out, possessive marks dropped."""
+    plain = pattern.removeprefix("(?U)").replace("*+", "*").replace(r"[\s\S]", "(?s:.)")
+    return plain.replace(r"\d", r"\p{Nd}").replace(r"\s", r"[\t-\r\x{85}\p{Z}]")
 
 
 def literal(value: object) -> str:
@@ -38,49 +36,175 @@ def literal(value: object) -> str:
     return str(value) if isinstance(value, int) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-ANYTHING = Rule(lambda c: "true", "any value")
-NOT_EMPTY = Rule(lambda c: f"char_length({c}) > 0", "not empty")
+def standard_literal(value: object) -> str:
+    """A value in standard SQL."""
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return repr(value) if isinstance(value, float) else literal(value)
 
 
-def matches(name: str) -> Rule:
-    return Rule(lambda c: f"{c} RLIKE r'{PATTERNS[name]}'", f"has the form {name}")
+@dataclass(frozen=True)
+class Dialect:
+    """What differs between the engines that judge a rule."""
 
+    value: Callable[[object], str]
+    form: Callable[[str, str], str]
+    length: str
 
-def equals(value: object) -> Rule:
-    return Rule(lambda c: f"{c} = {literal(value)}", f"equals {value!r}")
+    def among(self, column: str, values: tuple[object, ...]) -> str:
+        return f"{column} IN ({', '.join(map(self.value, values))})"
 
 
-def at_least(value: float) -> Rule:
-    return Rule(lambda c: f"{c} >= {literal(value)}", f"at least {value}")
+SPARK = Dialect(literal, lambda c, name: f"{c} RLIKE r'{PATTERNS[name]}'", "char_length")
+DUCKDB = Dialect(standard_literal, lambda c, name: f"regexp_matches({c}, {standard_literal(automaton(PATTERNS[name]))})", "length")
 
 
-def between(low: float, high: float) -> Rule:
-    return Rule(lambda c: f"{c} BETWEEN {literal(low)} AND {literal(high)}", f"between {low} and {high}")
+def is_in(column: str, values: tuple[str, ...]) -> str:
+    return SPARK.among(column, values)
 
 
-def is_in(column: str, values: tuple[str, ...]) -> str:
-    return f"{column} IN ({', '.join(map(literal, values))})"
+class Rule:
+    """A condition on a column. Null where the column is null, unless the rule does not look at it."""
+
+    def sql(self, column: str, to: Dialect) -> str:
+        raise NotImplementedError
+
+    @property
+    def text(self) -> str:
+        raise NotImplementedError
+
+    def holds(self, column: str) -> str:
+        """The condition in Spark's SQL."""
+        return self.sql(column, SPARK)
+
+
+@dataclass(frozen=True)
+class Anything(Rule):
+    text = "any value"
+
+    def sql(self, column: str, to: Dialect) -> str:
+        return "true"
+
+
+@dataclass(frozen=True)
+class NotEmpty(Rule):
+    text = "not empty"
+
+    def sql(self, column: str, to: Dialect) -> str:
+        return f"{to.length}({column}) > 0"
+
+
+@dataclass(frozen=True)
+class Matches(Rule):
+    form: str
+
+    def sql(self, column: str, to: Dialect) -> str:
+        return to.form(column, self.form)
+
+    @property
+    def text(self) -> str:
+        return f"has the form {self.form}"
+
+
+@dataclass(frozen=True)
+class Equals(Rule):
+    value: object
+
+    def sql(self, column: str, to: Dialect) -> str:
+        return f"{column} = {to.value(self.value)}"
 
+    @property
+    def text(self) -> str:
+        return f"equals {self.value!r}"
 
-def one_of(values: tuple[str, ...]) -> Rule:
-    return Rule(lambda c: is_in(c, values), "one of " + ", ".join(values))
 
+@dataclass(frozen=True)
+class AtLeast(Rule):
+    low: float
+
+    def sql(self, column: str, to: Dialect) -> str:
+        return f"{column} >= {to.value(self.low)}"
+
+    @property
+    def text(self) -> str:
+        return f"at least {self.low}"
+
+
+@dataclass(frozen=True)
+class Between(Rule):
+    low: float
+    high: float
+
+    def sql(self, column: str, to: Dialect) -> str:
+        return f"{column} BETWEEN {to.value(self.low)} AND {to.value(self.high)}"
 
-def at_least_column(name: str) -> Rule:
-    return Rule(lambda c: f"{c} >= {name}", f"at least {name}")
+    @property
+    def text(self) -> str:
+        return f"between {self.low} and {self.high}"
 
 
-def not_both(first: str, second: str) -> Rule:
-    return Rule(lambda c: f"NOT ({first} AND {second})", f"not both {first} and {second}")
+@dataclass(frozen=True)
+class OneOf(Rule):
+    values: tuple[str, ...]
+
+    def sql(self, column: str, to: Dialect) -> str:
+        return to.among(column, self.values)
 
+    @property
+    def text(self) -> str:
+        return "one of " + ", ".join(self.values)
 
-def either(one: Rule, two: Rule) -> Rule:
-    return Rule(lambda c: f"({one.holds(c)} OR {two.holds(c)})", f"{one.text} or {two.text}")
 
+@dataclass(frozen=True)
+class AtLeastColumn(Rule):
+    other: str
+
+    def sql(self, column: str, to: Dialect) -> str:
+        return f"{column} >= {self.other}"
 
-def where(column: str, values: tuple[str, ...], then: Rule, otherwise: Rule) -> Rule:
+    @property
+    def text(self) -> str:
+        return f"at least {self.other}"
+
+
+@dataclass(frozen=True)
+class NotBoth(Rule):
+    first: str
+    second: str
+
+    def sql(self, column: str, to: Dialect) -> str:
+        return f"NOT ({self.first} AND {self.second})"
+
+    @property
+    def text(self) -> str:
+        return f"not both {self.first} and {self.second}"
+
+
+@dataclass(frozen=True)
+class Either(Rule):
+    one: Rule
+    two: Rule
+
+    def sql(self, column: str, to: Dialect) -> str:
+        return f"({self.one.sql(column, to)} OR {self.two.sql(column, to)})"
+
+    @property
+    def text(self) -> str:
+        return f"{self.one.text} or {self.two.text}"
+
+
+@dataclass(frozen=True)
+class Where(Rule):
     """``then`` where ``column`` has one of ``values``, else ``otherwise``."""
-    return Rule(
-        lambda c: f"CASE WHEN {is_in(column, values)} THEN {then.holds(c)} ELSE {otherwise.holds(c)} END",
-        f"if {column} is {' or '.join(values)}: {then.text}; else {otherwise.text}",
-    )
+
+    column: str
+    values: tuple[str, ...]
+    then: Rule
+    otherwise: Rule
+
+    def sql(self, column: str, to: Dialect) -> str:
+        return f"CASE WHEN {to.among(self.column, self.values)} THEN {self.then.sql(column, to)} ELSE {self.otherwise.sql(column, to)} END"
+
+    @property
+    def text(self) -> str:
+        return f"if {self.column} is {' or '.join(self.values)}: {self.then.text}; else {self.otherwise.text}"

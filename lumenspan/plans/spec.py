@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-from lumenspan.functions.rules import ANYTHING, NOT_EMPTY, Rule, at_least, at_least_column, between, either, equals, matches, not_both, one_of, where
+from lumenspan.functions.rules import Anything, AtLeast, AtLeastColumn, Between, Either, Equals, Matches, NotBoth, NotEmpty, OneOf, Rule, Where
 
 # The categories of the enumerated attributes, in order.
 STATUSES = ("STATUS_CODE_UNSET", "STATUS_CODE_OK", "STATUS_CODE_ERROR")
@@ -39,67 +39,67 @@ def _attr(name: str, kind: str, rule: Rule, mandatory: bool = False, empty: obje
 
 
 def _llm(rule: Rule, kind: str) -> Rule:
-    return where("aef_kind", ("llm",), rule, equals(EMPTY[kind]))
+    return Where("aef_kind", ("llm",), rule, Equals(EMPTY[kind]))
 
 
 def _http(rule: Rule, empty: object) -> Rule:
-    return where("aef_kind", ("input_request", "output_request"), rule, equals(empty))
+    return Where("aef_kind", ("input_request", "output_request"), rule, Equals(empty))
 
 
 def _kafka(rule: Rule) -> Rule:
-    return where("aef_kind", ("kafka_produce", "kafka_consume"), rule, equals(""))
+    return Where("aef_kind", ("kafka_produce", "kafka_consume"), rule, Equals(""))
 
 
-_BASE64, _JSON, _STRINGS = matches("base64"), matches("json"), matches("json_strings")
-_FLAGS = not_both("session_id_derived", "session_id_generated")
+_BASE64, _JSON, _STRINGS = Matches("base64"), Matches("json"), Matches("json_strings")
+_FLAGS = NotBoth("session_id_derived", "session_id_generated")
 
 SPEC: tuple[Attr, ...] = (
     _attr("trace_id", "string", _BASE64, True, None),
     _attr("span_id", "string", _BASE64, True, None),
-    _attr("parent_span_id", "string", either(_BASE64, equals("root")), True, "root"),
-    _attr("origin_span_id", "string", either(_BASE64, equals("outside")), True, "outside"),
-    _attr("agent_id", "string", matches("element"), True, None),
-    _attr("session_id", "string", matches("one_line"), True, None),
-    _attr("start_time_ns", "long", at_least(0), True, None),
-    _attr("end_time_ns", "long", at_least_column("start_time_ns"), True, None),
-    _attr("status_code", "string", one_of(STATUSES), False, "STATUS_CODE_UNSET", (*STATUSES, "TRASH")),
-    _attr("status_message", "string", where("status_code", ("STATUS_CODE_ERROR",), NOT_EMPTY, equals(""))),
-    _attr("aef_kind", "string", one_of(KINDS), True, None, (*KINDS, "TRASH")),
-    _attr("span_name", "string", NOT_EMPTY, False, None),
-    _attr("input_text", "string", either(equals(""), _JSON), True),
-    _attr("output_text", "string", ANYTHING, True),
-    _attr("llm_model", "string", _llm(NOT_EMPTY, "string")),
-    _attr("llm_prompt_tokens", "long", _llm(at_least(0), "long")),
-    _attr("llm_completion_tokens", "long", _llm(at_least(0), "long")),
-    _attr("llm_total_tokens", "long", _llm(at_least(0), "long")),
-    _attr("llm_precached_prompt_tokens", "long", _llm(at_least(0), "long")),
-    _attr("llm_temperature", "float", _llm(at_least(0), "float")),
-    _attr("llm_top_p", "float", _llm(between(0, 1), "float")),
-    _attr("llm_max_tokens", "long", _llm(at_least(0), "long")),
-    _attr("llm_repetition_penalty", "float", _llm(at_least(1), "float")),
-    _attr("llm_profanity_check", "boolean", _llm(ANYTHING, "boolean")),
-    _attr("llm_stream", "boolean", _llm(ANYTHING, "boolean")),
-    _attr("http_method", "string", _http(one_of(METHODS), "NONE"), False, "NONE", (*METHODS, "NONE", "TRASH")),
-    _attr("http_path", "string", _http(NOT_EMPTY, "")),
-    _attr("http_status_code", "long", _http(between(100, 599), -1)),
+    _attr("parent_span_id", "string", Either(_BASE64, Equals("root")), True, "root"),
+    _attr("origin_span_id", "string", Either(_BASE64, Equals("outside")), True, "outside"),
+    _attr("agent_id", "string", Matches("element"), True, None),
+    _attr("session_id", "string", Matches("one_line"), True, None),
+    _attr("start_time_ns", "long", AtLeast(0), True, None),
+    _attr("end_time_ns", "long", AtLeastColumn("start_time_ns"), True, None),
+    _attr("status_code", "string", OneOf(STATUSES), False, "STATUS_CODE_UNSET", (*STATUSES, "TRASH")),
+    _attr("status_message", "string", Where("status_code", ("STATUS_CODE_ERROR",), NotEmpty(), Equals(""))),
+    _attr("aef_kind", "string", OneOf(KINDS), True, None, (*KINDS, "TRASH")),
+    _attr("span_name", "string", NotEmpty(), False, None),
+    _attr("input_text", "string", Either(Equals(""), _JSON), True),
+    _attr("output_text", "string", Anything(), True),
+    _attr("llm_model", "string", _llm(NotEmpty(), "string")),
+    _attr("llm_prompt_tokens", "long", _llm(AtLeast(0), "long")),
+    _attr("llm_completion_tokens", "long", _llm(AtLeast(0), "long")),
+    _attr("llm_total_tokens", "long", _llm(AtLeast(0), "long")),
+    _attr("llm_precached_prompt_tokens", "long", _llm(AtLeast(0), "long")),
+    _attr("llm_temperature", "float", _llm(AtLeast(0), "float")),
+    _attr("llm_top_p", "float", _llm(Between(0, 1), "float")),
+    _attr("llm_max_tokens", "long", _llm(AtLeast(0), "long")),
+    _attr("llm_repetition_penalty", "float", _llm(AtLeast(1), "float")),
+    _attr("llm_profanity_check", "boolean", _llm(Anything(), "boolean")),
+    _attr("llm_stream", "boolean", _llm(Anything(), "boolean")),
+    _attr("http_method", "string", _http(OneOf(METHODS), "NONE"), False, "NONE", (*METHODS, "NONE", "TRASH")),
+    _attr("http_path", "string", _http(NotEmpty(), "")),
+    _attr("http_status_code", "long", _http(Between(100, 599), -1)),
     _attr("request_headers", "string", _http(_JSON, "")),
     _attr("response_headers", "string", _http(_JSON, "")),
-    _attr("kafka_topic", "string", _kafka(NOT_EMPTY)),
-    _attr("kafka_cluster", "string", _kafka(NOT_EMPTY)),
-    _attr("kafka_consumer_group", "string", where("aef_kind", ("kafka_consume",), NOT_EMPTY, equals(""))),
+    _attr("kafka_topic", "string", _kafka(NotEmpty())),
+    _attr("kafka_cluster", "string", _kafka(NotEmpty())),
+    _attr("kafka_consumer_group", "string", Where("aef_kind", ("kafka_consume",), NotEmpty(), Equals(""))),
     _attr("kafka_bootstrap_servers", "string", _kafka(_STRINGS)),
-    _attr("meta_langgraph_step", "long", at_least(-1)),
-    _attr("meta_langgraph_node", "string", ANYTHING),
-    _attr("meta_langgraph_triggers", "string", either(equals(""), _STRINGS)),
-    _attr("meta_langgraph_path", "string", either(equals(""), _STRINGS)),
-    _attr("meta_checkpoint_ns", "string", ANYTHING),
-    _attr("meta_tags", "string", either(equals(""), _STRINGS)),
-    _attr("meta_extra", "string", either(equals(""), _JSON)),
-    _attr("service_name", "string", ANYTHING),
-    _attr("service_version", "string", ANYTHING),
+    _attr("meta_langgraph_step", "long", AtLeast(-1)),
+    _attr("meta_langgraph_node", "string", Anything()),
+    _attr("meta_langgraph_triggers", "string", Either(Equals(""), _STRINGS)),
+    _attr("meta_langgraph_path", "string", Either(Equals(""), _STRINGS)),
+    _attr("meta_checkpoint_ns", "string", Anything()),
+    _attr("meta_tags", "string", Either(Equals(""), _STRINGS)),
+    _attr("meta_extra", "string", Either(Equals(""), _JSON)),
+    _attr("service_name", "string", Anything()),
+    _attr("service_version", "string", Anything()),
     _attr("session_id_derived", "boolean", _FLAGS, True, None),
     _attr("session_id_generated", "boolean", _FLAGS, True, None),
-    _attr("nexus_distrib_ver", "string", matches("version"), False, None),
+    _attr("nexus_distrib_ver", "string", Matches("version"), False, None),
 )
 
 BY_NAME = {a.name: a for a in SPEC}
