@@ -134,3 +134,8 @@ def traffic(spans: DataFrame, grain: str) -> DataFrame:
 def dialog_share(traffic: DataFrame) -> DataFrame:
     """Share of dialog spans in each bucket of ``traffic``."""
     return traffic.select("ts", (F.col("dialog_spans") / F.greatest(F.col("dialog_spans") + F.col("tech_spans"), F.lit(1))).alias("dialog_share"))
+
+
+def mix(traffic: DataFrame) -> DataFrame:
+    """``traffic`` in long form: a row for each bucket and kind of trace, with its spans ``n``."""
+    return traffic.withColumnsRenamed({"dialog_spans": "dialog", "tech_spans": "other"}).unpivot("ts", ["dialog", "other"], "traces", "n")

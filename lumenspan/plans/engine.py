@@ -25,13 +25,25 @@ log = logging.getLogger(__name__)
 SCOPES = ("full", "quality")
 
 
-def measure(spans: DataFrame, policy: Params, grain: str, limits: dict[str, int] | None = None) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+def first_pass(spans: DataFrame) -> tuple[DataFrame, dict[str, Any]]:
+    """All counts and sums as a local row, and its values: whether there are spans and when, so that no job asks for that alone.
+
+    They are aggregates like the others, not metrics noticed on the way, which count twice what runs twice.
+    """
+    facts = quality.facts(spans, *landscape.sums())
+    began = time.monotonic()
+    row = facts.first()
+    log.info("facts: %d spans in %.2f s", row["spans"], time.monotonic() - began)
+    return spans.sparkSession.createDataFrame([row], facts.schema), row.asDict()
+
+
+def measure(spans: DataFrame, facts: DataFrame, policy: Params, grain: str, limits: dict[str, int] | None = None) -> tuple[dict[str, DataFrame], list[DataFrame]]:
     """Every table that the decision needs, all small whatever the spans; and what is kept while they are collected.
 
-    One pass gives the counts of all attributes and all sums, and one rollup all that concerns traces; both are kept for the
-    tables that share them.
+    ``facts`` of the first pass gives the counts of all attributes and all sums, and one rollup all that concerns traces, which
+    is kept for the tables that share it.
     """
-    facts, traces = quality.facts(spans, *landscape.sums()).persist(), quality.rollup(spans).persist()
+    traces = quality.rollup(spans).persist()
     correctness = quality.rates_of(facts, "violation")
     flow = quality.flow(spans, grain).persist()
     tables = {
@@ -53,10 +65,12 @@ def measure(spans: DataFrame, policy: Params, grain: str, limits: dict[str, int]
         "distribution": quality.distribution(spans),
         "trace_consistency": quality.consistency_of(traces),
         "flow": flow,
-        "traffic": landscape.traffic(spans, grain),
+        "traffic": (traffic := landscape.traffic(spans, grain).persist()),
+        "mix": landscape.mix(traffic),
+        "dialog_share": landscape.dialog_share(traffic),
         "inflow": readiness.inflow_trend(flow),
     }
-    return tables, [facts, traces, flow]
+    return tables, [traces, flow, traffic]
 
 
 def collect(frames: dict[str, DataFrame]) -> dict[str, list[dict]]:
@@ -68,11 +82,13 @@ def collect(frames: dict[str, DataFrame]) -> dict[str, list[dict]]:
     return out
 
 
-def gathered(spans: DataFrame, policy: Params, grain: str) -> dict[str, list[dict]]:
-    """The rows of all tables; nothing stays in memory on the executors."""
-    tables, kept = measure(spans, policy, grain)
+def gathered(spans: DataFrame, policy: Params, first: tuple[DataFrame, dict[str, Any]]) -> tuple[dict[str, list[dict]], str]:
+    """The rows of all tables after the first pass, and the grain of those over time; nothing stays in memory on the executors."""
+    facts, seen = first
+    grain = pick_grain(((seen["t1_ns"] or 0) - (seen["t0_ns"] or 0)) / DAY_NS)
+    tables, kept = measure(spans, facts, policy, grain)
     try:
-        return collect(tables)
+        return collect(tables), grain
     finally:
         for frame in kept:
             frame.unpersist()
@@ -108,7 +124,7 @@ def finalize(level: str, scope: str, policy: Params, gates: dict[str, tolerances
     found = {
         "schema": diff,
         "quality": e.verdict,
-        "criteria": triage.criteria(e, ready, problems),
+        "criteria": triage.explained(triage.criteria(e, ready, problems), level, policy, limits),
         "readiness": tables["assess"],
         "metrics": {
             "overview": e.overview,
@@ -145,13 +161,13 @@ def _stopped(title: str, detail: str) -> dict[str, Any]:
     return {"status": {"value": "red", "title": title}, "verdict": {"error": detail}, "report_html": report.stopped(title, detail)}
 
 
-def _broken_schema(raw: DataFrame, diff: dict) -> dict[str, Any]:
+def _broken_schema(raw: DataFrame, diff: dict, level: str, policy: Params) -> dict[str, Any]:
     """The result where mandatory columns are absent or of a type that cannot be cast: K1 alone is decided."""
     agent = F.col("agent_id").cast("string") if "agent_id" in raw.columns else F.lit(None).cast("string")
     meta = raw.agg(F.count(F.lit(1)).alias("rows"), F.min(agent).alias("agent"), distinct(agent).alias("agents")).first().asDict()
     title = "schema check failed"
     detail = ", ".join(r["attr"] for r in diff["rows"] if r["mandatory"] and r["state"] in ("absent", "incompatible"))
-    found = {"schema": diff, "quality": None, "criteria": triage.only_schema(), "readiness": [], "meta": meta}
+    found = {"schema": diff, "quality": None, "criteria": triage.explained(triage.only_schema(), level, policy, {}), "readiness": [], "meta": meta}
     return {"status": {"value": "red", "title": title}, "verdict": found, "report_html": report.stopped(title, f"mandatory attributes: {detail}", found)}
 
 
@@ -174,20 +190,18 @@ def run(spark: SparkSession, spans: Any = None, source_path: str | None = None,
         return _stopped("the check could not start", str(e))
     diff = schema_diff(raw, policy["ceiling_penalty"])
     if not diff["critical_ok"]:
-        return _broken_schema(raw, diff)
+        return _broken_schema(raw, diff, level, policy)
     conformed = recast(raw, strict=str(recast_values).strip().lower() in ("true", "1", "yes", "on"))
-    if conformed.isEmpty():
+    first = first_pass(conformed)
+    if not first[1]["spans"]:
         return _stopped("there are no spans", "the table is empty")
-    began = landscape.bounds(conformed).first()
-    grain = pick_grain(((began["t1_ns"] or 0) - (began["t0_ns"] or 0)) / DAY_NS)
-    return finalize(level, scope, policy, gates, diff, gathered(conformed, policy, grain), grain)
+    return finalize(level, scope, policy, gates, diff, *gathered(conformed, policy, first))
 
 
 def judged(raw: DataFrame, level: str) -> Callable[[dict[str, object]], tuple[triage.Evidence, list[str]]]:
     """Measures raw spans once; gives the evidence and the verdicts of readiness under any tolerances."""
     policy, diff, conformed = parameters(level), schema_diff(raw), recast(raw)
-    began = landscape.bounds(conformed).first()
-    tables = gathered(conformed, policy, pick_grain(((began["t1_ns"] or 0) - (began["t0_ns"] or 0)) / DAY_NS))
+    tables, _ = gathered(conformed, policy, first_pass(conformed))
 
     def under(gates: dict[str, object]) -> tuple[triage.Evidence, list[str]]:
         limits = tolerances.resolve(tolerances.parse_gates(gates), tables["overview"][0]["spans"], tables["trace_shape"][0]["traces"])
@@ -230,4 +244,4 @@ def criteria_frame(spans: DataFrame, level: str = "E") -> DataFrame:
     return facts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("code"), n.cast("long").alias("count"), t.alias("tone")) for c, n, t in lines])).alias("x")).select("x.*")
 
 
-__all__ = ["collect", "criteria_frame", "finalize", "gathered", "measure", "problems_frame", "run", "status_frame"]
+__all__ = ["collect", "criteria_frame", "finalize", "first_pass", "gathered", "measure", "problems_frame", "run", "status_frame"]

@@ -196,6 +196,9 @@ ORDER BY n DESC, coalesce(nullif(list_position(['llm', 'start_agent', 'chain', '
     "span_coverage": f"""{WITH} SELECT sum((aef_kind IN ('input_request', 'output_request'))::INT)::BIGINT AS http_spans, sum((aef_kind IN ('input_request', 'output_request') AND http_method = 'NONE')::INT)::BIGINT AS http_gap,
 sum((aef_kind = 'llm')::INT)::BIGINT AS llm_spans, sum((aef_kind = 'llm' AND llm_model = '')::INT)::BIGINT AS llm_no_model, sum((aef_kind = 'llm' AND llm_total_tokens = -1)::INT)::BIGINT AS llm_no_tokens FROM f""",
     "span_traffic": f"{WITH} SELECT four AS ts, sum(dialog::INT)::BIGINT AS dialog_spans, sum((NOT dialog)::INT)::BIGINT AS tech_spans, round(avg((status_code = 'STATUS_CODE_ERROR')::INT::DOUBLE), 9) AS error_rate FROM f GROUP BY four",
+    "span_mix": f"""{WITH}, k AS (SELECT k, k = 'dialog' AS is_dialog FROM (VALUES ('dialog'), ('other')) v(k)), b AS (SELECT DISTINCT four AS ts FROM f)
+SELECT b.ts, k.k AS traces, (SELECT count(*) FROM f WHERE four IS NOT DISTINCT FROM b.ts AND dialog = k.is_dialog) AS n FROM b CROSS JOIN k""",
+    "span_dialog_share": f"{WITH} SELECT four AS ts, round(sum(dialog::INT) / count(*), 9) AS dialog_share FROM f GROUP BY four",
     "span_dynamics": f"""{WITH}, x AS (SELECT trace_id, span_id, start_time_ns, {', '.join(f'({e})::BIGINT AS {n}' for n, e in _SIGNALS.items())} FROM f),
 y AS (SELECT *, count(span_id) OVER u AS span_seq, {', '.join(f'sum({n}) OVER u AS {n}__cum, avg({n}) OVER r AS {n}__roll10' for n in _SIGNALS)} FROM x
   WINDOW u AS ({_TRACE} UNBOUNDED PRECEDING AND CURRENT ROW), r AS ({_TRACE} 9 PRECEDING AND CURRENT ROW))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 from html import escape
+from itertools import groupby
+from math import isfinite
 from typing import Any
 
 from lumenspan.plans.spec import BY_NAME
@@ -60,17 +62,74 @@ def _pairs(values: dict[str, Any]) -> str:
     return _table(("figure", "value"), values.items())
 
 
-def _chart(title: str, rows: list[dict], series: dict[str, str]) -> str:
-    """Lines over time as inline SVG; nothing for less than two buckets."""
+#: Size of a chart and of its margins, and the most marks on its axis of time.
+_WIDTH, _HEIGHT, _FOOT, _MARKS = 700, 150, 20, 6
+_STAMPS = {"1m": "%H:%M:%S", "5m": "%H:%M", "15m": "%H:%M", "1h": "%d.%m. %H:%M", "4h": "%d.%m."}
+
+
+def stamp(at: datetime, grain: str) -> str:
+    """A time as far as buckets of this grain tell it apart."""
+    return at.strftime(_STAMPS.get(grain, "%d.%m."))
+
+
+def _axis(times: list[datetime], grain: str, place: Callable[[int], float]) -> str:
+    """Marks of time under a chart: the first, the last, and evenly spaced ones between, each text once."""
+    n = min(len(times), _MARKS)
+    marks = {stamp(times[i], grain): i for i in dict.fromkeys(round(k * (len(times) - 1) / (n - 1)) for k in reversed(range(n)))}
+    anchor = lambda i: "start" if i == 0 else "end" if i == len(times) - 1 else "middle"
+    return "".join(f'<text x="{place(i):.1f}" y="{_HEIGHT + _FOOT - 5}" font-size="11" fill="#666" text-anchor="{anchor(i)}">{escape(text)}</text>' for text, i in marks.items())
+
+
+def _frame(title: str, note: str, body: str, keys: dict[str, str]) -> str:
+    legend = ", ".join(f'<span style="color:{c}">{escape(k)}</span>' for k, c in keys.items())
+    return f'<h3>{escape(title)}</h3><svg width="{_WIDTH}" height="{_HEIGHT + _FOOT}" viewBox="0 0 {_WIDTH} {_HEIGHT + _FOOT}">{body}</svg><div>{legend}{escape("; " + note if note else "")}</div>'
+
+
+def _chart(title: str, rows: list[dict], series: dict[str, str], grain: str, note: str = "", mean: str | None = None) -> str:
+    """Lines over time as inline SVG, with a dashed line at the mean of ``mean``; nothing for less than two buckets.
+
+    Null values are gaps in a line, not zeros.
+    """
     rows = [r for r in rows if r["ts"] is not None]
     if len(rows) < 2:
         return ""
-    top = max((float(r[s] or 0) for r in rows for s in series), default=0) or 1.0
-    lines = "".join(
-        f'<polyline fill="none" stroke="{color}" stroke-width="2" points="{" ".join(f"{i * 700 / (len(rows) - 1):.1f},{150 - 140 * float(r[s] or 0) / top:.1f}" for i, r in enumerate(rows))}"/>' for s, color in series.items()
-    )
-    keys = ", ".join(f'<span style="color:{c}">{escape(s)}</span>' for s, c in series.items())
-    return f'<h3>{escape(title)}</h3><svg width="700" height="155" viewBox="0 0 700 155">{lines}</svg><div>{escape(str(rows[0]["ts"]))} to {escape(str(rows[-1]["ts"]))}; {keys}</div>'
+    known = lambda s: [float(r[s]) for r in rows if r[s] is not None]
+    top = max((x for s in series for x in known(s)), default=0) or 1.0
+    x, y = lambda i: i * _WIDTH / (len(rows) - 1), lambda v: _HEIGHT - (_HEIGHT - 10) * v / top
+    lines = ""
+    for s, color in series.items():
+        for known_run, run in groupby(enumerate(rows), lambda ir: ir[1][s] is not None):
+            if known_run:
+                points = " ".join(f"{x(i):.1f},{y(float(r[s])):.1f}" for i, r in run)
+                lines += f'<polyline fill="none" stroke="{color}" stroke-width="2" stroke-linecap="round" points="{points}"/>'
+    if mean and known(mean):
+        at = y(sum(known(mean)) / len(known(mean)))
+        lines += f'<line class="mean" x1="0" x2="{_WIDTH}" y1="{at:.1f}" y2="{at:.1f}" stroke="#999" stroke-dasharray="4 4"/>'
+    return _frame(title, note, lines + _axis([r["ts"] for r in rows], grain, x), series)
+
+
+def _stacked(title: str, rows: list[dict], name: str, colors: dict[str, str], grain: str) -> str:
+    """Bars over time from rows in long form (ts, ``name``, n), the parts of a bucket on top of each other."""
+    buckets: dict[datetime, dict[str, int]] = {}
+    for r in sorted((r for r in rows if r["ts"] is not None), key=lambda r: r["ts"]):
+        buckets.setdefault(r["ts"], {})[r[name]] = r["n"] or 0
+    if len(buckets) < 2:
+        return ""
+    top, slot, bars = max(sum(b.values()) for b in buckets.values()) or 1, _WIDTH / len(buckets), ""
+    width = max(1.0, min(36.0, slot - 2))
+    for i, parts in enumerate(buckets.values()):
+        base = float(_HEIGHT)
+        for kind, color in colors.items():
+            height = (_HEIGHT - 10) * parts.get(kind, 0) / top
+            base -= height
+            bars += f'<rect x="{(i + 0.5) * slot - width / 2:.1f}" y="{base:.1f}" width="{width:.1f}" height="{height:.1f}" fill="{color}"/>' if height else ""
+    return _frame(title, "", bars + _axis(list(buckets), grain, lambda i: (i + 0.5) * slot), colors)
+
+
+def trend_text(trend: float | None) -> str:
+    """What the correlation of inflow with time says."""
+    r = trend if trend is not None and isfinite(trend) else 0.0
+    return f"{'rising' if r > 0.05 else 'falling' if r < -0.05 else 'steady'}, correlation with time {r:+.2f}"
 
 
 def _schema(diff: dict) -> str:
@@ -90,8 +149,8 @@ def _page(title: str, body: str) -> str:
 
 def _criteria(criteria: dict[str, dict]) -> str:
     return _table(
-        ("criterion", "title", "checks", "result"),
-        ((_Markup(f'<span id="{v["anchor"]}">{code}</span>'), v["title"], v["checks"], _chip(v["result"], v["tone"])) for code, v in criteria.items()),
+        ("criterion", "title", "checks", "violated by", "limits from", "result"),
+        ((_Markup(f'<span id="{v["anchor"]}">{code}</span>'), v["title"], v["checks"], v["breach"], v["source"], _chip(v["result"], v["tone"])) for code, v in criteria.items()),
     )
 
 
@@ -112,10 +171,6 @@ def _blocking(attributes: list[dict]) -> str:
     return shown + (f"<p>{TOP_BLOCKING} of {len(bad)} attributes.</p>" if len(bad) > TOP_BLOCKING else "")
 
 
-def _dialog_share(traffic: list[dict]) -> list[dict]:
-    return [{"ts": r["ts"], "share": r["dialog_spans"] / max(1, r["dialog_spans"] + r["tech_spans"])} for r in traffic]
-
-
 def stopped(title: str, detail: str, found: dict | None = None) -> str:
     more = "" if not found else _section("Criteria", _criteria(found["criteria"])) + _section("Data", _pairs(found["meta"])) + _section("Schema", _schema(found["schema"]))
     return _page(title, f"<p>{_chip('red', 'red')} {escape(detail)}</p>{more}")
@@ -123,7 +178,7 @@ def stopped(title: str, detail: str, found: dict | None = None) -> str:
 
 def document(status: dict, found: dict, tables: dict[str, list[dict]]) -> str:
     metrics, one = found["metrics"], {k: v[0] for k, v in tables.items() if v}
-    overview, ready = metrics["overview"], found["readiness"]
+    overview, ready, grain = metrics["overview"], found["readiness"], metrics["policy"]["grain"]
     seen = {"spans": overview["spans"], "traces": overview["traces"], "sessions": overview["sessions"], "agents": overview["agents"], "from": _when(overview["t0_ns"]), "to": _when(overview["t1_ns"]), "error rate": overview["error_rate"]}
     parts = [
         f"<p>{_chip(status['value'], status['value'])} significance {escape(metrics['policy']['level'])}, scope {escape(metrics['policy']['scope'])}</p>",
@@ -148,10 +203,11 @@ def document(status: dict, found: dict, tables: dict[str, list[dict]]) -> str:
         _section("Values", _quantiles(one["distribution"])),
         _section(
             "Dynamics",
-            _chart("Traces", tables["flow"], {"traces": "#4a78b5"})
-            + _chart("Validity and defects", tables["flow"], {"validity": "#2e7d32", "defect": "#b3261e"})
-            + _chart("Dialog and other spans", tables["traffic"], {"dialog_spans": "#4a78b5", "tech_spans": "#999"})
-            + _chart("Share of dialog spans", _dialog_share(tables["traffic"]), {"share": "#4a78b5"}),
+            _chart("Traces", tables["flow"], {"traces": "#4a78b5"}, grain, f"{trend_text(one['inflow']['trend'])}; the dashed line is the mean", "traces")
+            + _chart("Validity and defects", tables["flow"], {"validity": "#2e7d32", "defect": "#b3261e"}, grain)
+            + _stacked("Spans of dialogs and of other traces", tables["mix"], "traces", {"dialog": "#4a78b5", "other": "#999"}, grain)
+            + _chart("Share of dialog spans", tables["dialog_share"], {"dialog_share": "#4a78b5"}, grain)
+            + _chart("Rate of errors", tables["traffic"], {"error_rate": "#b3261e"}, grain),
         ),
         _section("Policy", _pairs(metrics["policy"]) + _pairs(metrics["gates"]) + _pairs(metrics["diagnostic_thresholds"])),
         _section("Terms", _pairs(_GLOSSARY)),

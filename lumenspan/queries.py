@@ -89,6 +89,8 @@ _OVER_SPANS: dict[str, tuple[Callable[[DataFrame], DataFrame], int]] = {
     "span_heavy": (lambda s: heavy.top(s, ["agent_id", "aef_kind", "status_code"], 5), 9),
     "span_coverage": (landscape.coverage, 9),
     "span_traffic": (lambda s: landscape.traffic(s, "4h"), 9),
+    "span_mix": (lambda s: landscape.mix(landscape.traffic(s, "4h")), 9),
+    "span_dialog_share": (lambda s: landscape.dialog_share(landscape.traffic(s, "4h")), 9),
     "span_dynamics": (_dynamics, 6),
     # blocks so small that the traces of events are cut
     "span_dynamics_in_blocks": (lambda s: _dynamics(s, 2), 6),

@@ -1,5 +1,6 @@
 """Operators on hand-built spans: nulls, edges, types and the invariants that must hold."""
 
+import html
 import random
 
 import pytest
@@ -293,12 +294,34 @@ def test_engine_results(spark, tmp_path):
     assert {p["name"] for p in got["verdict"]["problems"]} >= {"single_spans", "dominant_pair", "no_llm", "no_guard"} and not any(p["affects_verdict"] for p in got["verdict"]["problems"])
     for text in ("Share of dialog spans", "No mandatory attribute is violated", 'id="criterion-k8"', 'href="#criterion-k8"', triage.KIND_LOSS["llm"]):
         assert text in got["report_html"]
+    assert all(v["breach"] and v["source"] and v["breach"] in html.unescape(got["report_html"]) for v in got["verdict"]["criteria"].values())
+    for title in ("Traces", "Validity and defects", "Spans of dialogs and of other traces", "Share of dialog spans", "Rate of errors"):
+        assert f"<h3>{title}</h3><svg" in got["report_html"]
+    assert got["report_html"].count("<rect") == 8 and 'class="mean"' in got["report_html"] and "correlation with time" in got["report_html"]
     assert scan(spark, path).count() == 8
     strict = engine.run(spark, spans.withColumn("agent_id", F.lit("x")), significance="E", max_rules="100%")
     assert strict["verdict"]["criteria"]["K2"]["tone"] == "warn" and strict["status"] == {"value": "red", "title": "not ready for monitoring"}
     assert "agent_id: 8 of 8 spans (100.0%)" in strict["report_html"] and 'href="#rule-agent_id"' in strict["report_html"]
 
 
+def test_no_job_asks_for_bounds_or_emptiness_alone(spark, monkeypatch):
+    monkeypatch.setattr(landscape, "bounds", None)
+    monkeypatch.setattr(engine.DataFrame, "isEmpty", None)
+    spans = frame(spark, {}, {"end_time_ns": 6 * DAY})
+    facts, seen = engine.first_pass(spans)
+    assert (seen["spans"], seen["t0_ns"], seen["t1_ns"]) == (2, 5 * DAY, 6 * DAY) and "Aggregate" not in _plan(quality.rates_of(facts, "missing"))
+    assert engine.run(spark, spans)["verdict"]["metrics"]["policy"]["grain"] == pick_grain(1.0)
+    assert engine.run(spark, spans.limit(0))["status"]["title"] == "there are no spans"
+
+
+def test_mix_and_share_of_traffic(spark):
+    traffic = landscape.traffic(frame(spark, {}, {"trace_id": "T2", "aef_kind": "llm"}, {"trace_id": "T2", "aef_kind": "tool"}, {"trace_id": "T3", "aef_kind": "llm", "start_time_ns": None}), "1d")
+    got = sorted((r.ts is None, r.traces, r.n) for r in landscape.mix(traffic).collect())
+    assert got == [(False, "dialog", 1), (False, "other", 2), (True, "dialog", 0), (True, "other", 1)]
+    assert sorted(r.dialog_share for r in landscape.dialog_share(traffic).collect()) == [0.0, pytest.approx(1 / 3)]
+    assert landscape.mix(traffic.limit(0)).isEmpty() and landscape.dialog_share(traffic.limit(0)).isEmpty()
+
+
 def test_engine_never_raises_for_bad_input(spark):
     assert engine.run(spark)["status"] == {"value": "red", "title": "the check could not start"}
     empty = engine.run(spark, frame(spark))
