@@ -43,7 +43,7 @@ from lumenspan.llm.lm import _pack, _planes, _texts, _unpack, _unplanes
 LENGTH, GRAM = 50, 20
 MOST = 32  # windows of a segment
 HOT = 128  # segments of a family, summed over blocks
-RANGE_BYTES = 4_000_000  # of text a range of keys
+RANGE_BYTES = 12_000_000  # of text a range of keys
 BATCH = 1 << 20  # symbols that are sorted at once
 PART = 1 << 20  # bytes of text that are cut at once
 LAST = (1 << 63) - 1  # stands for a null id
@@ -56,6 +56,18 @@ def places(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
+def gathered(x: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``x`` at first, first + 1 and so on, ``n`` of each; places are only made for about ``PART`` of them at once."""
+    upto = np.cumsum(n)
+    out, begin = np.empty(int(n.sum()), x.dtype), 0
+    while begin < len(n):
+        base = upto[begin] - n[begin]
+        stop = max(int(np.searchsorted(upto, base + PART, side="right")), begin + 1)
+        out[base : upto[stop - 1]] = x[places(first[begin:stop], n[begin:stop])]
+        begin = stop
+    return out
+
+
 def lyndon_groups(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start of the group of every place in suffix order, and its pointer to the nearest place before it of a smaller group.
 
@@ -190,7 +202,8 @@ def segments(x: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     summed, back = _sums(x)
     with np.errstate(over="ignore"):
         digest = _mixed((summed[start + windows + LENGTH - 1] - summed[start]) * back[start] + windows.astype(np.uint64))
-    return start, windows, _family(least[start]), digest, np.repeat(own, parts)
+    # least hashes crowd at small values, so they are mixed again, or a few ranges would get most families
+    return start, windows, _family(_mixed(least[start])), digest, np.repeat(own, parts)
 
 
 def _family(h: np.ndarray) -> np.ndarray:
@@ -306,7 +319,7 @@ def _sent(ranges: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             low = np.minimum.reduceat(_ids(rows)[told.own[told.order]], told.head) if len(told.head) else np.empty(0, np.int64)
             alone = (told.family & np.uint64(1)) == 1
             size = np.where(alone, 0, told.windows[told.first] + LENGTH - 1)
-            text, upto = block.x[places(told.start[told.first], size)], np.r_[0, np.cumsum(size)]
+            text, upto = gathered(block.x, told.start[told.first], size), np.r_[0, np.cumsum(size)]
             bounds = _bounds(told.family, ranges)
             for r in np.flatnonzero(np.diff(bounds)):
                 a, b = bounds[r], bounds[r + 1]
@@ -320,39 +333,40 @@ def _sent(ranges: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return sent
 
 
-def string_lows(text: np.ndarray, size: np.ndarray, low: np.ndarray, family: np.ndarray) -> np.ndarray:
-    """The least ``low`` of every window's string, one window after the other; segments of one family stand together in ``text``."""
-    out, ends, begin = np.empty(int((size - LENGTH + 1).sum()), np.int64), np.cumsum(size), 0
-    last = np.r_[family[1:] != family[:-1], True]
-    stops = np.flatnonzero(last) + 1
-    wrote = 0
+def batches(size: np.ndarray, family: np.ndarray) -> Iterator[slice]:
+    """Whole families of segments of about ``BATCH`` bytes in all; segments of one family stand together."""
+    ends, begin = np.cumsum(size), 0
+    stops = np.flatnonzero(np.r_[family[1:] != family[:-1], True]) + 1
     while begin < len(size):
         base = ends[begin] - size[begin]
         stop = int(stops[min(np.searchsorted(ends[stops - 1], base + BATCH), len(stops) - 1)])
-        own, closing = size[begin:stop], last[begin:stop]
-        first = np.cumsum(own + 1 + closing) - (own + 1 + closing)
-        at = places(first, own)
-        x = np.ones(int(own.sum() + len(own) + closing.sum()), np.int64)
-        x[at] = text[base : base + int(own.sum())].astype(np.int64) + 2
-        x[(first + own + 1)[closing]] = 0
-        order = suffix_order(x, np.r_[0, (first + own + 2)[closing]])
-        windows = own - LENGTH + 1
-        starts = places(first, windows)
-        lows = np.full(len(x), -1, np.int64)
-        lows[starts] = np.repeat(low[begin:stop], windows)
-        opens = np.zeros(len(x), bool)
-        opens[starts] = True
-        order = order[opens[order]]
-        slide = np.lib.stride_tricks.sliding_window_view(x.astype(np.uint16), LENGTH)
-        new = np.ones(len(order), bool)
-        for i in range(1, len(order), 100_000):
-            j = min(i + 100_000, len(order))
-            new[i:j] = (slide[order[i:j]] != slide[order[i - 1 : j - 1]]).any(axis=1)
-        head = np.flatnonzero(new)
-        lows[order] = np.repeat(np.minimum.reduceat(lows[order], head), np.diff(np.r_[head, len(order)]))
-        out[wrote : wrote + len(starts)] = lows[starts]
-        wrote, begin = wrote + len(starts), stop
-    return out
+        yield slice(begin, stop)
+        begin = stop
+
+
+def string_lows(text: np.ndarray, size: np.ndarray, low: np.ndarray, family: np.ndarray) -> np.ndarray:
+    """The least ``low`` of every window's string, one window after the other; segments of one family stand together in ``text``."""
+    closing = np.r_[family[1:] != family[:-1], True]
+    first = np.cumsum(size + 1 + closing) - (size + 1 + closing)
+    x = np.ones(len(text) + len(size) + int(closing.sum()), np.int64)
+    x[places(first, size)] = text.astype(np.int64) + 2
+    x[(first + size + 1)[closing]] = 0
+    order = suffix_order(x, np.r_[0, (first + size + 2)[closing]])
+    windows = size - LENGTH + 1
+    starts = places(first, windows)
+    lows = np.full(len(x), -1, np.int64)
+    lows[starts] = np.repeat(low, windows)
+    opens = np.zeros(len(x), bool)
+    opens[starts] = True
+    order = order[opens[order]]
+    slide = np.lib.stride_tricks.sliding_window_view(x.astype(np.uint16), LENGTH)
+    new = np.ones(len(order), bool)
+    for i in range(1, len(order), 100_000):
+        j = min(i + 100_000, len(order))
+        new[i:j] = (slide[order[i:j]] != slide[order[i - 1 : j - 1]]).any(axis=1)
+    head = np.flatnonzero(new)
+    lows[order] = np.repeat(np.minimum.reduceat(lows[order], head), np.diff(np.r_[head, len(order)]))
+    return lows[starts]
 
 
 def _met(part: pa.Table) -> pa.Table:
@@ -381,8 +395,11 @@ def _met(part: pa.Table) -> pa.Table:
         own = np.flatnonzero(several)
         _, of = np.unique(f[own], return_inverse=True)
         own = own[np.lexsort((of, np.bincount(of, size[one[own]])[of]))]
-        sorted_ = one[own]
-        lows[places((np.cumsum(n) - n)[own], n[own])] = string_lows(text[places(from_[sorted_], size[sorted_])], size[sorted_], least[own], f[own])
+        begin = np.cumsum(n) - n
+        for batch in batches(size[one[own]], f[own]):
+            some = own[batch]
+            at_text, long = from_[one[some]], size[one[some]]
+            lows[places(begin[some], n[some])] = string_lows(text[places(at_text, long)], long, least[some], f[some])
 
     upto = np.cumsum(n)
     new = np.r_[True, lows[1:] != lows[:-1]]
@@ -409,18 +426,20 @@ def _cleaned(kind: pa.DataType) -> Callable[[pa.Table, pa.Table], pa.Table]:
         if len(met):
             told = Told(block, back.filter(pc.is_valid(back["routes"])))
             runs, long, low = _in_order(met, "runs", np.uint8).astype(np.int64), _in_order(met, "long", np.uint8).astype(np.int64), _in_order(met, "lows", np.int64)
-            begin = np.cumsum(runs) - runs
-            which = places(begin[told.at], runs[told.at])  # the runs of every member, one member after the other
-            flag = np.repeat(low[which] < np.repeat(ids[told.own], runs[told.at]), long[which])
-            hit = places(told.start, told.windows)[flag]
-            cover = cover + np.bincount(hit, minlength=len(cover)) - np.bincount(hit + LENGTH, minlength=len(cover))
-        gone = np.cumsum(cover)[:-1] > 0
+            begin, many = np.cumsum(runs) - runs, runs[told.at]
+            which = places(begin[told.at], many)  # the runs of every member, one member after the other
+            hit, long = low[which] < np.repeat(ids[told.own], many), long[which]
+            start = np.cumsum(long) - long + np.repeat(told.start - np.cumsum(told.windows) + told.windows, many)
+            start, long = start[hit], long[hit]
+            cover[start] += 1  # no two runs begin at one place, and none end at one
+            cover[start + long + LENGTH - 1] -= 1
+        gone = np.cumsum(cover, dtype=np.int32)[:-1] > 0
         size = np.diff(block.ends, prepend=0)
         first = block.ends - size
         opening = gone.copy()
         opening[1:] &= ~gone[:-1]
         opening[first[size > 0]] = gone[first[size > 0]]  # runs do not cross documents
-        upto, spans = np.r_[0, np.cumsum(gone)], np.r_[0, np.cumsum(opening)]
+        upto, spans = (np.r_[np.int32(0), np.cumsum(c, dtype=np.int32)] for c in (gone, opening))
         kept = [hashlib.sha256(block.x[a:b][~gone[a:b]].tobytes()).hexdigest() for a, b in zip(first, block.ends)]
         return pa.table(
             {

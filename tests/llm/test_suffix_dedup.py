@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -110,3 +111,26 @@ def test_runs_of_one_byte_and_edges(spark):
 def test_query_equals_brute_force(spark, sf):
     rows = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
     assert sorted(map(tuple, QUERIES["op12_suffix_dedup"](spark, sf).collect())) == sorted(brute(rows))
+
+
+def test_ranges_get_like_shares_of_the_families():
+    rng = random.Random(4)
+    text = np.frombuffer(prose(rng, 60_000, [f"w{i}" for i in range(20_000)]).encode(), np.uint8)
+    family = np.unique(suffix_dedup.segments(text, np.array([len(text)]))[2])
+    share = np.diff(suffix_dedup._bounds(family, 32))
+    assert share.sum() == len(family) > 5000
+    assert share.max() < 2 * share.mean()
+
+
+def test_bytes_are_gathered_a_part_at_once(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PART", 1 << 16)
+    x, rng = np.arange(1 << 22, dtype=np.uint32).astype(np.uint8), np.random.default_rng(6)
+    n = np.r_[rng.integers(0, 90, 40_000), 70_000, 0]
+    first = rng.integers(0, len(x) - 70_000, len(n))
+    expected = x[suffix_dedup.places(first, n)]
+    tracemalloc.start()
+    got = suffix_dedup.gathered(x, first, n)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == expected).all() and peak < 4 * len(expected)
+    assert len(suffix_dedup.gathered(x, n[:0], n[:0])) == 0
