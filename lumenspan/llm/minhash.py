@@ -248,38 +248,53 @@ def _unpacked_sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield from shingle_sets(pa.array([reader.decompress(t).decode() for t in batch.column("packed").slice(start, 200).to_pylist()], pa.string()))
 
 
+#: 64-bit numbers of the parities of a set.
+PARITIES = 8
+
+
+def parities(elements: np.ndarray) -> np.ndarray:
+    """For each of ``64 * PARITIES`` classes of elements whether the set has an odd number of them; two sets differ in at least as many elements as in classes."""
+    odd = np.bincount((_mix(_add(elements, 3)) % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefix_pairs(nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) of nodes of different labels that may be similar enough; ``nodes``: node, label, packed.
 
     Of two bags as similar as ``SIMILARITY`` the lighter has at least 8/9 of its occurrences in common with the other, and that one at least
     4/5 of its own. So in any order of all elements one of the first ninth of the lighter is among the first fifth of the
     heavier. Rare elements come first, and pairs meet by them; the common ones of a template are looked at by none. A pair whose rest behind a common
-    element is too short for the overlap is left out, which the first common element of a similar pair never is.
+    element is too short for the overlap is left out, which the first common element of a similar pair never is. So is a pair whose parities
+    differ in more classes than elements may, so that near copies of one template become pairs only if about as similar as asked for.
     """
     ranks = _ranks(nodes)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], [], []]
+            classes = []
             for i, elements in enumerate(_unpacked_sets(batch)):
                 n = len(elements)
                 order = np.lexsort((elements, ranks[(elements % np.uint64(SLOTS)).astype(np.int64)]))
                 fifth = n - math.ceil(SIMILARITY * n - 1e-9) + 1 if n else 0
                 ninth = n - math.ceil(2 * SIMILARITY / (1 + SIMILARITY) * n - 1e-9) + 1 if n else 0
                 at = np.arange(fifth)
+                classes.append(parities(elements))
                 for c, v in zip(columns, (elements[order[:fifth]].view(np.int64), np.full(fifth, i), np.full(fifth, n), at, at < ninth)):
                     c.append(v)
             element, own, size, at, lead = (np.concatenate(c) if c else np.empty(0, np.int64) for c in columns)
             own = pa.array(own, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(element, pa.int64()), batch.column("node").take(own), batch.column("label").take(own), pa.array(size, pa.int64()), pa.array(at, pa.int64()), pa.array(lead, pa.bool_())], ["element", "node", "label", "size", "at", "lead"])
+            odd = pa.ListArray.from_arrays(pa.array(np.arange(len(classes) + 1) * PARITIES, pa.int32()), pa.array(np.concatenate(classes) if classes else np.empty(0, np.int64), pa.int64())).take(own)
+            yield pa.RecordBatch.from_arrays([pa.array(element, pa.int64()), batch.column("node").take(own), batch.column("label").take(own), pa.array(size, pa.int64()), pa.array(at, pa.int64()), pa.array(lead, pa.bool_()), odd], ["element", "node", "label", "size", "at", "lead", "odd"])
 
-    rows = written(nodes.select("node", "label", "packed").mapInArrow(first, "element long, node binary, label binary, size long, at long, lead boolean"), "minhash-prefixes")
+    rows = written(nodes.select("node", "label", "packed").mapInArrow(first, "element long, node binary, label binary, size long, at long, lead boolean, odd array<bigint>"), "minhash-prefixes")
     # elements of one node alone meet nothing
     shared = rows.groupBy("element").agg(F.min("label").alias("one"), F.max("label").alias("two")).filter("one <> two").select("element")
     met = written(rows.join(shared, "element"), "minhash-meeting")
     light, heavy = met.filter("lead").alias("x"), met.alias("y")
     overlap = f"{SIMILARITY / (1 + SIMILARITY)!r}D * (x.size + y.size) - 1e-6D"
-    condition = f"x.element = y.element AND x.label <> y.label AND (x.size < y.size OR x.size = y.size AND x.node < y.node) AND x.size >= {SIMILARITY!r}D * y.size - 1e-6D AND 1 + least(x.size - x.at - 1, y.size - y.at - 1) >= {overlap}"
+    apart = " + ".join(f"bit_count(x.odd[{i}] ^ y.odd[{i}])" for i in range(PARITIES))
+    condition = f"x.element = y.element AND x.label <> y.label AND (x.size < y.size OR x.size = y.size AND x.node < y.node) AND x.size >= {SIMILARITY!r}D * y.size - 1e-6D AND 1 + least(x.size - x.at - 1, y.size - y.at - 1) >= {overlap} AND {apart} <= x.size + y.size - 2 * ({overlap})"
     pairs = written(light.join(heavy, F.expr(condition)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "minhash-pairs")
     discard(rows, met)
     return pairs

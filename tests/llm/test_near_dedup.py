@@ -165,6 +165,21 @@ def test_prefixes_lose_no_link(spark, words):
     assert want and want <= got
 
 
+def test_near_copies_of_one_template_become_few_pairs_beside_the_links(spark):
+    rng = random.Random(16)
+    template, texts = prose(rng, 150, [f"w{i}" for i in range(5000)]).split(), []
+    for i in range(200):  # most of them are about 0.7 alike
+        copy = list(template)
+        for k in rng.sample(range(5, 145), rng.choice([1, 3, 3, 3])):
+            copy[k] = f"own{i}x{k}"
+        texts.append(" ".join(copy))
+    sets = [frozenset(s.tolist()) for s in minhash.shingle_sets(pa.array(texts))]
+    want = {(i, j) for i in range(200) for j in range(i + 1, 200) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    packed = [(i.to_bytes(16, "big"), i.to_bytes(16, "big"), zstandard.compress(t.encode())) for i, t in enumerate(texts)]
+    got = {tuple(int.from_bytes(x, "big") for x in r) for r in minhash.prefix_pairs(spark.createDataFrame(packed, "node binary, label binary, packed binary")).collect()}
+    assert want and want <= got and len(got) < 2 * len(want) < 200 * 199 // 4
+
+
 def test_pairs_that_share_most_of_a_page_are_all_found(spark):
     rng = random.Random(15)
     page, rows = prose(rng, 400), []
