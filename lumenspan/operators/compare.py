@@ -36,6 +36,7 @@ def differences(left: DataFrame, right: DataFrame, places: int = PLACES) -> Data
     """The rows that one side has more often than the other: ``side``, ``times`` and the columns.
 
     Buckets of rows whose fingerprints agree are left out before any row is shuffled; the table of buckets has a fixed size.
+    Columns are gathered one by one, so that those that nobody reads are not shuffled.
     """
     sides = [("left", _settled(left)), ("right", _settled(right))]
     both = [side.select(F.lit(name).alias("side"), row_key(side, places).alias("key"), F.struct(*[F.col(f"`{c}`") for c in side.columns]).alias("row")) for name, side in sides]
@@ -43,6 +44,7 @@ def differences(left: DataFrame, right: DataFrame, places: int = PLACES) -> Data
     sign = F.when(F.col("side") == "left", 1).otherwise(-1)
     sums = [F.sum(sign).alias("n"), *[F.sum(sign * F.pmod(F.col(f"key.{k}"), F.lit(1 << 31))).alias(k) for k in ("one", "two")]]
     apart = each.groupBy("bucket").agg(*sums).filter("n <> 0 OR one <> 0 OR two <> 0").select("bucket")
-    counts = each.join(F.broadcast(apart), "bucket", "left_semi").groupBy("key").agg(F.sum(sign).alias("more"), F.min("row").alias("row"))
+    counts = each.join(F.broadcast(apart), "bucket", "left_semi").groupBy("key").agg(F.sum(sign).alias("more"), *[F.min(F.col("row")[c]).alias(f"c{i}") for i, c in enumerate(left.columns)])
     found = counts.filter("more <> 0")
-    return found.select(F.when(F.col("more") > 0, "left").otherwise("right").alias("side"), F.abs("more").alias("times"), "row.*")
+    columns = [F.col(f"c{i}").alias(c) for i, c in enumerate(left.columns)]
+    return found.select(F.when(F.col("more") > 0, "left").otherwise("right").alias("side"), F.abs("more").alias("times"), *columns)

@@ -2,6 +2,7 @@
 
 import html
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -508,3 +509,11 @@ def test_strict_json(spark):
     texts = ['{"k": 1}', " [1, null] ", '{"k": }', "{]", "[1,]", "", "null", "1", None, "{}}", "1, 2", "1] , [2", '1}, {"x": 2', '1, "y": 2']
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(flags.is_json(F.col("t"))).collect()
     assert [r[0] for r in got] == [True, True, False, False, False, False, True, True, None, *[False] * 5]
+
+
+def test_columns_that_nobody_reads_of_differences_are_not_gathered(spark):
+    left = spark.createDataFrame([(1, "a", 0.5), (1, "a", 0.5), (2, None, 1.5)], "x int, wide string, z double")
+    found = compare.differences(left, left.filter("x = 2")).groupBy("side", "x").agg(F.sum("times").alias("times"))
+    gathered = re.findall(r"min\((\w+)", found._jdf.queryExecution().optimizedPlan().toString())
+    assert gathered and all("x" in c for c in gathered)
+    assert [tuple(r) for r in found.collect()] == [("left", 1, 2)]
