@@ -7,12 +7,12 @@ of their weighted Jaccard similarity, the sum of least weights over that of grea
 ``K ln K + 2 K`` darts, whatever the size of the bag.
 
 Texts with equal bags, by a digest of 128 bits, are one node. Bands of ``ROWS`` coordinates deal nodes into buckets; links are
-only taken from pairs whose exact similarity is at least ``SIMILARITY``. A node is first compared with one leader, the least of
-its buckets. Components of the links found so far tell which buckets still hold several; there members outside the largest component
-are compared with one of it, and components are formed again. In small buckets that hold several even then all members of different
-components are compared. The members of large ones meet by elements: a pair is compared only if one of the lighter bag's rarest ninth is
-among the heavier bag's rarest fifth, which no pair as similar as asked for can avoid. So no link within a bucket is lost and no bucket is
-cut, and texts that share a template, but too little for a link, do not meet by what they share.
+only taken from pairs whose exact similarity is at least ``SIMILARITY``. A node is first compared with one leader, of its buckets' members the
+one that meets most others: the middle of a group of near copies. Components of the links found so far tell which buckets still hold several; there
+members outside the largest component are compared with the middle of it, and components are formed again. In small buckets that hold several even
+then all members of different components are compared. The members of large ones are compared with the bucket's middle and meet by
+the elements in which they differ from it, rarest first: what two near copies have in common with it makes no pairs, and two that are as similar
+as asked for either share a difference or are both linked to it. So no link within a bucket is lost and no bucket is cut.
 
 Defined results: null and empty texts are equal and form one class; very long texts are read whole; ids may repeat, and so may
 rows; the row with the least id (null last, of equal ids the first read) stands for its class; an empty table gives an empty
@@ -223,7 +223,7 @@ SLOTS = 1 << 20
 
 
 def _ranks(nodes: DataFrame) -> np.ndarray:
-    """A sketch of how often elements occur, in eighths of octaves by slot; ``nodes`` have ``packed`` texts.
+    """A sketch of in how many differences elements occur, in eighths of octaves by slot; ``nodes`` as for ``_differences``.
 
     Its size is fixed, and any ranks give the same links: they only say which elements are looked at first.
     """
@@ -231,21 +231,33 @@ def _ranks(nodes: DataFrame) -> np.ndarray:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for elements in _unpacked_sets(batch):
-                total += np.bincount((elements % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+            for _, differences, _ in _differences(batch):
+                total += np.bincount((differences % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["slot", "n"])
 
-    found = nodes.select("packed").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    found = nodes.select("packed", "ref", "base").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     ranks = np.zeros(SLOTS, np.uint8)
     ranks[found["slot"].to_numpy()] = np.minimum(8 * np.log2(found["n"].to_numpy()), 255)
     return ranks
 
 
-def _unpacked_sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+def _differences(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """For each row (packed, ref, base) the set of the text, what only one of it and the set of the base has, and the size of the latter.
+
+    Differences from one ref are told apart from those from another; without a base they are the set itself.
+    """
     reader = zstandard.ZstdDecompressor()
     for start in range(0, len(batch), 200):
-        yield from shingle_sets(pa.array([reader.decompress(t).decode() for t in batch.column("packed").slice(start, 200).to_pylist()], pa.string()))
+        packed, refs, bases = (batch.column(c).slice(start, 200).to_pylist() for c in ("packed", "ref", "base"))
+        new = list(dict.fromkeys(t for t in packed + bases if t is not None))
+        known = dict(zip(new, shingle_sets(pa.array([reader.decompress(t).decode() for t in new], pa.string()))))
+        for text, ref, base in zip(packed, refs, bases):
+            if base is None:
+                yield known[text], known[text], 0
+            else:
+                apart = np.setxor1d(known[text], known[base], assume_unique=True)
+                yield known[text], _mix(_add(apart ^ np.uint64(xxhash.xxh3_64_intdigest(ref)), 4)), len(known[base])
 
 
 #: 64-bit numbers of the parities of a set.
@@ -259,54 +271,61 @@ def parities(elements: np.ndarray) -> np.ndarray:
 
 
 def prefix_pairs(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes of different labels that may be similar enough; ``nodes``: node, label, packed.
+    """Pairs (a, b) of nodes of different labels that may be similar enough; ``nodes``: node, label, packed, and where rows are to be seen from a
+    node near them, ref and base (that node and its packed text). Rows of one ref meet, and a node may have several.
+
+    Two bags of sizes n and m are as similar as ``SIMILARITY`` if they differ in at most (n + m) / 9 occurrences. If they differ from the base in c
+    and d, they then share at least half of (c - n / 9) + (d - m / 9) of these differences: the mean of what each has in *excess*. So in any order of all
+    differences one of the first of either is common, where as many as have to be shared are still to come. Rare ones are first; what a group of near
+    copies has in common is no difference, and one without a base differs in all it has. Where the mean is not above 0, no difference need be
+    shared and the pair is not returned: then both are as similar as asked for to the base, for n is at most the base's size and c.
 
-    Of two bags as similar as ``SIMILARITY`` the lighter has at least 8/9 of its occurrences in common with the other, and that one at least
-    4/5 of its own. So in any order of all elements one of the first ninth of the lighter is among the first fifth of the
-    heavier. Rare elements come first, and pairs meet by them; the common ones of a template are looked at by none. A pair whose rest behind a common
-    element is too short for the overlap is left out, which the first common element of a similar pair never is. So is a pair whose parities
-    differ in more classes than elements may, so that near copies of one template become pairs only if about as similar as asked for.
+    So is a pair left out whose parities differ in more classes than elements may.
     """
+    if "ref" not in nodes.columns:
+        nodes = nodes.withColumns({c: F.lit(None).cast("binary") for c in ("ref", "base")})
+    may = (1 - SIMILARITY) / (1 + SIMILARITY)
     ranks = _ranks(nodes)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], [], []]
+            columns: list[list[np.ndarray]] = [[], [], [], [], [], []]
             classes = []
-            for i, elements in enumerate(_unpacked_sets(batch)):
-                n = len(elements)
-                order = np.lexsort((elements, ranks[(elements % np.uint64(SLOTS)).astype(np.int64)]))
-                fifth = n - math.ceil(SIMILARITY * n - 1e-9) + 1 if n else 0
-                ninth = n - math.ceil(2 * SIMILARITY / (1 + SIMILARITY) * n - 1e-9) + 1 if n else 0
-                at = np.arange(fifth)
+            for i, (elements, differences, base) in enumerate(_differences(batch)):
+                n, d = len(elements), len(differences)
+                excess = d - may * n
+                order = np.lexsort((differences, ranks[(differences % np.uint64(SLOTS)).astype(np.int64)]))
+                # the least to be shared with one of no less excess, and with any
+                with_more = max(math.ceil(excess - 1e-6), 1)
+                with_any = max(math.ceil(excess - may / SIMILARITY * n - 1e-6), math.ceil(SIMILARITY * n - base - 1e-6), 1)
+                at = np.arange(max(d - with_any + 1, 0))
                 classes.append(parities(elements))
-                for c, v in zip(columns, (elements[order[:fifth]].view(np.int64), np.full(fifth, i), np.full(fifth, n), at, at < ninth)):
+                for c, v in zip(columns, (differences[order[: len(at)]].view(np.int64), np.full(len(at), i), np.full(len(at), n), np.full(len(at), excess), d - at, at <= d - with_more)):
                     c.append(v)
-            element, own, size, at, lead = (np.concatenate(c) if c else np.empty(0, np.int64) for c in columns)
+            element, own, size, excess, rest, lead = (np.concatenate(c) if c else np.empty(0, np.int64) for c in columns)
             own = pa.array(own, pa.int64())
             odd = pa.ListArray.from_arrays(pa.array(np.arange(len(classes) + 1) * PARITIES, pa.int32()), pa.array(np.concatenate(classes) if classes else np.empty(0, np.int64), pa.int64())).take(own)
-            yield pa.RecordBatch.from_arrays([pa.array(element, pa.int64()), batch.column("node").take(own), batch.column("label").take(own), pa.array(size, pa.int64()), pa.array(at, pa.int64()), pa.array(lead, pa.bool_()), odd], ["element", "node", "label", "size", "at", "lead", "odd"])
+            yield pa.RecordBatch.from_arrays([pa.array(element, pa.int64()), batch.column("node").take(own), batch.column("label").take(own), pa.array(size, pa.int64()), pa.array(excess, pa.float64()), pa.array(rest, pa.int64()), pa.array(lead, pa.bool_()), odd], ["element", "node", "label", "size", "excess", "rest", "lead", "odd"])
 
-    rows = written(nodes.select("node", "label", "packed").mapInArrow(first, "element long, node binary, label binary, size long, at long, lead boolean, odd array<bigint>"), "minhash-prefixes")
+    rows = written(nodes.select("node", "label", "packed", "ref", "base").mapInArrow(first, "element long, node binary, label binary, size long, excess double, rest long, lead boolean, odd array<bigint>"), "minhash-prefixes")
     # elements of one node alone meet nothing
     shared = rows.groupBy("element").agg(F.min("label").alias("one"), F.max("label").alias("two")).filter("one <> two").select("element")
     met = written(rows.join(shared, "element"), "minhash-meeting")
-    light, heavy = met.filter("lead").alias("x"), met.alias("y")
-    overlap = f"{SIMILARITY / (1 + SIMILARITY)!r}D * (x.size + y.size) - 1e-6D"
+    less, more = met.filter("lead").alias("x"), met.alias("y")
     apart = " + ".join(f"bit_count(x.odd[{i}] ^ y.odd[{i}])" for i in range(PARITIES))
-    condition = f"x.element = y.element AND x.label <> y.label AND (x.size < y.size OR x.size = y.size AND x.node < y.node) AND x.size >= {SIMILARITY!r}D * y.size - 1e-6D AND 1 + least(x.size - x.at - 1, y.size - y.at - 1) >= {overlap} AND {apart} <= x.size + y.size - 2 * ({overlap})"
-    pairs = written(light.join(heavy, F.expr(condition)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "minhash-pairs")
+    condition = f"x.element = y.element AND x.label <> y.label AND (x.excess < y.excess OR x.excess = y.excess AND x.node < y.node) AND least(x.size, y.size) >= {SIMILARITY!r}D * greatest(x.size, y.size) - 1e-6D AND 2 * least(x.rest, y.rest) >= x.excess + y.excess - 1e-6D AND {apart} <= {may!r}D * (x.size + y.size) + 1e-6D"
+    pairs = written(less.join(more, F.expr(condition)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "minhash-pairs")
     discard(rows, met)
     return pairs
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members of buckets that hold several components: key, n, node, label, main (the component of most members) and
-    main_node (its least member)."""
-    known = members.select("key", "n", "node").join(labels, "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("label"))
-    sizes = known.groupBy("key", "label").agg(F.count("*").alias("of"), F.min("node").alias("least"))
-    parts = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("of", "label", "least")).alias("most"))
-    several = parts.filter("parts > 1").select("key", F.col("most.label").alias("main"), F.col("most.least").alias("main_node"))
+    """The members of buckets that hold several components: key, n, node, meets, label and main: meets, node and label of the member that
+    meets most in the component of most members."""
+    known = members.join(labels, "node", "left").select("key", "n", "node", "meets", F.coalesce("label", "node").alias("label"))
+    sizes = known.groupBy("key", "label").agg(F.count("*").alias("of"), F.max(F.struct("meets", "node")).alias("middle"))
+    parts = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("of", "middle", "label")).alias("most"))
+    several = parts.filter("parts > 1").select("key", F.struct("most.middle.meets", "most.middle.node", "most.label").alias("main"))
     return written(known.join(several, "key"), "minhash-open")
 
 
@@ -314,21 +333,23 @@ def _labels(signed: DataFrame) -> DataFrame:
     """(node, label) of all nodes that have a link to another."""
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"))
     dealt = written(nodes.select("node", F.explode("bands").alias("key")), "minhash-bands")
-    shared = dealt.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
-    members = written(dealt.join(shared, "key"), "minhash-buckets")
+    shared = dealt.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    meeting = written(dealt.join(shared, "key"), "minhash-buckets")
+    members = written(meeting.join(meeting.groupBy("node").agg(F.sum("n").alias("meets")), "node"), "minhash-members")
     involved = members.select("node").distinct()
     texts = written(signed.select("node", "packed").join(involved, "node").groupBy("node").agg(F.first("packed").alias("packed")), "minhash-texts")
 
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a <> b").distinct()
 
-    # the least leader of a node's buckets leads most of its class, so that one pair a node links most of what will be linked
-    led = members.groupBy("node").agg(F.min("leader").alias("leader"))
-    led_pairs = written(ordered(led.select(F.col("leader").alias("x"), F.col("node").alias("y"))), "minhash-pairs")
+    # what meets most is the middle of its class, so that one pair a node links most of what will be linked
+    leaders = members.groupBy("key").agg(F.max(F.struct("meets", "node")).alias("leader"))
+    led = members.select("key", "node").join(leaders, "key").groupBy("node").agg(F.max("leader").alias("leader"))
+    led_pairs = written(ordered(led.select(F.col("leader.node").alias("x"), F.col("node").alias("y"))), "minhash-pairs")
     led_links = written(verified(led_pairs, texts), "minhash-links")
     first = components(led_links)
     rest = _open(members, first)
-    strays = ordered(rest.filter("label <> main").select(F.col("main_node").alias("x"), F.col("node").alias("y")))
+    strays = ordered(rest.filter("label <> main.label").select(F.col("main.node").alias("x"), F.col("node").alias("y")))
     stray_pairs = written(strays.join(led_pairs, ["a", "b"], "left_anti"), "minhash-pairs")
     stray_links = written(verified(stray_pairs, texts), "minhash-links")
     links = led_links.union(stray_links)
@@ -338,11 +359,17 @@ def _labels(signed: DataFrame) -> DataFrame:
     one, two = last.filter(f"n <= {SMALL}").alias("one"), last.filter(f"n <= {SMALL}").alias("two")
     small = one.join(two, F.expr("one.key = two.key and one.node < two.node and one.label <> two.label")).select(F.col("one.node").alias("x"), F.col("two.node").alias("y"))
     pairs = written(ordered(small).join(led_pairs.union(stray_pairs), ["a", "b"], "left_anti"), "minhash-pairs")
-    large = written(last.filter(f"n > {SMALL}").groupBy("node").agg(F.first("label").alias("label")).join(texts, "node"), "minhash-crossed")
+    # a middle's own best middle serves all that its bucket holds, so that a group is seen from few
+    seen = last.filter(f"n > {SMALL}").select("node", "label", "main").distinct()
+    best = seen.groupBy(F.col("node").alias("from")).agg(F.max("main").alias("to"))
+    seen = seen.join(best, F.col("main.node") == F.col("from")).select("node", "label", F.col("to.node").alias("ref"), F.col("to.label").alias("ref_label")).distinct()
+    bases = texts.select(F.col("node").alias("ref"), F.col("packed").alias("base"))
+    large = written(seen.join(texts, "node").join(bases, "ref"), "minhash-crossed")
     met = prefix_pairs(large)
-    found = written(verified(pairs.union(met.join(led_pairs.union(stray_pairs).union(pairs), ["a", "b"], "left_anti")), texts), "minhash-links")
+    middle = ordered(large.filter("label <> ref_label").select(F.col("ref").alias("x"), F.col("node").alias("y")))
+    found = written(verified(pairs.union(met.union(middle).distinct().join(led_pairs.union(stray_pairs).union(pairs), ["a", "b"], "left_anti")), texts), "minhash-links")
     labels = second if found.isEmpty() else components(links.union(found))
-    discard(dealt, members, texts, led_pairs, led_links, first, rest, stray_pairs, stray_links, last, pairs, large, met, found)
+    discard(dealt, meeting, members, texts, led_pairs, led_links, first, rest, stray_pairs, stray_links, last, pairs, large, met, found)
     if labels is not second:
         discard(second)
     return labels

@@ -180,6 +180,47 @@ def test_near_copies_of_one_template_become_few_pairs_beside_the_links(spark):
     assert want and want <= got and len(got) < 2 * len(want) < 200 * 199 // 4
 
 
+def copies(rng, n):
+    """Near copies of one template, 1 to 14 words of 150 changed: about half are as similar as 0.8 to the template, few of the others to any."""
+    template, out = prose(rng, 150, [f"w{i}" for i in range(5000)]).split(), []
+    for i in range(n):
+        copy = list(template)
+        for k in rng.sample(range(150), rng.choice([1, 2, 3, 4, 6, 8, 11, 14])):
+            copy[k] = f"v{rng.randint(0, 500)}"
+        out.append(" ".join(copy))
+    return [" ".join(template), *out]
+
+
+def test_a_group_of_near_copies_makes_fewer_pairs_than_members(spark, monkeypatch):
+    rows, met, pairs = list(enumerate(copies(random.Random(17), 800))), [], minhash.prefix_pairs
+
+    def counted(nodes):
+        found = pairs(nodes)
+        met.append((nodes.select("node").distinct().count(), found.count()))
+        return found
+
+    monkeypatch.setattr(minhash, "prefix_pairs", counted)
+    got = minhash.near_classes(docs(spark, rows)).collect()
+    want = [(r[0], f[1], n) for r, (f, n) in zip(rows, brute_classes(rows))]
+    assert sorted((r.doc_id, r.class_id, r.class_size) for r in got) == want and max(n for *_, n in want) > 200
+    [(members, made)] = met
+    assert members > 600 and made < members / 4
+
+
+@pytest.mark.parametrize("base", [0, 40, 199])
+def test_pairs_seen_from_a_base_lose_no_link(spark, base):
+    rng = random.Random(base)
+    texts = sorted({*copies(rng, 120), *(edited(rng, prose(rng, 9, ["a", "b", "c"]), 0.2) for _ in range(40)), *(edited(rng, t, 0.01) for t in copies(rng, 40))})
+    sets = [frozenset(s.tolist()) for s in minhash.shingle_sets(pa.array(texts))]
+    alike = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    key, packed = (lambda i: i.to_bytes(16, "big")), [zstandard.compress(t.encode()) for t in texts]
+    rows = [(key(i), key(i), packed[i], key(r), packed[r]) for i in range(len(texts)) for r in (base, base // 2)]
+    got = {tuple(int.from_bytes(x, "big") for x in r) for r in minhash.prefix_pairs(spark.createDataFrame(rows, "node binary, label binary, packed binary, ref binary, base binary")).collect()}
+    links = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if sets[i] != sets[j] and alike(i, j)}
+    left = links - got
+    assert links & got and all(alike(i, r) and alike(j, r) for i, j in left for r in (base, base // 2))
+
+
 def test_pairs_that_share_most_of_a_page_are_all_found(spark):
     rng = random.Random(15)
     page, rows = prose(rng, 400), []
